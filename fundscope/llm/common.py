@@ -43,3 +43,31 @@ def open_fs(uri: str):
     from pyarrow import fs
 
     return fs.FileSystem.from_uri(uri if "://" in uri else uri.replace("file:", "", 1))
+
+
+def groups(it, keys: list[str]):
+    """(key, table) for each run of rows with equal keys in a stream of Arrow batches sorted by them.
+
+    Only the rows of one group are held.  Keys are integers without nulls.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    held, last = [], None
+    for batch in it:
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for c in cols:
+            change[1:] |= c[1:] != c[:-1]
+        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            key = tuple(int(c[a]) for c in cols)
+            if held and key != last:
+                yield last, pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield last, pa.Table.from_batches(held)
