@@ -2,8 +2,10 @@
 
 Two dictionaries are trained on labelled text, one on good and one on bad documents.  A text is compressed with each,
 whole, in pieces of ``PIECE`` bytes so that a long text cannot learn its own style and forget the dictionary.  The
-feature is (size with the bad one - size with the good one) / bytes; a logistic curve fitted on labelled documents that
-neither dictionary saw turns it into a probability that the label is 1.
+main feature is (size with the bad one - size with the good one) / (bytes + shrink).  A logistic curve over it and over
+bytes / (bytes + shrink), so that short texts keep a base rate of their own, is fitted on labelled documents that neither
+dictionary saw; it turns the difference into a probability that the label is 1.  Lines that several sampled documents
+share are boilerplate and stay out of both dictionaries.
 
 Nulls and repeats: null and empty texts get the score of feature 0, the curve's base rate; rows with null labels, or
 with ids that no document has, teach nothing; several labels of one id count as their largest; a repeated document is
@@ -31,8 +33,13 @@ class Model:
     bad: bytes
     bias: float
     slope: float
+    filled: float
     shrink: float
 
+    def score(self, x: np.ndarray, n: np.ndarray) -> np.ndarray:
+        z = self.bias + self.slope * x + self.filled * n / (n + self.shrink)
+        return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+
     def compressors(self):
         import zstandard
 
@@ -57,17 +64,26 @@ def _features(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
     return (pairs[:, 1] - pairs[:, 0]) / (n + model.shrink), n
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def _logistic(x: np.ndarray, filled: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Maximum likelihood by Newton's method with a weak penalty; classes keep their shares."""
-    w, scale = np.zeros(2), max(float(np.std(x)), 1e-9)
-    design = np.stack([np.ones_like(x), x / scale], 1)
+    w, scale = np.zeros(3), max(float(np.std(x)), 1e-9)
+    design = np.stack([np.ones_like(x), x / scale, filled], 1)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        step = np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2), design.T @ (p - y) + 1e-3 * w)
+        step = np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + 1e-2 * np.eye(3), design.T @ (p - y) + 1e-2 * w)
         w = w - step
         if np.abs(step).max() < 1e-8:
             break
-    return float(w[0]), float(w[1] / scale)
+    return w / [1, scale, 1]
+
+
+def _own_lines(pieces: list[tuple[int, str]], most: int = 2) -> list[tuple[int, str]]:
+    """Pieces without the lines that more than ``most`` documents of the sample share."""
+    seen: dict[str, set[int]] = {}
+    for doc, piece in pieces:
+        for line in piece.split("\n"):
+            seen.setdefault(line, set()).add(doc)
+    return [(doc, "\n".join(x for x in piece.split("\n") if len(seen[x]) <= most)) for doc, piece in pieces]
 
 
 def _dictionary(texts: list[bytes], size: int) -> bytes:
@@ -98,23 +114,25 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 2048, piece_ch
     cut = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda k: F.substring(F.col("text"), k * step + 1, F.lit(piece_chars)))
     seen = sample.filter("part = 0").select("y", "doc_id", cut.alias("cut")).collect()
     seen.sort(key=lambda r: (r.doc_id, r.cut))
-    of = lambda y: [p.encode() for r in seen if r.y == y for p in r.cut if p]
+    own = _own_lines([(r.doc_id, p) for r in seen for p in dict.fromkeys(r.cut)])
+    kind = {r.doc_id: r.y for r in seen}
+    of = lambda y: [p.encode() for i, p in own if p and kind[i] == y]
     counts = {r.y: r["count"] for r in sample.groupBy("y").count().collect()}
     if len(counts) < 2 or not of(0) or not of(1):
         rate = sum(y * n for y, n in counts.items()) / max(1, sum(counts.values())) if counts else 0.5
         rate = min(max(rate, 1e-3), 1 - 1e-3)
-        return Model(b"", b"", float(np.log(rate / (1 - rate))), 0.0, shrink)
-    model = Model(_dictionary(of(1), dictionary_bytes), _dictionary(of(0), dictionary_bytes), 0.0, 0.0, shrink)
-    curve = sample.filter("part = 1").mapInArrow(_measured(model), "y int, x double").collect()
-    x, y = np.array([r.x for r in curve]), np.array([float(r.y) for r in curve])
+        return Model(b"", b"", float(np.log(rate / (1 - rate))), 0.0, 0.0, shrink)
+    model = Model(_dictionary(of(1), dictionary_bytes), _dictionary(of(0), dictionary_bytes), 0.0, 0.0, 0.0, shrink)
+    curve = sample.filter("part = 1").mapInArrow(_measured(model), "y int, x double, n double").collect()
+    x, n, y = (np.array([float(r[c]) for r in curve]) for c in ("x", "n", "y"))
     if len(set(y)) < 2:
-        return Model(model.good, model.bad, 0.0, 1.0 / max(1e-9, float(np.std(x)) if len(x) else 1.0), shrink)
+        return Model(model.good, model.bad, 0.0, 1.0 / max(1e-9, float(np.std(x)) if len(x) else 1.0), 0.0, shrink)
     # both labels are drawn equally often where there are enough; the weights restore their shares
     share = labels.groupBy("y").count().collect()
     total = {r.y: r["count"] for r in share}
-    bias, slope = _logistic(x, y)
+    bias, slope, filled = _logistic(x, n / (n + shrink), y).tolist()
     drawn = y.mean() / (1 - y.mean())
-    return Model(model.good, model.bad, bias + float(np.log(total[1] / total[0] / drawn)), slope, shrink)
+    return Model(model.good, model.bad, bias + float(np.log(total[1] / total[0] / drawn)), slope, filled, shrink)
 
 
 def _measured(model: Model):
@@ -122,7 +140,7 @@ def _measured(model: Model):
         from .words import batches
 
         for batch in batches(it, "text"):
-            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(_features(batch.column("text"), model)[0])], ["y", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("y"), *map(pa.array, _features(batch.column("text"), model))], ["y", "x", "n"])
 
     return run
 
@@ -136,9 +154,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
         model = shared.value
         for batch in batches(it, "text"):
-            x = _features(batch.column("text"), model)[0] if model.slope else np.zeros(batch.num_rows)
-            p = 1 / (1 + np.exp(-np.clip(model.bias + model.slope * x, -500, 500)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p)], ["doc_id", "score"])
+            x, n = _features(batch.column("text"), model) if model.slope else np.zeros((2, batch.num_rows))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model.score(x, n))], ["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, score double")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, token_store, warc
+from . import ann, decontam, mixing, ngram_join, quality, token_store, toxicity, warc
 from .common import load
 
 
@@ -17,10 +17,18 @@ def tokenizer(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(load(spark, sf_dir, "documents")))
 
@@ -29,11 +37,22 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.digest(token_store.token_files(load(spark, sf_dir, "documents"), tokenizer()))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document; ``toxic`` marks a fifth of a grade or more."""
+    known = load(spark, sf_dir, "labels").filter(~quality.held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").alias("grade"))
+    docs = load(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, known)).select("doc_id", "severity", "grade", (F.col("severity") >= 0.2).cast("int").alias("toxic"))
+
+
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(load(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(load(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_quality_classifier, op6_source_mix, op7_token_files, op10_warc)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op4_quality_classifier, op5_nearest_neighbours, op6_source_mix, op7_token_files, op8_toxicity, op9_ngram_join, op10_warc)}
 
 ORACLES: dict[str, str] = {
     "op6_source_mix": r"""
