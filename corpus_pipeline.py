@@ -1,5 +1,72 @@
-"""The corpus pipeline: quality, near duplicates, decontamination, mix, token files."""
-STAGES = []
+"""The corpus pipeline: quality, near duplicates, benchmark decontamination, source mix, token files.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept.  All but the last return the columns
+of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fundscope.llm import decontam, mixing, ngram_join, quality, token_store
+from fundscope.llm.common import load, shared_dir, written
+from fundscope.llm.queries import tokenizer
+
+#: No SQL: a compression classifier, a randomised join and a tokenizer are in it.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose predicted quality is 1."""
+    scored = written(quality.classify(docs, load(spark, sf_dir, "labels")), shared_dir(spark, "scored"))
+    rejected = scored.filter("predicted = 0").select("doc_id").distinct()
+    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+
+
+def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document that names its near-duplicate class, once; documents without an id stay."""
+    classes = written(ngram_join.near_duplicates(docs), shared_dir(spark, "classes"))
+    others = classes.filter("doc_id <> class_id").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    leaked = written(decontam.find_leaks(docs, load(spark, sf_dir, "benchmark")), shared_dir(spark, "leaks"))
+    return docs.join(leaked.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, whole, and cut to the words taken where a pass ends within one."""
+    taken = written(mixing.taken(mixing.mix(docs)), shared_dir(spark, "taken"))
+    share = taken.filter("taken > 0").groupBy("doc_id").agg(F.max("size").alias("size"), F.max("taken").alias("taken"))
+    joined = docs.join(share, docs["doc_id"].eqNullSafe(share["doc_id"])).drop(share["doc_id"])
+    turns = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("taken") - 1) / F.col("size")))).alias("turn")
+    many = joined.select("*", turns).withColumn("words", F.least(F.col("size"), F.col("taken") - F.col("turn") * F.col("size")))
+    cut = F.expr(r"regexp_extract(text, concat('(?s)^(?:[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+){', words, '}'), 0)")
+    text = F.when(F.col("words") == F.col("size"), F.col("text")).otherwise(cut)
+    many = many.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long"))
+    return many.select([F.col(c).cast(t) for c, t in docs.dtypes])
+
+
+def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Digest of the token files, read back: (doc_id, start, n_tokens, ids_crc32)."""
+    return token_store.digest(token_store.token_files(docs, tokenizer()))
+
+
+STAGES = [
+    ("quality", keep_good),
+    ("near_duplicates", keep_one_of_each_class),
+    ("decontamination", drop_leaks),
+    ("mix", mix_sources),
+    ("token_files", write_token_files),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written as Parquet and read again by the next."""
+    docs = load(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), shared_dir(spark, f"stage-{name}"))
+    return STAGES[-1][1](spark, docs, sf_dir)

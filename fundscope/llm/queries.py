@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, mixing, ngram_join, quality, token_store, toxicity, warc
+from . import ann, decontam, edit_counts, mixing, ngram_join, preference, quality, token_store, toxicity, warc
 from .common import load
 
 
@@ -21,6 +21,21 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op2_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = preference.preference_rows(preference.swapped_answers(load(spark, sf_dir, "conversations")))
+    spans = {c: preference.flat_spans(F.col(c)) for c in ("chosen_spans", "rejected_spans")}
+    return rows.withColumns(spans)
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document before and after the redaction of personal data."""
+    import public_tokenizers
+
+    docs = load(spark, sf_dir, "documents")
+    edits = edit_counts.redactions(F.col("text"))
+    return edit_counts.counts_with_edits(docs.select("doc_id", "text", edits.alias("edits")), tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
@@ -52,9 +67,38 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(load(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op4_quality_classifier, op5_nearest_neighbours, op6_source_mix, op7_token_files, op8_toxicity, op9_ngram_join, op10_warc)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_preference_format, op3_token_counts, op4_quality_classifier, op5_nearest_neighbours, op6_source_mix, op7_token_files, op8_toxicity, op9_ngram_join, op10_warc)}
 
 ORACLES: dict[str, str] = {
+    "op2_preference_format": r"""
+WITH c AS (SELECT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+e AS (SELECT conv_id, max(turn) AS last FROM c GROUP BY conv_id),
+l AS (SELECT c.* FROM c JOIN e ON c.conv_id = e.conv_id AND c.turn = e.last),
+r AS (
+  SELECT c.conv_id, c.turn, c.role, c.text FROM c JOIN e ON c.conv_id = e.conv_id AND c.turn < e.last
+  UNION ALL
+  SELECT l.conv_id, l.turn, l.role, o.text FROM l JOIN l o ON o.conv_id = xor(l.conv_id, 1)),
+t AS (SELECT 'chosen' AS side, * FROM c UNION ALL SELECT 'rejected', * FROM r),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id, side ORDER BY turn) AS place FROM t),
+d AS (
+  SELECT conv_id, place, count(*) = 2 AND count(DISTINCT role) = 1 AND count(DISTINCT text) = 1 AS same
+  FROM p GROUP BY conv_id, place),
+k AS (SELECT conv_id, coalesce(min(CASE WHEN NOT same THEN place END), max(place) + 1) AS cut FROM d GROUP BY conv_id),
+s AS (
+  SELECT p.conv_id, place, CASE WHEN place < cut THEN 'prompt' ELSE side END AS part, role,
+         '<|' || coalesce(role, '') || '|>' || chr(10) AS head,
+         '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10) AS shown
+  FROM p JOIN k ON p.conv_id = k.conv_id WHERE side = 'chosen' OR place >= cut),
+g AS (SELECT *, coalesce(sum(length(shown)) OVER (PARTITION BY conv_id, part ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at_ FROM s),
+a AS (
+  SELECT conv_id, part, count(*) AS n, string_agg(shown, '' ORDER BY place) AS body,
+         coalesce(string_agg(CAST(CAST(at_ + length(head) AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(at_ + length(shown) AS BIGINT) AS VARCHAR), ',' ORDER BY place) FILTER (WHERE role = 'assistant'), '') AS spans
+  FROM g GROUP BY conv_id, part)
+SELECT e.conv_id AS pair_id, coalesce(p.body, '') AS prompt, CAST(coalesce(p.n, 0) AS INTEGER) AS prompt_turns,
+       coalesce(c.body, '') AS chosen, coalesce(r.body, '') AS rejected, coalesce(c.spans, '') AS chosen_spans, coalesce(r.spans, '') AS rejected_spans
+FROM e LEFT JOIN a p ON p.conv_id = e.conv_id AND p.part = 'prompt'
+LEFT JOIN a c ON c.conv_id = e.conv_id AND c.part = 'chosen'
+LEFT JOIN a r ON r.conv_id = e.conv_id AND r.part = 'rejected'""",
     "op6_source_mix": r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
