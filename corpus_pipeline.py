@@ -44,7 +44,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     joined = docs.join(share, docs["doc_id"].eqNullSafe(share["doc_id"])).drop(share["doc_id"])
     turns = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("taken") - 1) / F.col("size")))).alias("turn")
     many = joined.select("*", turns).withColumn("words", F.least(F.col("size"), F.col("taken") - F.col("turn") * F.col("size")))
-    cut = F.expr(r"regexp_extract(text, concat('(?s)^(?:[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+){', words, '}'), 0)")
+    # pieces end where a word ends, so the first so many pieces hold the first so many words and what stands between
+    ends = F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
+    cut = F.array_join(F.slice(ends, F.lit(1), F.col("words").cast("int")), "")
     text = F.when(F.col("words") == F.col("size"), F.col("text")).otherwise(cut)
     many = many.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long"))
     return many.select([F.col(c).cast(t) for c, t in docs.dtypes])
