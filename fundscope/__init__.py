@@ -1,0 +1 @@
+"""Funding-landscape analytics as composable Spark DataFrame operators."""
