@@ -40,15 +40,15 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, whole, and cut to the words taken where a pass ends within one."""
     taken = written(mixing.taken(mixing.mix(docs)), shared_dir(spark, "taken"))
-    share = taken.filter("taken > 0").groupBy("doc_id").agg(F.max("size").alias("size"), F.max("taken").alias("taken"))
-    joined = docs.join(share, docs["doc_id"].eqNullSafe(share["doc_id"])).drop(share["doc_id"])
-    turns = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("taken") - 1) / F.col("size")))).alias("turn")
-    many = joined.select("*", turns).withColumn("words", F.least(F.col("size"), F.col("taken") - F.col("turn") * F.col("size")))
+    share = taken.filter("taken > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max("size").alias("_size"), F.max("taken").alias("_taken"))
+    joined = docs.join(share, docs["doc_id"].eqNullSafe(share["_id"]))
+    turns = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_taken") - 1) / F.col("_size")))).alias("_turn")
+    many = joined.select("*", turns).withColumn("_words", F.least(F.col("_size"), F.col("_taken") - F.col("_turn") * F.col("_size")))
     # pieces end where a word ends, so the first so many pieces hold the first so many words and what stands between
     ends = F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    cut = F.array_join(F.slice(ends, F.lit(1), F.col("words").cast("int")), "")
-    text = F.when(F.col("words") == F.col("size"), F.col("text")).otherwise(cut)
-    many = many.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long"))
+    cut = F.array_join(F.slice(ends, F.lit(1), F.col("_words").cast("int")), "")
+    whole = F.col("_words") == F.col("_size")
+    many = many.withColumns({"text": F.when(whole, F.col("text")).otherwise(cut), "n_chars": F.when(whole, F.col("n_chars")).otherwise(F.char_length(cut))})
     return many.select([F.col(c).cast(t) for c, t in docs.dtypes])
 
 
