@@ -4,7 +4,8 @@ The tree is fitted on a bounded sample; every vector is then sent down it to a l
 of tree nodes by the inner product of the query with their centres, opens the best one, and visits leaves in that order.
 How many leaves it visits is calibrated: for sampled queries the exact neighbours are found by brute force over all
 vectors, and visits widen until the wanted share of them lies in visited leaves.  Leaves are scored exactly, in double
-precision, in blocks of bounded size, so a leaf with much of the table is shared by many tasks.
+precision: neighbouring leaves form parts, so that a query goes once to a part with the leaves that it visits there, and
+a leaf with much of the table is cut into blocks for many tasks.
 
 Nulls and repeats: rows with a null id, or a vector that is null, empty, zero, of another length than most, or holds null
 or non-finite components, take no part.  Equal rows count once.  Of equal vectors only the ``k + 1`` smallest ids can be
@@ -78,7 +79,7 @@ def _kmeans(x: np.ndarray, k: int, rng, rounds: int = 12) -> np.ndarray:
     return c
 
 
-def fit_tree(sample: np.ndarray, leaf_rows: int, branching: int = 8, seed: int = 5) -> Tree:
+def fit_tree(sample: np.ndarray, leaf_rows: int, branching: int = 16, seed: int = 5) -> Tree:
     rng = np.random.default_rng(seed)
     centres, children, leaf, todo = [np.zeros(sample.shape[1])], [[]], [-1], [(0, sample)]
     while todo:
@@ -112,18 +113,25 @@ def scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return np.einsum("ij,ij->i", queries, vectors)
 
 
-def _best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(row of q, rows of x, scores): each query's best ``k`` here, ties to smaller ids, itself left out."""
+def _best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, allowed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows of q, rows of x, scores): each query's best ``k`` here, ties to smaller ids, itself left out.
+
+    ``allowed``: which rows of x each query may see.
+    """
     rough = q @ x.T
     rough[q_ids[:, None] == ids[None, :]] = -np.inf
-    take = min(k, len(ids))
-    cut = np.partition(rough, len(ids) - take, axis=1)[:, len(ids) - take]
-    for r in range(len(q)):
-        # all that may tie with the last one once added up in the same order
-        rows = np.flatnonzero((rough[r] >= cut[r] - 1e-9 * max(1.0, abs(cut[r]))) & np.isfinite(rough[r]))
-        s = scores(np.broadcast_to(q[r], (len(rows), q.shape[1])), x[rows])
-        order = np.lexsort((ids[rows], -s))[:k]
-        yield r, rows[order], s[order]
+    if allowed is not None:
+        rough[~allowed] = -np.inf
+    place = max(0, len(ids) - k)
+    cut = np.partition(rough, place, axis=1)[:, place]
+    # all that may tie with the last one once added up in one order
+    cut = np.where(np.isfinite(cut), cut - 1e-9 * np.maximum(1.0, np.abs(np.where(np.isfinite(cut), cut, 0))), -1.7e308)
+    r, c = np.nonzero(rough >= cut[:, None])
+    s = scores(q[r], x[c])
+    order = np.lexsort((ids[c], -s, r))
+    r, c, s = r[order], c[order], s[order]
+    rank = np.arange(len(r)) - np.searchsorted(r, r)
+    return r[rank < k], c[rank < k], s[rank < k]
 
 
 def _usable(table: DataFrame) -> DataFrame:
@@ -135,7 +143,7 @@ def _usable(table: DataFrame) -> DataFrame:
     return table.filter(F.size(e) == (width.w if width else 0)).dropDuplicates(["vec_id", "embedding"])
 
 
-def nearest(vectors: DataFrame, is_query, *, k: int = 20, recall: float = 0.97, sample_rows: int = 20_000, leaf_rows: int = 48, calibration_queries: int = 256, block_rows: int = 2048, block_queries: int = 1024) -> DataFrame:
+def nearest(vectors: DataFrame, is_query, *, k: int = 20, recall: float = 0.95, sample_rows: int = 20_000, leaf_rows: int = 400, calibration_queries: int = 256, block_rows: int = 4096, block_queries: int = 1024) -> DataFrame:
     """(query_id, rank, vec_id, score): for rows (vec_id, embedding) where ``is_query`` holds, the ``k`` nearest found."""
     spark = vectors.sparkSession
     rows = written(_usable(vectors), shared_dir(spark, "vectors"))
@@ -156,42 +164,63 @@ def nearest(vectors: DataFrame, is_query, *, k: int = 20, recall: float = 0.97,
     queries = rows.filter(is_query)
     visits = _calibrate(points, queries, shared, k, recall, calibration_queries)
 
+    # a row per leaf of the tree, which the sample bounds
+    sizes = {r.leaf: r["count"] for r in points.groupBy("leaf").count().collect()}
+    group_of, blocks = _packed(tree.leaves, sizes, block_rows)
+
     def plan(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            leaves = [shared.value.visits(q, visits) for q in _vectors(b.column("embedding"))]
-            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("embedding"), pa.array(leaves, pa.list_(pa.int32()))], ["vec_id", "embedding", "leaves"])
-
-    planned = written(queries.mapInArrow(plan, "vec_id long, embedding array<double>, leaves array<int>"), shared_dir(spark, "visits"))
-    # as many rows as the tree has leaves, which the sample bounds
-    blocks = {r.leaf: -(-r["count"] // block_rows) for r in points.groupBy("leaf").count().collect()}
-    turns = {r.leaf: -(-r["count"] // block_queries) for r in planned.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect()}
-    table = spark.createDataFrame([(leaf, n, turns[leaf]) for leaf, n in blocks.items() if leaf in turns], "leaf int, blocks int, turns int")
+            plans = []
+            for q in _vectors(b.column("embedding")):
+                own: dict[int, list[int]] = {}
+                for leaf in shared.value.visits(q, visits):
+                    own.setdefault(group_of[leaf], []).append(leaf)
+                plans.append([{"part": g, "leaves": v} for g, v in own.items()])
+            kind = pa.list_(pa.struct([("part", pa.int32()), ("leaves", pa.list_(pa.int32()))]))
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("embedding"), pa.array(plans, kind)], ["vec_id", "embedding", "parts"])
+
+    planned = written(queries.mapInArrow(plan, "vec_id long, embedding array<double>, parts array<struct<part:int,leaves:array<int>>>"), shared_dir(spark, "visits"))
+    asked = planned.select(F.explode("parts.part").alias("part")).groupBy("part").count().collect()
+    table = spark.createDataFrame([(r.part, blocks[r.part], -(-r["count"] // block_queries)) for r in asked], "part int, blocks int, turns int")
+    where = spark.createDataFrame(list(group_of.items()), "leaf int, part int")
     upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    part = lambda c: F.pmod(F.xxhash64("vec_id"), F.col(c)).cast("int")
-    left = points.join(F.broadcast(table), "leaf").select("leaf", part("blocks").alias("block"), upto("turns").alias("turn"), F.lit(0).alias("kind"), "vec_id", "embedding")
-    right = planned.select("vec_id", "embedding", F.explode("leaves").alias("leaf")).join(F.broadcast(table), "leaf")
-    right = right.select("leaf", part("turns").alias("turn"), upto("blocks").alias("block"), F.lit(1).alias("kind"), "vec_id", "embedding")
-    both = left.unionByName(right).repartition("leaf", "block", "turn").sortWithinPartitions("leaf", "block", "turn")
+    salt = lambda c: F.pmod(F.xxhash64("vec_id"), F.col(c)).cast("int")
+    left = points.join(F.broadcast(where.join(table, "part")), "leaf").select("part", salt("blocks").alias("block"), upto("turns").alias("turn"), F.lit(0).alias("kind"), "vec_id", "embedding", F.array("leaf").alias("leaves"))
+    right = planned.select("vec_id", "embedding", F.explode("parts").alias("p")).select("vec_id", "embedding", "p.part", "p.leaves").join(F.broadcast(table), "part")
+    right = right.select("part", salt("turns").alias("turn"), upto("blocks").alias("block"), F.lit(1).alias("kind"), "vec_id", "embedding", "leaves")
+    both = left.unionByName(right).repartition("part", "block", "turn").sortWithinPartitions("part", "block", "turn")
+    most = tree.leaves
 
     def search(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, t in groups(it, ["leaf", "block", "turn"]):
+        for _, t in groups(it, ["part", "block", "turn"]):
             kind, ids, x = t.column("kind").to_numpy(), t.column("vec_id").to_numpy(), _vectors(t.column("embedding"))
+            leaves = t.column("leaves").combine_chunks()
+            flat, row = leaves.flatten().to_numpy(), np.repeat(np.arange(len(leaves)), leaves.value_lengths().to_numpy())
+            seen = np.zeros((len(leaves), most), bool)
+            seen[row, flat] = True
             p, q = np.flatnonzero(kind == 0), np.flatnonzero(kind == 1)
             if len(p) and len(q):
-                yield _found(_best(ids[q], x[q], ids[p], x[p], k), ids[q], ids[p])
+                leaf = np.argmax(seen[p], axis=1)
+                for k0 in range(0, len(q), 256):
+                    part = q[k0 : k0 + 256]
+                    r, c, s = _best(ids[part], x[part], ids[p], x[p], k, seen[part][:, leaf])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[part][r]), pa.array(ids[p][c]), pa.array(s)], ["query_id", "vec_id", "score"])
 
     found = both.mapInArrow(search, _PAIRS)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _found(best, q_ids: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-    parts = list(best)
-    n = [len(rows) for _, rows, _ in parts]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.repeat(q_ids[[r for r, _, _ in parts]], n)), pa.array(np.concatenate([ids[rows] for _, rows, _ in parts])), pa.array(np.concatenate([s for _, _, s in parts]))],
-        ["query_id", "vec_id", "score"],
-    )
+def _packed(leaves: int, sizes: dict[int, int], block_rows: int) -> tuple[dict[int, int], dict[int, int]]:
+    """(part of each leaf, blocks of each part): neighbouring leaves share a part, a larger leaf has blocks of its own."""
+    part_of, rows = {}, []
+    for leaf in range(leaves):
+        n = sizes.get(leaf, 0)
+        if not rows or (rows[-1] and rows[-1] + n > block_rows):
+            rows.append(0)
+        part_of[leaf] = len(rows) - 1
+        rows[-1] += n
+    return part_of, {g: max(1, -(-n // block_rows)) for g, n in enumerate(rows)}
 
 
 def _calibrate(points: DataFrame, queries: DataFrame, shared, k: int, recall: float, most: int) -> int:
@@ -206,9 +235,10 @@ def _calibrate(points: DataFrame, queries: DataFrame, shared, k: int, recall: fl
         for b in it:
             if b.num_rows:
                 ids, leaf = b.column("vec_id").to_numpy(), b.column("leaf").to_numpy()
-                for r, rows, s in _best(q_ids, q, ids, _vectors(b.column("embedding")), k):
-                    best = kept[int(q_ids[r])]
-                    best += zip((-s).tolist(), ids[rows].tolist(), leaf[rows].tolist(), strict=True)
+                r, c, s = _best(q_ids, q, ids, _vectors(b.column("embedding")), k)
+                for i, found in zip(q_ids[r].tolist(), zip((-s).tolist(), ids[c].tolist(), leaf[c].tolist(), strict=True), strict=True):
+                    kept[i].append(found)
+                for best in kept.values():
                     best.sort()
                     del best[k:]
         flat = [(i, v, -s, leaf) for i, best in kept.items() for s, v, leaf in best]
