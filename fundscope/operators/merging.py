@@ -45,7 +45,8 @@ def insert_or_ignore(current: DataFrame, incoming: DataFrame, keys: Sequence[str
 
 def replace_slices(current: DataFrame, incoming: DataFrame, slice_keys: Sequence[str]) -> DataFrame:
     """All rows of the slices that the incoming rows belong to are replaced by them; applying twice is applying once."""
-    return current.join(incoming.select(*slice_keys).distinct(), list(slice_keys), "left_anti").unionByName(incoming)
+    kept = current.join(incoming.select(*slice_keys).distinct(), list(slice_keys), "left_anti")
+    return kept.select(current.columns).unionByName(incoming)
 
 
 def absorb_duplicates(df: DataFrame, group: Column, order: Sequence[Column], key: str, fill: Sequence[str]) -> tuple[DataFrame, DataFrame]:
