@@ -192,10 +192,10 @@ def topk_then_filter(t):
     return d.join(s, "nationkey", "left").orderBy(F.desc("demand"), "nationkey").limit(22).filter(F.col("supply").isNull() | (F.col("supply") / F.col("demand") < 0.006))
 
 
-@query("""SELECT count(*) AS n, count(DISTINCT p_brand) AS brands FROM part WHERE p_type ILIKE '%standard%' AND p_name ILIKE '%a%e%' AND p_name NOT ILIKE '%zz%'""")
+@query("""SELECT count(*) AS n, count(DISTINCT p_brand) AS brands FROM part WHERE p_type ILIKE '%Econ%' AND p_name ILIKE '%R%g%' AND p_name NOT ILIKE '%gear%'""")
 def like_multi(t):
     c = F.col
-    return t.part.filter(c("p_type").ilike("%standard%") & c("p_name").ilike("%a%e%") & ~c("p_name").ilike("%zz%")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("p_brand").alias("brands"))
+    return t.part.filter(c("p_type").ilike("%Econ%") & c("p_name").ilike("%R%g%") & ~c("p_name").ilike("%gear%")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("p_brand").alias("brands"))
 
 
 @query("SELECT p_partkey, p_size FROM part WHERE coalesce(nullif(p_size, 1), 9999) > 45")

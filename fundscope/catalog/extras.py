@@ -58,11 +58,11 @@ def richness(t):
     return t.part.select("p_partkey", scores.richness([(c("p_name"), 50), (F.when(F.contains("p_brand", F.lit("1")), c("p_brand")), 40), (c("p_type"), 20)]).alias("richness"))
 
 
-@query("""WITH s AS (SELECT p_brand, p_partkey, p_name, CASE WHEN contains(p_name, '12') THEN 10 ELSE 0 END + CASE WHEN contains(p_name, '5') THEN 3 ELSE 0 END + 2 * (contains(p_name, '123')::INT + contains(p_name, '456')::INT) + CASE WHEN contains(p_name, '9') THEN -5 ELSE 0 END AS score FROM part),
+@query("""WITH s AS (SELECT p_brand, p_partkey, p_name, CASE WHEN contains(p_name, 'ring') THEN 10 ELSE 0 END + CASE WHEN contains(p_name, 'bolt') THEN 3 ELSE 0 END + 2 * (contains(p_name, 'widget')::INT + contains(p_name, 'gear')::INT) + CASE WHEN contains(p_name, 'hot') THEN -5 ELSE 0 END AS score FROM part),
 r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY score DESC, p_partkey) AS k FROM s WHERE score > 0) SELECT p_brand, p_partkey, score FROM r WHERE k = 1""")
 def title_pick(t):
-    keys = F.array(F.lit("123"), F.lit("456"), F.lit("12"))
-    s = t.part.select("p_brand", "p_partkey", scores.title_score(F.col("p_name"), F.lit("12"), keys, ["5"], "9").alias("score"))
+    keys = F.array(F.lit("widget"), F.lit("gear"), F.lit("ho"))
+    s = t.part.select("p_brand", "p_partkey", scores.title_score(F.col("p_name"), F.lit("ring"), keys, ["bolt"], "hot").alias("score"))
     return scores.best_title(s, "p_brand", "p_partkey", "score")
 
 

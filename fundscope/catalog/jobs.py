@@ -70,10 +70,10 @@ def job_demand_supply(t):
     return J.demand_and_supply({"policy": count(t.customer, "c_nationkey"), "industry": count(t.supplier.filter("s_acctbal > 0"), "s_nationkey")}, ratio)
 
 
-@query(_FACTS + """SELECT CASE WHEN contains(title, '1') THEN 'one' WHEN contains(title, '2') THEN 'two' ELSE 'rest' END AS theme, CASE WHEN place IN ('NATION_1', 'FRANCE') THEN 'elite' ELSE 'other' END AS tier, CASE WHEN stage IN ('1-URGENT', '2-HIGH') THEN 'early' ELSE 'later' END AS career, count(*) AS n FROM f GROUP BY ALL ORDER BY n DESC, theme, tier, career LIMIT 20""")
+@query(_FACTS + """SELECT CASE WHEN contains(title, 'ring') THEN 'one' WHEN contains(title, 'gear') THEN 'two' ELSE 'rest' END AS theme, CASE WHEN place IN ('NATION_1', 'NATION_2') THEN 'elite' ELSE 'other' END AS tier, CASE WHEN stage IN ('1-URGENT', '2-HIGH') THEN 'early' ELSE 'later' END AS career, count(*) AS n FROM f GROUP BY ALL ORDER BY n DESC, theme, tier, career LIMIT 20""")
 def job_cross_cells(t):
-    theme = R.first_match(F.col("title"), [R.Rule("one", ("1",)), R.Rule("two", ("2",))], "rest")
-    tier = F.when(F.col("place").isin("NATION_1", "FRANCE"), "elite").otherwise("other")
+    theme = R.first_match(F.col("title"), [R.Rule("one", ("ring",)), R.Rule("two", ("gear",))], "rest")
+    tier = F.when(F.col("place").isin("NATION_1", "NATION_2"), "elite").otherwise("other")
     return J.cross_cells(facts(t), theme, tier, F.col("stage").isin("1-URGENT", "2-HIGH"))
 
 
@@ -132,10 +132,10 @@ def job_import_plan(t):
     return J.imported(c.filter("id % 3 <> 0"), c.filter("id % 2 = 0"), "id", ["segment"])[1]
 
 
-@query(_FACTS + """SELECT via, fine, count(*) AS n FROM (SELECT CASE WHEN field = 'Brand#1' THEN 'first' WHEN contains(title, '7') THEN 'seven' ELSE 'unclassified' END AS fine, CASE WHEN field = 'Brand#1' THEN 'field' WHEN contains(title, '7') THEN 'theme' ELSE 'none' END AS via FROM f) GROUP BY 1, 2""")
+@query(_FACTS + """SELECT via, fine, count(*) AS n FROM (SELECT CASE WHEN field = 'Brand#1' THEN 'first' WHEN contains(title, 'bolt') THEN 'seven' ELSE 'unclassified' END AS fine, CASE WHEN field = 'Brand#1' THEN 'field' WHEN contains(title, 'bolt') THEN 'theme' ELSE 'none' END AS via FROM f) GROUP BY 1, 2""")
 def job_hybrid_fields(t):
     authority = t.spark.createDataFrame([("Brand#1", "first")], "field string, mapped string")
-    return J.hybrid_fields(facts(t), authority, [R.Rule("seven", ("7",))], "unclassified").groupBy("via", "fine").agg(F.count(F.lit(1)).alias("n"))
+    return J.hybrid_fields(facts(t), authority, [R.Rule("seven", ("bolt",))], "unclassified").groupBy("via", "fine").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""WITH m AS (SELECT n_name AS l2, r_name AS l1, c_acctbal AS a FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey), x AS (SELECT l1, l2, count(*) AS n, sum(CASE WHEN a BETWEEN 0 AND 9000 THEN a ELSE 0 END) AS total FROM m GROUP BY 1, 2)

@@ -40,11 +40,11 @@ def corr_scalar(t):
     return t.customer.join(o, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", F.coalesce("orders", F.lit(0)).alias("orders"), "latest")
 
 
-@query("""WITH k AS (SELECT * FROM (VALUES (1, 'red'), (2, 'blue'), (3, 'green'), (4, '1'), (5, '99')) v(kid, word))
+@query("""WITH k AS (SELECT * FROM (VALUES (1, 'red'), (2, 'blue'), (3, 'green'), (4, 'ring'), (5, 'zz')) v(kid, word))
 SELECT kid, word, count(p_partkey) AS n, min(p_partkey) AS first FROM k LEFT JOIN part ON contains(lower(p_name), word) GROUP BY kid, word""")
 def theta_contains(t):
     # the key list is given data: its pairs with the parts come from one pass that tests every key
-    keys = [(1, "red"), (2, "blue"), (3, "green"), (4, "1"), (5, "99")]
+    keys = [(1, "red"), (2, "blue"), (3, "green"), (4, "ring"), (5, "zz")]
     hit = F.array_compact(F.array(*[F.when(F.contains(F.lower("p_name"), F.lit(w)), k) for k, w in keys]))
     found = t.part.select("p_partkey", F.explode(hit).alias("kid")).groupBy("kid").agg(F.count(F.lit(1)).alias("n"), F.min("p_partkey").alias("first"))
     return F.broadcast(t.spark.createDataFrame(keys, "kid int, word string")).join(found, "kid", "left").withColumn("n", F.coalesce("n", F.lit(0)))
@@ -156,21 +156,23 @@ def match_fuzzy(t):
 @query()
 def match_loose(t):
     """Exact keys first, containment for the rest; greedy, so rows only here and a unit test for the pairs."""
-    s = t.customer.select(F.col("c_custkey").alias("sid"), F.lower("c_mktsegment").alias("key"))
+    name = F.lower("s_name")
+    s = t.supplier.select(F.col("s_suppkey").alias("sid"), F.when(F.col("s_suppkey") % 2 == 0, name).otherwise(F.substring(name, 9, 20)).alias("key"))
     return M.loose_fallback(s, t.supplier.select(F.col("s_suppkey").alias("tid"), F.lower("s_name").alias("key")))
 
 
-@query("""WITH n AS (SELECT DISTINCT lower(p_name) AS name FROM part WHERE p_partkey % 2 = 0), o AS (SELECT DISTINCT lower(p_name) AS name FROM part WHERE p_partkey % 20 = 1)
-SELECT name FROM n WHERE substring(name, 1, 6) NOT IN (SELECT substring(name, 1, 6) FROM o) AND NOT EXISTS (SELECT 1 FROM o WHERE (length(o.name) > 4 AND contains(n.name, o.name)) OR (length(n.name) > 4 AND contains(o.name, n.name)))""")
+@query("""WITH n AS (SELECT substring(md5(CAST(p_partkey AS VARCHAR)), 1, 10) AS name FROM part WHERE p_partkey % 2 = 0), o AS (SELECT DISTINCT CASE WHEN p_partkey % 9 = 0 THEN substring(md5(CAST(p_partkey AS VARCHAR)), 1, 7) ELSE substring(md5(CAST(p_partkey AS VARCHAR)), 3, 6) END AS name FROM part WHERE p_partkey % 3 = 0)
+SELECT name FROM n WHERE substring(name, 1, 6) NOT IN (SELECT substring(name, 1, 6) FROM o) AND NOT EXISTS (SELECT 1 FROM o WHERE contains(n.name, o.name) OR contains(o.name, n.name))""")
 def match_prefix(t):
-    name = F.lower("p_name").alias("name")
-    return M.not_prefix_duplicates(t.part.filter("p_partkey % 2 = 0").select(name).distinct(), t.part.filter("p_partkey % 20 = 1").select(name).distinct())
+    h = F.md5(F.col("p_partkey").cast("string").cast("binary"))
+    old = F.when(F.col("p_partkey") % 9 == 0, F.substring(h, 1, 7)).otherwise(F.substring(h, 3, 6))
+    return M.not_prefix_duplicates(t.part.filter("p_partkey % 2 = 0").select(F.substring(h, 1, 10).alias("name")), t.part.filter("p_partkey % 3 = 0").select(old.alias("name")).distinct())
 
 
-@query("""WITH p AS (SELECT p_partkey, p_name, CASE WHEN contains(lower(p_name), 'qqq') THEN 0 WHEN contains(lower(p_name), '12') THEN 1 WHEN contains(lower(p_name), '7') THEN 2 END AS k FROM part)
+@query("""WITH p AS (SELECT p_partkey, p_name, CASE WHEN contains(lower(p_name), 'qqq') THEN 0 WHEN contains(lower(p_name), 'widget') THEN 1 WHEN contains(lower(p_name), 'bolt') THEN 2 END AS k FROM part)
 SELECT p_partkey, p_name FROM p WHERE k IS NOT NULL ORDER BY k, length(p_name), p_partkey LIMIT 1""")
 def pattern_lookup(t):
-    return M.pattern_lookup(t.part, ["qqq", "12", "7"], name="p_name", key="p_partkey").select("p_partkey", "p_name")
+    return M.pattern_lookup(t.part, ["qqq", "widget", "bolt"], name="p_name", key="p_partkey").select("p_partkey", "p_name")
 
 
 @query("""WITH c AS (SELECT doc_id, item_id, row_number() OVER (PARTITION BY doc_id ORDER BY substring(b.text, 1, 24) = substring(d.text, 1, 24) DESC, item_id) AS k FROM documents d JOIN benchmark b ON lower(substring(d.text, 1, 2)) = lower(substring(b.text, 1, 2)))
