@@ -1,8 +1,8 @@
 """Edit-aware token counts: a segment tree over each document's pre-tokens, updated where edits touch it.
 
 A byte-level BPE cuts a text into pre-tokens by a pattern and encodes each on its own, so a text's count is the sum over
-its pre-tokens.  A document's tree has chunks of pre-tokens as leaves (their lengths and counts) and sums of characters
-and tokens above.  An edit finds its leaves by descending on characters, cuts the text anew from a few pre-tokens before
+its pre-tokens.  A document's tree has chunks of pre-tokens with their counts as leaves, and sums of characters and
+tokens above.  An edit finds its leaves by descending on characters, cuts the text anew from a few pre-tokens before
 the edit until the cuts fall on old ones again after it, counts only those pre-tokens, and updates the sums on the way
 up.
 
@@ -13,10 +13,11 @@ each time, and a null id is kept.  Other columns are ignored.  An empty table gi
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK = 64
@@ -57,30 +58,41 @@ class Counter:
 
 
 class Tree:
-    """A document's text with a segment tree over chunks of its pre-tokens.
+    """A document as a segment tree over chunks of its pre-tokens.
 
-    ``leaves[k]`` is (lengths, counts); nodes are numbered as in a heap and ``chars``, ``tokens`` hold their sums.
+    ``leaves[k]`` is (pre-tokens, counts); nodes are numbered as in a heap, and ``chars`` and ``tokens`` hold their sums.
+    The text is nowhere kept as a whole, so that an edit costs its own region and a path to the root.
     """
 
     def __init__(self, text: str, counter: Counter):
-        self.text, self.counter, self.encoded = text, counter, 0
+        self.counter, self.encoded = counter, 0
         pieces = counter.pieces(text)
-        counts = list(map(counter.known.__getitem__, pieces))
-        lengths = list(map(len, pieces))
-        self._build([(lengths[k : k + CHUNK], counts[k : k + CHUNK]) for k in range(0, len(lengths), CHUNK)] or [([], [])])
+        self._build(self._chunks(pieces, list(map(counter.known.__getitem__, pieces))))
 
-    def _build(self, leaves: list[tuple[list[int], list[int]]]) -> None:
-        self.leaves, self.size = leaves, 1 << max(0, len(leaves) - 1).bit_length()
+    @staticmethod
+    def _chunks(pieces: list[str], counts: list[int]) -> list[tuple[list[str], list[int]]]:
+        return [(pieces[k : k + CHUNK], counts[k : k + CHUNK]) for k in range(0, len(pieces), CHUNK)]
+
+    def _build(self, leaves: list[tuple[list[str], list[int]]]) -> None:
+        self.leaves = leaves or [([], [])]
+        self.size = 1 << max(0, len(self.leaves) - 1).bit_length()
         self.chars, self.tokens = [0] * (2 * self.size), [0] * (2 * self.size)
-        for k, (lengths, counts) in enumerate(leaves):
-            self.chars[self.size + k], self.tokens[self.size + k] = sum(lengths), sum(counts)
+        for k, (pieces, counts) in enumerate(self.leaves):
+            self.chars[self.size + k], self.tokens[self.size + k] = sum(map(len, pieces)), sum(counts)
         for k in range(self.size - 1, 0, -1):
-            self.chars[k], self.tokens[k] = self.chars[2 * k] + self.chars[2 * k + 1], self.tokens[2 * k] + self.tokens[2 * k + 1]
+            self._sum(k)
+
+    def _sum(self, k: int) -> None:
+        self.chars[k], self.tokens[k] = self.chars[2 * k] + self.chars[2 * k + 1], self.tokens[2 * k] + self.tokens[2 * k + 1]
 
     @property
     def total(self) -> int:
         return self.tokens[1]
 
+    @property
+    def text(self) -> str:
+        return "".join(p for pieces, _ in self.leaves for p in pieces)
+
     def find(self, char: int) -> tuple[int, int]:
         """(leaf, first character of it) that holds the character, the last leaf with characters for the end."""
         node, start = 1, 0
@@ -90,99 +102,94 @@ class Tree:
             node, start, char = (2 * node, start, char) if char < left else (2 * node + 1, start + left, char - left)
         return min(node - self.size, len(self.leaves) - 1), start
 
-    def _set(self, k: int, leaf: tuple[list[int], list[int]]) -> None:
+    def _set(self, k: int, leaf: tuple[list[str], list[int]]) -> None:
         self.leaves[k] = leaf
         node = self.size + k
-        self.chars[node], self.tokens[node] = sum(leaf[0]), sum(leaf[1])
+        self.chars[node], self.tokens[node] = sum(map(len, leaf[0])), sum(leaf[1])
         while node > 1:
             node //= 2
-            self.chars[node], self.tokens[node] = self.chars[2 * node] + self.chars[2 * node + 1], self.tokens[2 * node] + self.tokens[2 * node + 1]
-
-    def _before(self, k: int, start: int, at: int) -> tuple[int, int, int]:
-        """(leaf, first character of it, place in it) of ``CONTEXT`` pre-tokens before the one with character ``at``."""
-        place, here = 0, start
-        lengths = self.leaves[k][0]
-        while place < len(lengths) and here + lengths[place] <= at:
-            here += lengths[place]
+            self._sum(node)
+
+    def _before(self, at: int) -> tuple[int, int, int]:
+        """(leaf, place in it, first character) of the pre-token ``CONTEXT`` before the one with character ``at``."""
+        k, here = self.find(at)
+        place, pieces = 0, self.leaves[k][0]
+        while place < len(pieces) and here + len(pieces[place]) <= at:
+            here += len(pieces[place])
             place += 1
-        back = CONTEXT
-        while back:
-            if place:
-                place -= 1
-                back -= 1
-            elif k:
+        for _ in range(CONTEXT):
+            while place == 0 and k > 0:
                 k -= 1
-                start -= sum(self.leaves[k][0])
                 place = len(self.leaves[k][0])
-            else:
-                break
-        return k, start, place
+            if place:
+                place -= 1
+                here -= len(self.leaves[k][0][place])
+        return k, place, here
 
     def edit(self, begin: int, end: int, new: str) -> None:
-        begin = min(max(begin, 0), len(self.text))
-        end = min(max(end, begin), len(self.text))
-        old, shift = self.text, len(new) - (end - begin)
-        self.text = old[:begin] + new + old[end:]
-        k, leaf_start, place = self._before(*self.find(begin), begin)
-        first, from_ = k, leaf_start + sum(self.leaves[k][0][:place])
-        head = (self.leaves[k][0][:place], self.leaves[k][1][:place])
-        # old cuts behind the edit, in the new text's places, as far as they are asked for
-        cuts, where = leaf_start + sum(head[0]), (k, place)
-
-        def step() -> bool:
-            nonlocal cuts, where
-            k, p = where
-            while p >= len(self.leaves[k][0]):
-                if k + 1 >= len(self.leaves):
-                    return False
-                k, p = k + 1, 0
-            cuts, where = cuts + self.leaves[k][0][p], (k, p + 1)
-            return True
-
-        lengths, counts, at, met = [], [], from_, False
-        for m in self.counter.pattern.finditer(self.text, from_):
-            piece = m.group()
-            lengths.append(len(piece))
-            counts.append(self.counter.count(piece))
-            at = m.end()
-            self.encoded += len(piece)
-            if at >= begin + len(new):
-                while cuts < end or cuts + shift < at:
-                    if not step():
-                        break
-                if cuts >= end and cuts + shift == at and at > begin + len(new):
-                    met = True
-                    break
-        if not met:
-            where = (len(self.leaves) - 1, len(self.leaves[-1][0]))
-        last, rest = where
-        tail = (self.leaves[last][0][rest:], self.leaves[last][1][rest:])
-        joined = (head[0] + lengths + tail[0], head[1] + counts + tail[1])
-        if len(joined[0]) > 4 * CHUNK * (last - first + 1):
-            parts = [(joined[0][j : j + CHUNK], joined[1][j : j + CHUNK]) for j in range(0, len(joined[0]), CHUNK)]
-            self._build([*self.leaves[:first], *parts, *self.leaves[last + 1 :]])
+        """Replace the characters from ``begin`` to ``end`` by ``new``."""
+        begin = min(max(begin, 0), self.chars[1])
+        end = min(max(end, begin), self.chars[1])
+        first, place, start = self._before(begin)
+        last, more = max(first, self.find(end)[0]), 1
+        while True:
+            old = [p for k in range(first, last + 1) for p in self.leaves[k][0][place if k == first else 0 :]]
+            done, kept = self._cut(old, begin - start, end - start, new, last + 1 == len(self.leaves))
+            if done is not None:
+                break
+            last, more = min(last + more, len(self.leaves) - 1), 2 * more
+        counts = [self.counter.count(p) for p in done]
+        self.encoded += sum(map(len, done))
+        known = [n for k in range(first, last + 1) for n in self.leaves[k][1][place if k == first else 0 :]]
+        head = self.leaves[first]
+        pieces = [*head[0][:place], *done, *old[kept:]]
+        counts = [*head[1][:place], *counts, *known[kept:]]
+        span = last - first + 1
+        if len(pieces) > 4 * CHUNK * span:
+            self._build([*self.leaves[:first], *self._chunks(pieces, counts), *self.leaves[last + 1 :]])
             return
-        # spread over the leaves that were touched; leaves may become empty
-        n, span = len(joined[0]), last - first + 1
-        each = -(-n // span)
+        each = -(-len(pieces) // span)
         for j in range(span):
-            self._set(first + j, (joined[0][j * each : (j + 1) * each], joined[1][j * each : (j + 1) * each]))
-
-
-def counts_with_edits(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+            self._set(first + j, (pieces[j * each : (j + 1) * each], counts[j * each : (j + 1) * each]))
+
+    def _cut(self, old: list[str], begin: int, end: int, new: str, to_end: bool) -> tuple[list[str] | None, int]:
+        """(new pre-tokens, number of old ones they replace); none if the cuts don't meet within these old ones.
+
+        From where a new cut falls on an old one behind the edit, both texts are the same, and so are all further cuts.
+        A cut at the end of what was read may be there only because the reading ends.
+        """
+        text = "".join(old)
+        text, shift = text[:begin] + new + text[end:], len(new) - (end - begin)
+        done, at, k = [], 0, 0
+        for m in self.counter.pattern.finditer(text):
+            done.append(m.group())
+            if m.end() > begin + len(new) and m.end() < len(text):
+                while at < m.end() - shift:
+                    at += len(old[k])
+                    k += 1
+                if at == m.end() - shift and at >= end:
+                    return done, k
+        return (done, len(old)) if to_end else (None, 0)
+
+
+def counts_with_edits(docs: DataFrame, ranks_path: str, pattern: str, find: Callable[[str], list[dict]] | None = None) -> DataFrame:
     """(doc_id, n_edits, tokens_before, tokens_after, chars_after, chars_encoded) of rows (doc_id, text, edits).
 
-    ``edits`` is array<struct<begin, end, text>>, in characters; ``chars_encoded`` counts what the edits had encoded anew.
-    Documents without edits are counted once; nothing is shuffled.
+    ``edits`` is array<struct<begin, end, text>>, in characters; instead, ``find`` may give a text's edits.
+    ``chars_encoded`` counts what the edits had encoded anew.  Documents without edits are counted without a tree; nothing
+    is shuffled.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("edits").cast(_EDITS).alias("edits"))
+    edits = F.lit(None).cast(_EDITS) if find else F.col("edits").cast(_EDITS)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), edits.alias("edits"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from .words import batches
 
         counter = Counter(ranks_path, pattern)
         for batch in batches(it, "text"):
-            rows = [_counted(t or "", e or [], counter) for t, e in zip(batch.column("text").to_pylist(), batch.column("edits").to_pylist(), strict=True)]
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            given = map(find, texts) if find else batch.column("edits").to_pylist()
+            rows = [_counted(t, e or [], counter) for t, e in zip(texts, given, strict=True)]
             cols = list(zip(*rows, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols)], ["doc_id", "n_edits", "tokens_before", "tokens_after", "chars_after", "chars_encoded"])
 
@@ -197,23 +204,17 @@ def _counted(text: str, edits: list[dict], counter: Counter) -> tuple[int, int,
     before = tree.total
     for e in edits:
         tree.edit(e["begin"], e["end"], e["text"] or "")
-    return len(edits), before, tree.total, len(tree.text), tree.encoded
+    return len(edits), before, tree.total, tree.chars[1], tree.encoded
 
 
 #: Personal data that the redaction edits replace: mail addresses, IPv4 addresses, long digit runs of cards and phones.
-REDACTED = r"[\w.+-]+@[\w-]+\.[\w.-]+|\b\d{1,3}(?:\.\d{1,3}){3}\b|\b\d{12,19}\b"
+REDACTED = re.compile(r"(?<![\w.+-])[\w.+-]+@[\w-]+\.[\w.-]+|\b\d{1,3}(?:\.\d{1,3}){3}\b|\b\d{12,19}\b")
 
 
-def redactions(text: Column, mark: str = "[redacted]") -> Column:
+def redactions(text: str, mark: str = "[redacted]") -> list[dict]:
     """Edits that replace each match of ``REDACTED`` by ``mark``, each in characters of the text the others have left."""
-    pieces = F.split(text, REDACTED, -1)
-    hits = F.regexp_extract_all(text, F.lit(REDACTED), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_EDITS).alias("edits"))
-
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + F.char_length(x["piece"])
-        edit = F.struct(begin.alias("begin"), (begin + F.char_length(x["hit"])).alias("end"), F.lit(mark).alias("text"))
-        return F.struct((begin + len(mark)).alias("at"), F.array_append(state["edits"], edit).alias("edits"))
-
-    zipped = F.zip_with(F.slice(pieces, 1, F.size(hits)), hits, lambda p, h: F.struct(p.alias("piece"), h.alias("hit")))
-    return F.when(F.size(hits) > 0, F.aggregate(zipped, start, step, lambda s: s["edits"]))
+    out, shift = [], 0
+    for m in REDACTED.finditer(text):
+        out.append({"begin": m.start() + shift, "end": m.end() + shift, "text": mark})
+        shift += len(mark) - (m.end() - m.start())
+    return out

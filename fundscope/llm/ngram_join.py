@@ -270,5 +270,24 @@ def near_duplicates(docs: DataFrame, *, similarity: float = 0.8, recall: float =
     classes = components(checked.filter("kind = 1").select(F.col("a").alias("u"), F.col("b").alias("v"))).join(slim.select("rid", "rep"), "rid")
     names = classes.groupBy("root").agg(F.min("rep").alias("class_id"))
     classes = classes.join(names, "root").select("rid", "class_id")
-    known = slim.join(links, "rid", "left").join(classes, "rid", "left").select("rid", F.coalesce("class_id", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return sets.select("doc_id", "rid").join(known, "rid", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    known = slim.join(links, "rid", "left").join(classes, "rid", "left").select("rid", "copies", F.coalesce("class_id", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    known = written(known, shared_dir(spark, "known"))
+    return _spread(sets.select("doc_id", "rid"), known)
+
+
+def _spread(rows: DataFrame, known: DataFrame, most_hot: int = 50_000, least: int = 256) -> DataFrame:
+    """Members' results for all their copies.
+
+    Sets with at least 1 / ``most_hot`` of all copies are at most ``most_hot``: that table is broadcast, as a shuffle
+    would bring all copies of one text to one task.  The others meet in a shuffled join.
+    """
+    total = known.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    hot = known.filter(F.col("copies") >= max(least, -(-total // most_hot))).drop("copies")
+    some, none = rows.filter("rid is not null"), rows.filter("rid is null")
+    parts = [
+        some.join(F.broadcast(hot), "rid").select("doc_id", "class_id", "n_links"),
+        some.join(F.broadcast(hot.select("rid")), "rid", "left_anti").join(known, "rid").select("doc_id", "class_id", "n_links"),
+        none.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")),
+    ]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), "n_links")

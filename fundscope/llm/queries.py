@@ -31,9 +31,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document before and after the redaction of personal data."""
     import public_tokenizers
 
-    docs = load(spark, sf_dir, "documents")
-    edits = edit_counts.redactions(F.col("text"))
-    return edit_counts.counts_with_edits(docs.select("doc_id", "text", edits.alias("edits")), tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return edit_counts.counts_with_edits(load(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, edit_counts.redactions)
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

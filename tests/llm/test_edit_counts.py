@@ -1,4 +1,5 @@
 import random
+import time
 
 import public_tokenizers as P
 import pytest
@@ -23,7 +24,7 @@ def test_random_edits_equal_a_full_count(counter):
             new = "".join(rnd.choice(bits) for _ in range(rnd.choice([0, 1, 3, 40, 300])))
             want = tree.text[:a] + new + tree.text[b:]
             tree.edit(a, b, new)
-            assert tree.text == want and tree.chars[1] == len(want)
+            assert tree.text == want and tree.chars[1] == len(want) and tree.tokens[1] == sum(n for _, c in tree.leaves for n in c)
             assert tree.total == len(counter.encoding.encode_ordinary(want))
 
 
@@ -35,7 +36,7 @@ def test_an_edit_encodes_a_small_region(counter):
 
 def test_rows_with_nulls_and_redactions(spark, counter):
     df = spark.createDataFrame([(1, "mail me at a.b@c.example.com or 10.0.0.12 now"), (2, None), (3, ""), (None, "x"), (1, "no data")], "doc_id long, text string")
-    got = E.counts_with_edits(df.withColumn("edits", E.redactions(F.col("text"))), P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect()
+    got = E.counts_with_edits(df, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, E.redactions).collect()
     by = sorted((r.doc_id or 0, r.n_edits, r.tokens_before, r.tokens_after, r.chars_after) for r in got)
     n = lambda s: len(counter.encoding.encode_ordinary(s))
     s = "mail me at [redacted] or [redacted] now"
@@ -48,3 +49,12 @@ def test_clipped_edits_and_empty_table(spark):
     r = E.counts_with_edits(df, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).first()
     assert r.chars_after == 5 and r.n_edits == 1
     assert E.counts_with_edits(df.limit(0), P.path("byte_bpe_50k.tiktoken"), P.PATTERN).count() == 0
+
+
+def test_many_edits_of_a_long_text_stay_cheap(counter):
+    text = "call 123456789012 or write to a.b@c.example.com now. " * 3000
+    began = time.perf_counter()
+    row = E._counted(text, E.redactions(text), counter)
+    want = E.REDACTED.sub("[redacted]", text)
+    assert row[0] == 6000 and row[2] == len(counter.encoding.encode_ordinary(want)) and row[3] == len(want)
+    assert time.perf_counter() - began < 20

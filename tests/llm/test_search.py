@@ -92,3 +92,13 @@ def test_components_of_a_long_path_and_stars(spark):
 def test_meeting_probability_falls_with_depth():
     p = [N.meeting(d) for d in range(6)]
     assert p[0] == 1 and all(a > b for a, b in zip(p, p[1:], strict=False))
+
+
+def test_hot_members_reach_all_their_copies(spark, rows):
+    docs = spark.createDataFrame([(i, "a b c d e f g" if i % 3 else f"text number {i} stands alone here") for i in range(60)] + [(100, None)], "doc_id long, text string")
+    sets = spark.createDataFrame([(1, 7), (2, 7), (3, 8), (4, None), (5, 7)], "doc_id long, rid long")
+    known = spark.createDataFrame([(7, 3, 1, 2), (8, 1, 3, 0)], "rid long, copies long, class_id long, n_links long")
+    want = [(1, 1, 2), (2, 1, 2), (3, 3, 0), (4, 4, 0), (5, 1, 2)]
+    assert rows(N._spread(sets, known)) == rows(N._spread(sets, known, least=2)) == want
+    got = {r.doc_id: (r.class_id, r.n_links) for r in N.near_duplicates(docs).collect()}
+    assert got[1] == (1, 39) and got[59] == (1, 39) and got[100] == (100, 0)
