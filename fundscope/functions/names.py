@@ -25,6 +25,7 @@ LOOSE_SUFFIXES = [*CORE_SUFFIXES, "株式会社", "会社", "法人", "財団法
 ABBREVIATED = ["公財", "公社", "一財", "一社", "特非", "社福", "独", "国", "地独", "福", "学", "宗", "財", "社", "一", "特", "医", "地財", "学財"]
 LOOSE_ABBREVIATED = ["(公財)", "（公財）", "(一財)", "（一財）", "(公社)", "（公社）", "(一社)", "（一社）", "(独)", "（独）"]
 
+# Patterns of what profiles cut off.
 _TRAILING_PAREN = r"[（(].*?[)）]\s*$"
 _LEAD = r"^(公益|一般|特定非営利活動|特例)?(財団法人|社団法人)?\s*"
 _LEAD_LOOSE = r"^(公益|一般|特定非営利活動|認定特定非営利活動|特例)?(財団法人|社団法人)?\s*"
