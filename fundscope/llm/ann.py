@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shipping import shipped
 from .common import groups, shared_dir, written
 
 _PAIRS = "query_id long, vec_id long, score double"
@@ -143,6 +144,7 @@ def _usable(table: DataFrame) -> DataFrame:
     return table.filter(F.size(e) == (width.w if width else 0)).dropDuplicates(["vec_id", "embedding"])
 
 
+@shipped
 def nearest(vectors: DataFrame, is_query, *, k: int = 20, recall: float = 0.95, sample_rows: int = 20_000, leaf_rows: int = 400, calibration_queries: int = 256, block_rows: int = 4096, block_queries: int = 1024) -> DataFrame:
     """(query_id, rank, vec_id, score): for rows (vec_id, embedding) where ``is_query`` holds, the ``k`` nearest found."""
     spark = vectors.sparkSession

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import shipped
 from .common import shared_dir, written
 
 
@@ -64,6 +65,7 @@ def _state(edges: DataFrame):
     return r[0], r[1]
 
 
+@shipped
 def components(edges: DataFrame) -> DataFrame:
     """(rid, root) of every node with an edge; the root is the least node of its component."""
     spark = edges.sparkSession

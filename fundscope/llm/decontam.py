@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import shipped
 from .words import Words, grams, mix
 
 PAD = np.uint64(0)
@@ -262,6 +263,7 @@ def _searcher(shared):
     return run
 
 
+@shipped
 def find_leaks(docs: DataFrame, benchmark: DataFrame, *, similarity: float = 0.8, recall: float = 0.995, block_bytes: int = 16 << 20) -> DataFrame:
     """(doc_id, item_id, edits, item_words, similarity, word_from, word_to), one row per document and leaked item.
 

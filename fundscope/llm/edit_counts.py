@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import shipped
+
 CHUNK = 64
 #: Pre-tokens before an edit that are cut again: a pattern's lookahead and contractions reach no further back.
 CONTEXT = 2
@@ -172,6 +174,7 @@ class Tree:
         return (done, len(old)) if to_end else (None, 0)
 
 
+@shipped
 def counts_with_edits(docs: DataFrame, ranks_path: str, pattern: str, find: Callable[[str], list[dict]] | None = None) -> DataFrame:
     """(doc_id, n_edits, tokens_before, tokens_after, chars_after, chars_encoded) of rows (doc_id, text, edits).
 

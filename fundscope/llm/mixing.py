@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shipping import shipped
 from .common import shared_dir, written
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -97,6 +98,7 @@ def _by_halves(row: np.ndarray, rng) -> np.ndarray:
     return left
 
 
+@shipped
 def mix(docs: DataFrame, *, cap: int = 3, block_words: int = 4096, shard_words: int = 1 << 22, most_shards: int = 1024, most_cells: int = 1 << 22, most_sources: int = 200_000, seed: int = 6) -> DataFrame:
     """Pieces of the mix: (row, shard, place, doc_id, source, size, source_size, target, word_from, words, turn).
 

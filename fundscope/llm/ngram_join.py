@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import shipped
 from .common import groups, shared_dir, written
 from .components import components, forest
 from .words import Words, batches, grams, mix
@@ -242,6 +243,7 @@ def _rows(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64())], ["kind", "a", "b"])
 
 
+@shipped
 def near_duplicates(docs: DataFrame, *, similarity: float = 0.8, recall: float = 0.98, small: int = 64, block_members: int = 1024, block_shingles: int = 1 << 20) -> DataFrame:
     """(doc_id, class_id, n_links) of every row of ``docs`` (doc_id, text).
 

@@ -22,9 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import shipped
 from .common import crc_of_id, shared_dir, written
 
-PIECE = 2048
+PIECE, LEVEL = 2048, 3
 
 
 @dataclass(frozen=True)
@@ -43,13 +44,9 @@ class Model:
     def compressors(self):
         import zstandard
 
-        # a level that looks for short matches, as invented words share only parts
         return [zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_checksum=False, write_dict_id=False) for d in (self.good, self.bad)]
 
 
-LEVEL = 3
-
-
 def sizes(text: bytes, compressors) -> tuple[int, int]:
     """Compressed sizes of all pieces with the good and with the bad dictionary."""
     pieces = [text[k : k + PIECE] for k in range(0, len(text), PIECE)]
@@ -95,6 +92,7 @@ def _dictionary(texts: list[bytes], size: int) -> bytes:
         return b"".join(texts)[-size:]
 
 
+@shipped
 def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 2048, piece_chars: int = 1024, pieces: int = 6, dictionary_bytes: int = 112_640, shrink: float = 64.0) -> Model:
     """Fit on a bounded sample: for each label, ``sample_rows`` labelled ids for the dictionary and as many for the curve.
 
@@ -145,6 +143,7 @@ def _measured(model: Model):
     return run
 
 
+@shipped
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) of every row; ``docs`` is read once and nothing is shuffled."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -51,10 +51,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Expected severity of every document; ``toxic`` marks a fifth of a grade or more."""
+    """Expected severity of every document; ``toxic`` marks a tenth of a grade or more."""
     known = load(spark, sf_dir, "labels").filter(~quality.held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").alias("grade"))
     docs = load(spark, sf_dir, "documents")
-    return toxicity.score(docs, toxicity.fit(docs, known)).select("doc_id", "severity", "grade", (F.col("severity") >= 0.2).cast("int").alias("toxic"))
+    return toxicity.score(docs, toxicity.fit(docs, known)).select("doc_id", "severity", "grade", (F.col("severity") >= 0.1).cast("int").alias("toxic"))
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

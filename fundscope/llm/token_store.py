@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shipping import shipped
 from .common import open_fs, shared_dir, written
 
 MAGIC, TAIL = b"FSTOK001", b"FSTOKEND"
@@ -231,6 +232,7 @@ class Shard:
         return np.frombuffer(raw, f"<u{width}")
 
 
+@shipped
 def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: int = 2, dictionary_bytes: int = 65_536, sample_rows: int = 1_024, sample_chars: int = 8_192, level: int = 3, shard_bytes: int = 32 << 20) -> DataFrame:
     """Write ``docs`` (doc_id, text) below ``folder`` in ascending doc_id order; returns the manifest of the shards.
 
@@ -257,6 +259,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: i
     return written(manifest, f"{folder}/manifest")
 
 
+@shipped
 def read_tokens(spark, folder: str, dictionary_sha: str | None = None) -> DataFrame:
     """Rows (doc_id, start, n_tokens, ids) of the files that the manifest below ``folder`` names.
 

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import shipped
 from .common import shared_dir, written
 from .words import Words, batches
 
@@ -89,6 +90,7 @@ def _present(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "grade", "words"])
 
 
+@shipped
 def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 16_384, features: int = 4_096, least_docs: int = 5, least_z: float = 5.0, penalty: float = 0.1) -> Model:
     """Fit on ``sample_rows`` labelled ids for each grade at most, in the order of a hash; ``labels``: doc_id, grade."""
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("grade").cast("int").alias("grade")).filter("doc_id is not null and grade >= 0").groupBy("doc_id").agg(F.max("grade").alias("grade"))
@@ -120,6 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 16_384, featur
     return Model(grades, words, w, t)
 
 
+@shipped
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, severity, grade): expected severity, and the likeliest grade; nothing is shuffled."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import shipped
 from .common import open_fs, shared_dir, written
 
 _DATE = "2024-01-01T00:00:00Z"
@@ -91,6 +92,7 @@ def _writer(folder: str, most: int, level: int):
     return run
 
 
+@shipped
 def write_warc(pages: DataFrame, folder: str, *, min_bytes: int = 1000, file_bytes: int = 256 << 20, level: int = 4) -> DataFrame:
     """Write ``pages`` (page_id, url, html) as archives below ``folder``; returns the index, stored beside them.
 
@@ -134,6 +136,7 @@ def ranges(rows: Iterator[tuple[str, int, int]], gap: int, most: int) -> Iterato
         yield file, start, end, members
 
 
+@shipped
 def read_warc(spark: SparkSession, folder: str, selected: DataFrame | None = None, *, gap: int = 64 << 10, most: int = 8 << 20, keep_payload: bool = True) -> DataFrame:
     """Records of ``selected`` index rows (all, if none are given), by sorted and coalesced byte-range reads."""
     index = selected if selected is not None else spark.read.schema(_INDEX).parquet(f"{folder}/index")
