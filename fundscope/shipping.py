@@ -10,10 +10,16 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 _DONE: set[str] = set()
+_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the sources to the executors, once per application."""
+    """Send the sources to the executors, once per application.
+
+    Arrow batches are kept to 16 MB, unless the session has a bound of its own: the kernels hold a few copies of one.
+    """
+    if spark.conf.get(_BATCH[0], None) is None:
+        spark.conf.set(*_BATCH)
     app = spark.sparkContext.applicationId
     here = os.path.dirname(os.path.abspath(__file__))
     if app in _DONE or not os.path.isdir(here):
