@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundscope.llm import decontam, mixing, ngram_join, quality, token_store
-from fundscope.llm.common import load, shared_dir, written
+from fundscope.llm.common import load, result_only, shared_dir, written
 from fundscope.llm.queries import tokenizer
 
 #: No SQL: a compression classifier, a randomised join and a tokenizer are in it.
@@ -18,30 +18,31 @@ ORACLE_SQL = None
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose predicted quality is 1."""
-    scored = written(quality.classify(docs, load(spark, sf_dir, "labels")), shared_dir(spark, "scored"))
-    rejected = scored.filter("predicted = 0").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+    """Documents whose predicted quality is 1, from labels that aren't held out."""
+    known = load(spark, sf_dir, "labels").filter(~quality.held_out(F.col("doc_id")))
+    return quality.keep(docs, quality.fit(docs, known))
 
 
 def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document that names its near-duplicate class, once; documents without an id stay."""
-    classes = written(ngram_join.near_duplicates(docs), shared_dir(spark, "classes"))
+    """The document that names its near-duplicate class, once; documents without an id stay.
+
+    Texts meet the ids of what goes in a merge join at every size, so that no list of ids is ever broadcast.
+    """
+    classes = result_only(spark, lambda: ngram_join.near_duplicates(docs), "classes")
     others = classes.filter("doc_id <> class_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(others.hint("merge"), "doc_id", "left_anti").select(docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    leaked = written(decontam.find_leaks(docs, load(spark, sf_dir, "benchmark")), shared_dir(spark, "leaks"))
-    return docs.join(leaked.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    return decontam.without_leaks(docs, load(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, whole, and cut to the words taken where a pass ends within one."""
-    taken = written(mixing.taken(mixing.mix(docs)), shared_dir(spark, "taken"))
+    taken = result_only(spark, lambda: mixing.taken(mixing.mix(docs)), "taken")
     share = taken.filter("taken > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max("size").alias("_size"), F.max("taken").alias("_taken"))
-    joined = docs.join(share, docs["doc_id"].eqNullSafe(share["_id"]))
+    joined = docs.join(share.hint("merge"), docs["doc_id"].eqNullSafe(share["_id"]))
     turns = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_taken") - 1) / F.col("_size")))).alias("_turn")
     many = joined.select("*", turns).withColumn("_words", F.least(F.col("_size"), F.col("_taken") - F.col("_turn") * F.col("_size")))
     # pieces end where a word ends, so the first so many pieces hold the first so many words and what stands between

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..shipping import ship
 
 _LOCAL: dict[str, str] = {}
+_SCRATCH: list[list[str]] = []
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +28,27 @@ def shared_dir(spark: SparkSession, what: str) -> str:
             _LOCAL[app] = tempfile.mkdtemp(prefix="fundscope-")
             spark.sparkContext.setCheckpointDir(_LOCAL[app])
         root = _LOCAL[app]
-    return f"{root.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    for paths in _SCRATCH[-1:]:
+        paths.append(path)
+    return path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def result_only(spark: SparkSession, make, what: str) -> DataFrame:
+    """The frame that ``make()`` gives, as a table; the shared folders that it made on the way are deleted."""
+    path = shared_dir(spark, what)
+    _SCRATCH.append([])
+    try:
+        return written(make(), path)
+    finally:
+        for p in _SCRATCH.pop():
+            discard(spark, p)
 
 
 def written(df: DataFrame, path: str) -> DataFrame:
@@ -56,6 +77,8 @@ def groups(it, keys: list[str]):
     import numpy as np
     import pyarrow as pa
 
+    from .words import release
+
     held, last = [], None
     for batch in it:
         if not batch.num_rows:
@@ -74,3 +97,4 @@ def groups(it, keys: list[str]):
             last = key
     if held:
         yield last, pa.Table.from_batches(held)
+    release()

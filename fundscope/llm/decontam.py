@@ -253,7 +253,7 @@ def _searcher(shared):
         from .words import batches
 
         index = shared.value
-        for batch in batches(it, "text"):
+        for batch in batches(it, "text", 2 << 20):
             words, ids = Words(batch.column("text")), batch.column("doc_id").to_pylist()
             rows = [(ids[r], index.ids[i], d, len(index.words[i]), 1 - d / len(index.words[i]), a, b) for r, i, d, a, b in index.leaks(words)]
             cols = list(zip(*rows, strict=True)) or [[]] * 7
@@ -270,19 +270,38 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, similarity: float = 0.8
     The documents are read once for each block of about ``block_bytes`` of benchmark text; a block's index is what goes
     to the tasks.  Nothing is shuffled.
     """
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    searched = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = [searched.mapInArrow(_searcher(index), _DDL) for index in _indexes(benchmark, similarity, recall, block_bytes)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _indexes(benchmark: DataFrame, similarity: float, recall: float, block_bytes: int) -> Iterator:
+    """Broadcast indexes of blocks of items, one at least."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null").distinct()
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks, found = max(1, -(-size // block_bytes)), []
+    blocks = max(1, -(-size // block_bytes))
     for k in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
         index = Index(sorted(((r.item_id, r.text) for r in rows), key=lambda r: (r[0] is None, r)), similarity, recall)
-        found.append(docs.mapInArrow(_searcher(spark.sparkContext.broadcast(index)), _DDL))
-    return reduce(DataFrame.unionByName, found)
+        yield benchmark.sparkSession.sparkContext.broadcast(index)
+
+
+@shipped
+def without_leaks(docs: DataFrame, benchmark: DataFrame, *, similarity: float = 0.8, recall: float = 0.995, block_bytes: int = 16 << 20) -> DataFrame:
+    """Rows of ``docs`` that leak no item, with all their columns: a pass per block of items, without a join."""
+    columns, schema = docs.columns, docs.schema
+
+    def filter_of(shared):
+        def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from .words import batches
+
+            for batch in batches(it, "_searched", 2 << 20):
+                clean = np.ones(batch.num_rows, bool)
+                clean[[row for row, *_ in shared.value.leaks(Words(batch.column("_searched")))]] = False
+                yield batch.filter(pa.array(clean)).select(columns)
 
+        return run
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` less the documents that leak an item; rows without an id are judged by nothing and stay."""
-    leaked = find_leaks(docs, benchmark, **options).select("doc_id").distinct()
-    return docs.join(leaked, "doc_id", "left_anti")
+    for index in _indexes(benchmark, similarity, recall, block_bytes):
+        docs = docs.withColumn("_searched", F.col("text").cast("string")).mapInArrow(filter_of(index), schema)
+    return docs

@@ -159,6 +159,22 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, score double")
 
 
+@shipped
+def keep(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
+    """Rows of ``docs`` that score ``threshold`` or more, with all their columns: one pass without a join."""
+    shared, columns = docs.sparkSession.sparkContext.broadcast(model), docs.columns
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from .words import batches
+
+        model = shared.value
+        for batch in batches(it, "_scored"):
+            x, n = _features(batch.column("_scored"), model) if model.slope else np.zeros((2, batch.num_rows))
+            yield batch.filter(pa.array(model.score(x, n) >= threshold)).select(columns)
+
+    return docs.withColumn("_scored", F.col("text").cast("string")).mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id) -> "F.Column":
     """Ids whose labels are kept for measuring: crc32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.pmod(crc_of_id(doc_id), F.lit(4)) == 2, F.lit(False))

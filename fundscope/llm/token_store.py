@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shipping import shipped
-from .common import open_fs, shared_dir, written
+from .common import discard, open_fs, shared_dir, written
 
 MAGIC, TAIL = b"FSTOK001", b"FSTOKEND"
 _ENTRY = np.dtype([("offset", "<u8"), ("length", "<u4"), ("n_tokens", "<u8")])
@@ -256,7 +256,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: i
     frames = written(docs.mapInArrow(_compressor(tokenizer_path, dictionary, end_id, level), "doc_id long, n_tokens long, frame binary"), f"{folder}/frames")
     ordered = frames.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "frame")
     manifest = ordered.mapInArrow(_shard_writer(folder, width, end_id, sha, shard_bytes), _MANIFEST_DDL)
-    return written(manifest, f"{folder}/manifest")
+    out = written(manifest, f"{folder}/manifest")
+    discard(spark, f"{folder}/frames")
+    return out
 
 
 @shipped

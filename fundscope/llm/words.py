@@ -7,6 +7,8 @@ mixed at the end; it is computed from prefix sums, in blocks of about a megabyte
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -94,7 +96,7 @@ def grams(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(out)
 
 
-def batches(it: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def batches(it: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most about ``most`` bytes of text, one row at least."""
     for batch in it:
         size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -104,3 +106,11 @@ def batches(it: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> I
             stop = max(k + 1, int(np.searchsorted(total, before + most, "right")))
             yield batch.slice(k, stop - k)
             k = stop
+    release()
+
+
+def release() -> None:
+    """Give freed memory back at the end of a partition: workers live on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
