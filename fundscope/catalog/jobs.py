@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import rules as R
 from ..plans import jobs as J
-from .registry import query
+from .registry import ORACLES, query
 
 _FACTS = """WITH f AS (SELECT o_custkey AS person, s_name AS funder, p_brand AS field, n_name AS place, o_orderpriority AS stage, l_extendedprice AS amount, p_name AS title
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey WHERE l_quantity >= 40) """
@@ -105,8 +105,17 @@ def job_foresight(t):
 @query("""WITH l AS (SELECT c_custkey AS lid, lower(c_mktsegment) AS name FROM customer WHERE c_custkey <= 400), r AS (SELECT s_suppkey AS rid, CASE WHEN s_suppkey % 10 = 0 THEN 'building' ELSE s_name END AS name FROM supplier)
 SELECT 'name' AS method, count(*) AS matched, 0.95::DOUBLE AS confidence FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY lid) AS k FROM l) a JOIN (SELECT *, row_number() OVER (PARTITION BY name ORDER BY rid) AS k FROM r) b USING (name, k) HAVING count(*) > 0""")
 def job_integration(t):
+    return _integrated(t, t.customer.filter("c_custkey <= 400"))
+
+
+@query(ORACLES["job_integration"].replace(" WHERE c_custkey <= 400", ""))
+def job_integration_whole(t):
+    return _integrated(t, t.customer)
+
+
+def _integrated(t, customers):
     none = F.lit("").alias("host")
-    l_ = t.customer.filter("c_custkey <= 400").select(F.col("c_custkey").alias("lid"), F.lower("c_mktsegment").alias("name"), none)
+    l_ = customers.select(F.col("c_custkey").alias("lid"), F.lower("c_mktsegment").alias("name"), none)
     r = t.supplier.select(F.col("s_suppkey").alias("rid"), F.when(F.col("s_suppkey") % 10 == 0, "building").otherwise(F.col("s_name")).alias("name"), none)
     return J.integration(l_, r, [])[1]
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import matching as M
 from ..operators import windows
-from .registry import query
+from .registry import ORACLES, query
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)")
@@ -100,7 +100,16 @@ l2 AS (SELECT * FROM l WHERE lid NOT IN (SELECT lid FROM t1) AND host <> 'h1'),
 t2 AS (SELECT lid, rid FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY lid) AS k FROM l2) a JOIN (SELECT *, row_number() OVER (PARTITION BY host ORDER BY rid) AS k FROM r2) b USING (host, k))
 SELECT lid, rid, 'name' AS method, 0.95::DOUBLE AS confidence FROM t1 UNION ALL SELECT lid, rid, 'host', 0.85::DOUBLE FROM t2""")
 def match_tier(t):
-    l_ = t.customer.filter("c_custkey <= 400").select(F.col("c_custkey").alias("lid"), F.lower("c_mktsegment").alias("name"), F.concat(F.lit("h"), F.col("c_nationkey").cast("string")).alias("host"))
+    return _tiers(t, t.customer.filter("c_custkey <= 400"))
+
+
+@query(ORACLES["match_tier"].replace(" WHERE c_custkey <= 400", ""))
+def match_tier_whole(t):
+    return _tiers(t, t.customer)
+
+
+def _tiers(t, customers):
+    l_ = customers.select(F.col("c_custkey").alias("lid"), F.lower("c_mktsegment").alias("name"), F.concat(F.lit("h"), F.col("c_nationkey").cast("string")).alias("host"))
     r = t.supplier.select(F.col("s_suppkey").alias("rid"), F.when(F.col("s_suppkey") % 10 == 0, "building").otherwise(F.col("s_name")).alias("name"), F.concat(F.lit("h"), F.col("s_nationkey").cast("string")).alias("host"))
     return M.tiered(l_, r, ["h1"])
 
@@ -148,8 +157,17 @@ SELECT xid, tid, kind FROM (SELECT *, row_number() OVER (PARTITION BY xid ORDER
 
 @query(_FUZZY)
 def match_fuzzy(t):
+    return _fuzzy(t, t.supplier.filter("s_suppkey <= 40"))
+
+
+@query(_FUZZY.replace(" WHERE s_suppkey <= 40", ""))
+def match_fuzzy_whole(t):
+    return _fuzzy(t, t.supplier)
+
+
+def _fuzzy(t, external):
     tail = F.when(F.col("s_suppkey") % 3 == 0, "").otherwise("zz")
-    x = t.supplier.filter("s_suppkey <= 40").select(F.col("s_suppkey").alias("xid"), F.concat(F.lower(F.substring("s_name", 1, 12)), tail).alias("name"))
+    x = external.select(F.col("s_suppkey").alias("xid"), F.concat(F.lower(F.substring("s_name", 1, 12)), tail).alias("name"))
     return M.fuzzy_first(x, t.supplier.select(F.col("s_suppkey").alias("tid"), F.lower("s_name").alias("name")))
 
 
@@ -186,7 +204,16 @@ def composite_key_tiebreak(t):
 
 @query("""SELECT a.c_custkey FROM customer a JOIN supplier s ON nullif(a.c_nationkey, 3) IS NOT DISTINCT FROM nullif(s.s_nationkey, 3) WHERE s.s_suppkey <= 5""")
 def null_safe_join(t):
-    s = t.supplier.filter("s_suppkey <= 5").select(F.nullif("s_nationkey", F.lit(3)).alias("k"))
+    return _null_safe(t, t.supplier.filter("s_suppkey <= 5"))
+
+
+@query(ORACLES["null_safe_join"].replace(" WHERE s.s_suppkey <= 5", ""))
+def null_safe_join_whole(t):
+    return _null_safe(t, t.supplier)
+
+
+def _null_safe(t, suppliers):
+    s = suppliers.select(F.nullif("s_nationkey", F.lit(3)).alias("k"))
     return t.customer.join(s, F.nullif("c_nationkey", F.lit(3)).eqNullSafe(F.col("k"))).select("c_custkey")
 
 
