@@ -52,26 +52,27 @@ class Model:
         return out
 
 
-def fit_ordinal(rows: np.ndarray, cols: np.ndarray, n: int, width: int, level: np.ndarray, levels: int, penalty: float = 1.0, rounds: int = 400) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(rows: np.ndarray, cols: np.ndarray, n: int, width: int, level: np.ndarray, levels: int, penalty: float = 1.0, rounds: int = 400, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Weights and increasing thresholds of the penalised likelihood; (rows, cols) are the ones of a 0/1 matrix.
 
-    Accelerated gradient steps with the step size from the matrix's largest row and column sums.  Thresholds are a first
+    A row of weight 3 counts as three equal rows; without ``weight`` each counts once.  Accelerated gradient steps with the step size from the matrix's largest row and column sums.  Thresholds are a first
     one plus exponentials, so they stay in order.
     """
     w, t = np.zeros(width), np.zeros(levels - 1)
-    share = np.array([(level > g).mean() for g in range(levels - 1)]).clip(1e-6, 1 - 1e-6)
+    weight = np.ones(n) if weight is None else weight
+    share = np.array([np.average(level > g, weights=weight) for g in range(levels - 1)]).clip(1e-6, 1 - 1e-6)
     t[:] = np.log((1 - share) / share)
     w_, t_, momentum = w, t, 1.0
     row_most = np.bincount(rows, minlength=n).max() if len(rows) else 1
-    col_most = np.bincount(cols, minlength=width).max() if len(rows) else 1
-    step = 1.0 / (penalty + 0.5 * min(row_most * col_most, len(rows) or 1))
-    t_step = 2.0 / n
+    col_most = np.bincount(cols, weight[rows], width).max() if len(rows) else 1
+    step = 1.0 / (penalty + 0.5 * min(row_most * col_most, weight[rows].sum() if len(rows) else 1))
+    t_step = 2.0 / weight.sum()
     for _ in range(rounds):
         z = np.bincount(rows, w_[cols], n) if len(rows) else np.zeros(n)
         edges = 1 / (1 + np.exp(-np.clip(t_[None, :] - z[:, None], -30, 30)))  # P(level <= g)
         upper = np.concatenate([edges, np.ones((n, 1))], 1)[np.arange(n), level]
         lower = np.concatenate([np.zeros((n, 1)), edges], 1)[np.arange(n), level]
-        p = np.maximum(upper - lower, 1e-12)
+        p = np.maximum(upper - lower, 1e-12) / weight  # all gradients have it as divisor
         du, dl = upper * (1 - upper), lower * (1 - lower)
         gz = (du - dl) / p
         gt = np.bincount(np.minimum(level, levels - 2), np.where(level < levels - 1, -du / p, 0), levels - 1) + np.bincount(np.maximum(level - 1, 0), np.where(level > 0, dl / p, 0), levels - 1)
@@ -92,7 +93,11 @@ def _present(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @shipped
 def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 16_384, features: int = 4_096, least_docs: int = 5, least_z: float = 5.0, penalty: float = 0.1) -> Model:
-    """Fit on ``sample_rows`` labelled ids for each grade at most, in the order of a hash; ``labels``: doc_id, grade."""
+    """Fit on ``sample_rows`` labelled ids for each grade at most, in the order of a hash; ``labels``: doc_id, grade.
+
+    Rows of a grade that is drawn in part weigh as many ids as each stands for, in the choice of words and in the fit, so
+    the grades keep their true shares at every size of the table.
+    """
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("grade").cast("int").alias("grade")).filter("doc_id is not null and grade >= 0").groupBy("doc_id").agg(F.max("grade").alias("grade"))
     total = {r.grade: r["count"] for r in labels.groupBy("grade").count().orderBy("grade").limit(64).collect()}
     grades = np.array(sorted(total))
@@ -104,11 +109,18 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 16_384, featur
         chosen = part if chosen is None else chosen.unionByName(part)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sample = written(docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "grade", "text").mapInArrow(_present, "doc_id long, grade int, words array<long>"), shared_dir(docs.sparkSession, "toxic-sample"))
-    n, mean, var = sample.agg(F.count(F.lit(1)), F.avg("grade"), F.var_pop("grade")).first()
+    stands_for = {g: total[g] / min(total[g], sample_rows) for g in grades.tolist()}
+    of_grade = F.lit(1.0)
+    for g, many in stands_for.items():
+        of_grade = F.when(F.col("grade") == g, many).otherwise(of_grade)
+    sample = sample.withColumn("weight", of_grade)
+    n, mean = sample.agg(F.count(F.lit(1)), F.sum(F.col("weight") * F.col("grade")) / F.sum("weight")).first()
+    var = n and sample.agg(F.avg((F.col("weight") * (F.col("grade") - mean)) ** 2)).first()[0]
     if not n or not var:
         return Model(grades[:1], np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
-    tested = sample.select("grade", F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.sum("grade").alias("g")).filter(F.col("df") >= least_docs)
-    z = (F.col("g") - F.col("df") * mean) / F.sqrt(F.col("df") * (1 - F.col("df") / (n + 1.0)) * var)
+    excess = F.sum(F.col("weight") * (F.col("grade") - mean))
+    tested = sample.select("grade", "weight", F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"), excess.alias("excess")).filter(F.col("df") >= least_docs)
+    z = F.col("excess") / F.sqrt(F.col("df") * (1 - F.col("df") / (n + 1.0)) * var)
     best = [r.word for r in tested.withColumn("z", z).filter(F.abs("z") >= least_z).orderBy(F.desc(F.abs("z")), "word").limit(features).select("word").collect()]
     words = np.sort(np.array(best, np.int64).astype(np.uint64))
     kept = F.array_intersect("words", F.array([F.lit(int(w)) for w in best]).cast("array<long>")) if best else F.array().cast("array<long>")
@@ -118,7 +130,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 16_384, featur
         rows += [k] * len(found)
         cols += found.tolist()
         level.append(int(np.searchsorted(grades, r.grade)))
-    w, t = fit_ordinal(np.array(rows, np.int64), np.array(cols, np.int64), len(level), len(words), np.array(level), len(grades), penalty)
+    weight = np.array([stands_for[g] for g in grades[level].tolist()])
+    w, t = fit_ordinal(np.array(rows, np.int64), np.array(cols, np.int64), len(level), len(words), np.array(level), len(grades), penalty, weight=weight)
     return Model(grades, words, w, t)
 
 

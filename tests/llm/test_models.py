@@ -57,3 +57,24 @@ def test_toxicity_edges(spark):
     one = spark.createDataFrame([(1, 2), (2, 2), (3, None), (None, 0)], "doc_id long, grade int")
     assert {r.severity for r in T.score(docs, T.fit(docs, one)).collect()} == {2.0}
     assert T.score(docs.limit(0), T.fit(docs, one)).count() == 0
+
+
+def test_ordinal_regression_weights_are_repeated_rows():
+    rng = np.random.default_rng(2)
+    x, y, many = rng.random((300, 4)) < 0.4, rng.integers(0, 3, 300), rng.integers(1, 4, 300)
+    r, c = np.nonzero(x)
+    r_, c_ = np.nonzero(np.repeat(x, many, axis=0))
+    got = T.fit_ordinal(r, c, 300, 4, y, 3, weight=many.astype(float))
+    want = T.fit_ordinal(r_, c_, int(many.sum()), 4, np.repeat(y, many), 3)
+    assert np.allclose(got[0], want[0], atol=1e-6) and np.allclose(got[1], want[1], atol=1e-6)
+
+
+def test_toxicity_keeps_shares_when_a_grade_is_drawn_in_part(spark):
+    rng = np.random.default_rng(3)
+    grade = (rng.random(3000) < 0.1).astype(int)
+    bad = rng.random(3000) < np.where(grade == 1, 0.5, 0.05)
+    rows = [(i, f"plain text w{i % 7} {'vile' if b else 'mild'}", int(g)) for i, (b, g) in enumerate(zip(bad, grade, strict=True))]
+    table = spark.createDataFrame(rows, "doc_id long, text string, grade int")
+    mean = lambda **options: T.score(table, T.fit(table.select("doc_id", "text"), table.select("doc_id", "grade"), **options)).agg(F.avg("severity")).first()[0]
+    assert abs(mean() - grade.mean()) < 0.01
+    assert abs(mean(sample_rows=int(grade.sum())) - grade.mean()) < 0.03
