@@ -6,7 +6,7 @@ The result is the expected severity, the sum of grade * P(grade).  On the test t
 one threshold.
 
 Nulls and repeats: null and empty texts have no features and get the severity of the thresholds alone; rows with null or
-negative grades teach nothing; several grades of one id count as their largest; a repeated document is scored each time.
+negative grades teach nothing; more than 64 different grades are an error; several grades of one id count as their largest; a repeated document is scored each time.
 Without labels every severity is 0; with one grade only it is that grade.
 """
 
@@ -92,14 +92,16 @@ def _present(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 @shipped
-def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 16_384, features: int = 4_096, least_docs: int = 5, least_z: float = 5.0, penalty: float = 0.1) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 16_384, features: int = 4_096, least_docs: int = 5, least_z: float = 5.0, penalty: float = 0.1, most_grades: int = 64) -> Model:
     """Fit on ``sample_rows`` labelled ids for each grade at most, in the order of a hash; ``labels``: doc_id, grade.
 
     Rows of a grade that is drawn in part weigh as many ids as each stands for, in the choice of words and in the fit, so
-    the grades keep their true shares at every size of the table.
+    the grades keep their true shares at every size of the table.  More than ``most_grades`` different grades are refused.
     """
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("grade").cast("int").alias("grade")).filter("doc_id is not null and grade >= 0").groupBy("doc_id").agg(F.max("grade").alias("grade"))
-    total = {r.grade: r["count"] for r in labels.groupBy("grade").count().orderBy("grade").limit(64).collect()}
+    total = {r.grade: r["count"] for r in labels.groupBy("grade").count().limit(most_grades + 1).collect()}
+    if len(total) > most_grades:
+        raise ValueError(f"more than {most_grades} grades")
     grades = np.array(sorted(total))
     if len(grades) < 2:
         return Model(grades, np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
@@ -78,3 +79,9 @@ def test_toxicity_keeps_shares_when_a_grade_is_drawn_in_part(spark):
     mean = lambda **options: T.score(table, T.fit(table.select("doc_id", "text"), table.select("doc_id", "grade"), **options)).agg(F.avg("severity")).first()[0]
     assert abs(mean() - grade.mean()) < 0.01
     assert abs(mean(sample_rows=int(grade.sum())) - grade.mean()) < 0.03
+
+
+def test_toxicity_refuses_too_many_grades(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(70)], "doc_id long, text string")
+    with pytest.raises(ValueError, match="grades"):
+        T.fit(docs, docs.select("doc_id", F.col("doc_id").cast("int").alias("grade")))
