@@ -88,7 +88,7 @@ class Index:
         self.ids = [i for i, _ in kept]
         self.words = [w.copy() for _, w in kept]
         self.edits = [allowed(len(w), similarity) for w in self.words]
-        self.similarity, self.walks, self.seed = similarity, walks, seed
+        self.similarity, self.recall, self.walks, self.seed = similarity, recall, walks, seed
         self._gates()
         rng = np.random.default_rng(seed)
         self.classes = []
@@ -217,6 +217,13 @@ class Index:
             for k in range(0, len(starts), block):
                 part = starts[k : k + block]
                 row = np.searchsorted(words.offsets, part, "right") - 1
+                if c["recall"] < self.recall:
+                    # the repetitions fall short of the recall: all open windows meet all items of the class
+                    for r in np.unique(row).tolist():
+                        here = part[row == r].tolist()
+                        for m in c["tables"][0][3].tolist():
+                            out[r, m] += here
+                    continue
                 for w in range(self.walks):
                     emitted, at = self.walk(words.hashes, part, words.offsets[row + 1], w, steps)
                     for walk, chosen, sigs, members in c["tables"]:

@@ -91,3 +91,16 @@ def test_brute_force_on_the_test_tables(spark):
             if dist <= e:
                 want.add((r.doc_id, i, dist))
     assert got == want
+
+
+@pytest.mark.parametrize("walks, per_walk, item_words, trials", [(1, 1, 22, 150), (8, 32, 400, 60)])
+def test_short_repetitions_fall_back_to_all_open_windows(walks, per_walk, item_words, trials):
+    rng = np.random.default_rng(5)
+    text = " ".join(f"word{k}" for k in range(item_words))
+    index = D.Index([(1, text)], 0.8, 0.995, walks=walks, per_walk=per_walk)
+    filler = rng.integers(1, 1 << 62, 300).astype(np.uint64)
+    for _ in range(trials):
+        w = Words(pa.array([""]))
+        w.hashes = np.concatenate([filler[:100], D.Index._edit(index.words[0], index.edits[0], rng), filler[100:]])
+        w.offsets = np.array([0, len(w.hashes)])
+        assert any(i == 0 for _, i, *_ in index.leaks(w))
