@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundscope.llm import decontam, mixing, ngram_join, quality, token_store
-from fundscope.llm.common import load, result_only, shared_dir, written
+from fundscope.llm.common import load, result_only, shared_dir, with_row_key, written
 from fundscope.llm.queries import tokenizer
 
 #: No SQL: a compression classifier, a randomised join and a tokenizer are in it.
@@ -24,13 +24,20 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document that names its near-duplicate class, once; documents without an id stay.
+    """One row of each near-duplicate class: the least doc_id, rows without an id last, the first as stored of equal ones.
 
-    Texts meet the ids of what goes in a merge join at every size, so that no list of ids is ever broadcast.
+    Rows are told apart by a key of their own, as ids may be repeated or null.  Texts meet the keys of what stays in a
+    merge join at every size, so that no list of keys is ever broadcast.
     """
-    classes = result_only(spark, lambda: ngram_join.near_duplicates(docs), "classes")
-    others = classes.filter("doc_id <> class_id").select("doc_id").distinct()
-    return docs.join(others.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    keyed = with_row_key(docs)
+    classes = result_only(spark, lambda: ngram_join.near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text")), "classes")
+    # a row without links is a class of its own
+    alone = classes.filter("n_links = 0").select(F.col("doc_id").alias("_row"))
+    ids = keyed.select("_row", F.col("doc_id").alias("_id"))
+    linked = classes.filter("n_links > 0").select(F.col("doc_id").alias("_row"), "class_id").join(ids.hint("merge"), "_row")
+    first = linked.groupBy("class_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")).alias("first"))
+    kept = alone.unionByName(first.select(F.col("first._row").alias("_row")))
+    return keyed.join(kept.hint("merge"), "_row", "left_semi").select(docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +47,11 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, whole, and cut to the words taken where a pass ends within one."""
-    taken = result_only(spark, lambda: mixing.taken(mixing.mix(docs)), "taken")
-    share = taken.filter("taken > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max("size").alias("_size"), F.max("taken").alias("_taken"))
-    joined = docs.join(share.hint("merge"), docs["doc_id"].eqNullSafe(share["_id"]))
+    columns, kinds = docs.columns, docs.dtypes
+    docs = with_row_key(docs)
+    share = lambda: mixing.mix(docs, row="_row").groupBy(F.col("row").alias("_row"), F.col("size").alias("_size")).agg(F.sum("words").alias("_taken"))
+    taken = result_only(spark, share, "taken").filter("_taken > 0")
+    joined = docs.join(taken.hint("merge"), "_row")
     turns = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_taken") - 1) / F.col("_size")))).alias("_turn")
     many = joined.select("*", turns).withColumn("_words", F.least(F.col("_size"), F.col("_taken") - F.col("_turn") * F.col("_size")))
     # pieces end where a word ends, so the first so many pieces hold the first so many words and what stands between
@@ -50,7 +59,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = F.array_join(F.slice(ends, F.lit(1), F.col("_words").cast("int")), "")
     whole = F.col("_words") == F.col("_size")
     many = many.withColumns({"text": F.when(whole, F.col("text")).otherwise(cut), "n_chars": F.when(whole, F.col("n_chars")).otherwise(F.char_length(cut))})
-    return many.select([F.col(c).cast(t) for c, t in docs.dtypes])
+    return many.select(columns).select([F.col(c).cast(t) for c, t in kinds])
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +58,23 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``, a number of its own for each row and the same in every reading.
+
+    It is the row's place in its Parquet file and the file's place among all; other frames are written first.
+    """
+    spark, columns = docs.sparkSession, docs.columns
+    placed = lambda df: df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    try:
+        rows = placed(docs)
+        rows.schema  # noqa: B018
+    except AnalysisException:
+        rows = placed(written(docs, shared_dir(spark, "keyed")))
+    files = sorted(r[0] for r in rows.select("_file").distinct().collect())
+    places = spark.createDataFrame(list(enumerate(files)), "_place long, _file string")
+    return rows.join(F.broadcast(places), "_file").select(*columns, (F.col("_place") * (1 << 40) + F.col("_at")).alias("_row"))
+
+
 def crc_of_id(col) -> "F.Column":
     """crc32 of the id written as text."""
     return F.crc32(col.cast("string").cast("binary"))

@@ -99,18 +99,18 @@ def _by_halves(row: np.ndarray, rng) -> np.ndarray:
 
 
 @shipped
-def mix(docs: DataFrame, *, cap: int = 3, block_words: int = 4096, shard_words: int = 1 << 22, most_shards: int = 1024, most_cells: int = 1 << 22, most_sources: int = 200_000, seed: int = 6) -> DataFrame:
+def mix(docs: DataFrame, *, cap: int = 3, block_words: int = 4096, shard_words: int = 1 << 22, most_shards: int = 1024, most_cells: int = 1 << 22, most_sources: int = 200_000, seed: int = 6, row: str | None = None) -> DataFrame:
     """Pieces of the mix: (row, shard, place, doc_id, source, size, source_size, target, word_from, words, turn).
 
     ``turn`` counts the passes over the source (0 to cap - 1); ``place`` orders a shard.  Words are those of ``WORD``.
     Sizes are stored once: the text is read once for any number of passes.  ``row`` numbers the rows of ``docs`` as
-    stored.  Documents that no piece takes come as a row with null shard and 0 words.  The number of output shards grows
+    stored, or is the column of that name.  Documents that no piece takes come as a row with null shard and 0 words.  The number of output shards grows
     with the words up to ``most_shards``, and only as far as shards times sources stay below ``most_cells``.  The plan
     (targets, quotas and shards of each source) is broadcast; more than ``most_sources`` sources are refused, which
     bounds it.
     """
     spark = docs.sparkSession
-    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text").cast("string")).alias("size"), F.monotonically_increasing_id().alias("row"))
+    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text").cast("string")).alias("size"), (F.col(row) if row else F.monotonically_increasing_id()).alias("row"))
     sized = written(sized, shared_dir(spark, "sizes"))
     sources = with_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")).select("source", "source_size"), cap)
     sources = written(sources, shared_dir(spark, "targets"))

@@ -37,3 +37,23 @@ def test_sql_gives_the_same_rows(spark, name):
     columns = sorted(df.columns)
     want = con.sql(f"SELECT {', '.join(columns)} FROM ({Q.ORACLES[name]})").fetchall()
     assert sorted(map(tuple, df.select(columns).collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_one_row_of_each_class_with_repeated_and_null_ids(spark):
+    one, two, three = (" ".join(f"{c}{k}" for k in range(60)) for c in "xyz")
+    rows = [(1, one), (1, one), (2, one), (2, two), (None, one), (None, three), (None, three), (5, "short"), (6, None)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.text) for r in C.keep_one_of_each_class(spark, docs, "").collect()), key=repr)
+    assert got == sorted([(1, one), (2, two), (None, three), (5, "short"), (6, None)], key=repr)
+
+
+def test_mix_counts_belong_to_their_rows(spark):
+    sizes = [(1, 40, "a"), (1, 10, "a"), (None, 30, "a"), (None, 5, "b"), (2, 200, "b"), (1, 7, "b")]
+    docs = spark.createDataFrame([(i, " ".join(f"w{n}x{k}" for k in range(n)), "en", s, 1) for i, n, s in sizes], "doc_id long, text string, lang string, source string, n_chars long")
+    want = dict.fromkeys("ab", 0)
+    for r in C.mixing.taken(C.mixing.mix(docs)).withColumn("s", C.F.when(C.F.col("source_size") == 80, "a").otherwise("b")).collect():
+        want[r.s] += r.taken
+    got = dict.fromkeys("ab", 0)
+    for r in C.mix_sources(spark, docs, "").collect():
+        got[r.source] += len(r.text.split())
+    assert got == want
