@@ -175,7 +175,7 @@ def nearest(vectors: DataFrame, is_query, *, k: int = 20, recall: float = 0.95,
             plans = []
             for q in _vectors(b.column("embedding")):
                 own: dict[int, list[int]] = {}
-                for leaf in shared.value.visits(q, visits):
+                for leaf in _enough(shared.value, q, visits, sizes, k):
                     own.setdefault(group_of[leaf], []).append(leaf)
                 plans.append([{"part": g, "leaves": v} for g, v in own.items()])
             kind = pa.list_(pa.struct([("part", pa.int32()), ("leaves", pa.list_(pa.int32()))]))
@@ -213,6 +213,16 @@ def nearest(vectors: DataFrame, is_query, *, k: int = 20, recall: float = 0.95,
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _enough(tree: Tree, q: np.ndarray, visits: int, sizes: dict[int, int], k: int) -> list[int]:
+    """The leaves that ``q`` visits: the calibrated number, and on along its queue until they hold ``k`` points besides it."""
+    most = visits
+    while True:
+        leaves = tree.visits(q, most)
+        if most >= tree.leaves or sum(sizes.get(x, 0) for x in leaves) > k:
+            return leaves
+        most = min(tree.leaves, 2 * most)
+
+
 def _packed(leaves: int, sizes: dict[int, int], block_rows: int) -> tuple[dict[int, int], dict[int, int]]:
     """(part of each leaf, blocks of each part): neighbouring leaves share a part, a larger leaf has blocks of its own."""
     part_of, rows = {}, []

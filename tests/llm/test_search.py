@@ -102,3 +102,14 @@ def test_hot_members_reach_all_their_copies(spark, rows):
     assert rows(N._spread(sets, known)) == rows(N._spread(sets, known, least=2)) == want
     got = {r.doc_id: (r.class_id, r.n_links) for r in N.near_duplicates(docs).collect()}
     assert got[1] == (1, 39) and got[59] == (1, 39) and got[100] == (100, 0)
+
+
+def test_small_leaves_do_not_cut_the_neighbours():
+    # two calibrated visits end in leaves of few points; the queue goes on until they hold k others
+    tree = ann.Tree(np.eye(5), [[1, 2, 3, 4], [], [], [], []], [-1, 0, 1, 2, 3])
+    sizes = {0: 3, 1: 2, 2: 40}
+    q = np.array([0.0, 4, 3, 2, 1])
+    assert len(tree.visits(q, 2)) == 2
+    assert sum(sizes.get(leaf, 0) for leaf in ann._enough(tree, q, 2, sizes, 20)) > 20
+    assert len(ann._enough(tree, q, 2, sizes, 4)) == 2
+    assert len(ann._enough(tree, q, 2, sizes, 100)) == 4
