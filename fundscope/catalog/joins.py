@@ -202,6 +202,16 @@ def composite_key_tiebreak(t):
     return windows.first_per_key(d.join(F.broadcast(b), "key"), ["doc_id"], [F.desc(F.col("dt") == F.col("bt")), F.col("item_id")]).select("doc_id", "item_id")
 
 
+@query(ORACLES["composite_key_tiebreak"].replace("substring(b.text, 1, 24) = substring(d.text, 1, 24)", "coalesce(b.text = d.text, false)"))
+def composite_key_tiebreak_whole(t):
+    """Whole texts decide, where the query above and its SQL compare 24 characters."""
+    key = F.lower(F.substring("text", 1, 2)).alias("key")
+    d, b = t.documents.select("doc_id", key, F.col("text").alias("dt")), t.benchmark.select("item_id", key, F.col("text").alias("bt"))
+    same = F.coalesce(F.col("dt") == F.col("bt"), F.lit(False))
+    ranked = d.join(F.broadcast(b), "key").select("doc_id", "item_id", same.alias("same"))
+    return windows.first_per_key(ranked, ["doc_id"], [F.desc("same"), F.col("item_id")]).select("doc_id", "item_id")
+
+
 @query("""SELECT a.c_custkey FROM customer a JOIN supplier s ON nullif(a.c_nationkey, 3) IS NOT DISTINCT FROM nullif(s.s_nationkey, 3) WHERE s.s_suppkey <= 5""")
 def null_safe_join(t):
     return _null_safe(t, t.supplier.filter("s_suppkey <= 5"))

@@ -42,3 +42,10 @@ def test_fuzzy_against_all_pairs(spark, rows):
         want += [(i, *hits[0])] if hits else []
     frame = lambda values, key: spark.createDataFrame(list(enumerate(values)), f"{key} long, name string")
     assert rows(matching.fuzzy_first(frame(x, "xid"), frame(t, "tid"))) == sorted(want, key=repr)
+
+
+def test_tiebreak_compares_whole_texts(spark, tmp_path, rows):
+    head = "the same first twenty-four characters, "
+    spark.createDataFrame([(1, head + "b")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, head + "a"), (2, head + "b")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert rows(QUERIES["composite_key_tiebreak_whole"](spark, str(tmp_path))) == [(1, 2)]
