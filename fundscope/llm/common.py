@@ -75,6 +75,14 @@ def with_row_key(docs: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(places), "_file").select(*columns, (F.col("_place") * (1 << 40) + F.col("_at")).alias("_row"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have; names are compared without case, as Spark does."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def crc_of_id(col) -> "F.Column":
     """crc32 of the id written as text."""
     return F.crc32(col.cast("string").cast("binary"))

@@ -33,7 +33,7 @@ def test_planted_edits_are_found_at_the_recall():
     filler = rng.integers(1, 1 << 62, 400).astype(np.uint64)
     found = 0
     for _ in range(150):
-        edited = D.Index._edit(index.words[0], index.edits[0], rng)
+        edited = D.Index._edited(index.words[0], index.edits[0], rng)[0]
         w = Words(pa.array([""]))
         w.hashes = np.concatenate([filler[:100], edited, filler[100:]])
         w.offsets = np.array([0, len(w.hashes)])
@@ -101,6 +101,35 @@ def test_short_repetitions_fall_back_to_all_open_windows(walks, per_walk, item_w
     filler = rng.integers(1, 1 << 62, 300).astype(np.uint64)
     for _ in range(trials):
         w = Words(pa.array([""]))
-        w.hashes = np.concatenate([filler[:100], D.Index._edit(index.words[0], index.edits[0], rng), filler[100:]])
+        w.hashes = np.concatenate([filler[:100], D.Index._edited(index.words[0], index.edits[0], rng)[0], filler[100:]])
         w.offsets = np.array([0, len(w.hashes)])
         assert any(i == 0 for _, i, *_ in index.leaks(w))
+
+
+@pytest.mark.parametrize("item_words, items, trials", [(13, 30, 200), (60, 30, 200), (400, 8, 200), (1000, 4, 100), (2500, 2, 60)])
+def test_recall_at_every_item_length(item_words, items, trials):
+    rng = np.random.default_rng(item_words)
+    index = D.Index([(k, " ".join(f"w{k}x{j}" for j in range(item_words))) for k in range(items)], 0.8, 0.995)
+    assert all(c["recall"] >= 0.995 for c in index.classes)
+    filler, found = rng.integers(1, 1 << 62, 300).astype(np.uint64), 0
+    for t in range(trials):
+        w = Words(pa.array([""]))
+        w.hashes = np.concatenate([filler[:100], D.Index._edited(index.words[t % items], index.edits[t % items], rng)[0], filler[100:]])
+        w.offsets = np.array([0, len(w.hashes)])
+        found += any(i == t % items for _, i, *_ in index.leaks(w))
+    assert found >= 0.995 * trials - 1
+
+
+def test_recall_is_reported_and_index_bytes_bound_the_blocks(spark, docs, rows):
+    items = spark.createDataFrame([(k, ITEM if k % 2 else f"some words {k} of their own entirely") for k in range(12)], "item_id long, text string")
+    assert all(r["recall"] >= 0.995 and not r["exact"] for r in D.recall_reached(items))
+    one, many = D._indexes(items, 0.8, 0.995, 4 << 20, 64 << 20), D._indexes(items, 0.8, 0.995, 4 << 20, 1000)
+    assert len(one) == 1 and len(many) == 12
+    assert rows(D.find_leaks(docs, items)) == rows(D.find_leaks(docs, items, index_bytes=1000))
+    assert rows(D.without_leaks(docs, items), "doc_id") == rows(D.without_leaks(docs, items, index_bytes=1000), "doc_id")
+
+
+def test_columns_of_any_name_are_kept(spark, rows):
+    docs = spark.createDataFrame([(1, "clean text", "mine", 2), (2, ITEM, "x", 3)], "doc_id long, text string, searched string, _SEARCHED int")
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert rows(D.without_leaks(docs, items)) == [(1, "clean text", "mine", 2)]
