@@ -4,12 +4,13 @@ Two dictionaries are trained on labelled text, one on good and one on bad docume
 whole, in pieces of ``PIECE`` bytes so that a long text cannot learn its own style and forget the dictionary.  The
 main feature is (size with the bad one - size with the good one) / (bytes + shrink).  A logistic curve over it and over
 bytes / (bytes + shrink), so that short texts keep a base rate of their own, is fitted on labelled documents that neither
-dictionary saw; it turns the difference into a probability that the label is 1.  Lines that several sampled documents
-share are boilerplate and stay out of both dictionaries.
+dictionary saw; it turns the difference into a probability that the label is 1.  Lines that more than ``most_shared``
+sampled documents share are boilerplate and stay out of both dictionaries; texts are scored with all their lines.
 
 Nulls and repeats: null and empty texts get the score of feature 0, the curve's base rate; rows with null labels, or
-with ids that no document has, teach nothing; several labels of one id count as their largest; a repeated document is
-scored each time.  With fewer than two classes among the labels the score is the share of label 1 (0.5 without labels).
+with ids that no document has, teach nothing; several labels of one id count as their largest; of several texts of one
+id the least one teaches; a repeated document is scored each time.  With fewer than two classes among the labels the
+score is the share of label 1 (0.5 without labels).
 """
 
 from __future__ import annotations
@@ -19,11 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shipping import shipped
-from .common import crc_of_id, shared_dir, written
+from .common import crc_of_id, shared_dir, unused, written
 
 PIECE, LEVEL = 2048, 3
 
@@ -74,7 +75,7 @@ def _logistic(x: np.ndarray, filled: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w / [1, scale, 1]
 
 
-def _own_lines(pieces: list[tuple[int, str]], most: int = 2) -> list[tuple[int, str]]:
+def _own_lines(pieces: list[tuple[int, str]], most: int) -> list[tuple[int, str]]:
     """Pieces without the lines that more than ``most`` documents of the sample share."""
     seen: dict[str, set[int]] = {}
     for doc, piece in pieces:
@@ -93,31 +94,32 @@ def _dictionary(texts: list[bytes], size: int) -> bytes:
 
 
 @shipped
-def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 2048, piece_chars: int = 1024, pieces: int = 6, dictionary_bytes: int = 112_640, shrink: float = 64.0) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 2048, sample_pieces: int = 16_384, most_shared: int = 2, dictionary_bytes: int = 112_640, shrink: float = 64.0) -> Model:
     """Fit on a bounded sample: for each label, ``sample_rows`` labelled ids for the dictionary and as many for the curve.
 
-    Ids are drawn in the order of a hash; half the hashes serve the dictionaries, half the curve.  A dictionary sees
-    ``pieces`` evenly spaced pieces of ``piece_chars`` characters of each sampled text; the curve sees whole texts.
+    Ids are drawn in the order of a hash; half the hashes serve the dictionaries, half the curve.  The dictionaries learn
+    from the whole sampled texts, in pieces of ``PIECE`` characters; where those of a label are more than
+    ``sample_pieces``, a hash draws that many of them from anywhere in the texts.  The curve sees whole texts.
     """
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
     labels = labels.withColumn("h", F.xxhash64("doc_id", F.lit(4))).withColumn("part", F.col("h").bitwiseAND(1))
-    rows = []
-    for y in (0, 1):
-        for part in (0, 1):
-            rows.append(labels.filter((F.col("y") == y) & (F.col("part") == part)).orderBy("h", "doc_id").limit(sample_rows))
-    chosen = rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sample = written(docs.join(F.broadcast(chosen), "doc_id").filter("text is not null"), shared_dir(docs.sparkSession, "quality-sample"))
-    step = F.greatest(F.lit(piece_chars), F.ceil(F.length("text") / pieces)).cast("int")
-    cut = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda k: F.substring(F.col("text"), k * step + 1, F.lit(piece_chars)))
-    seen = sample.filter("part = 0").select("y", "doc_id", cut.alias("cut")).collect()
-    seen.sort(key=lambda r: (r.doc_id, r.cut))
-    own = _own_lines([(r.doc_id, p) for r in seen for p in dict.fromkeys(r.cut)])
+    drawn = F.row_number().over(Window.partitionBy("y", "part").orderBy("h", "doc_id"))
+    chosen = written(labels.withColumn("drawn", drawn).filter(F.col("drawn") <= sample_rows).drop("drawn"), shared_dir(docs.sparkSession, "quality-labels"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
+    sample = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"), F.first("part").alias("part"))
+    sample = written(sample, shared_dir(docs.sparkSession, "quality-sample"))
+    places = F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.length("text") / PIECE) - 1).cast("int"))).alias("place")
+    pieces = sample.filter("part = 0").select("y", "doc_id", "text", places).select("y", "doc_id", "place", F.expr(f"substring(text, place * {PIECE} + 1, {PIECE})").alias("piece"))
+    turn = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id", "place"), "doc_id", "place"))
+    seen = pieces.withColumn("turn", turn).filter(F.col("turn") <= sample_pieces).orderBy("doc_id", "place").collect()
+    own = _own_lines([(r.doc_id, r.piece) for r in seen], most_shared)
     kind = {r.doc_id: r.y for r in seen}
     of = lambda y: [p.encode() for i, p in own if p and kind[i] == y]
-    counts = {r.y: r["count"] for r in sample.groupBy("y").count().collect()}
+    # labelled ids that have a text, scaled up from the drawn ones
+    total, tried = ({r.y: r["count"] for r in t.groupBy("y").count().collect()} for t in (labels, chosen))
+    counts = {r.y: r["count"] * total[r.y] / tried[r.y] for r in sample.groupBy("y").count().collect()}
     if len(counts) < 2 or not of(0) or not of(1):
-        rate = sum(y * n for y, n in counts.items()) / max(1, sum(counts.values())) if counts else 0.5
+        rate = sum(y * n for y, n in counts.items()) / sum(counts.values()) if counts else 0.5
         rate = min(max(rate, 1e-3), 1 - 1e-3)
         return Model(b"", b"", float(np.log(rate / (1 - rate))), 0.0, 0.0, shrink)
     model = Model(_dictionary(of(1), dictionary_bytes), _dictionary(of(0), dictionary_bytes), 0.0, 0.0, 0.0, shrink)
@@ -126,11 +128,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 2048, piece_ch
     if len(set(y)) < 2:
         return Model(model.good, model.bad, 0.0, 1.0 / max(1e-9, float(np.std(x)) if len(x) else 1.0), 0.0, shrink)
     # both labels are drawn equally often where there are enough; the weights restore their shares
-    share = labels.groupBy("y").count().collect()
-    total = {r.y: r["count"] for r in share}
     bias, slope, filled = _logistic(x, n / (n + shrink), y).tolist()
-    drawn = y.mean() / (1 - y.mean())
-    return Model(model.good, model.bad, bias + float(np.log(total[1] / total[0] / drawn)), slope, filled, shrink)
+    ratio = y.mean() / (1 - y.mean())
+    return Model(model.good, model.bad, bias + float(np.log(counts[1] / counts[0] / ratio)), slope, filled, shrink)
 
 
 def _measured(model: Model):
@@ -162,17 +162,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 @shipped
 def keep(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """Rows of ``docs`` that score ``threshold`` or more, with all their columns: one pass without a join."""
-    shared, columns = docs.sparkSession.sparkContext.broadcast(model), docs.columns
+    shared, columns, scored = docs.sparkSession.sparkContext.broadcast(model), docs.columns, unused(docs, "scored")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from .words import batches
 
         model = shared.value
-        for batch in batches(it, "_scored"):
-            x, n = _features(batch.column("_scored"), model) if model.slope else np.zeros((2, batch.num_rows))
+        for batch in batches(it, scored):
+            x, n = _features(batch.column(scored), model) if model.slope else np.zeros((2, batch.num_rows))
             yield batch.filter(pa.array(model.score(x, n) >= threshold)).select(columns)
 
-    return docs.withColumn("_scored", F.col("text").cast("string")).mapInArrow(run, docs.schema)
+    return docs.withColumn(scored, F.col("text").cast("string")).mapInArrow(run, docs.schema)
 
 
 def held_out(doc_id) -> "F.Column":

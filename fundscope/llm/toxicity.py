@@ -6,8 +6,9 @@ The result is the expected severity, the sum of grade * P(grade).  On the test t
 one threshold.
 
 Nulls and repeats: null and empty texts have no features and get the severity of the thresholds alone; rows with null or
-negative grades teach nothing; more than 64 different grades are an error; several grades of one id count as their largest; a repeated document is scored each time.
-Without labels every severity is 0; with one grade only it is that grade.
+negative grades, or with ids that no document has, teach nothing; several grades of one id count as their largest; of
+several texts of one id the least one teaches; a repeated document is scored each time.  Without labels every severity is
+0; with one grade only it is that grade.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shipping import shipped
@@ -53,69 +54,100 @@ class Model:
 
 
 def fit_ordinal(rows: np.ndarray, cols: np.ndarray, n: int, width: int, level: np.ndarray, levels: int, penalty: float = 1.0, rounds: int = 400, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and increasing thresholds of the penalised likelihood; (rows, cols) are the ones of a 0/1 matrix.
+    """Weights and ascending thresholds of the penalised likelihood; (rows, cols) are the ones of a 0/1 matrix.
 
-    A row of weight 3 counts as three equal rows; without ``weight`` each counts once.  Accelerated gradient steps with the step size from the matrix's largest row and column sums.  Thresholds are a first
-    one plus exponentials, so they stay in order.
+    A row of weight 3 counts as three equal rows; without ``weight`` each counts once.  Thresholds are a first one plus
+    exponentials, so they stay in order; a row meets its own two only, so a round costs the same for any number of levels.
     """
-    w, t = np.zeros(width), np.zeros(levels - 1)
     weight = np.ones(n) if weight is None else weight
-    share = np.array([np.average(level > g, weights=weight) for g in range(levels - 1)]).clip(1e-6, 1 - 1e-6)
-    t[:] = np.log((1 - share) / share)
-    w_, t_, momentum = w, t, 1.0
-    row_most = np.bincount(rows, minlength=n).max() if len(rows) else 1
-    col_most = np.bincount(cols, weight[rows], width).max() if len(rows) else 1
-    step = 1.0 / (penalty + 0.5 * min(row_most * col_most, weight[rows].sum() if len(rows) else 1))
-    t_step = 2.0 / weight.sum()
+    above = 1 - np.cumsum(np.bincount(level, weight, levels))[:-1] / weight.sum()
+    first = np.log((1 - above.clip(1e-6, 1 - 1e-6)) / above.clip(1e-6, 1 - 1e-6))
+    start = np.concatenate([np.zeros(width), first[:1], np.log(np.maximum(np.diff(first), 1e-3))])
+    low, high = level > 0, level < levels - 1
+    under = lambda t, z: 1 / (1 + np.exp(-np.clip(t - z, -500, 500)))
+    steps = lambda p: np.exp(np.clip(p[width + 1 :], -50, 50))
+    edges = lambda p: p[width] + np.concatenate([[0.0], np.cumsum(steps(p))])
+
+    def loss(p: np.ndarray) -> tuple[float, np.ndarray]:
+        w, t = p[:width], edges(p)
+        z = np.bincount(rows, w[cols], n) if len(rows) else np.zeros(n)
+        upper, lower = np.ones(n), np.zeros(n)  # P(level <= own), P(level < own)
+        upper[high], lower[low] = under(t[level[high]], z[high]), under(t[level[low] - 1], z[low])
+        p_own = np.maximum(upper - lower, 1e-300)
+        du, dl = weight * upper * (1 - upper) / p_own, weight * lower * (1 - lower) / p_own
+        gt = np.bincount(level[low] - 1, dl[low], levels - 1) - np.bincount(level[high], du[high], levels - 1)
+        gw = np.bincount(cols, (du - dl)[rows], width) + penalty * w
+        tail = np.cumsum(gt[::-1])[::-1]
+        return float(-(weight * np.log(p_own)).sum() + penalty / 2 * (w @ w)), np.concatenate([gw, tail[:1], tail[1:] * steps(p)])
+
+    best = _descend(loss, start, rounds, 1e-9 * weight.sum())
+    return best[:width], edges(best)
+
+
+def _descend(loss, p: np.ndarray, rounds: int, enough: float, held: int = 12) -> np.ndarray:
+    """Limited-memory quasi-Newton descent with halved steps, until no slope exceeds ``enough``."""
+    value, slope = loss(p)
+    past: list[tuple[np.ndarray, np.ndarray]] = []
     for _ in range(rounds):
-        z = np.bincount(rows, w_[cols], n) if len(rows) else np.zeros(n)
-        edges = 1 / (1 + np.exp(-np.clip(t_[None, :] - z[:, None], -30, 30)))  # P(level <= g)
-        upper = np.concatenate([edges, np.ones((n, 1))], 1)[np.arange(n), level]
-        lower = np.concatenate([np.zeros((n, 1)), edges], 1)[np.arange(n), level]
-        p = np.maximum(upper - lower, 1e-12) / weight  # all gradients have it as divisor
-        du, dl = upper * (1 - upper), lower * (1 - lower)
-        gz = (du - dl) / p
-        gt = np.bincount(np.minimum(level, levels - 2), np.where(level < levels - 1, -du / p, 0), levels - 1) + np.bincount(np.maximum(level - 1, 0), np.where(level > 0, dl / p, 0), levels - 1)
-        gw = np.bincount(cols, gz[rows], width) + penalty * w_
-        new_w, new_t = w_ - step * gw, np.maximum.accumulate(t_ - t_step * gt)
-        up = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
-        w_, t_ = new_w + (momentum - 1) / up * (new_w - w), new_t + (momentum - 1) / up * (new_t - t)
-        w, t, momentum = new_w, new_t, up
-    return w, t
+        if np.abs(slope).max() <= enough:
+            break
+        way, parts = -slope, []
+        for s, y in reversed(past):
+            parts.append((s @ way) / (s @ y))
+            way = way - parts[-1] * y
+        if past:
+            s, y = past[-1]
+            way = way * (s @ y) / (y @ y)
+        for (s, y), a in zip(past, reversed(parts), strict=True):
+            way = way + (a - (y @ way) / (s @ y)) * s
+        size, gain = 1.0 if past else 1.0 / max(1.0, np.abs(slope).max()), slope @ way
+        while size > 1e-12:
+            new_value, new_slope = loss(p + size * way)
+            if new_value <= value + 1e-4 * size * gain:
+                break
+            size /= 2
+        else:
+            if not past:
+                break
+            past = []
+            continue
+        s, y = size * way, new_slope - slope
+        if s @ y > 1e-12 * (y @ y):
+            past = [*past, (s, y)][-held:]
+        p, value, slope = p + s, new_value, new_slope
+    return p
 
 
 def _present(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct word hashes of each labelled text."""
     for batch in batches(it, "text", 2 << 20):
         sets = [np.unique(w).astype(np.int64) for w in Words(batch.column("text")).rows()]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "grade", "words"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), batch.column("weight"), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "grade", "weight", "words"])
 
 
 @shipped
-def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 16_384, features: int = 4_096, least_docs: int = 5, least_z: float = 5.0, penalty: float = 0.1, most_grades: int = 64) -> Model:
-    """Fit on ``sample_rows`` labelled ids for each grade at most, in the order of a hash; ``labels``: doc_id, grade.
+def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 32_768, features: int = 4_096, least_docs: int = 5, least_z: float = 5.0, penalty: float = 0.1, rounds: int = 400) -> Model:
+    """Fit on ``sample_rows`` labelled ids, dealt evenly to the grades, in the order of a hash; ``labels``: doc_id, grade.
 
-    Rows of a grade that is drawn in part weigh as many ids as each stands for, in the choice of words and in the fit, so
-    the grades keep their true shares at every size of the table.  More than ``most_grades`` different grades are refused.
+    Every grade has a row at least, whatever their number.  Rows of a grade that is drawn in part weigh as many ids as
+    each stands for, in the choice of words and in the fit, so the grades keep their true shares at every size of the
+    table.  ``features`` is the number of words that the model may hold.
     """
+    spark = docs.sparkSession
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("grade").cast("int").alias("grade")).filter("doc_id is not null and grade >= 0").groupBy("doc_id").agg(F.max("grade").alias("grade"))
-    total = {r.grade: r["count"] for r in labels.groupBy("grade").count().limit(most_grades + 1).collect()}
-    if len(total) > most_grades:
-        raise ValueError(f"more than {most_grades} grades")
+    total = {r.grade: r["count"] for r in labels.groupBy("grade").count().collect()}
     grades = np.array(sorted(total))
     if len(grades) < 2:
         return Model(grades, np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
-    chosen = None
-    for g in grades.tolist():
-        part = labels.filter(F.col("grade") == g).orderBy(F.xxhash64("doc_id", F.lit(8)), "doc_id").limit(sample_rows)
-        chosen = part if chosen is None else chosen.unionByName(part)
+    each = max(1, sample_rows // len(grades))
+    turn = F.row_number().over(Window.partitionBy("grade").orderBy(F.xxhash64("doc_id", F.lit(8)), "doc_id"))
+    stands_for = {g: total[g] / min(total[g], each) for g in grades.tolist()}
+    weights = spark.createDataFrame(list(stands_for.items()), "grade int, weight double")
+    chosen = labels.withColumn("turn", turn).filter(F.col("turn") <= each).drop("turn").join(F.broadcast(weights), "grade")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sample = written(docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "grade", "text").mapInArrow(_present, "doc_id long, grade int, words array<long>"), shared_dir(docs.sparkSession, "toxic-sample"))
-    stands_for = {g: total[g] / min(total[g], sample_rows) for g in grades.tolist()}
-    of_grade = F.lit(1.0)
-    for g, many in stands_for.items():
-        of_grade = F.when(F.col("grade") == g, many).otherwise(of_grade)
-    sample = sample.withColumn("weight", of_grade)
+    one = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("grade").alias("grade"), F.first("weight").alias("weight"))
+    sample = written(one.mapInArrow(_present, "doc_id long, grade int, weight double, words array<long>"), shared_dir(spark, "toxic-sample"))
+    grades = np.array(sorted(r.grade for r in sample.select("grade").distinct().collect()) or grades[:1].tolist())
     n, mean = sample.agg(F.count(F.lit(1)), F.sum(F.col("weight") * F.col("grade")) / F.sum("weight")).first()
     var = n and sample.agg(F.avg((F.col("weight") * (F.col("grade") - mean)) ** 2)).first()[0]
     if not n or not var:
@@ -125,18 +157,33 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 16_384, featur
     z = F.col("excess") / F.sqrt(F.col("df") * (1 - F.col("df") / (n + 1.0)) * var)
     best = [r.word for r in tested.withColumn("z", z).filter(F.abs("z") >= least_z).orderBy(F.desc(F.abs("z")), "word").limit(features).select("word").collect()]
     words = np.sort(np.array(best, np.int64).astype(np.uint64))
-    kept = F.array_intersect("words", F.array([F.lit(int(w)) for w in best]).cast("array<long>")) if best else F.array().cast("array<long>")
-    rows, cols, level = [], [], []
-    for k, r in enumerate(sample.select("grade", kept.alias("kept"), "doc_id").orderBy("doc_id", "grade").collect()):
-        found = np.searchsorted(words, np.array(r.kept, np.int64).astype(np.uint64))
-        rows += [k] * len(found)
-        cols += found.tolist()
+    rows, cols, level, weight = [], [], [], []
+    for k, r in enumerate(sample.mapInArrow(_kept(words), "doc_id long, grade int, weight double, places array<int>").orderBy("doc_id", "grade").collect()):
+        rows += [k] * len(r.places)
+        cols += r.places
         level.append(int(np.searchsorted(grades, r.grade)))
-    weight = np.array([stands_for[g] for g in grades[level].tolist()])
-    w, t = fit_ordinal(np.array(rows, np.int64), np.array(cols, np.int64), len(level), len(words), np.array(level), len(grades), penalty, weight=weight)
+        weight.append(r.weight)
+    w, t = fit_ordinal(np.array(rows, np.int64), np.array(cols, np.int64), len(level), len(words), np.array(level), len(grades), penalty, rounds, np.array(weight))
     return Model(grades, words, w, t)
 
 
+def _kept(words: np.ndarray):
+    """Places of each row's words among the model's."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            lists = batch.column("words")
+            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.uint64)
+            at = np.minimum(np.searchsorted(words, flat), max(0, len(words) - 1))
+            hit = words[at] == flat if len(words) else np.zeros(len(flat), bool)
+            ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+            found = np.concatenate([[0], np.cumsum(hit)])[ends].astype(np.int32)
+            places = pa.ListArray.from_arrays(pa.array(found), pa.array(at[hit].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), batch.column("weight"), places], ["doc_id", "grade", "weight", "places"])
+
+    return run
+
+
 @shipped
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, severity, grade): expected severity, and the likeliest grade; nothing is shuffled."""
