@@ -83,6 +83,11 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def unit(h) -> "F.Column":
+    """A hash of 64 bits as a number from 0 to below 1."""
+    return F.shiftrightunsigned(h, 11) / float(1 << 53)
+
+
 def crc_of_id(col) -> "F.Column":
     """crc32 of the id written as text."""
     return F.crc32(col.cast("string").cast("binary"))

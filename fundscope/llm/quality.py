@@ -20,11 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import shipped
-from .common import crc_of_id, shared_dir, unused, written
+from .common import crc_of_id, shared_dir, unit, unused, written
 
 PIECE, LEVEL = 2048, 3
 
@@ -95,29 +95,32 @@ def _dictionary(texts: list[bytes], size: int) -> bytes:
 
 @shipped
 def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 2048, sample_pieces: int = 16_384, most_shared: int = 2, dictionary_bytes: int = 112_640, shrink: float = 64.0) -> Model:
-    """Fit on a bounded sample: for each label, ``sample_rows`` labelled ids for the dictionary and as many for the curve.
+    """Fit on a bounded sample: for each label, about ``sample_rows`` labelled ids for the dictionary and for the curve.
 
-    Ids are drawn in the order of a hash; half the hashes serve the dictionaries, half the curve.  The dictionaries learn
-    from the whole sampled texts, in pieces of ``PIECE`` characters; where those of a label are more than
-    ``sample_pieces``, a hash draws that many of them from anywhere in the texts.  The curve sees whole texts.
+    A hash of the id draws them, all where there are fewer; another one says whether a row serves the dictionaries or the
+    curve.  The dictionaries learn from the whole sampled texts, in pieces of ``PIECE`` characters; where those of a label
+    are more than ``sample_pieces``, a hash draws about that many from anywhere in the texts.  The curve sees whole texts.
     """
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
-    labels = labels.withColumn("h", F.xxhash64("doc_id", F.lit(4))).withColumn("part", F.col("h").bitwiseAND(1))
-    drawn = F.row_number().over(Window.partitionBy("y", "part").orderBy("h", "doc_id"))
-    chosen = written(labels.withColumn("drawn", drawn).filter(F.col("drawn") <= sample_rows).drop("drawn"), shared_dir(docs.sparkSession, "quality-labels"))
+    labels = labels.withColumn("part", F.xxhash64("doc_id", F.lit(4)).bitwiseAND(1))
+    share = {(r.y, r.part): min(1.0, sample_rows / r["count"]) for r in labels.groupBy("y", "part").count().collect()}
+    shares = docs.sparkSession.createDataFrame([(*k, v) for k, v in share.items()], "y int, part long, share double")
+    chosen = labels.join(F.broadcast(shares), ["y", "part"]).filter(unit(F.xxhash64("doc_id", F.lit(5))) < F.col("share")).drop("share")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
     sample = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"), F.first("part").alias("part"))
     sample = written(sample, shared_dir(docs.sparkSession, "quality-sample"))
-    places = F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.length("text") / PIECE) - 1).cast("int"))).alias("place")
-    pieces = sample.filter("part = 0").select("y", "doc_id", "text", places).select("y", "doc_id", "place", F.expr(f"substring(text, place * {PIECE} + 1, {PIECE})").alias("piece"))
-    turn = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id", "place"), "doc_id", "place"))
-    seen = pieces.withColumn("turn", turn).filter(F.col("turn") <= sample_pieces).orderBy("doc_id", "place").collect()
+    many = F.greatest(F.lit(1), F.ceil(F.length("text") / PIECE)).cast("int")
+    number = {r.y: min(1.0, sample_pieces / r.n) for r in sample.filter("part = 0").groupBy("y").agg(F.sum(many).alias("n")).collect()}
+    pieces = sample.filter("part = 0").select("y", "doc_id", "text", F.explode(F.sequence(F.lit(0), many - 1)).alias("place"))
+    drawn = unit(F.xxhash64("doc_id", "place")) < F.when(F.col("y") == 1, number.get(1, 0.0)).otherwise(number.get(0, 0.0))
+    seen = pieces.filter(drawn).select("y", "doc_id", "place", F.expr(f"substring(text, place * {PIECE} + 1, {PIECE})").alias("piece")).orderBy("doc_id", "place").collect()
     own = _own_lines([(r.doc_id, r.piece) for r in seen], most_shared)
     kind = {r.doc_id: r.y for r in seen}
     of = lambda y: [p.encode() for i, p in own if p and kind[i] == y]
-    # labelled ids that have a text, scaled up from the drawn ones
-    total, tried = ({r.y: r["count"] for r in t.groupBy("y").count().collect()} for t in (labels, chosen))
-    counts = {r.y: r["count"] * total[r.y] / tried[r.y] for r in sample.groupBy("y").count().collect()}
+    # labelled ids that have a text, each drawn one for as many as it stands for
+    counts: dict[int, float] = {}
+    for r in sample.groupBy("y", "part").count().collect():
+        counts[r.y] = counts.get(r.y, 0) + r["count"] / share[r.y, r.part]
     if len(counts) < 2 or not of(0) or not of(1):
         rate = sum(y * n for y, n in counts.items()) / sum(counts.values()) if counts else 0.5
         rate = min(max(rate, 1e-3), 1 - 1e-3)
