@@ -18,11 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import shipped
-from .common import shared_dir, written
+from .common import shared_dir, unit, written
 from .words import Words, batches
 
 
@@ -127,9 +127,9 @@ def _present(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @shipped
 def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 32_768, features: int = 4_096, least_docs: int = 5, least_z: float = 5.0, penalty: float = 0.1, rounds: int = 400) -> Model:
-    """Fit on ``sample_rows`` labelled ids, dealt evenly to the grades, in the order of a hash; ``labels``: doc_id, grade.
+    """Fit on about ``sample_rows`` labelled ids, dealt evenly to the grades, drawn by a hash; ``labels``: doc_id, grade.
 
-    Every grade has a row at least, whatever their number.  Rows of a grade that is drawn in part weigh as many ids as
+    Every grade has a row at least, whatever their number, and all of its rows where they are few.  Rows of a grade that is drawn in part weigh as many ids as
     each stands for, in the choice of words and in the fit, so the grades keep their true shares at every size of the
     table.  ``features`` is the number of words that the model may hold.
     """
@@ -140,10 +140,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 32_768, featur
     if len(grades) < 2:
         return Model(grades, np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
     each = max(1, sample_rows // len(grades))
-    turn = F.row_number().over(Window.partitionBy("grade").orderBy(F.xxhash64("doc_id", F.lit(8)), "doc_id"))
-    stands_for = {g: total[g] / min(total[g], each) for g in grades.tolist()}
-    weights = spark.createDataFrame(list(stands_for.items()), "grade int, weight double")
-    chosen = labels.withColumn("turn", turn).filter(F.col("turn") <= each).drop("turn").join(F.broadcast(weights), "grade")
+    weights = spark.createDataFrame([(g, max(1.0, total[g] / each)) for g in grades.tolist()], "grade int, weight double")
+    # the least hash of a grade is drawn in any case
+    drawn = (unit(F.col("h")) * F.col("weight") < 1) | (F.col("h") == F.col("least"))
+    hashed = labels.withColumn("h", F.xxhash64("doc_id", F.lit(8)))
+    least = hashed.groupBy("grade").agg(F.min("h").alias("least"))
+    chosen = hashed.join(F.broadcast(weights.join(least, "grade")), "grade").filter(drawn).select("doc_id", "grade", "weight")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     one = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("grade").alias("grade"), F.first("weight").alias("weight"))
     sample = written(one.mapInArrow(_present, "doc_id long, grade int, weight double, words array<long>"), shared_dir(spark, "toxic-sample"))
