@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,9 +22,15 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, what: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``; a local one only where that setting is absent (tests)."""
+    """A new folder below ``spark.checkpoint.dir``.
+
+    Where that setting is absent, a local master gets a folder of this machine; a cluster is refused, as its executors
+    would not share it.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         app = spark.sparkContext.applicationId
         if app not in _LOCAL:
             _LOCAL[app] = tempfile.mkdtemp(prefix="fundscope-")
@@ -58,21 +65,112 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_row_key(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_row``, a number of its own for each row and the same in every reading.
+def with_row_key(docs: DataFrame, key: str = "_row") -> DataFrame:
+    """``docs`` with ``key``, a number of its own for each row and the same in every reading.
 
-    It is the row's place in its Parquet file and the file's place among all; other frames are written first.
+    It is the row's place in its Parquet file and the file's place among all; other frames are written first.  Choose a
+    key that is ``unused`` in ``docs``.
     """
     spark, columns = docs.sparkSession, docs.columns
-    placed = lambda df: df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    file, at, place = unused(docs, "_file"), unused(docs, "_at"), unused(docs, "_place")
+    placed = lambda df: df.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(at))
     try:
+        if "_metadata" in (c.lower() for c in columns):
+            raise AnalysisException("the column hides that of the files")
         rows = placed(docs)
         rows.schema  # noqa: B018
     except AnalysisException:
-        rows = placed(written(docs, shared_dir(spark, "keyed")))
-    files = sorted(r[0] for r in rows.select("_file").distinct().collect())
-    places = spark.createDataFrame(list(enumerate(files)), "_place long, _file string")
-    return rows.join(F.broadcast(places), "_file").select(*columns, (F.col("_place") * (1 << 40) + F.col("_at")).alias("_row"))
+        hidden = [c for c in columns if c.lower() == "_metadata"]
+        named = docs.withColumnsRenamed({c: unused(docs, f"own{c}") for c in hidden})
+        rows = placed(written(named, shared_dir(spark, "keyed")))
+        rows = rows.withColumnsRenamed({unused(docs, f"own{c}"): c for c in hidden})
+    files = sorted(r[0] for r in rows.select(file).distinct().collect())
+    places = spark.createDataFrame(list(enumerate(files)), f"`{place}` long, `{file}` string")
+    number = F.col(place) * (1 << 40) + F.col(at)
+    return rows.join(F.broadcast(places), file).select(*(F.col(f"`{c}`") for c in columns), number.alias(key))
+
+
+#: Rows of neighbouring keys that one file of a side table answers for, as a power of two.
+CELL = 18
+
+
+class Places:
+    """A side table on the row keys of another one, read by the tasks that read that one's rows.
+
+    ``put`` leaves it in the shared store in files, each for ``1 << CELL`` neighbouring keys; a task opens those of the
+    rows that it reads.  So the big table, already in files, meets it without a shuffle, and nothing is broadcast.
+    """
+
+    def __init__(self, folder: str):
+        self.folder, self.held = folder, {}
+
+    @staticmethod
+    def put(side: DataFrame, key: str, what: str) -> str:
+        """Write ``side`` (with a long ``key``, which may repeat); a repeated task replaces its files by equal ones."""
+        folder, cell = shared_dir(side.sparkSession, what), unused(side, "cell")
+        fs, root = open_fs(folder)
+        fs.create_dir(root, recursive=True)
+
+        def write(it):
+            import pyarrow as pa
+
+            fs, root = open_fs(folder)
+            for (k,), table in groups(it, [cell]):
+                part = f"{root}/{uuid.uuid4().hex}.part"
+                with fs.open_output_stream(part) as out, pa.ipc.new_file(out, table.schema) as f:
+                    f.write_table(table)
+                try:
+                    fs.move(part, f"{root}/{k}.arrow")
+                except OSError:
+                    fs.delete_file(f"{root}/{k}.arrow")
+                    fs.move(part, f"{root}/{k}.arrow")
+                yield pa.RecordBatch.from_arrays([pa.array([table.num_rows], pa.int64())], ["n"])
+
+        placed = side.withColumn(cell, F.shiftright(key, CELL))
+        placed.repartition(cell).sortWithinPartitions(cell, key).mapInArrow(write, "n long").agg(F.sum("n")).first()
+        return folder
+
+    def _cell(self, k: int):
+        import pyarrow as pa
+
+        if k not in self.held:
+            while len(self.held) > 1:
+                del self.held[next(iter(self.held))]
+            fs, root = open_fs(self.folder)
+            path = f"{root}/{k}.arrow"
+            if fs.get_file_info(path).type.name == "NotFound":
+                self.held[k] = None
+            else:
+                with fs.open_input_stream(path) as f:
+                    self.held[k] = pa.ipc.open_file(pa.BufferReader(f.read())).read_all()
+        return self.held[k]
+
+    def matches(self, rows, key: str):
+        """Pairs (place in ``rows``, one-row-per-pair table) of all rows of the side table with the keys ``rows``."""
+        import numpy as np
+
+        for k in np.unique(rows >> CELL).tolist():
+            table = self._cell(k)
+            if table is None:
+                continue
+            mine, keys = np.flatnonzero(rows >> CELL == k), table.column(key).to_numpy()
+            first, last = np.searchsorted(keys, rows[mine]), np.searchsorted(keys, rows[mine], "right")
+            n = last - first
+            at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            yield np.repeat(mine, n), table.take(at)
+
+
+def spread_join(rows: DataFrame, known: DataFrame, key: str, copies: str, most_hot: int = 50_000, least: int = 256) -> DataFrame:
+    """Inner join of ``rows`` with ``known``, which has each key once and, as ``copies``, the rows that have it.
+
+    Keys with at least 1 / ``most_hot`` of all rows are at most ``most_hot``: that part is broadcast, as a shuffle would
+    bring all rows of one key to one task.  The others meet in a shuffled join.
+    """
+    total = known.agg(F.coalesce(F.sum(copies), F.lit(0))).first()[0]
+    hot = F.col(copies) >= max(least, -(-total // most_hot))
+    many = known.filter(hot)
+    few = rows.join(F.broadcast(many.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(many), key).unionByName(few.join(known.filter(~hot), key))
 
 
 def unused(df: DataFrame, name: str) -> str:

@@ -97,29 +97,6 @@ SELECT e.conv_id AS pair_id, coalesce(p.body, '') AS prompt, CAST(coalesce(p.n,
 FROM e LEFT JOIN a p ON p.conv_id = e.conv_id AND p.part = 'prompt'
 LEFT JOIN a c ON c.conv_id = e.conv_id AND c.part = 'chosen'
 LEFT JOIN a r ON r.conv_id = e.conv_id AND r.part = 'rejected'""",
-    "op6_source_mix": r"""
-WITH d AS (
-  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         md5('6:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
-  FROM documents),
-s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
-w AS (SELECT *, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS weight FROM s),
-o AS (SELECT *, row_number() OVER (ORDER BY source_size / weight, source NULLS LAST) AS k FROM w),
-l AS (
-  SELECT *, (sum(source_size) OVER () - 3.0 * coalesce(sum(source_size) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
-            / (sum(weight) OVER () - coalesce(sum(weight) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level_here
-  FROM o),
-f AS (SELECT coalesce(min_by(level_here, k), 0) AS level FROM l WHERE 3.0 * source_size >= level_here * weight),
-t AS (SELECT source, source_size, round(least(3.0 * source_size, level * weight)::DOUBLE, 6) AS target FROM l, f),
-b AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, CAST(floor(t.target + 0.5) AS BIGINT) AS whole,
-         CAST(coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY h, d.doc_id NULLS FIRST, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS begin_
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       CAST(greatest(0, least(begin_ + size, whole) - begin_)
-          + greatest(0, least(begin_ + size, whole - source_size) - begin_)
-          + greatest(0, least(begin_ + size, whole - 2 * source_size) - begin_) AS BIGINT) AS taken
-FROM b""",
     "op10_warc": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
 q AS (SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest FROM p),

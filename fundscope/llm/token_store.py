@@ -2,17 +2,19 @@
 
 File format of one shard (little endian)::
 
-    b"FSTOK001"                                    magic
-    header length, uint32; header, JSON            dictionary hash, id width, end id, number of documents
+    b"FSTOK002"                                    magic
+    header length, uint32; header, JSON            dictionary hash, id width, end id, documents, tokens, place of the shard
     one zstandard frame per document               ids as unsigned integers of the width
-    index                                          per document: offset uint64, frame length uint32, n_tokens uint64
+    index                                          per document: offset uint64, frame length uint32, n_tokens uint64,
+                                                   doc_id int64, 1 if it has an id uint8
     index offset, uint64; b"FSTOKEND"              trailer
 
 The dictionary lies beside the shards as ``dictionary-<sha256>.zdict``; a reader checks the hash before use.  A short
 document is read with one seek: its index entry gives its frame.
 
-Nulls and repeats: a null text counts as empty (only the end id); a null ``doc_id`` sorts first; rows with one doc_id
-follow each other, ordered by their frames, so equal rows may swap unnoticed.  An empty table writes no shard.
+Nulls and repeats: a null text counts as empty (only the end id); a null ``doc_id`` sorts first; rows with one doc_id, or
+none, follow each other in the order of a hash of their frames and are cut into several ranges where they are many; equal
+rows may swap unnoticed.  An empty table writes no shard.
 Columns other than the id and the text are ignored.
 """
 
@@ -33,8 +35,10 @@ from pyspark.sql import functions as F
 from ..shipping import shipped
 from .common import discard, open_fs, shared_dir, written
 
-MAGIC, TAIL = b"FSTOK001", b"FSTOKEND"
-_ENTRY = np.dtype([("offset", "<u8"), ("length", "<u4"), ("n_tokens", "<u8")])
+MAGIC, TAIL = b"FSTOK002", b"FSTOKEND"
+_ENTRY = np.dtype([("offset", "<u8"), ("length", "<u4"), ("n_tokens", "<u8"), ("doc_id", "<i8"), ("has_id", "u1")])
+#: The normaliser that the words' own way through the tokenizer stands for.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 
 
 class WordTokenizer:
@@ -43,7 +47,8 @@ class WordTokenizer:
     The vocabulary's pre-tokenizer drops white space and never joins what stands on its two sides, so a text's ids are
     its words' ids in a row.  Words in Latin-1 are cut by the tokenizer file's own pattern and go to the library's model
     directly; all others, and texts with special tokens or the control characters that Python alone splits at, go
-    through the library's whole pipeline.  At most ``keep`` words are held.
+    through the library's whole pipeline, as do all texts if the tokenizer file's normaliser or pre-tokenizer is another
+    one than this way stands for.  At most ``keep`` words are held.
     """
 
     def __init__(self, path: str, keep: int = 400_000):
@@ -52,9 +57,8 @@ class WordTokenizer:
 
         self.whole = Tokenizer.from_file(path)
         spec = json.loads(self.whole.to_str())
-        split, level = spec["pre_tokenizer"]["pretokenizers"]
-        assert level["type"] == "ByteLevel" and not level["add_prefix_space"] and not level["use_regex"]
-        self.pieces = regex.compile(split["pattern"]["Regex"]).findall
+        self.by_word = self._known(spec)
+        self.pieces = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall if self.by_word else None
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.model = self.whole.model
         self.width = 2 if self.whole.get_vocab_size() <= 1 << 16 else 4
@@ -71,6 +75,15 @@ class WordTokenizer:
 
         self.words, self.parts = Kept(), {}
 
+    @staticmethod
+    def _known(spec: dict) -> bool:
+        steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        if spec["normalizer"] != _NORMALIZER or spec["model"]["type"] != "BPE" or spec["model"].get("dropout") or [x["type"] for x in steps] != ["Split", "ByteLevel"]:
+            return False
+        split, level = steps
+        own = split["behavior"] == "Removed" and split["invert"] and "Regex" in split["pattern"] and r"\s" in split["pattern"]["Regex"]
+        return own and not level["add_prefix_space"] and not level["use_regex"]
+
     @staticmethod
     def _byte_level() -> dict[int, str]:
         """The printable character that stands for each byte in byte-level vocabularies."""
@@ -103,7 +116,7 @@ class WordTokenizer:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if any(s in text for s in self.special) or any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        if not self.by_word or any(s in text for s in self.special) or any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return self.pack(self.whole.encode(text, add_special_tokens=False).ids)
         return b"".join(map(self.words.__getitem__, text.split()))
 
@@ -148,10 +161,11 @@ def _compressor(tokenizer_path: str, dictionary: bytes, end_id: int, level: int)
 def _shard_writer(folder: str, width: int, end_id: int, sha: str, most: int):
     """Writes a partition's frames, in order, as shards of about ``most`` bytes, under names no other attempt uses."""
 
-    def close(fs, path: str, frames: list[bytes], tokens: list[int]) -> int:
-        head = json.dumps({"dictionary": sha, "width": width, "end_id": end_id, "documents": len(frames)}).encode()
+    def close(fs, path: str, place: tuple[int, int], frames: list[bytes], tokens: list[int], ids: list[int | None]) -> int:
+        head = json.dumps({"dictionary": sha, "width": width, "end_id": end_id, "documents": len(frames), "tokens": sum(tokens), "place": place}).encode()
         index = np.zeros(len(frames), _ENTRY)
         index["length"], index["n_tokens"] = [len(x) for x in frames], tokens
+        index["doc_id"], index["has_id"] = [i or 0 for i in ids], [i is not None for i in ids]
         start = len(MAGIC) + 4 + len(head)
         index["offset"] = start + np.concatenate([[0], np.cumsum(index["length"][:-1], dtype=np.uint64)])
         body = b"".join(frames)
@@ -173,8 +187,8 @@ def _shard_writer(folder: str, width: int, end_id: int, sha: str, most: int):
         def flush() -> pa.RecordBatch:
             nonlocal seq
             name = f"shard-{part:06d}-{seq:05d}-{uuid.uuid4().hex[:12]}.fstok"
-            size = close(fs, f"{root}/{name}", frames, tokens)
-            row = {"part": part, "seq": seq, "file": name, "bytes": size, "documents": len(frames), "tokens": sum(tokens), "doc_ids": list(ids)}
+            size = close(fs, f"{root}/{name}", (part, seq), frames, tokens, ids)
+            row = {"part": part, "seq": seq, "file": name, "bytes": size, "documents": len(frames), "tokens": sum(tokens)}
             seq += 1
             for x in (frames, tokens, ids):
                 x.clear()
@@ -196,8 +210,16 @@ def _shard_writer(folder: str, width: int, end_id: int, sha: str, most: int):
     return run
 
 
-_MANIFEST = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("file", pa.string()), ("bytes", pa.int64()), ("documents", pa.int64()), ("tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64()))])
-_MANIFEST_DDL = "part int, seq int, file string, bytes long, documents long, tokens long, doc_ids array<long>"
+_MANIFEST = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("file", pa.string()), ("bytes", pa.int64()), ("documents", pa.int64()), ("tokens", pa.int64())])
+_MANIFEST_DDL = "part int, seq int, file string, bytes long, documents long, tokens long"
+
+
+def _header(file, path: str) -> dict:
+    file.seek(0)
+    magic, n = struct.unpack("<8sI", file.read(12))
+    if magic != MAGIC:
+        raise ValueError(f"{path} is not a token shard")
+    return json.loads(file.read(n))
 
 
 class Shard:
@@ -207,14 +229,11 @@ class Shard:
         import zstandard
 
         self.file = fs.open_input_file(path)
-        size = self.file.size()
+        self.header, size = _header(self.file, path), self.file.size()
         self.file.seek(size - 16)
         at, tail = struct.unpack("<Q8s", self.file.read(16))
-        self.file.seek(0)
-        magic, n = struct.unpack("<8sI", self.file.read(12))
-        if magic != MAGIC or tail != TAIL:
-            raise ValueError(f"{path} is not a token shard")
-        self.header = json.loads(self.file.read(n))
+        if tail != TAIL:
+            raise ValueError(f"{path} is not a whole token shard")
         if self.header["dictionary"] != hashlib.sha256(dictionary).hexdigest():
             raise ValueError(f"{path} was written with another dictionary")
         self.file.seek(at)
@@ -224,6 +243,11 @@ class Shard:
     def __len__(self) -> int:
         return len(self.index)
 
+    def doc_ids(self, a: int, b: int) -> pa.Array:
+        """Ids of the documents ``a`` to ``b``, null where they have none."""
+        some = self.index[a:b]
+        return pa.array(some["doc_id"].astype(np.int64), mask=some["has_id"] == 0)
+
     def __getitem__(self, k: int) -> np.ndarray:
         entry = self.index[k]
         self.file.seek(int(entry["offset"]))
@@ -233,7 +257,7 @@ class Shard:
 
 
 @shipped
-def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: int = 2, dictionary_bytes: int = 65_536, sample_rows: int = 1_024, sample_chars: int = 8_192, level: int = 3, shard_bytes: int = 32 << 20) -> DataFrame:
+def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: int = 2, dictionary_bytes: int = 65_536, sample_rows: int = 1_024, sample_chars: int = 8_192, level: int = 3, shard_bytes: int = 16 << 20) -> DataFrame:
     """Write ``docs`` (doc_id, text) below ``folder`` in ascending doc_id order; returns the manifest of the shards.
 
     The dictionary is trained on pieces of at most ``sample_chars`` characters from ``sample_rows`` documents, chosen by
@@ -253,20 +277,25 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: i
     with fs.open_output_stream(f"{root}/dictionary-{sha}.zdict") as out:
         out.write(dictionary)
     width = WordTokenizer(tokenizer_path).width
-    frames = written(docs.mapInArrow(_compressor(tokenizer_path, dictionary, end_id, level), "doc_id long, n_tokens long, frame binary"), f"{folder}/frames")
-    ordered = frames.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "frame")
-    manifest = ordered.mapInArrow(_shard_writer(folder, width, end_id, sha, shard_bytes), _MANIFEST_DDL)
+    frames = docs.mapInArrow(_compressor(tokenizer_path, dictionary, end_id, level), "doc_id long, n_tokens long, frame binary")
+    frames = written(frames.withColumn("size", F.octet_length("frame")), f"{folder}/frames")
+    # the hash and the row's number part the ranges of rows with one id; equal rows are interchangeable
+    spread = frames.withColumns({"spread": F.xxhash64("frame"), "number": F.monotonically_increasing_id()})
+    ranges = max(1, -(-(frames.agg(F.sum("size")).first()[0] or 0) // shard_bytes))
+    ordered = spread.repartitionByRange(ranges, "doc_id", "spread", "number").sortWithinPartitions("doc_id", "spread", "frame")
+    manifest = ordered.select("doc_id", "n_tokens", "frame").mapInArrow(_shard_writer(folder, width, end_id, sha, shard_bytes), _MANIFEST_DDL)
     out = written(manifest, f"{folder}/manifest")
     discard(spark, f"{folder}/frames")
     return out
 
 
 @shipped
-def read_tokens(spark, folder: str, dictionary_sha: str | None = None) -> DataFrame:
+def read_tokens(spark, folder: str, dictionary_sha: str | None = None, *, task_bytes: int = 8 << 20) -> DataFrame:
     """Rows (doc_id, start, n_tokens, ids) of the files that the manifest below ``folder`` names.
 
-    ``start`` counts the ids of all documents before; it adds up per shard over the manifest (a row per shard), then
-    along each shard's index.
+    Everything but the names of the files comes from the files: ``start`` counts the ids of all documents before, which
+    are the totals in the headers of the shards before (a row per shard) and what stands before it in its shard's index.
+    There is a task for each ``task_bytes`` of files: an explicit number, as adaptive execution would see only names.
     """
     fs, root = open_fs(folder)
     from pyarrow.fs import FileSelector
@@ -276,9 +305,22 @@ def read_tokens(spark, folder: str, dictionary_sha: str | None = None) -> DataFr
     with fs.open_input_stream(f"{root}/{name}") as f:
         dictionary = f.read()
     manifest = spark.read.schema(_MANIFEST_DDL).parquet(f"{folder}/manifest")
+    tasks = -(-(manifest.agg(F.sum("bytes")).first()[0] or 1) // task_bytes)
+
+    def headers(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = open_fs(folder)
+        for batch in it:
+            rows = []
+            for file in batch.column("file").to_pylist():
+                with fs.open_input_file(f"{root}/{file}") as f:
+                    head = _header(f, file)
+                rows.append((file, *head["place"], head["tokens"]))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], ["file", "part", "seq", "tokens"])
+
+    heads = manifest.select("file").repartition(-(-tasks // 16)).mapInArrow(headers, "file string, part long, seq long, tokens long")
     before = F.sum("tokens").over(Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1))
-    starts = manifest.select("file", F.coalesce(before, F.lit(0)).alias("start"))
-    todo = manifest.select("file", "doc_ids").join(starts, "file").repartition("file")
+    todo = heads.select("file", F.coalesce(before, F.lit(0)).alias("start")).repartition(tasks)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_fs(folder)
@@ -290,7 +332,7 @@ def read_tokens(spark, folder: str, dictionary_sha: str | None = None) -> DataFr
                     n = np.array([len(x) for x in ids], np.int64)
                     firsts = start + np.concatenate([[0], np.cumsum(n[:-1])])
                     start += int(n.sum())
-                    yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"][k : k + 256], pa.int64()), pa.array(firsts, pa.int64()), pa.array(n, pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
+                    yield pa.RecordBatch.from_arrays([shard.doc_ids(k, k + 256), pa.array(firsts, pa.int64()), pa.array(n, pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
 
     return todo.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 

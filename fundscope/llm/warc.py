@@ -4,10 +4,14 @@ Every record is a gzip member of its own, so that a record is readable from its
 at least ``min_bytes`` that occurs more than once is stored once, by the row with the largest page_id; the others become
 revisit records, whose HTTP header still tells the full payload's length and whose WARC-Payload-Digest its digest.
 
-Nulls and repeats: a null html is an empty payload; a null url is written as ``urn:page:<id>``; rows that repeat both
-the largest page_id and its payload are all responses; rows with a null page_id refer to the response like all others,
-and are responses where no row with that payload has an id.  An empty table gives no archive and no rows.  Columns other
-than page_id, url and html are ignored.
+Which rows are revisits is decided on (digest, page_id) of the payloads that are long enough; the rows learn it by their
+places in the files, so no payload is ever shuffled.  A record's id is its page's, followed by its row's place.
+
+Nulls and repeats: a null html is an empty payload; a null or empty url is written as ``urn:page:<id>`` and read back as
+that; line ends in a url are written, and read back, as %0D and %0A; rows that repeat both the largest page_id and its
+payload are all responses, and revisits refer to the first of them; rows with a null page_id refer to the response like
+all others, and are responses where no row with that payload has an id.  An empty table gives no archive and no rows.
+Columns other than page_id, url and html are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import shipped
-from .common import open_fs, shared_dir, written
+from .common import Places, open_fs, shared_dir, spread_join, with_row_key, written
 
 _DATE = "2024-01-01T00:00:00Z"
 _INDEX = "file string, offset long, length long, page_id long, url string, payload_digest string, record_type string"
@@ -31,40 +35,31 @@ _INDEX_ARROW = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("lengt
 _RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 
 
-def classified(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
-    """(page_id, url, payload, payload_digest, refers_to): refers_to is null for responses.
+def revisits(payloads: DataFrame) -> DataFrame:
+    """(row, refers_to, refers_row) of the rows of (row, page_id, digest) that revisit the response of their digest."""
+    winners = payloads.groupBy("digest").agg(F.max(F.struct("page_id", -F.col("row"))).alias("first"), F.count(F.lit(1)).alias("copies"))
+    winners = winners.filter("copies > 1 and first.page_id is not null").select("digest", "copies", F.col("first.page_id").alias("refers_to"), (-F.col("first.col2")).alias("refers_row"))
+    winners = written(winners, shared_dir(payloads.sparkSession, "winners"))
+    return spread_join(payloads, winners, "digest", "copies").filter("not page_id <=> refers_to").select("row", "refers_to", "refers_row")
 
-    Winners are found on (digest, length, page_id) alone, with partial aggregation; only payloads that repeat reach the
-    join, where adaptive execution may split a payload that holds much of the table.
-    """
-    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
-    pages = pages.withColumns({"payload_digest": F.sha1("payload"), "payload_bytes": F.octet_length("payload").cast("long")})
-    keyed = F.when(F.col("payload_bytes") >= min_bytes, F.col("payload_digest"))
-    winners = (
-        pages.select(keyed.alias("k"), "page_id").filter("k is not null").groupBy("k").agg(F.max("page_id").alias("winner"), F.count(F.lit(1)).alias("n")).filter("n > 1 and winner is not null").select("k", "winner")
-    )
-    # a null key matches nothing; spreading it keeps small pages from meeting in one task
-    spread = F.coalesce(keyed, F.concat(F.lit("-"), F.xxhash64("page_id", "payload_digest").cast("string")))
-    out = pages.withColumn("k", spread).join(winners, "k", "left")
-    revisit = F.col("winner").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("winner"))
-    return out.withColumn("refers_to", F.when(revisit, F.col("winner"))).drop("k", "winner")
-
-
-def _record(page_id: int | None, url: str | None, payload: bytes, digest: str, size: int, refers_to: int | None) -> bytes:
-    kind = "response" if refers_to is None else "revisit"
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
-    block = http + (payload if refers_to is None else b"")
+
+def _record(row: int, page_id: int | None, url: str | None, payload: bytes, digest: str, refers: tuple[int, int] | None) -> bytes:
+    name = lambda page, row: f"<urn:page:{'' if page is None else page}:row:{row}>"
+    kind = "response" if refers is None else "revisit"
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    block = http + (payload if refers is None else b"")
     target = (url or f"urn:page:{'' if page_id is None else page_id}").replace("\r", "%0D").replace("\n", "%0A")
-    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Target-URI: {target}", f"WARC-Date: {_DATE}", f"WARC-Payload-Digest: sha1:{digest}"]
-    if refers_to is not None:
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {name(page_id, row)}", f"WARC-Target-URI: {target}", f"WARC-Date: {_DATE}", f"WARC-Payload-Digest: sha1:{digest}"]
+    if refers is not None:
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {name(*refers)}"]
     head += ["Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def _writer(folder: str, most: int, level: int):
+def _writer(folder: str, decided: str, most: int, level: int):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_fs(folder)
+        side = Places(decided)
         out, name, at, rows = None, "", 0, []
 
         def close() -> None:
@@ -72,20 +67,26 @@ def _writer(folder: str, most: int, level: int):
             fs.move(f"{root}/{name}.part", f"{root}/{name}")
 
         for batch in it:
-            for page_id, url, payload, digest, size, refers in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "payload", "payload_digest", "payload_bytes", "refers_to")), strict=True):
+            if not batch.num_rows:
+                continue
+            refers: dict[int, tuple[int, int]] = {}
+            for mine, table in side.matches(batch.column("row").to_numpy(), "row"):
+                refers |= dict(zip(mine.tolist(), zip(table.column("refers_to").to_pylist(), table.column("refers_row").to_pylist(), strict=True), strict=True))
+            for k, (row, page_id, url, html) in enumerate(zip(*(batch.column(c) for c in ("row", "page_id", "url", "html")), strict=True)):
+                row, page_id, url, payload = row.as_py(), page_id.as_py(), url.as_py(), (html.as_py() or "").encode()
                 if out is None:
                     name, at = f"pages-{uuid.uuid4().hex}.warc.gz", 0
                     out = fs.open_output_stream(f"{root}/{name}.part", compression=None)
-                member = gzip.compress(_record(page_id, url, payload, digest, size, refers), level, mtime=0)
+                digest, other = hashlib.sha1(payload).hexdigest(), refers.get(k)
+                member = gzip.compress(_record(row, page_id, url, payload, digest, other), level, mtime=0)
                 out.write(member)
-                rows.append({"file": name, "offset": at, "length": len(member), "page_id": page_id, "url": url, "payload_digest": digest, "record_type": "response" if refers is None else "revisit"})
+                rows.append({"file": name, "offset": at, "length": len(member), "page_id": page_id, "url": url, "payload_digest": digest, "record_type": "response" if other is None else "revisit"})
                 at += len(member)
                 if at >= most:
                     close()
                     out = None
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, _INDEX_ARROW)
-                rows = []
+            yield pa.RecordBatch.from_pylist(rows, _INDEX_ARROW)
+            rows = []
         if out is not None:
             close()
 
@@ -98,10 +99,15 @@ def write_warc(pages: DataFrame, folder: str, *, min_bytes: int = 1000, file_byt
 
     A task that is run again writes files of other names; the index names only those of the attempt that counted.
     """
+    spark = pages.sparkSession
     fs, root = open_fs(folder)
     fs.create_dir(root, recursive=True)
-    # read back in ranges: one sequential file per task, so the index in file order is the order of the archive
-    return written(classified(pages, min_bytes).mapInArrow(_writer(folder, file_bytes, level), _INDEX), f"{folder}/index")
+    pages = with_row_key(pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")), "row")
+    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+    long = written(pages.filter(F.octet_length(payload) >= min_bytes).select("row", "page_id", F.sha1(payload).alias("digest")), shared_dir(spark, "payloads"))
+    decided = Places.put(revisits(long), "row", "revisits")
+    # one sequential file per task, so the index in file order is the order of the archive
+    return written(pages.mapInArrow(_writer(folder, decided, file_bytes, level), _INDEX), f"{folder}/index")
 
 
 def _parse(raw: bytes) -> dict:
@@ -114,7 +120,7 @@ def _parse(raw: bytes) -> dict:
     kind = fields["WARC-Type"]
     if kind == "response" and (len(payload) != size or hashlib.sha1(payload).hexdigest() != digest):
         raise ValueError(f"record {fields['WARC-Record-ID']} is damaged")
-    number = lambda s: int(x) if (x := s.removeprefix("<urn:page:").removesuffix(">")) else None
+    number = lambda s: int(x) if (x := s.removeprefix("<urn:page:").partition(":")[0]) else None
     return {"page_id": number(fields["WARC-Record-ID"]), "url": fields["WARC-Target-URI"], "payload_bytes": size, "payload_digest": digest, "record_type": kind, "refers_to": number(fields["WARC-Refers-To"]) if kind == "revisit" else None, "payload": payload if kind == "response" else None}
 
 
@@ -137,11 +143,16 @@ def ranges(rows: Iterator[tuple[str, int, int]], gap: int, most: int) -> Iterato
 
 
 @shipped
-def read_warc(spark: SparkSession, folder: str, selected: DataFrame | None = None, *, gap: int = 64 << 10, most: int = 8 << 20, keep_payload: bool = True) -> DataFrame:
-    """Records of ``selected`` index rows (all, if none are given), by sorted and coalesced byte-range reads."""
+def read_warc(spark: SparkSession, folder: str, selected: DataFrame | None = None, *, gap: int = 64 << 10, most: int = 8 << 20, task_bytes: int = 8 << 20, keep_payload: bool = True) -> DataFrame:
+    """Records of ``selected`` index rows (all, if none are given), by sorted and coalesced byte-range reads.
+
+    There is a task for each ``task_bytes`` of records, with neighbouring ones: an explicit number, as adaptive execution
+    would see only the few bytes of the index.
+    """
     index = selected if selected is not None else spark.read.schema(_INDEX).parquet(f"{folder}/index")
-    cut = F.floor(F.col("offset") / (4 * most))  # a large archive is read by several tasks
-    todo = index.select("file", "offset", "length", cut.alias("cut")).repartition("file", "cut").sortWithinPartitions("file", "offset").drop("cut")
+    index = index.select("file", "offset", "length")
+    tasks = -(-(index.agg(F.sum("length")).first()[0] or 1) // task_bytes)
+    todo = index.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_fs(folder)

@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 import numpy as np
 import public_tokenizers
@@ -45,6 +46,45 @@ def test_random_access_and_foreign_dictionary(spark):
         K.Shard(fs, f"{root}/{file}", data + b"x")
 
 
+def test_many_rows_without_an_id_make_several_ranges_and_other_tokenizers_give_their_ids(spark, tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    df = spark.createDataFrame([(None, f"row {k % 50}") for k in range(3000)] + [(k, "an id") for k in range(5)], "doc_id long, text string").repartition(4)
+    folder = shared_dir(spark, "t")
+    manifest = K.write_tokens(df, folder, PATH, shard_bytes=5000)
+    assert manifest.select("part").distinct().count() > 1
+    got = K.read_tokens(spark, folder, task_bytes=2000).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None] * 3000 + list(range(5))
+    assert [r.start for r in got] == np.concatenate([[0], np.cumsum([r.n_tokens for r in got])[:-1]]).tolist()
+    assert K.read_tokens(spark, folder, task_bytes=2000).rdd.getNumPartitions() > 3
+
+    spec = json.load(open(PATH))
+    spec["normalizer"] = {"type": "Sequence", "normalizers": [{"type": "NFKC"}, {"type": "Lowercase"}]}
+    other = str(tmp_path / "other.json")
+    json.dump(spec, open(other, "w"))
+    t, whole = K.WordTokenizer(other), Tokenizer.from_file(other)
+    for text in ("Plain words", "ﬁne ½ ①  x"):
+        assert t.encode(text) == t.pack(whole.encode(text, add_special_tokens=False).ids)
+    assert not t.by_word and K.WordTokenizer(PATH).by_word
+
+
+def test_warc_hot_payload_and_long_page(spark):
+    hot, long = "<p>" + "h" * 1200, "<p>" + "long page " * 300_000
+    rows = [(k, "u", hot) for k in range(2000)] + [(5000 + k, "", f"<p>{k}" + "x" * 1100) for k in range(50)] + [(9000, "l", long)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    folder = shared_dir(spark, "w")
+    W.write_warc(df, folder)
+    back = W.read_warc(spark, folder, task_bytes=10_000)
+    assert back.rdd.getNumPartitions() > 3
+    got = back.collect()
+    assert len(got) == len(rows) and sum(r.record_type == "revisit" for r in got) == 1999
+    assert {r.refers_to for r in got if r.record_type == "revisit"} == {1999}
+    assert {r.url for r in got if 5000 <= r.page_id < 5003} == {"urn:page:5000", "urn:page:5001", "urn:page:5002"}
+    assert next(r for r in got if r.page_id == 9000).payload_bytes == len(long)
+
+
 def test_warc_round_trip(spark, rows):
     big, other = "<p>" + "a" * 2000, "<p>" + "é" * 1500
     data = [(1, "http://a/", big), (2, "http://b/", big), (3, None, big), (4, "u", "small"), (5, "u", "small"), (6, "u", None), (7, "u", ""), (8, "line\r\nbreak", other), (None, "n", big), (3, "again", big)]
@@ -116,6 +156,77 @@ def test_mix_takes_the_targets_and_blocks_are_disjoint(spark):
     assert X.mix(df.limit(0)).count() == 0
 
 
+def test_mix_against_a_direct_computation(spark):
+    """Order, passes, blocks and words anew; then what the tree promises of the shards."""
+    import xxhash
+
+    words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    rng = np.random.default_rng(4)
+    rows = [(int(i), ["a", "b", "c", None][i % 4], "w " * int(rng.integers(0, 30)) + str(i)) for i in range(600)]
+    rows += [(7, "b", "the same row")] * 3 + [(None, "c", f"no id {k}") for k in range(4)] + [(9000, "tiny", "one"), (9001, "a", None), (9002, "a", ""), (9003, None, "long " * 3000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
+    pieces = X.mix(df, block_words=64, shard_words=1000)
+    got = pieces.collect()
+
+    def key(r):
+        content = "" if r[2] is None else str(np.uint64(xxhash.xxh64_intdigest(r[2].encode(), seed=42)).astype(np.int64))
+        return hashlib.md5(f"6:{'' if r[0] is None else r[0]}:{content}".encode()).hexdigest()
+
+    names = sorted({r[1] for r in rows}, key=lambda s: (s is None, s or ""))
+    size = {s: sum(words(r[2]) for r in rows if r[1] == s) for s in names}
+    target = dict(zip(names, water_fill([size[s] for s in names], [k % 3 + 1 for k in range(len(names))]), strict=True))
+    want, quota = [], {}
+    for s in names:
+        whole, at = int(target[s] + 0.5), 0
+        quota[s] = -(-whole // 64)
+        for turn in range(3):
+            for r in sorted((r for r in rows if r[1] == s), key=key):
+                if (n := words(r[2])) and at < whole:
+                    want.append((r[0], s, turn, at // 64, min(n, whole - at)))
+                    at += n
+    assert sorted(((r.doc_id, r.source, r.turn, r.block, r.words) for r in got if r.shard is not None), key=repr) == sorted(want, key=repr)
+    for r in got:
+        assert r.target == pytest.approx(target[r.source]) and r.source_size == size[r.source]
+
+    # every block lies in one shard; shards have the tree's quotas, which differ by one block at most
+    home = {}
+    for r in got:
+        if r.shard is not None:
+            assert home.setdefault((r.source, r.block), r.shard) == r.shard
+    n_shards = 1 << int(np.log2(-(-sum(size.values()) // 1000)))
+    leaves = X.splitting_tree(np.array([quota[s] for s in names]), int(np.log2(n_shards)), 6)
+    for k, s in enumerate(names):
+        order = X.permute(np.arange(quota[s]), quota[s], 6, s)
+        assert sorted(order.tolist()) == list(range(quota[s]))
+        shards = np.searchsorted(np.cumsum(leaves[:, k]), order, "right")
+        assert np.bincount(shards, minlength=n_shards).tolist() == leaves[:, k].tolist()
+        assert all(shards[b] == home[s, b] for b in range(quota[s]) if (s, b) in home)
+    # shards are shuffled, and sources have permutations of their own
+    first = sorted((r for r in got if r.shard == 0), key=lambda r: r.place)
+    assert [(r.source, r.turn, r.block) for r in first] != sorted(((r.source, r.turn, r.block) for r in first), key=repr)
+    assert X.permute(np.arange(500), 500, 6, "a").tolist() != X.permute(np.arange(500), 500, 6, "b").tolist()
+
+    # the digest adds the pieces up, and the rows of the shards are those pieces
+    digest = {}
+    for r in X.taken(pieces).collect():
+        digest.setdefault(r.doc_id, []).append((r.size, r.taken, r.pieces, r.shards))
+    by_row = {}
+    for r in got:
+        by_row.setdefault((r.doc_id, r.row), []).append(r)
+    for (i, _), ps in by_row.items():
+        real = sorted((p for p in ps if p.shard is not None), key=lambda p: p.turn)
+        assert (ps[0].size, sum(p.words for p in ps), len(real), ",".join(f"{p.shard}:{p.place}" for p in real)) in digest[i]
+    texts = X.mixed(df, block_words=64, shard_words=1000).collect()
+    assert sorted((r.doc_id or -1, words(r.text)) for r in texts) == sorted((i or -1, n) for i, _, _, _, n in want)
+
+
+def test_many_equal_rows_spread_over_cells(spark):
+    rows = [(None, "a", "equal words here")] * 5000 + [(i, "a", "others " * 5) for i in range(50)]
+    df = spark.createDataFrame([(k, i, s, 3 if i is None else 5, 1 if i is None else i + 10) for k, (i, s, _) in enumerate(rows)], "row long, doc_id long, source string, size long, content long")
+    got = X.permuted(df, "6:", len(rows), cell_rows=64, most_hot=10).orderBy("begin").collect()
+    assert [r.begin for r in got] == np.concatenate([[0], np.cumsum([r["size"] for r in got])[:-1]]).tolist()
+
+
 def test_words_are_split_at_ascii_space_only(spark):
     df = spark.createDataFrame([("a b c\td\x0be\n",), (None,), ("",), ("　",)], "t string")
     assert [r.n for r in df.select(X.word_count(F.col("t")).alias("n")).collect()] == [4, 0, 0, 1]

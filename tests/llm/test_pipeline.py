@@ -57,3 +57,58 @@ def test_mix_counts_belong_to_their_rows(spark):
     for r in C.mix_sources(spark, docs, "").collect():
         got[r.source] += len(r.text.split())
     assert got == want
+
+
+EDGE = "doc_id long, text string, lang string, source string, n_chars long, _row long, row_key int, shard int, place string, searched string, scored string, cell int, _file string, size int"
+
+
+@pytest.fixture
+def edge(spark):
+    """Null columns, empty and very long texts, repeated rows and ids, and columns with the names that stages use."""
+    good = " ".join(f"prose{k}" for k in range(80))
+    rows = [(1, good), (1, good), (2, None), (3, ""), (None, "no id here"), (None, None), (4, "long text " * 30_000), (5, "a b c"), (5, "d e f"), (6, good + " more")]
+    return spark.createDataFrame([(i, t, None if k % 3 else "en", None if k % 4 == 0 else "s", None if t is None else len(t), -k, k, 7, "p", "q", "r", k, "f", k) for k, (i, t) in enumerate(rows)], EDGE)
+
+
+@pytest.mark.parametrize("stage", C.STAGES[:-1], ids=lambda s: s[0])
+def test_stages_on_odd_rows_and_empty_tables(spark, edge, stage):
+    folder = "/root/testdata/sf0.001"
+    got = stage[1](spark, edge, folder)
+    assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in edge.schema]
+    # rows stay whole: columns other than the text and its length are those of a row of the input
+    plain = lambda r: tuple(v for f, v in zip(got.columns, r, strict=True) if f not in ("text", "n_chars"))
+    assert {plain(r) for r in got.collect()} <= {plain(r) for r in edge.collect()}
+    none = stage[1](spark, edge.limit(0), folder)
+    assert none.columns == edge.columns and none.count() == 0
+
+
+def test_what_the_stages_make_of_odd_rows(spark, edge):
+    folder = "/root/testdata/sf0.001"
+    kept = sorted(r.row_key for r in C.keep_one_of_each_class(spark, edge, folder).collect())
+    assert kept == [0, 2, 3, 4, 5, 6, 7, 8]  # the repeated row and the near copy go
+    assert sorted(r.row_key for r in C.drop_leaks(spark, edge, folder).collect()) == list(range(10))
+    mixed = C.mix_sources(spark, edge, folder).collect()
+    assert not {2, 3, 5} & {r.row_key for r in mixed}
+    assert all(r.n_chars == len(r.text) for r in mixed)
+    tokens = C.write_token_files(spark, edge, folder).collect()
+    assert sorted(((r.doc_id or 0) for r in tokens)) == [0, 0, 1, 1, 2, 3, 4, 5, 5, 6]
+    assert C.write_token_files(spark, edge.limit(0), folder).count() == 0
+
+
+def test_five_rows_with_repeated_ids(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    docs = spark.createDataFrame([(5, a), (5, a), (3, b), (7, b), (7, c)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in C.keep_one_of_each_class(spark, docs, "").collect()) == [(3, b), (5, a), (7, c)]
+
+
+def test_mix_stage_is_shard_by_shard(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(40)), "en", "ab"[i % 2], 1) for i in range(300)], "doc_id long, text string, lang string, source string, n_chars long")
+    keyed = C.with_row_key(docs, "k")
+    pieces = {(r.doc_id, r.turn): r for r in C.mixing.mix(keyed, row="k", block_words=256, shard_words=2000).collect()}
+    shards, turns = [], {}
+    for r in C.mixing.mixed(docs, block_words=256, shard_words=2000).collect():
+        here = [p for (i, _), p in pieces.items() if i == r.doc_id and p.words == len(r.text.split())]
+        shards.append({p.shard for p in here})
+        turns[r.doc_id] = turns.get(r.doc_id, 0) + 1
+    assert turns == {i: sum(k[0] == i and p.words > 0 for k, p in pieces.items()) for i in turns}
+    assert len(set().union(*shards)) >= 4
