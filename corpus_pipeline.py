@@ -6,11 +6,12 @@ of ``documents``.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundscope.llm import decontam, mixing, ngram_join, quality, token_store
-from fundscope.llm.common import load, result_only, shared_dir, with_row_key, written
+from fundscope.llm.common import Places, load, result_only, shared_dir, unused, with_row_key, written
 from fundscope.llm.queries import tokenizer
 
 #: No SQL: a compression classifier, a randomised join and a tokenizer are in it.
@@ -18,7 +19,10 @@ ORACLE_SQL = None
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose predicted quality is 1, from labels that aren't held out."""
+    """Documents whose predicted quality is 1, from labels that aren't held out.
+
+    Null and empty texts get the base rate of the labels; repeated rows are judged alike; an empty table stays empty.
+    """
     known = load(spark, sf_dir, "labels").filter(~quality.held_out(F.col("doc_id")))
     return quality.keep(docs, quality.fit(docs, known))
 
@@ -26,44 +30,49 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each near-duplicate class: the least doc_id, rows without an id last, the first as stored of equal ones.
 
-    Rows are told apart by a key of their own, as ids may be repeated or null.  Texts meet the keys of what stays in a
-    merge join at every size, so that no list of keys is ever broadcast.
+    Rows are told apart by a key of their own, as ids may be repeated or null.  Null texts and texts without words are
+    classes of their own and stay; an empty table stays empty.  The texts aren't shuffled: the tasks that read them look
+    up which of their rows stay.
     """
-    keyed = with_row_key(docs)
-    classes = result_only(spark, lambda: ngram_join.near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text")), "classes")
+    columns, schema, key = docs.columns, docs.schema, unused(docs, "row_key")
+    keyed = with_row_key(docs, key)
+    classes = result_only(spark, lambda: ngram_join.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text")), "classes")
     # a row without links is a class of its own
-    alone = classes.filter("n_links = 0").select(F.col("doc_id").alias("_row"))
-    ids = keyed.select("_row", F.col("doc_id").alias("_id"))
-    linked = classes.filter("n_links > 0").select(F.col("doc_id").alias("_row"), "class_id").join(ids.hint("merge"), "_row")
-    first = linked.groupBy("class_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")).alias("first"))
-    kept = alone.unionByName(first.select(F.col("first._row").alias("_row")))
-    return keyed.join(kept.hint("merge"), "_row", "left_semi").select(docs.columns)
+    linked = classes.filter("n_links > 0").select(F.col("doc_id").alias("row"), "class_id")
+    ids = keyed.select(F.col(key).alias("row"), F.col("doc_id").alias("id"))
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "row")
+    best = linked.join(ids.hint("merge"), "row").groupBy("class_id").agg(F.min(first).alias("first"))
+    kept = classes.filter("n_links = 0").select(F.col("doc_id").alias(key)).unionByName(best.select(F.col("first.row").alias(key)))
+    folder = Places.put(kept, key, "kept")
+
+    def stay(it):
+        side = Places(folder)
+        for batch in it:
+            for at, _ in side.matches(batch.column(key).to_numpy(), key) if batch.num_rows else ():
+                yield batch.select(columns).take(pa.array(at))
+
+    return keyed.mapInArrow(stay, schema)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark; null and empty texts stay, repeated rows are judged alike."""
     return decontam.without_leaks(docs, load(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, whole, and cut to the words taken where a pass ends within one."""
-    columns, kinds = docs.columns, docs.dtypes
-    docs = with_row_key(docs)
-    share = lambda: mixing.mix(docs, row="_row").groupBy(F.col("row").alias("_row"), F.col("size").alias("_size")).agg(F.sum("words").alias("_taken"))
-    taken = result_only(spark, share, "taken").filter("_taken > 0")
-    joined = docs.join(taken.hint("merge"), "_row")
-    turns = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_taken") - 1) / F.col("_size")))).alias("_turn")
-    many = joined.select("*", turns).withColumn("_words", F.least(F.col("_size"), F.col("_taken") - F.col("_turn") * F.col("_size")))
-    # pieces end where a word ends, so the first so many pieces hold the first so many words and what stands between
-    ends = F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    cut = F.array_join(F.slice(ends, F.lit(1), F.col("_words").cast("int")), "")
-    whole = F.col("_words") == F.col("_size")
-    many = many.withColumns({"text": F.when(whole, F.col("text")).otherwise(cut), "n_chars": F.when(whole, F.col("n_chars")).otherwise(F.char_length(cut))})
-    return many.select(columns).select([F.col(c).cast(t) for c, t in kinds])
+    """The shards of the mix: documents as often as it takes them, whole, and cut where a source's target ends in one.
+
+    Documents without words are in no block and go; a null source is a source of its own; rows that share an id keep their
+    own counts; an empty table stays empty.
+    """
+    return mixing.mixed(docs, length="n_chars")
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Digest of the token files, read back: (doc_id, start, n_tokens, ids_crc32)."""
+    """Digest of the token files, read back: (doc_id, start, n_tokens, ids_crc32).
+
+    Null and empty texts have the end id alone; null ids come first; a repeated id has a row for each document.
+    """
     return token_store.digest(token_store.token_files(docs, tokenizer()))
 
 
