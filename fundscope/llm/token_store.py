@@ -22,13 +22,17 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,38 +46,40 @@ _NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Re
 
 
 class WordTokenizer:
-    """Ids of whole texts from the tokenizers library, with the ids of words kept.
+    """Ids of whole texts from the tokenizers library, batch by batch, with the ids of parts of words kept.
 
     The vocabulary's pre-tokenizer drops white space and never joins what stands on its two sides, so a text's ids are
-    its words' ids in a row.  Words in Latin-1 are cut by the tokenizer file's own pattern and go to the library's model
-    directly; all others, and texts with special tokens or the control characters that Python alone splits at, go
-    through the library's whole pipeline, as do all texts if the tokenizer file's normaliser or pre-tokenizer is another
-    one than this way stands for.  At most ``keep`` words are held.
+    its words' ids in a row, and a batch's distinct words are enough.  Words in Latin-1 are cut by the tokenizer file's
+    own pattern and go to the library's model directly; all others, and texts with special tokens or the control
+    characters that Python alone splits at, go through the library's whole pipeline, as do all texts if the tokenizer
+    file's normaliser or pre-tokenizer is another one than this way stands for.  At most ``keep`` parts are held.
     """
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 700_000):
         import regex
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         spec = json.loads(self.whole.to_str())
         self.by_word = self._known(spec)
-        self.pieces = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall if self.by_word else None
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.model = self.whole.model
         self.width = 2 if self.whole.get_vocab_size() <= 1 << 16 else 4
-        self.kind = f"<u{self.width}"
+        self.kind, self.code = f"<u{self.width}", "H" if self.width == 2 else "I"
+        if self.by_word:
+            pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+            self.pieces = regex.compile(rf"(?:{pattern})|\n").findall
         self.bytes = self._byte_level()
-        self.keep, tokenizer = keep, self
+        tokenizer = self
 
         class Kept(dict):
-            def __missing__(self, word: str) -> bytes:
-                if len(self) >= tokenizer.keep:
+            def __missing__(self, part: str) -> bytes:
+                if len(self) >= keep:
                     self.clear()
-                self[word] = ids = tokenizer.word(word)
+                self[part] = ids = tokenizer.part(part)
                 return ids
 
-        self.words, self.parts = Kept(), {}
+        self.parts = Kept()
 
     @staticmethod
     def _known(spec: dict) -> bool:
@@ -95,30 +101,67 @@ class WordTokenizer:
         return table
 
     def pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
-
-    def word(self, word: str) -> bytes:
-        try:
-            word.encode("latin-1")
-        except UnicodeEncodeError:
-            return self.pack(self.whole.encode(word, add_special_tokens=False).ids)
-        out = []
-        for part in self.pieces(word.lower()):
-            ids = self.parts.get(part)
-            if ids is None:
-                if len(self.parts) >= self.keep:
-                    self.parts.clear()
-                shown = part if part.isascii() and part.isprintable() else "".join(self.bytes[b] for b in part.encode())
-                ids = self.parts[part] = self.pack([t.id for t in self.model.tokenize(shown)])
-            out.append(ids)
-        return b"".join(out)
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
+
+    def part(self, part: str) -> bytes:
+        """Ids of a part; of the end of a word, a single byte, which no ids have as their length."""
+        if part == "\n":
+            return b"\n"
+        shown = part if part.isascii() and part.isprintable() else "".join([self.bytes[b] for b in part.encode()])
+        return self.pack([t.id for t in self.model.tokenize(shown)])
+
+    def _through(self, text: str) -> bytes:
+        return self.pack(self.whole.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if not self.by_word or any(s in text for s in self.special) or any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return self.pack(self.whole.encode(text, add_special_tokens=False).ids)
-        return b"".join(map(self.words.__getitem__, text.split()))
+        return self.encode_all(pa.array([text], pa.string()))[0]
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text as unsigned integers of ``width`` bytes; a null text has none."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        odd = pc.match_substring_regex(texts, "|".join([r"[\x1c-\x1f]", *map(re.escape, self.special)])).to_numpy(zero_copy_only=False)
+        if not self.by_word:
+            return [self._through(t) for t in texts.to_pylist()]
+        if odd.any():
+            out = [self._through(t) if o else b"" for t, o in zip(texts.to_pylist(), odd, strict=True)]
+            rest = np.flatnonzero(~odd)
+            for k, ids in zip(rest.tolist(), self.encode_all(texts.take(pa.array(rest))), strict=True):
+                out[k] = ids
+            return out
+        # white space here is that of str.split
+        lists = pc.utf8_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
+        ids, length = self._words(coded.dictionary)
+        first, code = np.cumsum(length) - length, coded.indices.to_numpy()
+        many = length[code]
+        ends = np.concatenate([[0], np.cumsum(many)])
+        flat = ids[np.repeat(first[code] - ends[:-1], many) + np.arange(ends[-1])]
+        words = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+        cuts = ends[words].tolist()
+        return [flat[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in a row, and how many each has."""
+        if not len(words):
+            return np.zeros(0, self.kind), np.zeros(0, np.int64)
+        wide = pc.match_substring_regex(words, r"[^\x{00}-\x{ff}]")
+        far = {int(k): self._through(words[int(k)].as_py()) for k in np.flatnonzero(wide.to_numpy(zero_copy_only=False))}
+        if far:
+            words = pc.if_else(wide, "", words)
+        line = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), pa.scalar("\n", pa.large_string()))[0].as_py() + "\n"
+        found = list(map(self.parts.__getitem__, self.pieces(line.lower())))
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        end = np.flatnonzero(size == 1)
+        length = np.diff(np.cumsum(size // self.width)[end], prepend=0)
+        raw = b"".join([x for x in found if len(x) != 1])
+        if far:
+            at = np.concatenate([[0], np.cumsum(length) * self.width]).tolist()
+            raw = b"".join([far.get(k) or raw[at[k] : at[k + 1]] for k in range(len(words))])
+            length[list(far)] = [len(x) // self.width for x in far.values()]
+        return np.frombuffer(raw, self.kind), length
 
 
 def train_dictionary(texts: list[str], tokenizer_path: str, size: int):
@@ -126,7 +169,7 @@ def train_dictionary(texts: list[str], tokenizer_path: str, size: int):
     import zstandard
 
     tokenizer = WordTokenizer(tokenizer_path)
-    samples = [x for x in map(tokenizer.encode, texts) if x]
+    samples = [x for x in tokenizer.encode_all(pa.array(texts, pa.string())) if x]
     try:
         return zstandard.train_dictionary(size, samples, level=3).as_bytes()
     except (zstandard.ZstdError, ValueError):
@@ -148,8 +191,8 @@ def _compressor(tokenizer_path: str, dictionary: bytes, end_id: int, level: int)
         tokenizer = WordTokenizer(tokenizer_path)
         zstd = zstandard.ZstdCompressor(level=level, dict_data=_dictionary(dictionary), write_dict_id=False)
         end = tokenizer.pack([end_id])
-        for batch in batches(it, "text"):
-            ids = [tokenizer.encode(t) + end for t in batch.column("text").to_pylist()]
+        for batch in batches(it, "text", 8 << 20):
+            ids = [x + end for x in tokenizer.encode_all(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(x) // tokenizer.width for x in ids], pa.int64()), pa.array([zstd.compress(x) for x in ids], pa.binary())],
                 ["doc_id", "n_tokens", "frame"],

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,8 +18,18 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 def test_words_of_the_tokenizer_equal_whole_texts():
     t = K.WordTokenizer(PATH, keep=50)
     texts = ["Don't STOP, it's 12.5%!", "naïve café Ünïcode  ß", "日本語 と English　mixed", "ΣΑΣ İstanbul", "a\x1cb c\x85d\xa0e", "x <|endoftext|> y", "é combining", "", " \n\t ", "word " * 500, "🙂🙂 ok", "²³ ½ ª"]
-    for s in texts:
-        assert t.encode(s) == t.pack(t.whole.encode(s, add_special_tokens=False).ids), s
+    want = [t.pack(t.whole.encode(s, add_special_tokens=False).ids) for s in texts]
+    assert [t.encode(s) for s in texts] == want
+    assert t.encode_all(pa.array([*texts, None])) == [*want, b""]
+    assert t.encode_all(pa.array([], pa.string())) == [] and t.encode_all(pa.array(["plain"])) == t.encode_all(pa.array(["plain", "a\x1eb"]))[:1]
+
+
+def test_random_texts_equal_the_library():
+    rng = np.random.default_rng(8)
+    signs = list("abcABCxyzéßÄñİıǅΣσς'’.,!?0123 \t\n\x85\xa0\u2003\u2028\u3000日本🙂e\u0301½²ªµ<|>")
+    t = K.WordTokenizer(PATH)
+    texts = ["".join(rng.choice(signs, rng.integers(0, 40))) for _ in range(4000)]
+    assert t.encode_all(pa.array(texts)) == [t.pack(t.whole.encode(s, add_special_tokens=False).ids) for s in texts]
 
 
 def test_files_round_trip_in_order(spark):
