@@ -4,12 +4,13 @@ A pair is a chosen and a rejected conversation.  Their longest common prefix of
 once, as the prompt; the turns after it are the completions.  In a completion only the text and end mark of assistant
 turns are trained on; everything else, and the whole prompt, is masked.
 
-All of it is joins, grouped minima and higher-order functions over rows of turns; a conversation is gathered only to
-render its own text.
+All of it is windows and higher-order functions over rows of turns, in one exchange by pair.  A pair is rendered by one
+task, which holds its text as one value: a conversation of any length comes whole, but must fit into a task.
 
 Nulls and repeats: rows with a null conversation, pair or turn number are left out; a null role or text equals only
 another null and renders empty; of several rows with one pair, side and turn number, each is a turn, in the order of role
-and text.  A side without turns gives an empty completion.  Other columns are ignored.  Empty tables give no rows.
+and text, nulls first.  A side without turns gives an empty completion.  Other columns are ignored.  Empty tables give no
+rows.
 """
 
 from __future__ import annotations
@@ -34,13 +35,13 @@ def preference_rows(turns: DataFrame) -> DataFrame:
     ``side`` is 'chosen' or 'rejected'.  Spans are [begin, end) character ranges of the completion that are trained on.
     """
     turns = turns.filter("pair_id is not null and turn is not null and side in ('chosen', 'rejected')").select("pair_id", "side", "turn", "role", "text")
-    order = Window.partitionBy("pair_id", "side").orderBy("turn", "role", "text")
-    placed = turns.withColumn("place", F.row_number().over(order))
+    # all windows and the grouping keep to the partitioning by pair
+    placed = turns.repartition("pair_id").withColumn("place", F.row_number().over(Window.partitionBy("pair_id", "side").orderBy("turn", "role", "text")))
     # a place is common if both sides have it with one (role, text)
-    at = placed.groupBy("pair_id", "place").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("role", "text")).alias("a"), F.max(F.struct("role", "text")).alias("b"))
-    parted = F.when((F.col("n") != 2) | ~F.col("a").eqNullSafe(F.col("b")), F.col("place"))
-    cut = at.groupBy("pair_id").agg(F.coalesce(F.min(parted), F.max("place") + 1).alias("cut"))
-    placed = placed.join(cut, "pair_id").filter("side = 'chosen' or place >= cut")
+    at, pair, said = Window.partitionBy("pair_id", "place"), Window.partitionBy("pair_id"), F.struct("role", "text")
+    placed = placed.withColumn("same", (F.count(F.lit(1)).over(at) == 2) & F.min(said).over(at).eqNullSafe(F.max(said).over(at)))
+    placed = placed.withColumn("cut", F.coalesce(F.min(F.when(~F.col("same"), F.col("place"))).over(pair), F.max("place").over(pair) + 1))
+    placed = placed.filter("side = 'chosen' or place >= cut")
     shown = placed.withColumns({"part": F.when(F.col("place") < F.col("cut"), "prompt").otherwise(F.col("side")), "head": _head(F.col("role")), "body": _body(F.col("text"))})
     one = F.struct("place", F.concat("head", "body").alias("shown"), F.char_length("head").alias("skip"), F.char_length(F.concat("head", "body")).alias("n"), (F.col("role").eqNullSafe(F.lit("assistant"))).alias("train"))
     gathered = shown.groupBy("pair_id").agg(*[F.array_sort(F.collect_list(F.when(F.col("part") == p, one))).alias(p) for p in ("prompt", "chosen", "rejected")])
@@ -63,16 +64,22 @@ def swapped_answers(conversations: DataFrame) -> DataFrame:
     """Preference pairs from single conversations: the rejected side ends with the last turn's text of a neighbour.
 
     A conversation is the chosen side of the pair of its own id.  The rejected side has the same turns, but its last turn
-    has the text of the last turn of conversation id XOR 1, and is missing where that has no turns.
+    has the text of the last turn of conversation id XOR 1, and is missing where that has no turns.  Of several rows with
+    the last turn number, the last one by role and text, nulls first, is the last turn, and the others stay in both sides.
+    Both neighbours are in one partition, so that a single exchange serves all of it.
     """
     c = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text").filter("conv_id is not null and turn is not null")
-    last = c.groupBy("conv_id").agg(F.max(F.struct("turn", "role", "text")).alias("last"))
-    other = last.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("last.text").alias("other"), F.lit(True).alias("there"))
-    ends = last.select("conv_id", F.col("last.turn").alias("end"), F.col("last.role").alias("end_role")).join(other, "conv_id", "left")
-    chosen = c.select(F.col("conv_id").alias("pair_id"), F.lit("chosen").alias("side"), "turn", "role", "text")
-    kept = c.join(ends.select("conv_id", "end"), "conv_id").filter("turn < end").select(F.col("conv_id").alias("pair_id"), F.lit("rejected").alias("side"), "turn", "role", "text")
-    swapped = ends.filter("there").select(F.col("conv_id").alias("pair_id"), F.lit("rejected").alias("side"), F.col("end").alias("turn"), F.col("end_role").alias("role"), F.col("other").alias("text"))
-    return chosen.unionByName(kept).unionByName(swapped)
+    c = c.withColumn("two", F.shiftright("conv_id", 1)).repartition("two")
+    latest = Window.partitionBy("two", "conv_id").orderBy(F.desc("turn"), F.desc_nulls_last("role"), F.desc_nulls_last("text"))
+    c = c.withColumn("last", F.row_number().over(latest) == 1)
+    # the last turns of the even and of the odd conversation; a struct tells a null text from no turn
+    end = lambda odd: F.max(F.when(F.col("last") & (F.pmod("conv_id", F.lit(2)) == odd), F.struct("text"))).over(Window.partitionBy("two"))
+    c = c.withColumns({"even": end(0), "odd": end(1)})
+    other = F.when(F.pmod("conv_id", F.lit(2)) == 0, F.col("odd")).otherwise(F.col("even"))
+    chosen = F.struct(F.lit("chosen").alias("side"), F.col("text").alias("text"))
+    rejected = F.when(~F.col("last"), F.struct(F.lit("rejected").alias("side"), F.col("text").alias("text"))).when(other.isNotNull(), F.struct(F.lit("rejected").alias("side"), other["text"].alias("text")))
+    sides = F.explode(F.array_compact(F.array(chosen, rejected))).alias("s")
+    return c.select(F.col("conv_id").alias("pair_id"), "turn", "role", sides).select("pair_id", "s.side", "turn", "role", "s.text")
 
 
 def flat_spans(spans: Column) -> Column:

@@ -69,17 +69,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
 
 ORACLES: dict[str, str] = {
     "op2_preference_format": r"""
-WITH c AS (SELECT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
-e AS (SELECT conv_id, max(turn) AS last FROM c GROUP BY conv_id),
-l AS (SELECT c.* FROM c JOIN e ON c.conv_id = e.conv_id AND c.turn = e.last),
+WITH c AS (
+  SELECT conv_id, turn, role, text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC NULLS LAST, text DESC NULLS LAST) AS back
+  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+e AS (SELECT DISTINCT conv_id FROM c),
+l AS (SELECT * FROM c WHERE back = 1),
 r AS (
-  SELECT c.conv_id, c.turn, c.role, c.text FROM c JOIN e ON c.conv_id = e.conv_id AND c.turn < e.last
+  SELECT conv_id, turn, role, text FROM c WHERE back > 1
   UNION ALL
   SELECT l.conv_id, l.turn, l.role, o.text FROM l JOIN l o ON o.conv_id = xor(l.conv_id, 1)),
-t AS (SELECT 'chosen' AS side, * FROM c UNION ALL SELECT 'rejected', * FROM r),
-p AS (SELECT *, row_number() OVER (PARTITION BY conv_id, side ORDER BY turn) AS place FROM t),
+t AS (SELECT 'chosen' AS side, conv_id, turn, role, text FROM c UNION ALL SELECT 'rejected', * FROM r),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id, side ORDER BY turn, role NULLS FIRST, text NULLS FIRST) AS place FROM t),
 d AS (
-  SELECT conv_id, place, count(*) = 2 AND count(DISTINCT role) = 1 AND count(DISTINCT text) = 1 AS same
+  SELECT conv_id, place, count(*) = 2 AND count(role) IN (0, 2) AND count(DISTINCT role) <= 1
+         AND count(text) IN (0, 2) AND count(DISTINCT text) <= 1 AS same
   FROM p GROUP BY conv_id, place),
 k AS (SELECT conv_id, coalesce(min(CASE WHEN NOT same THEN place END), max(place) + 1) AS cut FROM d GROUP BY conv_id),
 s AS (

@@ -30,3 +30,34 @@ def test_swapped_answers(spark):
     got = {r.pair_id: (r.prompt_turns, r.chosen[-14:], r.rejected) for r in P.preference_rows(P.swapped_answers(c)).collect()}
     assert got[0][0] == 1 and got[0][2] == "<|assistant|>\nelse<|end|>\n"
     assert got[7][0] == 0 and got[7][2] == ""
+
+
+def test_ties_nulls_and_repeats_as_in_sql(spark, tmp_path):
+    import random
+
+    import duckdb
+
+    from fundscope.llm import queries as Q
+
+    rnd = random.Random(5)
+    pick = lambda *x: rnd.choice(x)
+    rows = [(pick(None, -2, -1, 0, 1, 2, 3, 8), pick(None, 0, 1, 1, 2), pick(None, "user", "assistant"), pick(None, "", "a", "b")) for _ in range(400)]
+    rows += [(20 + k, t, pick("user", "assistant"), pick("x", "y", None)) for k in range(40) for t in range(rnd.randrange(1, 4)) for _ in range(pick(1, 1, 1, 2))]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    df = Q.op2_preference_format(spark, str(tmp_path))
+    columns = sorted(df.columns)
+    want = con.sql(f"SELECT {', '.join(columns)} FROM ({Q.ORACLES['op2_preference_format']})").fetchall()
+    got = sorted(map(tuple, df.select(columns).collect()), key=repr)
+    assert got == sorted(want, key=repr) and len(got) > 40
+
+
+def test_a_long_conversation_comes_whole_in_one_exchange(spark):
+    turns = [(1, k, "user" if k % 2 == 0 else "assistant", f"turn {k} " + "x" * 200) for k in range(20_000)] + [(0, 0, "user", "other")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    pairs = P.swapped_answers(df)
+    out = P.preference_rows(pairs)
+    assert sum("Exchange" in x for x in out._jdf.queryExecution().executedPlan().toString().split("\n")) <= 2
+    r = out.filter("pair_id = 1").first()
+    assert r.prompt_turns == 19_999 and r.rejected.endswith("other<|end|>\n") and r.chosen.startswith("<|assistant|>\nturn 19999 ")
