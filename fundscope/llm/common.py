@@ -59,9 +59,9 @@ def result_only(spark: SparkSession, make, what: str) -> DataFrame:
             discard(spark, p)
 
 
-def written(df: DataFrame, path: str) -> DataFrame:
+def written(df: DataFrame, path: str, compression: str | None = None) -> DataFrame:
     """``df`` written as Parquet and read again: later steps start from the files, not from the lineage."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

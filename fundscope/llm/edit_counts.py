@@ -1,4 +1,4 @@
-"""Edit-aware token counts: a segment tree over each document's pre-tokens, updated where edits touch it.
+"""Edit-aware token counts: a segment tree over each document's pre-tokens, kept, and updated where edits touch it.
 
 A byte-level BPE cuts a text into pre-tokens by a pattern and encodes each on its own, so a text's count is the sum over
 its pre-tokens.  A document's tree has chunks of pre-tokens with their counts as leaves, and sums of characters and
@@ -6,6 +6,10 @@ tokens above.  An edit finds its leaves by descending on characters, cuts the te
 the edit until the cuts fall on old ones again after it, counts only those pre-tokens, and updates the sums on the way
 up.
 
+``plant`` gives a table with a tree per document, to be stored; ``edit`` takes such a table and edits to the trees after
+them.  A stored tree is its text, the lengths of its pre-tokens and their counts: reading it back cuts and encodes
+nothing, and the sums above the leaves are added up again only where a document has edits.
+
 Nulls and repeats: a null text counts as empty, with 0 tokens; an edit outside the text is clipped to it; edits apply in
 order, each to the text that the ones before have left; a null list of edits is empty; a repeated document is counted
 each time, and a null id is kept.  Other columns are ignored.  An empty table gives no rows.
@@ -16,6 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,10 +71,16 @@ class Tree:
     The text is nowhere kept as a whole, so that an edit costs its own region and a path to the root.
     """
 
-    def __init__(self, text: str, counter: Counter):
+    def __init__(self, text: str, counter: Counter, lengths: list[int] | None = None, counts: list[int] | None = None):
+        """From a text, or from a stored tree's text, lengths and counts, where nothing is cut or encoded."""
         self.counter, self.encoded = counter, 0
-        pieces = counter.pieces(text)
-        self._build(self._chunks(pieces, list(map(counter.known.__getitem__, pieces))))
+        if lengths is None:
+            pieces = counter.pieces(text)
+            counts = list(map(counter.known.__getitem__, pieces))
+        else:
+            ends = np.cumsum(lengths).tolist()
+            pieces = [text[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)] if ends else []
+        self._build(self._chunks(pieces, counts))
 
     @staticmethod
     def _chunks(pieces: list[str], counts: list[int]) -> list[tuple[list[str], list[int]]]:
@@ -174,50 +185,104 @@ class Tree:
         return (done, len(old)) if to_end else (None, 0)
 
 
-@shipped
-def counts_with_edits(docs: DataFrame, ranks_path: str, pattern: str, find: Callable[[str], list[dict]] | None = None) -> DataFrame:
-    """(doc_id, n_edits, tokens_before, tokens_after, chars_after, chars_encoded) of rows (doc_id, text, edits).
+_TREE = "doc_id long, text string, lengths binary, counts binary, tokens long"
+_EDITED = ("n_edits", "tokens_before", "chars_after", "chars_encoded")
 
-    ``edits`` is array<struct<begin, end, text>>, in characters; instead, ``find`` may give a text's edits.
-    ``chars_encoded`` counts what the edits had encoded anew.  Documents without edits are counted without a tree; nothing
-    is shuffled.
-    """
-    edits = F.lit(None).cast(_EDITS) if find else F.col("edits").cast(_EDITS)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), edits.alias("edits"))
 
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from .words import batches
+def _packed(numbers) -> bytes:
+    """Numbers in as few bytes each as the largest needs, told by the first byte."""
+    x = np.asarray(numbers, np.uint32)
+    width = 1 if not len(x) or x.max() < 1 << 8 else 2 if x.max() < 1 << 16 else 4
+    return bytes([width]) + x.astype(f"<u{width}").tobytes()
 
-        counter = Counter(ranks_path, pattern)
-        for batch in batches(it, "text"):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            given = map(find, texts) if find else batch.column("edits").to_pylist()
-            rows = [_counted(t, e or [], counter) for t, e in zip(texts, given, strict=True)]
-            cols = list(zip(*rows, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols)], ["doc_id", "n_edits", "tokens_before", "tokens_after", "chars_after", "chars_encoded"])
 
-    return docs.mapInArrow(run, "doc_id long, n_edits long, tokens_before long, tokens_after long, chars_after long, chars_encoded long")
+def _unpacked(raw: bytes) -> list[int]:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).tolist()
 
 
-def _counted(text: str, edits: list[dict], counter: Counter) -> tuple[int, int, int, int, int]:
+def _grown(text: str, lengths: bytes | None, counts: bytes | None, tokens: int, edits: list[dict], counter: Counter) -> tuple:
+    """A stored tree, or a text without one, after its edits: (text, lengths, counts, tokens), then what the edits did."""
     if not edits:
-        n = sum(map(counter.known.__getitem__, counter.pieces(text)))
-        return 0, n, n, len(text), 0
-    tree = Tree(text, counter)
+        if lengths is None:
+            pieces = counter.pieces(text)
+            known = list(map(counter.known.__getitem__, pieces))
+            lengths, counts, tokens = _packed(list(map(len, pieces))), _packed(known), sum(known)
+        return text, lengths, counts, tokens, 0, tokens, len(text), 0
+    tree = Tree(text, counter) if lengths is None else Tree(text, counter, _unpacked(lengths), _unpacked(counts))
     before = tree.total
     for e in edits:
         tree.edit(e["begin"], e["end"], e["text"] or "")
-    return len(edits), before, tree.total, tree.chars[1], tree.encoded
+    text = tree.text
+    lengths, counts = _packed([len(p) for pieces, _ in tree.leaves for p in pieces]), _packed([n for _, known in tree.leaves for n in known])
+    return text, lengths, counts, tree.total, len(edits), before, len(text), tree.encoded
+
+
+def _mapped(table: DataFrame, ranks_path: str, pattern: str, find: Callable[[str], list[dict]] | None, stored: bool, carry: dict[str, str]) -> DataFrame:
+    edits = F.col("edits").cast(_EDITS) if not find and "edits" in table.columns else F.lit(None).cast(_EDITS)
+    own = ["lengths", "counts", "tokens"] if stored else [F.lit(None).cast("binary").alias("lengths"), F.lit(None).cast("binary").alias("counts"), F.lit(0).cast("long").alias("tokens")]
+    kept = [F.col(c).cast(t).alias(c) for c, t in carry.items()]
+    table = table.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *own, edits.alias("edits"), *kept)
+    kinds = (pa.string(), pa.binary(), pa.binary(), *[pa.int64()] * 5)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from .words import batches
+
+        counter = Counter(ranks_path, pattern)
+        for batch in batches(it, "text"):
+            given = zip(*(batch.column(c).to_pylist() for c in ("text", "lengths", "counts", "tokens", "edits")), strict=True)
+            rows = [_grown(text, lengths, counts, tokens, find(text) if find else e or [], counter) for text, lengths, counts, tokens, e in given]
+            cols = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *cols, *(batch.column(c) for c in carry)], ["doc_id", "text", "lengths", "counts", "tokens", *_EDITED, *carry])
+
+    return table.mapInArrow(run, ", ".join([_TREE, *(f"{c} long" for c in _EDITED), *(f"{c} {t}" for c, t in carry.items())]))
+
+
+@shipped
+def plant(docs: DataFrame, ranks_path: str, pattern: str, find: Callable[[str], list[dict]] | None = None, carry: dict[str, str] | None = None) -> DataFrame:
+    """A tree per document, (doc_id, text, lengths, counts, tokens), and what its first edits did.
+
+    Edits are the column ``edits``, array<struct<begin, end, text>> in characters, if there is one; instead, ``find`` may
+    give a text's edits.  Beside the tree after them come n_edits, tokens_before, chars_after and chars_encoded, the
+    characters that the edits had encoded anew, and the columns (name to type) that ``carry`` asks for.  Nothing is
+    shuffled.
+    """
+    return _mapped(docs, ranks_path, pattern, find, False, carry or {})
+
+
+@shipped
+def edit(trees: DataFrame, ranks_path: str, pattern: str, find: Callable[[str], list[dict]] | None = None, carry: dict[str, str] | None = None) -> DataFrame:
+    """Stored ``trees`` after further edits, in the columns of ``plant``; trees without edits pass as they are."""
+    return _mapped(trees, ranks_path, pattern, find, True, carry or {})
+
+
+@shipped
+def counts_with_edits(docs: DataFrame, ranks_path: str, pattern: str, find: Callable[[str], list[dict]] | None = None) -> DataFrame:
+    """(doc_id, n_edits, tokens_before, tokens_after, chars_after, chars_encoded) of rows (doc_id, text, edits)."""
+    return plant(docs, ranks_path, pattern, find).select("doc_id", "n_edits", "tokens_before", F.col("tokens").alias("tokens_after"), "chars_after", "chars_encoded")
 
 
 #: Personal data that the redaction edits replace: mail addresses, IPv4 addresses, long digit runs of cards and phones.
 REDACTED = re.compile(r"(?<![\w.+-])[\w.+-]+@[\w-]+\.[\w.-]+|\b\d{1,3}(?:\.\d{1,3}){3}\b|\b\d{12,19}\b")
 
 
-def redactions(text: str, mark: str = "[redacted]") -> list[dict]:
-    """Edits that replace each match of ``REDACTED`` by ``mark``, each in characters of the text the others have left."""
+#: Web addresses that a second batch of edits replaces.
+LINKS = re.compile(r"\bhttps?://[^\s<>\"']+")
+
+
+def _replaced(pattern: re.Pattern, text: str, mark: str) -> list[dict]:
+    """Edits that replace each match by ``mark``, each in characters of the text that the others have left."""
     out, shift = [], 0
-    for m in REDACTED.finditer(text):
+    for m in pattern.finditer(text):
         out.append({"begin": m.start() + shift, "end": m.end() + shift, "text": mark})
         shift += len(mark) - (m.end() - m.start())
     return out
+
+
+def redactions(text: str, mark: str = "[redacted]") -> list[dict]:
+    """Edits that replace personal data."""
+    return _replaced(REDACTED, text, mark)
+
+
+def unlinked(text: str, mark: str = "[link]") -> list[dict]:
+    """Edits that replace web addresses."""
+    return _replaced(LINKS, text, mark)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, decontam, edit_counts, mixing, ngram_join, preference, quality, token_store, toxicity, warc
-from .common import load
+from .common import load, shared_dir, written
 
 
 def tokenizer(name: str = "word_bpe_49k.json") -> str:
@@ -28,10 +28,20 @@ def op2_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of every document before and after the redaction of personal data."""
+    """Counts of every document before and after the redaction of personal data, and after the links went, too.
+
+    The trees of all documents are kept in a table between the two batches of edits.
+    """
     import public_tokenizers
 
-    return edit_counts.counts_with_edits(load(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, edit_counts.redactions)
+    how = tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    first = {"n_edits": "n_redactions", "tokens_before": "tokens_before", "tokens": "tokens_after", "chars_after": "chars_redacted", "chars_encoded": "redaction_chars_encoded"}
+    trees = edit_counts.plant(load(spark, sf_dir, "documents"), *how, edit_counts.redactions)
+    columns = [F.col(c) for c in ("doc_id", "text", "lengths", "counts", "tokens")] + [F.col(c).alias(f"first_{c}") for c in first]
+    kept = written(trees.select(*columns), shared_dir(spark, "trees"), compression="zstd")
+    then = edit_counts.edit(kept, *how, edit_counts.unlinked, carry={f"first_{c}": "long" for c in first})
+    second = {"n_edits": "n_unlinks", "tokens": "tokens_unlinked", "chars_after": "chars_unlinked", "chars_encoded": "unlink_chars_encoded"}
+    return then.select("doc_id", *(F.col(f"first_{c}").alias(n) for c, n in first.items()), *(F.col(c).alias(n) for c, n in second.items()))
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
