@@ -94,6 +94,54 @@ def with_row_key(docs: DataFrame, key: str = "_row") -> DataFrame:
 CELL = 18
 
 
+def put_cells(table: DataFrame, by: list[str], within: list[str], folder: str) -> None:
+    """Write ``table`` below ``folder`` in a file per value of the integers ``by``, its rows in the order of ``within``.
+
+    A repeated task replaces its files by equal ones.
+    """
+    fs, root = open_fs(folder)
+    fs.create_dir(root, recursive=True)
+
+    def write(it):
+        import pyarrow as pa
+
+        fs, root = open_fs(folder)
+        for cell, rows in groups(it, by):
+            part, path = f"{root}/{uuid.uuid4().hex}.part", f"{root}/{'_'.join(map(str, cell))}.arrow"
+            with fs.open_output_stream(part) as out, pa.ipc.new_file(out, rows.schema) as f:
+                f.write_table(rows)
+            try:
+                fs.move(part, path)
+            except OSError:
+                fs.delete_file(path)
+                fs.move(part, path)
+            yield pa.RecordBatch.from_arrays([pa.array([rows.num_rows], pa.int64())], ["n"])
+
+    table.repartition(*by).sortWithinPartitions(*by, *within).mapInArrow(write, "n long").agg(F.sum("n")).first()
+
+
+class Cells:
+    """Reader of the files of ``put_cells``; holds the last ``most`` of them."""
+
+    def __init__(self, folder: str, most: int = 2):
+        self.folder, self.most, self.held = folder, most, {}
+
+    def __getitem__(self, cell: tuple[int, ...]):
+        """The cell's rows as an Arrow table; none, if it has no rows."""
+        import pyarrow as pa
+
+        if cell in self.held:
+            return self.held[cell]
+        while len(self.held) >= self.most:
+            del self.held[next(iter(self.held))]
+        fs, root = open_fs(self.folder)
+        path, self.held[cell] = f"{root}/{'_'.join(map(str, cell))}.arrow", None
+        if fs.get_file_info(path).type.name != "NotFound":
+            with fs.open_input_stream(path) as f:
+                self.held[cell] = pa.ipc.open_file(pa.BufferReader(f.read())).read_all()
+        return self.held[cell]
+
+
 class Places:
     """A side table on the row keys of another one, read by the tasks that read that one's rows.
 
@@ -102,55 +150,21 @@ class Places:
     """
 
     def __init__(self, folder: str):
-        self.folder, self.held = folder, {}
+        self.cells = Cells(folder)
 
     @staticmethod
     def put(side: DataFrame, key: str, what: str) -> str:
-        """Write ``side`` (with a long ``key``, which may repeat); a repeated task replaces its files by equal ones."""
+        """Write ``side``, with a long ``key``, which may repeat."""
         folder, cell = shared_dir(side.sparkSession, what), unused(side, "cell")
-        fs, root = open_fs(folder)
-        fs.create_dir(root, recursive=True)
-
-        def write(it):
-            import pyarrow as pa
-
-            fs, root = open_fs(folder)
-            for (k,), table in groups(it, [cell]):
-                part = f"{root}/{uuid.uuid4().hex}.part"
-                with fs.open_output_stream(part) as out, pa.ipc.new_file(out, table.schema) as f:
-                    f.write_table(table)
-                try:
-                    fs.move(part, f"{root}/{k}.arrow")
-                except OSError:
-                    fs.delete_file(f"{root}/{k}.arrow")
-                    fs.move(part, f"{root}/{k}.arrow")
-                yield pa.RecordBatch.from_arrays([pa.array([table.num_rows], pa.int64())], ["n"])
-
-        placed = side.withColumn(cell, F.shiftright(key, CELL))
-        placed.repartition(cell).sortWithinPartitions(cell, key).mapInArrow(write, "n long").agg(F.sum("n")).first()
+        put_cells(side.withColumn(cell, F.shiftright(key, CELL)), [cell], [key], folder)
         return folder
 
-    def _cell(self, k: int):
-        import pyarrow as pa
-
-        if k not in self.held:
-            while len(self.held) > 1:
-                del self.held[next(iter(self.held))]
-            fs, root = open_fs(self.folder)
-            path = f"{root}/{k}.arrow"
-            if fs.get_file_info(path).type.name == "NotFound":
-                self.held[k] = None
-            else:
-                with fs.open_input_stream(path) as f:
-                    self.held[k] = pa.ipc.open_file(pa.BufferReader(f.read())).read_all()
-        return self.held[k]
-
     def matches(self, rows, key: str):
         """Pairs (place in ``rows``, one-row-per-pair table) of all rows of the side table with the keys ``rows``."""
         import numpy as np
 
         for k in np.unique(rows >> CELL).tolist():
-            table = self._cell(k)
+            table = self.cells[(k,)]
             if table is None:
                 continue
             mine, keys = np.flatnonzero(rows >> CELL == k), table.column(key).to_numpy()
@@ -160,13 +174,14 @@ class Places:
             yield np.repeat(mine, n), table.take(at)
 
 
-def spread_join(rows: DataFrame, known: DataFrame, key: str, copies: str, most_hot: int = 50_000, least: int = 256) -> DataFrame:
+def spread_join(rows: DataFrame, known: DataFrame, key: str, copies: str, most_hot: int = 50_000, least: int = 256, total: int | None = None) -> DataFrame:
     """Inner join of ``rows`` with ``known``, which has each key once and, as ``copies``, the rows that have it.
 
     Keys with at least 1 / ``most_hot`` of all rows are at most ``most_hot``: that part is broadcast, as a shuffle would
     bring all rows of one key to one task.  The others meet in a shuffled join.
     """
-    total = known.agg(F.coalesce(F.sum(copies), F.lit(0))).first()[0]
+    if total is None:
+        total = known.agg(F.coalesce(F.sum(copies), F.lit(0))).first()[0]
     hot = F.col(copies) >= max(least, -(-total // most_hot))
     many = known.filter(hot)
     few = rows.join(F.broadcast(many.select(key)), key, "left_anti")

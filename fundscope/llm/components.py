@@ -1,7 +1,11 @@
 """Connected components of an edge table, by alternating large-star and small-star steps.
 
 Each step reads the edges from files, points them to least neighbours by a grouped minimum and a join, and writes them
-again; partitions first reduce their own edges to spanning forests.  Nothing of the graph is collected.
+again; partitions first reduce their own edges to spanning forests.  Nodes with many edges meet their minimum in a bounded
+broadcast, so no node's edges come to one task.  Nothing of the graph is collected.
+
+Edges are pairs of integers that aren't null; an edge from a node to itself joins nothing, and a node with no other edge
+is in no row.  Edges may repeat.  An empty table gives no rows.  Columns other than u and v are ignored.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import shipped
-from .common import shared_dir, written
+from .common import shared_dir, spread_join, written
 
 
 def forest(u: np.ndarray, v: np.ndarray) -> list[tuple[int, int]]:
@@ -69,18 +73,18 @@ def _state(edges: DataFrame):
 def components(edges: DataFrame) -> DataFrame:
     """(rid, root) of every node with an edge; the root is the least node of its component."""
     spark = edges.sparkSession
-    edges = written(edges.filter("u <> v").mapInArrow(_local, "u long, v long").distinct(), shared_dir(spark, "edges"))
+    edges = written(edges.select("u", "v").filter("u <> v").mapInArrow(_local, "u long, v long").distinct(), shared_dir(spark, "edges"))
     before = None
     while (now := _state(edges)) != before and now[0]:
         before = now
         # large star: larger neighbours go to the least one, the node itself included
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        edges = written(both.join(least, "u").filter("v > u").select(F.col("m").alias("u"), "v").filter("u <> v").distinct(), shared_dir(spark, "edges"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+        edges = written(spread_join(both, least, "u", "n", total=2 * now[0]).filter("v > u").select(F.col("m").alias("u"), "v").filter("u <> v").distinct(), shared_dir(spark, "edges"))
         # small star: smaller neighbours and the node go to the least one
         down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        joined = down.join(least, "u")
+        least = down.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        joined = spread_join(down, least, "u", "n", total=now[0])
         stars = joined.select(F.col("m").alias("u"), F.col("v")).unionByName(least.select(F.col("m").alias("u"), F.col("u").alias("v")))
         edges = written(stars.filter("u <> v").distinct(), shared_dir(spark, "edges"))
     return edges.select(F.col("v").alias("rid"), F.col("u").alias("root")).unionByName(edges.select(F.col("u").alias("rid"), F.col("u").alias("root")).distinct())

@@ -9,8 +9,9 @@ meets at the target recall even at the deepest level.
 
 What meets becomes an edge (in small nodes if the signatures agree well enough, in the few large nodes at the deepest
 level to the node's first member); connected edges form groups, and within a group every pair is verified on the whole
-shingle sets, in blocks.  So pairs never become rows: a verified block yields each member's number of links and a
-spanning forest.
+shingle sets, of 64-bit hashes, in blocks.  So pairs never become rows: a verified block yields each member's number of
+links and a spanning forest.  Only the texts of grouped members are cut into shingles again, and each of their sets is
+shuffled once: the tasks for two blocks of a large group read these from the shared store.
 
 Nulls and repeats: null texts and texts without words are alone in their class and have no links, even to each other; a
 repeated document is a copy like any other; a null doc_id takes part, and a class is named by its least id that isn't
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import shipped
-from .common import groups, shared_dir, written
+from .common import Cells, Places, groups, put_cells, shared_dir, spread_join, with_row_key, written
 from .components import components, forest
 from .words import Words, batches, grams, mix
 
@@ -57,12 +58,30 @@ def _sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = [shingles(w) for w in words.rows()]
         full = [k for k, s in enumerate(sets) if len(s)]
         sig = signatures([sets[k] for k in full]) if full else np.zeros((0, SIGNATURE), np.uint32)
-        rid, n, signed, content = ([None] * len(sets) for _ in range(4))
+        rid, n, signed = ([None] * len(sets) for _ in range(3))
         for k, s in zip(full, sig, strict=True):
             x = sets[k]
             rid[k] = int((mix(x).sum(dtype=np.uint64) ^ np.uint64(len(x))).astype(np.int64))
-            n[k], signed[k], content[k] = len(x), s.tobytes(), (x >> np.uint64(32)).astype(np.uint32).tobytes()
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rid, pa.int64()), pa.array(n, pa.int32()), pa.array(signed, pa.binary()), pa.array(content, pa.binary())], ["doc_id", "rid", "n", "sig", "shingles"])
+            n[k], signed[k] = len(x), s.tobytes()
+        yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(rid, pa.int64()), pa.array(n, pa.int32()), pa.array(signed, pa.binary())], ["row", "doc_id", "rid", "n", "sig"])
+
+
+def _contents(folder: str):
+    """Shingle sets of the rows that the side table names, with what it says of them."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        side = Places(folder)
+        for batch in batches(it, "text", 4 << 20):
+            for at, member in side.matches(batch.column("row").to_numpy(), "row"):
+                words = Words(batch.column("text").take(pa.array(at)))
+                sets = pa.array([shingles(w).tobytes() for w in words.rows()], pa.binary())
+                for k in range(0, len(at), 256):
+                    yield pa.RecordBatch.from_arrays([*(member.column(c).slice(k, 256).combine_chunks() for c in _MEMBER), sets.slice(k, 256)], [*_MEMBER, "shingles"])
+
+    return run
+
+
+_MEMBER = ("group", "blocks", "block", "rid", "copies", "n")
 
 
 def meeting(depth: int, ratio: float = 1.0) -> float:
@@ -168,8 +187,8 @@ def candidate_edges(members: DataFrame, similarity: float, recall: float, small:
             break
         big = nodes.join(large, "node")
         if depth == deepest:
-            hubs = big.groupBy("node").agg(F.min("rid").alias("u"))
-            edges.append(big.join(hubs, "node").filter("u <> rid").select("u", F.col("rid").alias("v")))
+            hubs = big.groupBy("node").agg(F.min("rid").alias("u"), F.count(F.lit(1)).alias("members"))
+            edges.append(spread_join(big, hubs, "node", "members").filter("u <> rid").select("u", F.col("rid").alias("v")))
             break
         nodes = written(big.join(members.select("rid", "sig"), "rid").select("node", "rid", "sig").mapInArrow(_next_nodes(depth, similarity), "node long, rid long"), shared_dir(spark, "paths"))
         depth += 1
@@ -206,30 +225,40 @@ def intersections(sets: list[np.ndarray], others: list[np.ndarray]) -> np.ndarra
     return out
 
 
+class _Block:
+    """Members of one block, each once."""
+
+    def __init__(self, table: pa.Table):
+        rid, first = np.unique(table.column("rid").to_numpy(), return_index=True)
+        self.rid, self.copies, self.n = rid, *(table.column(c).to_numpy()[first] for c in ("copies", "n"))
+        raw = table.column("shingles")
+        self.sets = [np.frombuffer(raw[int(k)].as_py(), np.uint64) for k in first]
+
+
+def _links(a: _Block, b: _Block, similarity: float) -> list[tuple[int, int, int]]:
+    """Rows (kind, a, b): 0, member, links found here; 1, two linked members (a forest)."""
+    rows, same = [], a is b
+    for k in range(0, len(a.rid), 256):
+        mine = slice(k, k + 256)
+        inter = intersections(a.sets[mine], b.sets)
+        linked = inter * (1 + similarity) >= similarity * (a.n[mine][:, None] + b.n[None, :]) - 1e-6
+        linked &= a.rid[mine][:, None] != b.rid[None, :]
+        x, y = np.nonzero(linked)
+        rows += [(0, int(r), int(c)) for r, c in zip(a.rid[mine], linked @ b.copies, strict=True) if c]
+        if not same:
+            rows += [(0, int(r), int(c)) for r, c in zip(b.rid, linked.T @ a.copies[mine], strict=True) if c]
+        rows += [(1, u, v) for u, v in forest(a.rid[mine][x], b.rid[y])]
+    return rows
+
+
 def _verified(similarity: float):
-    """Rows (kind, a, b) of each block of a group: 0, member, links found here; 1, two linked members (a forest)."""
+    """Links within groups of a single block."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple[int, int, int]] = []
-        for (_, left, right), table in groups(it, ["group", "left", "right"]):
-            first = np.unique(table.column("rid").to_numpy(), return_index=True)[1]
-            rid, block, copies, n = (table.column(c).to_numpy()[first] for c in ("rid", "block", "copies", "n"))
-            raw = table.column("shingles")
-            sets = [np.frombuffer(raw[int(k)].as_py(), np.uint32) for k in first]
-            a = np.flatnonzero(block == left)
-            b = np.flatnonzero(block == right)
-            if not len(a) or not len(b):
-                continue
-            for k in range(0, len(a), 256):
-                mine = a[k : k + 256]
-                inter = intersections([sets[j] for j in mine], [sets[j] for j in b])
-                linked = inter * (1 + similarity) >= similarity * (n[mine][:, None] + n[b][None, :]) - 1e-6
-                linked &= rid[mine][:, None] != rid[b][None, :]
-                x, y = np.nonzero(linked)
-                rows += [(0, int(r), int(c)) for r, c in zip(rid[mine], linked @ copies[b], strict=True) if c]
-                if left != right:
-                    rows += [(0, int(r), int(c)) for r, c in zip(rid[b], linked.T @ copies[mine], strict=True) if c]
-                rows += [(1, u, v) for u, v in forest(rid[mine[x]], rid[b[y]])]
+        for _, table in groups(it, ["group"]):
+            block = _Block(table)
+            rows += _links(block, block, similarity)
             if len(rows) > 50_000:
                 yield _rows(rows)
                 rows = []
@@ -238,34 +267,67 @@ def _verified(similarity: float):
     return run
 
 
+def _verified_blocks(similarity: float, folder: str):
+    """Links between two blocks of a group; tasks get those of one left block in a row."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, held = Cells(folder, 1), {}
+
+        def block(group: int, k: int) -> _Block:
+            if (group, k) not in held:
+                table = cells[group, k]
+                held[group, k] = None if table is None else _Block(table)
+            return held[group, k]
+
+        for batch in it:
+            for group, left, right in zip(*(batch.column(c).to_pylist() for c in ("group", "left", "right")), strict=True):
+                for key in [k for k in held if k not in ((group, left), (group, right))]:
+                    del held[key]
+                a, b = block(group, left), block(group, right)
+                if a is not None and b is not None:
+                    yield _rows(_links(a, b, similarity))
+
+    return run
+
+
 def _rows(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     cols = list(zip(*rows, strict=True)) or [[]] * 3
     return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64())], ["kind", "a", "b"])
 
 
 @shipped
-def near_duplicates(docs: DataFrame, *, similarity: float = 0.8, recall: float = 0.98, small: int = 64, block_members: int = 1024, block_shingles: int = 1 << 20) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, similarity: float = 0.8, recall: float = 0.98, small: int = 64, block_members: int = 1024, block_shingles: int = 1 << 20, row: str | None = None) -> DataFrame:
     """(doc_id, class_id, n_links) of every row of ``docs`` (doc_id, text).
 
     ``n_links`` counts the other documents of similarity ``similarity`` or more, exact copies among them; a class is
-    a connected component of those links and is named by its least doc_id.
+    a connected component of those links and is named by its least doc_id.  ``row`` is a column that numbers the rows of
+    ``docs``; without it they are numbered by their places in the files.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = written(docs.mapInArrow(_sets, "doc_id long, rid long, n int, sig binary, shingles binary"), shared_dir(spark, "shingles"))
-    members = sets.filter("rid is not null").groupBy("rid").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"), F.max("sig").alias("sig"))
+    docs, row = (docs, row) if row else (with_row_key(docs.select("doc_id", "text")), "_row")
+    docs = docs.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    sets = written(docs.mapInArrow(_sets, "row long, doc_id long, rid long, n int, sig binary"), shared_dir(spark, "sets"))
+    members = sets.filter("rid is not null").groupBy("rid").agg(F.min("row").alias("row"), F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"), F.max("sig").alias("sig"))
     members = written(members, shared_dir(spark, "members"))
     grouped = written(components(candidate_edges(members, similarity, recall, small)), shared_dir(spark, "groups"))
 
-    slim = members.select("rid", "rep", "copies", "n")
-    grouped = grouped.join(slim, "rid")
-    size = grouped.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / block_members), F.ceil(F.sum("n") / block_shingles)).alias("blocks"))
-    grouped = grouped.join(size, "root").withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")))
-    content = sets.select(F.col("rid").alias("r"), F.col("doc_id").alias("d"), "shingles")
-    whole = grouped.join(content, (F.col("rid") == F.col("r")) & F.col("rep").eqNullSafe(F.col("d")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    whole = whole.withColumn("other", other).select(F.col("root").alias("group"), F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "rid", "block", "copies", "n", "shingles")
-    checked = whole.repartition("group", "left", "right").sortWithinPartitions("group", "left", "right").mapInArrow(_verified(similarity), "kind int, a long, b long")
+    slim = members.select("rid", "row", "rep", "copies", "n")
+    grouped = grouped.join(slim.drop("rep"), "rid")
+    size = grouped.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / block_members), F.ceil(F.sum("n") / block_shingles)).alias("blocks"), F.count(F.lit(1)).alias("many"))
+    size = written(size, shared_dir(spark, "group-sizes"))
+    placed = spread_join(grouped, size, "root", "many").withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")))
+    folder = Places.put(placed.select("row", F.col("root").alias("group"), "blocks", "block", "rid", "copies", "n"), "row", "grouped")
+    ddl = "group long, blocks long, block long, rid long, copies long, n int, shingles binary"
+    content = written(docs.select("row", "text").mapInArrow(_contents(folder), ddl), shared_dir(spark, "contents"), compression="zstd")
+    checked = content.filter("blocks = 1").repartition("group").sortWithinPartitions("group").mapInArrow(_verified(similarity), _CHECKED)
+    large = size.filter("blocks > 1")
+    if not large.isEmpty():
+        blocks = shared_dir(spark, "blocks")
+        put_cells(content.filter("blocks > 1"), ["group", "block"], ["rid"], blocks)
+        upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), c))
+        pairs = large.select(F.col("root").alias("group"), "blocks", upto(F.col("blocks") - 1).alias("left")).select("group", "left", F.explode(F.sequence(F.col("left"), F.col("blocks") - 1)).alias("right"))
+        tasks = max(1, -(-pairs.count() // 4))
+        checked = checked.unionByName(pairs.repartitionByRange(tasks, "group", "left", "right").sortWithinPartitions("group", "left", "right").mapInArrow(_verified_blocks(similarity, blocks), _CHECKED))
     checked = written(checked, shared_dir(spark, "links"))
 
     links = checked.filter("kind = 0").groupBy(F.col("a").alias("rid")).agg(F.sum("b").alias("links"))
@@ -277,19 +339,11 @@ def near_duplicates(docs: DataFrame, *, similarity: float = 0.8, recall: float =
     return _spread(sets.select("doc_id", "rid"), known)
 
 
-def _spread(rows: DataFrame, known: DataFrame, most_hot: int = 50_000, least: int = 256) -> DataFrame:
-    """Members' results for all their copies.
+_CHECKED = "kind int, a long, b long"
 
-    Sets with at least 1 / ``most_hot`` of all copies are at most ``most_hot``: that table is broadcast, as a shuffle
-    would bring all copies of one text to one task.  The others meet in a shuffled join.
-    """
-    total = known.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
-    hot = known.filter(F.col("copies") >= max(least, -(-total // most_hot))).drop("copies")
-    some, none = rows.filter("rid is not null"), rows.filter("rid is null")
-    parts = [
-        some.join(F.broadcast(hot), "rid").select("doc_id", "class_id", "n_links"),
-        some.join(F.broadcast(hot.select("rid")), "rid", "left_anti").join(known, "rid").select("doc_id", "class_id", "n_links"),
-        none.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")),
-    ]
-    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), "n_links")
+
+def _spread(rows: DataFrame, known: DataFrame, **options) -> DataFrame:
+    """Members' results for all their copies; ``options`` are those of ``spread_join``."""
+    some = spread_join(rows.filter("rid is not null"), known, "rid", "copies", **options).select("doc_id", "class_id", "n_links")
+    none = rows.filter("rid is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    return some.unionByName(none).select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), "n_links")

@@ -113,3 +113,47 @@ def test_small_leaves_do_not_cut_the_neighbours():
     assert sum(sizes.get(leaf, 0) for leaf in ann._enough(tree, q, 2, sizes, 20)) > 20
     assert len(ann._enough(tree, q, 2, sizes, 4)) == 2
     assert len(ann._enough(tree, q, 2, sizes, 100)) == 4
+
+
+def _at(similarity, words, rng, k):
+    """Two texts whose shingle sets have just the similarity, or the next one above."""
+    a = [f"p{k}w{j}" for j in range(words)]
+    b, changed = list(a), 0
+    total = words - N.SHINGLE + 1
+    while True:
+        c = list(b)
+        c[N.SHINGLE * (2 * changed + 1)] = f"q{k}x{changed}"
+        broken = N.SHINGLE * (changed + 1)
+        if (total - broken) / (total + broken) < similarity:
+            return " ".join(a), " ".join(b)
+        b, changed = c, changed + 1
+
+
+def test_recall_at_just_the_similarity(spark):
+    """Pairs at 0.80 to 0.82, with clean texts around them: the calibrated recall, for small and for large nodes."""
+    rng, texts = np.random.default_rng(6), []
+    for k in range(300):
+        texts += _at(0.8, 230 + int(rng.integers(0, 40)), rng, k)
+    pairs = [len(x & y) / len(x | y) for x, y in zip(*(map(set, map(np.ndarray.tolist, map(N.shingles, N.Words(pa.array(texts[i::2])).rows()))) for i in (0, 1)), strict=True)]
+    assert min(pairs) >= 0.8 and np.mean(pairs) < 0.82
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(10_000 + k, " ".join(f"c{k}y{j}" for j in range(50))) for k in range(300)], "doc_id long, text string")
+    for options in ({}, {"small": 2}):
+        got = {r.doc_id: (r.class_id, r.n_links) for r in N.near_duplicates(docs, **options).collect()}
+        found = sum(got[2 * k] == got[2 * k + 1] == (2 * k, 1) for k in range(300))
+        assert found >= 0.97 * 300
+        assert all(got[10_000 + k] == (10_000 + k, 0) for k in range(300))
+
+
+def test_very_long_texts_join_whole(spark):
+    long = " ".join(f"w{k}" for k in range(60_000))
+    docs = spark.createDataFrame([(1, long), (2, long + " end"), (3, long.replace("w5", "v5")), (4, "short text of some five words")], "doc_id long, text string")
+    want = {i + 1: len(x) for i, x in enumerate(brute([r.text for r in docs.orderBy("doc_id").collect()]))}
+    assert {r.doc_id: r.n_links for r in N.near_duplicates(docs, block_shingles=50_000).collect()} == want
+
+
+def test_components_with_a_hub_and_odd_rows(spark):
+    edges = [(0, k) for k in range(1, 3000)] + [(k, k + 10_000) for k in range(1, 3000)] + [(7, 7), (0, 1), (0, 1)]
+    df = spark.createDataFrame([(a, b, 1) for a, b in edges], "u long, v long, m int").repartition(6)
+    got = dict(components(df).collect())
+    assert len(got) == 5999 and set(got.values()) == {0}
+    assert components(df.limit(0)).count() == 0
