@@ -36,7 +36,7 @@ def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """
     columns, schema, key = docs.columns, docs.schema, unused(docs, "row_key")
     keyed = with_row_key(docs, key)
-    classes = result_only(spark, lambda: ngram_join.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text")), "classes")
+    classes = result_only(spark, lambda: ngram_join.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), row="doc_id"), "classes")
     # a row without links is a class of its own
     linked = classes.filter("n_links > 0").select(F.col("doc_id").alias("row"), "class_id")
     ids = keyed.select(F.col(key).alias("row"), F.col("doc_id").alias("id"))
