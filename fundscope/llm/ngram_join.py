@@ -8,7 +8,7 @@ brute-forced; larger ones are split on, down to ``deepest``.  Runs repeat until
 meets at the target recall even at the deepest level.
 
 What meets becomes an edge (in small nodes if the signatures agree well enough, in the few large nodes at the deepest
-level to the node's first member); connected edges form groups, and within a group every pair is verified on the whole
+level to the first members of parts of the node); connected edges form groups, and within a group every pair is verified on the whole
 shingle sets, of 64-bit hashes, in blocks.  So pairs never become rows: a verified block yields each member's number of
 links and a spanning forest.  Only the texts of grouped members are cut into shingles again, and each of their sets is
 shuffled once: the tasks for two blocks of a large group read these from the shared store.
@@ -171,6 +171,26 @@ def _edge_rows(edges: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([e[0] for e in edges], pa.int64()), pa.array([e[1] for e in edges], pa.int64())], ["u", "v"])
 
 
+def _starred(big: DataFrame, rows: int = 1024) -> DataFrame:
+    """Edges that connect all members of each node of (node, rid, members): stars of about ``rows``, and one of their heads."""
+    part = F.pmod(F.xxhash64("rid"), F.ceil(F.col("members") / rows)).alias("part")
+    stars = big.select("node", part, "rid").repartition("node", "part").sortWithinPartitions("node", "part", "rid").mapInArrow(_stars(["node", "part"]), "node long, u long, v long")
+    stars = written(stars, shared_dir(big.sparkSession, "stars"))
+    heads = stars.filter("u = v").select("node", F.col("u").alias("rid")).repartition("node").sortWithinPartitions("node", "rid")
+    return stars.unionByName(heads.mapInArrow(_stars(["node"]), "node long, u long, v long")).filter("u <> v").select("u", "v")
+
+
+def _stars(by: list[str]):
+    """(node, first member, member) of each group, the first member with itself included."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, table in groups(it, by):
+            rid = table.column("rid").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rid), x, np.int64)) for x in (key[0], rid.min())] + [pa.array(rid)], ["node", "u", "v"])
+
+    return run
+
+
 def candidate_edges(members: DataFrame, similarity: float, recall: float, small: int, first: int = 2, deepest: int = 5) -> DataFrame:
     """(u, v): members that meet in a node of the chosen paths.  ``members``: rid, n, sig."""
     spark = members.sparkSession
@@ -182,13 +202,12 @@ def candidate_edges(members: DataFrame, similarity: float, recall: float, small:
         met = nodes.join(counts.filter(F.col("members") <= small), "node")
         met = met.join(members.select("rid", "n", _low_bytes(F.col("sig")).alias("low")), "rid").select("node", "rid", "n", "low")
         edges.append(met.repartition("node").sortWithinPartitions("node", "rid").mapInArrow(_near(similarity), "u long, v long"))
-        large = counts.filter(F.col("members") > small).select("node")
+        large = counts.filter(F.col("members") > small)
         if large.isEmpty():
             break
         big = nodes.join(large, "node")
         if depth == deepest:
-            hubs = big.groupBy("node").agg(F.min("rid").alias("u"), F.count(F.lit(1)).alias("members"))
-            edges.append(spread_join(big, hubs, "node", "members").filter("u <> rid").select("u", F.col("rid").alias("v")))
+            edges.append(_starred(big))
             break
         nodes = written(big.join(members.select("rid", "sig"), "rid").select("node", "rid", "sig").mapInArrow(_next_nodes(depth, similarity), "node long, rid long"), shared_dir(spark, "paths"))
         depth += 1

@@ -157,3 +157,9 @@ def test_components_with_a_hub_and_odd_rows(spark):
     got = dict(components(df).collect())
     assert len(got) == 5999 and set(got.values()) == {0}
     assert components(df.limit(0)).count() == 0
+
+
+def test_stars_connect_a_large_node(spark):
+    big = spark.createDataFrame([(n, r, 500) for n in (-3, 8) for r in range(500 * (n == 8) - 250, 500 * (n == 8) + 250)], "node long, rid long, members long")
+    got = dict(components(N._starred(big, 20)).collect())
+    assert len(got) == 1000 and set(got.values()) == {-250, 250}
