@@ -181,13 +181,33 @@ def spread_join(rows: DataFrame, known: DataFrame, key: str, copies: str, most_h
     bring all rows of one key to one task.  The others meet in a shuffled join.
     """
     if total is None:
-        total = known.agg(F.coalesce(F.sum(copies), F.lit(0))).first()[0]
+        total, most = known.agg(F.coalesce(F.sum(copies), F.lit(0)), F.coalesce(F.max(copies), F.lit(0))).first()
+        if most < max(least, -(-total // most_hot)):
+            return rows.join(known, key)
     hot = F.col(copies) >= max(least, -(-total // most_hot))
     many = known.filter(hot)
     few = rows.join(F.broadcast(many.select(key)), key, "left_anti")
     return rows.join(F.broadcast(many), key).unionByName(few.join(known.filter(~hot), key))
 
 
+def rows_at(keyed: DataFrame, chosen: DataFrame, key: str, like: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` whose ``key`` is in ``chosen``, in the columns of ``like``, found by their places."""
+    folder, columns = Places.put(chosen.select(key), key, "chosen"), like.columns
+
+    def run(it):
+        import pyarrow as pa
+
+        from .words import release
+
+        side = Places(folder)
+        for batch in it:
+            for at, _ in side.matches(batch.column(key).to_numpy(), key) if batch.num_rows else ():
+                yield batch.select(columns).take(pa.array(at))
+        release()
+
+    return keyed.mapInArrow(run, like.schema)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have; names are compared without case, as Spark does."""
     taken = {c.lower() for c in df.columns}

@@ -70,11 +70,17 @@ def _state(edges: DataFrame):
 
 
 @shipped
-def components(edges: DataFrame) -> DataFrame:
-    """(rid, root) of every node with an edge; the root is the least node of its component."""
+def components(edges: DataFrame, alone: int = 1 << 19) -> DataFrame:
+    """(rid, root) of every node with an edge; the root is the least node of its component.
+
+    Once partitions have reduced their edges, ``alone`` of them or fewer (16 bytes each) are finished in one task.
+    """
     spark = edges.sparkSession
     edges = written(edges.select("u", "v").filter("u <> v").mapInArrow(_local, "u long, v long").distinct(), shared_dir(spark, "edges"))
     before = None
+    if edges.count() <= alone:
+        edges = written(edges.coalesce(1).mapInArrow(_local, "u long, v long"), shared_dir(spark, "edges"))
+        before = _state(edges)
     while (now := _state(edges)) != before and now[0]:
         before = now
         # large star: larger neighbours go to the least one, the node itself included

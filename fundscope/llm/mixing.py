@@ -28,6 +28,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from ..shipping import shipped
 from .common import Places, shared_dir, unused, with_row_key, written
 from .words import mix as hashed
+from .words import release
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -223,6 +224,7 @@ def mixed(docs: DataFrame, *, length: str | None = None, **options) -> DataFrame
             for at, piece in side.matches(rows, key):
                 for k in range(0, len(at), 4096):
                     yield _cut_rows(batch, at[k : k + 4096], piece.slice(k, 4096), columns, length, shard, place)
+        release()
 
     out = keyed.mapInArrow(put, StructType([*kinds.fields, StructField(shard, IntegerType()), StructField(place, LongType())]))
     # places are uniform, so their highest bits cut a shard evenly

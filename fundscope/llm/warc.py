@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..shipping import shipped
 from .common import Places, open_fs, shared_dir, spread_join, with_row_key, written
+from .words import release
 
 _DATE = "2024-01-01T00:00:00Z"
 _INDEX = "file string, offset long, length long, page_id long, url string, payload_digest string, record_type string"
@@ -89,6 +90,7 @@ def _writer(folder: str, decided: str, most: int, level: int):
             rows = []
         if out is not None:
             close()
+        release()
 
     return run
 

@@ -84,7 +84,9 @@ def test_join_edges(spark, rows):
 
 def test_components_of_a_long_path_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, k) for k in range(2, 30)] + [(50, 50)]
-    got = dict(components(spark.createDataFrame(edges, "u long, v long").repartition(4)).collect())
+    df = spark.createDataFrame(edges, "u long, v long").repartition(4)
+    got = dict(components(df).collect())
+    assert got == dict(components(df, alone=0).collect())
     assert got == {**{i: 100 for i in range(100, 161)}, **{k: 1 for k in range(1, 30)}}
     assert dict((b, a) for a, b in forest(np.array([3, 5, 9]), np.array([4, 4, 8]))) == {4: 3, 5: 3, 9: 8}
 
@@ -154,8 +156,8 @@ def test_very_long_texts_join_whole(spark):
 def test_components_with_a_hub_and_odd_rows(spark):
     edges = [(0, k) for k in range(1, 3000)] + [(k, k + 10_000) for k in range(1, 3000)] + [(7, 7), (0, 1), (0, 1)]
     df = spark.createDataFrame([(a, b, 1) for a, b in edges], "u long, v long, m int").repartition(6)
-    got = dict(components(df).collect())
-    assert len(got) == 5999 and set(got.values()) == {0}
+    got = dict(components(df, alone=0).collect())
+    assert len(got) == 5999 and set(got.values()) == {0} and got == dict(components(df).collect())
     assert components(df.limit(0)).count() == 0
 
 
