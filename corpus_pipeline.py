@@ -6,12 +6,11 @@ of ``documents``.
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundscope.llm import decontam, mixing, ngram_join, quality, token_store
-from fundscope.llm.common import Places, load, result_only, shared_dir, unused, with_row_key, written
+from fundscope.llm.common import load, result_only, rows_at, shared_dir, unused, with_row_key, written
 from fundscope.llm.queries import tokenizer
 
 #: No SQL: a compression classifier, a randomised join and a tokenizer are in it.
@@ -34,7 +33,7 @@ def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     classes of their own and stay; an empty table stays empty.  The texts aren't shuffled: the tasks that read them look
     up which of their rows stay.
     """
-    columns, schema, key = docs.columns, docs.schema, unused(docs, "row_key")
+    key = unused(docs, "row_key")
     keyed = with_row_key(docs, key)
     classes = result_only(spark, lambda: ngram_join.near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), row="doc_id"), "classes")
     # a row without links is a class of its own
@@ -43,15 +42,7 @@ def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     first = F.struct(F.col("id").isNull().alias("none"), "id", "row")
     best = linked.join(ids.hint("merge"), "row").groupBy("class_id").agg(F.min(first).alias("first"))
     kept = classes.filter("n_links = 0").select(F.col("doc_id").alias(key)).unionByName(best.select(F.col("first.row").alias(key)))
-    folder = Places.put(kept, key, "kept")
-
-    def stay(it):
-        side = Places(folder)
-        for batch in it:
-            for at, _ in side.matches(batch.column(key).to_numpy(), key) if batch.num_rows else ():
-                yield batch.select(columns).take(pa.array(at))
-
-    return keyed.mapInArrow(stay, schema)
+    return rows_at(keyed, kept, key, docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
