@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import core, extras, functions, jobs, joins, merges, orders, rules
+from . import core, extras, functions, jobs, joins, literals, merges, orders, rules
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "core", "extras", "functions", "jobs", "joins", "merges", "orders", "rules"]
+__all__ = ["ORACLES", "QUERIES", "core", "extras", "functions", "jobs", "joins", "literals", "merges", "orders", "rules"]

@@ -35,11 +35,6 @@ def html_cells(t):
     return t.pages.select("page_id", F.nullif(F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1), F.lit("")).alias("title"), F.size(F.regexp_extract_all("html", F.lit("(?i)<p>"), F.lit(0))).cast("long").alias("paragraphs"))
 
 
-@query()
-def html_table_rows(t):
-    return readers.html_rows(t.pages, "page_id", "html")
-
-
 @query(r"""SELECT page_id, CASE WHEN ends_with(h, '.or.jp') THEN 10 WHEN ends_with(h, '.go.jp') OR ends_with(h, '.ac.jp') THEN 8 WHEN ends_with(h, '.org') THEN 6 WHEN ends_with(h, '.jp') THEN 4 WHEN ends_with(h, '.com') THEN 2 ELSE 0 END + CASE WHEN regexp_replace(url, '^[a-z]+://[^/]*', '') IN ('', '/') THEN 3 ELSE 0 END AS trust
 FROM (SELECT page_id, url, regexp_replace(regexp_extract(lower(trim(url)), '^(?:[a-z][a-z0-9+.\-]*://)?([^/?#]*)', 1), '^www\.', '') AS h FROM pages)""")
 def url_trust(t):
@@ -84,11 +79,11 @@ def yen_parse(t):
     return df.select("text", F.when(~F.col("text").rlike("[億万]"), M.plain_yen(F.col("text"))).alias("plain"), M.parse_yen(F.col("text")).alias("parsed"))
 
 
-@query("""SELECT doc_id, len(v) AS numbers, list_max(v) AS most FROM (SELECT doc_id, list_filter([CAST(x AS BIGINT) FOR x IN list_filter(regexp_split_to_array(text, '[^0-9.,]+'), lambda s: regexp_full_match(s, '[0-9]{4,13}'))], lambda x: x >= 1000) AS v FROM documents WHERE lang = 'en') WHERE len(v) > 0""")
+@query("""SELECT doc_id, len(v) AS numbers, list_max(v) AS most FROM (SELECT doc_id, list_filter([CAST(x AS BIGINT) FOR x IN list_filter(regexp_split_to_array(text, '[^0-9.,]+'), lambda s: regexp_full_match(s, '[0-9]{4,13}'))], lambda x: x >= 1000) AS v FROM documents) WHERE len(v) > 0""")
 def line_amounts(t):
     """Bare numbers of four and more digits; SQL sees them as whole tokens between other characters."""
     v = F.filter(F.flatten(F.transform(F.split("text", "[^0-9.,]+"), lambda s: F.when(s.rlike("^[0-9]{4,13}$"), M.line_amounts(s, 1000)).otherwise(F.array().cast("array<long>")))), lambda x: x.isNotNull())
-    return t.documents.filter("lang = 'en'").select("doc_id", v.alias("v")).filter(F.size("v") > 0).select("doc_id", F.size("v").cast("long").alias("numbers"), F.array_max("v").alias("most"))
+    return t.documents.select("doc_id", v.alias("v")).filter(F.size("v") > 0).select("doc_id", F.size("v").cast("long").alias("numbers"), F.array_max("v").alias("most"))
 
 
 @query("""SELECT o_orderkey, abs(o_totalprice - 150000) / 150000 <= 0.05 AS near, CASE WHEN o_totalprice >= 300000 THEN NULL ELSE o_totalprice END AS amount, CASE WHEN o_totalprice >= 300000 THEN 'total_only' ELSE 'per_award' END AS kind FROM orders""")
@@ -167,8 +162,3 @@ def keyword_extraction(t):
 @query()
 def page_lines(t):
     return readers.page_text(t.documents.select(F.col("doc_id").alias("doc"), F.lit(1).alias("page"), "text")).select("doc", "page", "line", F.char_length("text").alias("n"))
-
-
-@query()
-def money_mentions(t):
-    return readers.money_mentions(t.documents, "doc_id", "text")

@@ -6,16 +6,17 @@ from pyspark.sql import functions as F
 
 from ..operators import rules as R
 from ..plans import jobs as J
-from .registry import ORACLES, query
+from .joins import TIERS, tier_sides
+from .registry import query
 
 _FACTS = """WITH f AS (SELECT o_custkey AS person, s_name AS funder, p_brand AS field, n_name AS place, o_orderpriority AS stage, l_extendedprice AS amount, p_name AS title
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey WHERE l_quantity >= 40) """
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey) """
 
 
 def facts(t):
-    """Awards joined once to their dimensions; filters reach the scan of the lines."""
+    """Awards joined once to their dimensions."""
     c = t.customer.select("c_custkey", "c_nationkey").join(F.broadcast(t.nation.select("n_nationkey", F.col("n_name").alias("place"))), F.col("c_nationkey") == F.col("n_nationkey"))
-    l_ = t.lineitem.filter("l_quantity >= 40").select("l_orderkey", "l_suppkey", "l_partkey", F.col("l_extendedprice").alias("amount"))
+    l_ = t.lineitem.select("l_orderkey", "l_suppkey", "l_partkey", F.col("l_extendedprice").alias("amount"))
     o = t.orders.select("o_orderkey", F.col("o_custkey").alias("person"), F.col("o_orderpriority").alias("stage"))
     f = l_.join(t.part.select("p_partkey", F.col("p_brand").alias("field"), F.col("p_name").alias("title")), F.col("l_partkey") == F.col("p_partkey"))
     f = f.join(t.supplier.select("s_suppkey", F.col("s_name").alias("funder")), F.col("l_suppkey") == F.col("s_suppkey"))
@@ -102,22 +103,9 @@ def job_foresight(t):
     return J.foresight(scores, shares)
 
 
-@query("""WITH l AS (SELECT c_custkey AS lid, lower(c_mktsegment) AS name FROM customer WHERE c_custkey <= 400), r AS (SELECT s_suppkey AS rid, CASE WHEN s_suppkey % 10 = 0 THEN 'building' ELSE s_name END AS name FROM supplier)
-SELECT 'name' AS method, count(*) AS matched, 0.95::DOUBLE AS confidence FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY lid) AS k FROM l) a JOIN (SELECT *, row_number() OVER (PARTITION BY name ORDER BY rid) AS k FROM r) b USING (name, k) HAVING count(*) > 0""")
+@query(TIERS + "SELECT method, count(*) AS matched, confidence FROM m GROUP BY method, confidence")
 def job_integration(t):
-    return _integrated(t, t.customer.filter("c_custkey <= 400"))
-
-
-@query(ORACLES["job_integration"].replace(" WHERE c_custkey <= 400", ""))
-def job_integration_whole(t):
-    return _integrated(t, t.customer)
-
-
-def _integrated(t, customers):
-    none = F.lit("").alias("host")
-    l_ = customers.select(F.col("c_custkey").alias("lid"), F.lower("c_mktsegment").alias("name"), none)
-    r = t.supplier.select(F.col("s_suppkey").alias("rid"), F.when(F.col("s_suppkey") % 10 == 0, "building").otherwise(F.col("s_name")).alias("name"), none)
-    return J.integration(l_, r, [])[1]
+    return J.integration(*tier_sides(t), ["h1"])[1]
 
 
 @query("""WITH r AS (SELECT DISTINCT c_nationkey AS k FROM customer WHERE c_acctbal > 9000) SELECT (SELECT count(*) FROM supplier WHERE s_nationkey IN (SELECT k FROM r)) AS verified, (SELECT count(*) FROM r WHERE k NOT IN (SELECT s_nationkey FROM supplier)) AS missing, (SELECT count(*) FROM supplier) AS total""")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import matching as M
 from ..operators import windows
-from .registry import ORACLES, query
+from .registry import query
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)")
@@ -55,10 +55,10 @@ def left_on_pred(t):
     return t.nation.join(F.broadcast(t.region), (F.col("n_regionkey") == F.col("r_regionkey")) & (F.col("r_name") == "ASIA"), "left").select("n_name", "r_name")
 
 
-@query("""WITH b AS (SELECT DISTINCT p_brand, l_suppkey FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size <= 3)
+@query("""WITH b AS (SELECT DISTINCT p_brand, l_suppkey FROM lineitem JOIN part ON l_partkey = p_partkey)
 SELECT x.p_brand AS brand, y.p_brand AS other, count(*) AS suppliers FROM b x JOIN b y ON x.l_suppkey = y.l_suppkey AND x.p_brand <> y.p_brand GROUP BY 1, 2""")
 def bridge_m2m(t):
-    b = t.lineitem.join(t.part.filter("p_size <= 3"), F.col("l_partkey") == F.col("p_partkey")).select(F.col("p_brand").alias("brand"), "l_suppkey").distinct()
+    b = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("p_brand").alias("brand"), "l_suppkey").distinct()
     o = b.select(F.col("brand").alias("other"), "l_suppkey")
     return b.join(o, "l_suppkey").filter("brand <> other").groupBy("brand", "other").agg(F.count(F.lit(1)).alias("suppliers"))
 
@@ -93,25 +93,28 @@ def routed_ids(t):
     return both.join(asked, "id", "left_semi")
 
 
-@query("""WITH l AS (SELECT c_custkey AS lid, lower(c_mktsegment) AS name, 'h' || c_nationkey AS host FROM customer WHERE c_custkey <= 400),
+#: Customers against suppliers: some share a name, most a host, and some names lie within a supplier's.
+TIERS = """WITH l AS (SELECT c_custkey AS lid, CASE WHEN c_custkey % 11 = 0 THEN '#' || lpad(CAST(c_custkey // 11 AS VARCHAR), 9, '0') ELSE lower(c_mktsegment) END AS name, 'h' || c_nationkey AS host FROM customer),
 r AS (SELECT s_suppkey AS rid, CASE WHEN s_suppkey % 10 = 0 THEN 'building' ELSE s_name END AS name, 'h' || s_nationkey AS host FROM supplier),
 t1 AS (SELECT lid, rid FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY lid) AS k FROM l) a JOIN (SELECT *, row_number() OVER (PARTITION BY name ORDER BY rid) AS k FROM r) b USING (name, k)),
-l2 AS (SELECT * FROM l WHERE lid NOT IN (SELECT lid FROM t1) AND host <> 'h1'), r2 AS (SELECT * FROM r WHERE rid NOT IN (SELECT rid FROM t1) AND host <> 'h1'),
-t2 AS (SELECT lid, rid FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY lid) AS k FROM l2) a JOIN (SELECT *, row_number() OVER (PARTITION BY host ORDER BY rid) AS k FROM r2) b USING (host, k))
-SELECT lid, rid, 'name' AS method, 0.95::DOUBLE AS confidence FROM t1 UNION ALL SELECT lid, rid, 'host', 0.85::DOUBLE FROM t2""")
-def match_tier(t):
-    return _tiers(t, t.customer.filter("c_custkey <= 400"))
+l2 AS (SELECT * FROM l WHERE lid NOT IN (SELECT lid FROM t1)), r2 AS (SELECT * FROM r WHERE rid NOT IN (SELECT rid FROM t1)),
+t2 AS (SELECT lid, rid FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY lid) AS k FROM l2 WHERE host <> 'h1') a JOIN (SELECT *, row_number() OVER (PARTITION BY host ORDER BY rid) AS k FROM r2 WHERE host <> 'h1') b USING (host, k)),
+l3 AS (SELECT * FROM l2 WHERE lid NOT IN (SELECT lid FROM t2)), r3 AS (SELECT * FROM r2 WHERE rid NOT IN (SELECT rid FROM t2)),
+c AS (SELECT lid, min(rid) AS rid FROM l3 a JOIN r3 b ON (length(a.name) >= 4 AND contains(b.name, a.name)) OR (length(b.name) >= 4 AND contains(a.name, b.name)) GROUP BY lid),
+t3 AS (SELECT min(lid) AS lid, rid FROM c GROUP BY rid),
+m AS (SELECT lid, rid, 'name' AS method, 0.95::DOUBLE AS confidence FROM t1 UNION ALL SELECT lid, rid, 'host', 0.85::DOUBLE FROM t2 UNION ALL SELECT lid, rid, 'contains', 0.70::DOUBLE FROM t3) """
 
 
-@query(ORACLES["match_tier"].replace(" WHERE c_custkey <= 400", ""))
-def match_tier_whole(t):
-    return _tiers(t, t.customer)
+def tier_sides(t):
+    lower, number = F.lower("c_mktsegment"), F.lpad(F.floor(F.col("c_custkey") / 11).cast("string"), 9, "0")
+    l_ = t.customer.select(F.col("c_custkey").alias("lid"), F.when(F.col("c_custkey") % 11 == 0, F.concat(F.lit("#"), number)).otherwise(lower).alias("name"), F.concat(F.lit("h"), F.col("c_nationkey").cast("string")).alias("host"))
+    r = t.supplier.select(F.col("s_suppkey").alias("rid"), F.when(F.col("s_suppkey") % 10 == 0, "building").otherwise(F.col("s_name")).alias("name"), F.concat(F.lit("h"), F.col("s_nationkey").cast("string")).alias("host"))
+    return l_, r
 
 
-def _tiers(t, customers):
-    l_ = customers.select(F.col("c_custkey").alias("lid"), F.lower("c_mktsegment").alias("name"), F.concat(F.lit("h"), F.col("c_nationkey").cast("string")).alias("host"))
-    r = t.supplier.select(F.col("s_suppkey").alias("rid"), F.when(F.col("s_suppkey") % 10 == 0, "building").otherwise(F.col("s_name")).alias("name"), F.concat(F.lit("h"), F.col("s_nationkey").cast("string")).alias("host"))
-    return M.tiered(l_, r, ["h1"])
+@query(TIERS + "SELECT * FROM m")
+def match_tier(t):
+    return M.tiered(*tier_sides(t), ["h1"])
 
 
 @query("""WITH p AS (SELECT c_custkey AS pid, 'n' || (c_custkey % 97) AS name, 'nation' || c_nationkey AS inst FROM customer), x AS (SELECT s_suppkey AS xid, 'n' || (s_suppkey % 89) AS name, 'nation' || s_nationkey AS inst FROM supplier),
@@ -150,22 +153,14 @@ def match_disambiguated(t):
     return M.disambiguated(e, r, [("exact", F.col("a") == F.col("b")), ("loose", F.col("a") % 5 == F.col("b") % 5)])
 
 
-_FUZZY = """WITH x AS (SELECT s_suppkey AS xid, lower(substring(s_name, 1, 12)) || CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE 'zz' END AS a FROM supplier WHERE s_suppkey <= 40), t AS (SELECT s_suppkey AS tid, lower(s_name) AS b FROM supplier),
+_FUZZY = """WITH x AS (SELECT s_suppkey AS xid, lower(substring(s_name, 1, 12)) || CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE 'zz' END AS a FROM supplier), t AS (SELECT s_suppkey AS tid, lower(s_name) AS b FROM supplier),
 c AS (SELECT xid, tid, CASE WHEN a = b THEN 'equal' WHEN length(a) >= 4 AND contains(b, a) OR length(b) >= 4 AND contains(a, b) THEN 'contains' ELSE 'prefix' END AS kind FROM x JOIN t ON a = b OR (length(a) >= 4 AND contains(b, a)) OR (length(b) >= 4 AND contains(a, b)) OR (length(a) >= 5 AND contains(b, substring(a, 1, 5))))
 SELECT xid, tid, kind FROM (SELECT *, row_number() OVER (PARTITION BY xid ORDER BY tid) AS k FROM c) WHERE k = 1"""
 
 
 @query(_FUZZY)
 def match_fuzzy(t):
-    return _fuzzy(t, t.supplier.filter("s_suppkey <= 40"))
-
-
-@query(_FUZZY.replace(" WHERE s_suppkey <= 40", ""))
-def match_fuzzy_whole(t):
-    return _fuzzy(t, t.supplier)
-
-
-def _fuzzy(t, external):
+    external = t.supplier
     tail = F.when(F.col("s_suppkey") % 3 == 0, "").otherwise("zz")
     x = external.select(F.col("s_suppkey").alias("xid"), F.concat(F.lower(F.substring("s_name", 1, 12)), tail).alias("name"))
     return M.fuzzy_first(x, t.supplier.select(F.col("s_suppkey").alias("tid"), F.lower("s_name").alias("name")))
@@ -193,18 +188,10 @@ def pattern_lookup(t):
     return M.pattern_lookup(t.part, ["qqq", "widget", "bolt"], name="p_name", key="p_partkey").select("p_partkey", "p_name")
 
 
-@query("""WITH c AS (SELECT doc_id, item_id, row_number() OVER (PARTITION BY doc_id ORDER BY substring(b.text, 1, 24) = substring(d.text, 1, 24) DESC, item_id) AS k FROM documents d JOIN benchmark b ON lower(substring(d.text, 1, 2)) = lower(substring(b.text, 1, 2)))
+@query("""WITH c AS (SELECT doc_id, item_id, row_number() OVER (PARTITION BY doc_id ORDER BY coalesce(b.text = d.text, false) DESC, item_id) AS k FROM documents d JOIN benchmark b ON lower(substring(d.text, 1, 2)) = lower(substring(b.text, 1, 2)))
 SELECT doc_id, item_id FROM c WHERE k = 1""")
 def composite_key_tiebreak(t):
-    key = F.lower(F.substring("text", 1, 2)).alias("key")
-    d = t.documents.select("doc_id", key, F.substring("text", 1, 24).alias("dt"))
-    b = t.benchmark.select("item_id", key, F.substring("text", 1, 24).alias("bt"))
-    return windows.first_per_key(d.join(F.broadcast(b), "key"), ["doc_id"], [F.desc(F.col("dt") == F.col("bt")), F.col("item_id")]).select("doc_id", "item_id")
-
-
-@query(ORACLES["composite_key_tiebreak"].replace("substring(b.text, 1, 24) = substring(d.text, 1, 24)", "coalesce(b.text = d.text, false)"))
-def composite_key_tiebreak_whole(t):
-    """Whole texts decide, where the query above and its SQL compare 24 characters."""
+    """Among items of one key the equal text wins, then the lowest id."""
     key = F.lower(F.substring("text", 1, 2)).alias("key")
     d, b = t.documents.select("doc_id", key, F.col("text").alias("dt")), t.benchmark.select("item_id", key, F.col("text").alias("bt"))
     same = F.coalesce(F.col("dt") == F.col("bt"), F.lit(False))
@@ -212,17 +199,9 @@ def composite_key_tiebreak_whole(t):
     return windows.first_per_key(ranked, ["doc_id"], [F.desc("same"), F.col("item_id")]).select("doc_id", "item_id")
 
 
-@query("""SELECT a.c_custkey FROM customer a JOIN supplier s ON nullif(a.c_nationkey, 3) IS NOT DISTINCT FROM nullif(s.s_nationkey, 3) WHERE s.s_suppkey <= 5""")
+@query("""SELECT a.c_custkey FROM customer a JOIN supplier s ON nullif(a.c_nationkey, 3) IS NOT DISTINCT FROM nullif(s.s_nationkey, 3)""")
 def null_safe_join(t):
-    return _null_safe(t, t.supplier.filter("s_suppkey <= 5"))
-
-
-@query(ORACLES["null_safe_join"].replace(" WHERE s.s_suppkey <= 5", ""))
-def null_safe_join_whole(t):
-    return _null_safe(t, t.supplier)
-
-
-def _null_safe(t, suppliers):
+    suppliers = t.supplier
     s = suppliers.select(F.nullif("s_nationkey", F.lit(3)).alias("k"))
     return t.customer.join(s, F.nullif("c_nationkey", F.lit(3)).eqNullSafe(F.col("k"))).select("c_custkey")
 

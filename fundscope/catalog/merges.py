@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import merging as U
 from ..sources import readers
-from .registry import ORACLES, query
+from .registry import query
 
 _CUR = "(SELECT c_custkey AS id, c_name AS name, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE c_mktsegment END AS segment, c_acctbal AS amount, c_nationkey AS nation FROM customer WHERE c_custkey % 3 <> 0)"
 _NEW = "(SELECT c_custkey AS id, upper(c_name) AS name, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END AS segment, c_acctbal + 1 AS amount, c_nationkey AS nation FROM customer WHERE c_custkey % 2 = 0)"
@@ -96,18 +96,10 @@ def fill_from_children(t):
     return U.fill_from_children(c, o, "c_custkey", "awards", F.count(F.lit(1))).withColumn("awards", F.coalesce("awards", F.lit(0)))
 
 
-@query("""WITH w AS (SELECT o_orderkey AS id, 'status' AS type, o_orderstatus AS value FROM orders WHERE o_orderkey % 50 = 0 UNION ALL SELECT o_orderkey, 'priority', o_orderpriority FROM orders WHERE o_orderkey % 50 = 0)
+@query("""WITH w AS (SELECT o_orderkey AS id, 'status' AS type, o_orderstatus AS value FROM orders UNION ALL SELECT o_orderkey, 'priority', o_orderpriority FROM orders)
 SELECT id, type, value FROM w WHERE NOT (type = 'status' AND id % 100 = 0) UNION ALL SELECT o_orderkey, 'status', 'X' FROM orders WHERE o_orderkey % 100 = 0""")
 def insert_missing_types(t):
-    return _missing_types(t.orders.filter("o_orderkey % 50 = 0"))
-
-
-@query(ORACLES["insert_missing_types"].replace(" WHERE o_orderkey % 50 = 0", ""))
-def insert_missing_types_whole(t):
-    return _missing_types(t.orders)
-
-
-def _missing_types(orders):
+    orders = t.orders
     o = orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"))
     have = o.filter("id % 100 = 0").select("id", F.lit("status").alias("type"), F.lit("X").alias("value"))
     return U.insert_missing_types(have, o, "id", ["status", "priority"])

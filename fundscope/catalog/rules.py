@@ -49,15 +49,30 @@ def kw_weighted(t):
     return d.filter(F.size("x") > 0).select("doc_id", F.array_join("x", ",").alias("labels"))
 
 
-@query("""WITH r(ord, domain, l1, keyword, weight) AS (VALUES (1, 'en', 'en/a', 'the', 1.0), (2, 'en', 'en/b', 'that', 2.0), (3, 'de', 'de/a', 'und', 1.5), (4, 'fr', 'fr/a', 'les', 1.0)),
-w AS (SELECT DISTINCT doc_id, unnest(string_split(text, ' ')) AS keyword FROM documents), m AS (SELECT doc_id, domain, l1, weight FROM w JOIN r USING (keyword)),
-d AS (SELECT doc_id, domain, sum(weight) AS s FROM m GROUP BY 1, 2) SELECT doc_id, string_agg(domain, ',' ORDER BY s DESC, domain) AS domains FROM d GROUP BY doc_id""")
+LEVELS = [("en", "en/a", "en/a/1", ("the", "thion")), ("en", "en/a", "en/a/2", ("that", "nd")), ("en", "en/b", "en/b/1", ("ough",)), ("de", "de/a", "de/a/1", ("und", "sch", "lichen")), ("fr", "fr/a", "fr/a/1", ("les", "eaux")), ("es", "es/a", "es/a/1", ("ción",))]
+
+
+@query("WITH r(ord, domain, l1, l2, keyword) AS (VALUES " + ", ".join(f"({k}, '{d}', '{a}', '{b}', '{w}')" for k, (d, a, b, words) in enumerate(LEVELS) for w in words) + """),
+m AS (SELECT doc_id, ord, domain, l1, l2, count(*) AS s FROM documents JOIN r ON contains(text, keyword) GROUP BY ALL),
+x AS (SELECT doc_id, domain, sum(s) AS s, min(ord) AS o FROM m GROUP BY 1, 2), y AS (SELECT doc_id, l1, sum(s) AS s, min(ord) AS o FROM m GROUP BY 1, 2), z AS (SELECT doc_id, l2, sum(s) AS s, min(ord) AS o FROM m GROUP BY 1, 2),
+d AS (SELECT doc_id, string_agg(domain, ',' ORDER BY s DESC, o) AS domains FROM x GROUP BY 1), e AS (SELECT doc_id, string_agg(l1, ',' ORDER BY s DESC, o) AS fields FROM y GROUP BY 1), f AS (SELECT doc_id, string_agg(l2, ',' ORDER BY s DESC, o) AS subfields FROM z GROUP BY 1)
+SELECT doc_id, coalesce(domains, 'unclassified') AS domains, coalesce(fields, '') AS fields, coalesce(subfields, '') AS subfields FROM documents LEFT JOIN d USING (doc_id) LEFT JOIN e USING (doc_id) LEFT JOIN f USING (doc_id)""")
 def kw_hierarchy(t):
-    rows = [(1, "en", "en/a", "the", 1.0), (2, "en", "en/b", "that", 2.0), (3, "de", "de/a", "und", 1.5), (4, "fr", "fr/a", "les", 1.0)]
-    rules = t.spark.createDataFrame(rows, "ord int, domain string, label string, keyword string, weight double")
-    m = R.long_matches(t.documents, "doc_id", F.split("text", " "), rules.select("ord", "label", "keyword", "weight"))
-    m = m.join(F.broadcast(rules.select("ord", "domain")), "ord")
-    return R.hierarchy_scores(m, "doc_id", ["domain"])["domain"].select("doc_id", F.array_join("labels", ",").alias("domains"))
+    rows = [("levels", k, d, a, b, w) for k, (d, a, b, words) in enumerate(LEVELS) for w in words]
+    rules = R.rule_table(t.spark.createDataFrame(rows, "ruleset string, ord int, domain string, l1 string, label string, keyword string"), "levels")
+    m = R.long_matches(t.documents, "doc_id", "text", rules)
+    m = m.join(F.broadcast(rules.select("ord", "domain", "l1", "label").distinct()), "ord")
+    x = R.hierarchy_scores(m, "doc_id", ["domain", "l1", "label"], t.documents)
+    shown = lambda c: F.array_join(c, ",")
+    return x.select("doc_id", F.when(F.size("domain") == 0, "unclassified").otherwise(shown("domain")).alias("domains"), shown("l1").alias("fields"), shown("label").alias("subfields"))
+
+
+@query(f"SELECT doc_id, {_first()} AS label FROM documents")
+def kw_from_table(t):
+    """The first rule of a rule table."""
+    rows = [("x", k, r.label, w, 1.0) for k, r in enumerate(RULES) for w in r.keywords] + [("other", 0, "no", "a", 1.0), ("x", 9, "blank", "", 1.0)]
+    rules = R.rules_from(t.spark.createDataFrame(rows, "ruleset string, ord int, label string, keyword string, weight double"), "x")
+    return t.documents.select("doc_id", R.first_match(F.col("text"), rules).alias("label"))
 
 
 @query(f"SELECT d.doc_id, coalesce(CASE l.quality WHEN 1 THEN 'good' WHEN 0 THEN 'bad' END, {_first()}, 'unclassified') AS label, CASE WHEN l.quality IS NOT NULL THEN 'curated' WHEN {_first()} IS NOT NULL THEN 'keyword' ELSE 'none' END AS method FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")

@@ -10,7 +10,7 @@ import re
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -189,6 +189,32 @@ def affiliation_agrees(a: Column, b: Column) -> Column:
     return F.when(~blank, F.arrays_overlap(institution_tokens(a), institution_tokens(b)) | within)
 
 
+# Marks of affiliations outside research, of academic institutions, and ends of institutions' names.
+NOT_ACADEMIC = r"株式会社|（株）|\(株\)|小学校|中学校|高等学校|高校|クリニック|診療所"
+ACADEMIC = r"大学|研究所|高専|機構|研究センター"
+INSTITUTION_ENDS = "大学|大学校|研究所|高専|高等専門学校|機構|研究センター|病院|医療センター"
+
+
+def link_match(affiliation: Column, institution: Column) -> Column:
+    """(match, demoted): if a linked person's affiliation shares an institution, NULL if it is blank.
+
+    A link between an affiliation outside research and an academic institution that doesn't match is surely another
+    person: it is to be taken back.
+    """
+    cores = lambda c: F.regexp_extract_all(F.regexp_replace(F.coalesce(c, F.lit("")), r"[\s　]", ""), F.lit(rf"([一-龥ぁ-んァ-ヴA-Za-z]+?(?:{INSTITUTION_ENDS}))"), F.lit(1))
+    match = F.when(F.regexp_replace(F.coalesce(affiliation, F.lit("")), r"[\s　]", "") != "", F.arrays_overlap(cores(affiliation), cores(institution)))
+    demoted = F.coalesce(~match & affiliation.rlike(NOT_ACADEMIC) & institution.rlike(ACADEMIC), F.lit(False))
+    return F.struct(match.alias("match"), demoted.alias("demoted"))
+
+
+def demote_links(links: DataFrame, affiliation: str, institution: str, link: str) -> DataFrame:
+    """``links`` with ``match``; demoted links become NULL, and ``demotion`` keeps what was there, so that it can be undone."""
+    x = links.withColumn("_m", link_match(F.col(affiliation), F.col(institution)))
+    kept = F.to_json(F.struct(F.col(link).alias("was"), F.col(affiliation).alias("affiliation"), F.col(institution).alias("institution")))
+    x = x.withColumns({"match": F.when(~F.col("_m.demoted"), F.col("_m.match")), "demotion": F.when(F.col("_m.demoted"), kept), link: F.when(~F.col("_m.demoted"), F.col(link))})
+    return x.drop("_m")
+
+
 def name_agrees(a: Column, b: Column) -> Column:
     """Equal or one within the other, if both are given; a missing one does not disagree."""
     return (a == "") | (b == "") | F.contains(a, b) | F.contains(b, a)

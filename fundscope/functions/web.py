@@ -38,6 +38,13 @@ def trust(url: Column) -> Column:
     return points + F.when(F.regexp_replace(url, r"^[a-z]+://[^/]*", "").isin("", "/"), 3).otherwise(0)
 
 
+def trust_of_site(url: Column) -> Column:
+    """The second weight set: other points for the same domains, and one for a root path."""
+    h = host(url)
+    points = F.when(h.endswith(".or.jp"), 6).when(h.endswith(".go.jp") | h.endswith(".ac.jp"), 4).when(h.endswith(".jp") | h.endswith(".org"), 3).otherwise(0)
+    return points + F.when(F.regexp_replace(url, r"^[a-z]+://[^/]*", "").isin("", "/"), 1).otherwise(0)
+
+
 def candidate_urls(cores: Column, templates: list[str]) -> Column:
     """Every core in every template ('{}' stands for it), without repeats, in order."""
     each = F.transform(cores, lambda c: F.array(*[F.replace(F.lit(t), F.lit("{}"), c) for t in templates]))

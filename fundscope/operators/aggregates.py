@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+
 def every():
     """The whole input as one window; for small, aggregated inputs."""
     return Window.partitionBy(F.lit(1))
@@ -26,10 +27,12 @@ def hhi(counts: DataFrame, n: str = "n", by: Sequence[str] = (), scale: float =
     return counts.groupBy(*by).agg(*agg)
 
 
-def upper_median(c: str | Column) -> Column:
-    """The element at n // 2 of the sorted values: the upper one of the middle two."""
-    values = F.sort_array(F.collect_list(c))
-    return F.element_at(values, (F.floor(F.size(values) / 2) + 1).cast("int"))
+def upper_median(c: str) -> Column:
+    """The element at n // 2 of the sorted values of a column: the upper one of the middle two.
+
+    Discrete percentiles round down, so it is the middle one in falling order; partial results count distinct values.
+    """
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{c}` DESC)")
 
 
 def with_share(df: DataFrame, n: str, by: Sequence[str] = (), digits: int = 6, name: str = "share") -> DataFrame:

@@ -87,6 +87,46 @@ def statement_lines(lines: DataFrame, keywords: list[str], least: int = 1_000_00
     return windows.first_per_key(found, ["doc"], [F.col("k"), F.desc("amount"), F.col("pos")]).select("doc", F.element_at(names, F.col("k") + 1).alias("keyword"), "amount")
 
 
+# Keywords of statement lines by priority, of balance sheets, and of amounts told in prose.
+GRANT_LINES = ["助成事業費", "公益目的事業費", "助成金支出", "事業費計", "研究助成事業", "事業費", "助成事業"]
+ASSET_LINES, ASSET_LINES_ELSE = ["資産合計", "総資産"], ["正味財産合計"]
+TOLD = r"(?:研究助成金の支払総額|助成金総額|助成金支出総額)[はをが、]*([0-9０-９,，]{1,4}億[0-9０-９,，]{0,5}万?円?|[0-9０-９,，]{4,}\s*円)"
+
+
+def asset_lines(lines: DataFrame, keywords: list[str], least: int = 10_000_000) -> DataFrame:
+    """(doc, keyword, amount): of lines that start with a keyword the first amount, which is the current year's; the largest."""
+    text = F.regexp_replace("text", r"^[\s　□■・(（ⅠⅡⅢⅣⅤ１-９0-9.]*", "")
+    which = F.lit(None).cast("string")
+    for w in reversed(keywords):
+        which = F.when(F.startswith(text, F.lit(w)), w).otherwise(which)
+    found = lines.withColumns({"keyword": which, "amount": F.get(amounts.line_amounts(F.col("text"), least), F.lit(0))}).filter("keyword is not null and amount is not null")
+    return windows.first_per_key(found, ["doc"], [F.desc("amount"), F.col("pos")]).select("doc", "keyword", "amount")
+
+
+def told_amounts(lines: DataFrame) -> DataFrame:
+    """(doc, amount): the first amount of grants that a line's prose tells."""
+    found = lines.withColumn("amount", amounts.strict_yen(F.regexp_replace(F.nullif(F.regexp_extract("text", TOLD, 1), F.lit("")), r"\s", "")))
+    return windows.first_per_key(found.filter("amount is not null"), ["doc"], [F.col("pos")]).select("doc", "amount")
+
+
+def statement(lines: DataFrame, least: int = 10_000_000) -> DataFrame:
+    """(doc, grants, grants_from, assets, assets_from) of the lines (doc, pos, text) of financial statements.
+
+    Grants are the best statement line, else what the prose tells; assets are a balance line, else net assets.  Blanks
+    between Japanese characters don't count.  A document without any of them has NULLs.
+    """
+    from ..functions.names import squeeze_japanese
+
+    lines = lines.withColumn("text", squeeze_japanese(F.col("text")))
+    docs = lines.select("doc").distinct()
+    best = lambda df, name: df.select("doc", F.col("amount").alias(name), F.col("keyword").alias(f"{name}_from"))
+    grants, told = best(statement_lines(lines, GRANT_LINES, least), "g"), told_amounts(lines).select("doc", F.col("amount").alias("t"))
+    one, two = best(asset_lines(lines, ASSET_LINES, least), "a"), best(asset_lines(lines, ASSET_LINES_ELSE, least), "n")
+    out = docs.join(grants, "doc", "left").join(told, "doc", "left").join(one, "doc", "left").join(two, "doc", "left")
+    prose = F.when(F.col("t").isNotNull(), "narrative")
+    return out.select("doc", F.coalesce("g", "t").alias("grants"), F.when(F.col("g").isNotNull(), F.col("g_from")).otherwise(prose).alias("grants_from"), F.coalesce("a", "n").alias("assets"), F.coalesce("a_from", "n_from").alias("assets_from"))
+
+
 def external_links(html: DataFrame, key: str, column: str, own: str) -> DataFrame:
     """(key, place, url): links that leave the site, in order, those of an info box first."""
     links = lambda text, base: F.transform(F.regexp_extract_all(text, F.lit(r"(?i)href=[\"'](https?://[^\"']+)"), F.lit(1)), lambda u, k: F.struct((k + base).alias("place"), u.alias("url")))

@@ -1,7 +1,7 @@
 """Entity matching: keyed, tiered, homonym-aware, disambiguating and containment joins.
 
 Equalities are equi-joins on computed keys.  Containment is blocked by fixed-length substrings: a contained text shares
-its first ``gram`` characters with some place of the longer one, so candidates come from an equi-join too and only they
+its rarest ``gram`` characters with some place of the longer one, so candidates come from an equi-join too and only they
 are compared.
 """
 
@@ -23,11 +23,16 @@ def keyed(probe: DataFrame, build: DataFrame, key: str, order: Sequence[Column],
 def contained_pairs(short: DataFrame, long: DataFrame, gram: int = 4) -> DataFrame:
     """(short_id, long_id): texts of ``short`` (short_id, s) that lie within texts of ``long`` (long_id, t).
 
-    Texts under ``gram`` characters are left out.  A long text gives a row per distinct substring of that length.
+    Texts under ``gram`` characters are left out.  A long text gives a row per distinct substring of that length; a short
+    one waits at the rarest of its own, so that a common beginning or ending brings nothing together.  A text with a
+    substring that no long text has lies in none.
     """
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("t") - gram + 1), lambda k: F.substring(F.col("t"), k, F.lit(gram))))
-    a = short.filter(F.length("s") >= gram).withColumn("g", F.substring("s", 1, gram))
-    b = long.filter(F.length("t") >= gram).withColumn("g", F.explode(grams))
+    grams = lambda c: F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - gram + 1), lambda k: F.substring(F.col(c), k, F.lit(gram)))))
+    b = long.filter(F.length("t") >= gram).withColumn("g", grams("t"))
+    often = b.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    own = short.filter(F.length("s") >= gram).withColumn("g", grams("s")).join(often, "g", "left")
+    best = F.min(F.struct("n", "g"))
+    a = own.groupBy("short_id", "s").agg(F.bool_and(F.col("n").isNotNull()).alias("known"), best.alias("best")).filter("known").select("short_id", "s", F.col("best.g").alias("g"))
     return a.join(b, "g").filter(F.contains("t", "s")).select("short_id", "long_id")
 
 

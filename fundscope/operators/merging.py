@@ -14,19 +14,40 @@ from ..functions import blank_to_null
 from . import windows
 
 
-def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str], values: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(table, plan): new values win where they aren't NULL; the plan counts inserted and updated keys."""
+def _last(incoming: DataFrame, keys: Sequence[str], values: Sequence[str], order: Sequence[Column], blanks: bool = True) -> DataFrame:
+    """A row per key: of each value column the last one, by ``order`` and then by all columns, that isn't NULL."""
+    place = F.struct(*order, *[F.col(c) for c in incoming.columns])
+    given = lambda c: blank_to_null(F.col(c)) if dict(incoming.dtypes)[c] == "string" and not blanks else F.col(c)
+    return incoming.groupBy(*keys).agg(*[F.max_by(given(v), F.when(given(v).isNotNull(), place)).alias(f"_n_{v}") for v in values])
+
+
+def _same(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
+    out = F.lit(True)
+    for k in keys:
+        out = out & a[k].eqNullSafe(b[f"_k_{k}"])
+    return out
+
+
+def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str], values: Sequence[str], order: Sequence[Column] = ()) -> tuple[DataFrame, DataFrame]:
+    """(table, plan): new values win where they aren't NULL; the plan counts inserted and updated keys.
+
+    Incoming rows of one key take effect one after the other, by ``order`` and then by all columns, and make one row.
+    NULL keys equal each other.
+    """
     cur = current.select(*keys, *[F.col(v).alias(f"_o_{v}") for v in values], F.lit(True).alias("_old"))
-    new = incoming.select(*keys, *[F.col(v).alias(f"_n_{v}") for v in values], F.lit(True).alias("_new"))
-    both = cur.join(new, list(keys), "full_outer")
-    table = both.select(*keys, *[F.coalesce(f"_n_{v}", f"_o_{v}").alias(v) for v in values])
+    new = _last(incoming.select(*dict.fromkeys([*incoming.columns])), keys, values, order).withColumn("_new", F.lit(True)).withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    both = cur.join(new, _same(cur, new, keys), "full_outer")
+    table = both.select(*[F.when(F.col("_old"), cur[k]).otherwise(F.col(f"_k_{k}")).alias(k) for k in keys], *[F.coalesce(f"_n_{v}", f"_o_{v}").alias(v) for v in values])
     plan = both.agg(F.count_if(F.col("_new") & F.col("_old").isNull()).alias("inserted"), F.count_if(F.col("_new") & F.col("_old")).alias("updated"), F.count_if(F.col("_new").isNull()).alias("kept"))
     return table, plan
 
 
-def fill_blanks(current: DataFrame, incoming: DataFrame, key: str, columns: Sequence[str], zero_too: bool = False) -> DataFrame:
-    """Current values where they aren't blank (nor 0, if ``zero_too``), else incoming ones."""
-    new = incoming.select(key, *[F.col(c).alias(f"_n_{c}") for c in columns])
+def fill_blanks(current: DataFrame, incoming: DataFrame, key: str, columns: Sequence[str], zero_too: bool = False, order: Sequence[Column] = ()) -> DataFrame:
+    """Current values where they aren't blank (nor 0, if ``zero_too``), else incoming ones.
+
+    Of several incoming rows with one key, the last value that isn't blank fills; a NULL key fills nothing.
+    """
+    new = _last(incoming, [key], columns, order, blanks=False)
     kinds = dict(current.dtypes)
 
     def kept(c: str) -> Column:
@@ -95,11 +116,14 @@ def append_missing(current: DataFrame, registry: DataFrame, key: str, prefer: Se
 
 
 def correct(current: DataFrame, corrections: DataFrame, key: str, column: str) -> DataFrame:
-    """Values named by corrections (key, bad, reason) become NULL; ``audit`` keeps what and why."""
-    c = corrections.select(key, F.col("bad").alias("_bad"), F.col("reason").alias("_reason"))
-    hit = F.col(column) == F.col("_bad")
-    out = current.join(c, key, "left").withColumn("audit", F.when(hit, F.concat_ws("|", F.lit(column), F.col(column).cast("string"), "_reason")))
-    return out.withColumn(column, F.when(~F.coalesce(hit, F.lit(False)), F.col(column))).drop("_bad", "_reason")
+    """Values named by corrections (key, bad, reason) become NULL; ``audit`` keeps what and why.
+
+    A key may have several corrections, each for a value of its own; of equal ones the first reason counts.
+    """
+    c = corrections.groupBy(F.col(key).alias("_k"), F.col("bad").alias("_bad")).agg(F.min("reason").alias("_reason"), F.lit(True).alias("_hit"))
+    out = current.join(c, (current[key] == F.col("_k")) & (current[column] == F.col("_bad")), "left")
+    out = out.withColumn("audit", F.when(F.col("_hit"), F.concat_ws("|", F.lit(column), F.col(column).cast("string"), "_reason")))
+    return out.withColumn(column, F.when(F.col("_hit").isNull(), F.col(column))).select(*current.columns, "audit")
 
 
 def fill_from_children(parents: DataFrame, children: DataFrame, key: str, column: str, agg: Column) -> DataFrame:

@@ -1,7 +1,7 @@
 """Keyword rules as data: a rule has an order, a label, keywords and weights; five ways to apply them.
 
 Rule sets are small, given data (tens to hundreds of keywords), so they compile to expressions that stay in generated
-code; ``long_matches`` is the join form for rule tables of any size.
+code, from literals or from a table (``rules_from``); ``long_matches`` takes tables of many more.
 """
 
 from __future__ import annotations
@@ -105,23 +105,77 @@ def evidence_score(labels: Sequence[str], evidence: Sequence[Evidence], margin:
     return F.struct(F.when(sure == "low", other).otherwise(ranked[0]["label"]).alias("label"), (-ranked[0]["s"]).alias("score"), sure.alias("confidence"), reasons.alias("reasons"))
 
 
-def long_matches(df: DataFrame, key: str, words: Column, rules: DataFrame) -> DataFrame:
-    """(key, ord, label, hits, score): rules as a table (ord, label, keyword, weight), keywords being whole words.
+def rule_table(df: DataFrame, ruleset: str | None = None) -> DataFrame:
+    """Rules from a table (ruleset, ord, label, keyword, weight), blank keywords and repeats left out; weight 1 by default."""
+    weight = F.coalesce("weight", F.lit(1.0)).cast("double") if "weight" in df.columns else F.lit(1.0)
+    rules = df.filter((F.col("ruleset") == ruleset) if ruleset is not None else F.lit(True))
+    rules = rules.filter("keyword is not null and keyword <> ''").withColumn("weight", weight)
+    return rules.groupBy("ord", *[c for c in df.columns if c not in ("ruleset", "ord", "keyword", "weight")], "keyword").agg(F.max("weight").alias("weight"))
 
-    An equi-join on words, so neither side's size matters.
+
+def rules_from(df: DataFrame, ruleset: str | None = None, most: int = 2_000) -> list[Rule]:
+    """A rule table as ``Rule`` objects, in order, for the expressions above; more than ``most`` keywords are refused."""
+    rows = rule_table(df, ruleset).select("ord", "label", "keyword", "weight").orderBy("ord", "keyword").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} keywords; use long_matches")
+    out: dict[tuple, list] = {}
+    for r in rows:
+        out.setdefault((r.ord, r.label), []).append(r)
+    return [Rule(label, tuple(r.keyword for r in group), max(r.weight for r in group)) for (_, label), group in out.items()]
+
+
+def long_matches(df: DataFrame, key: str, text: str, rules: DataFrame, most: int = 200_000) -> DataFrame:
+    """(key, ord, hits, score): keywords of a rule table (ord, keyword, weight) that lie within the text.
+
+    Each keyword counts once for a row of the table ``df``.  All keywords are looked for in one pass over a text, by an
+    automaton that each task builds; more than ``most`` of them, which bounds it, are refused.
+    """
+    import pyarrow as pa
+
+    words = rules.select("ord", "keyword", F.col("weight").cast("double")).filter("keyword <> ''").distinct().limit(most + 1).collect()
+    if len(words) > most:
+        raise ValueError(f"more than {most} keywords")
+    by_word: dict[str, list[tuple[int, float]]] = {}
+    for r in words:
+        by_word.setdefault(r.keyword, []).append((r.ord, r.weight))
+    texts = df.select(F.col(key).cast("string").alias("k"), F.col(text).cast("string").alias("t")).filter("t is not null")
+
+    def run(it):
+        import ahocorasick
+
+        finder = ahocorasick.Automaton()
+        for w in by_word:
+            finder.add_word(w, w)
+        finder.make_automaton()
+        for batch in it:
+            found = []
+            for k, t in zip(batch.column("k").to_pylist(), batch.column("t").to_pylist(), strict=True):
+                scores: dict[int, list[float]] = {}
+                for w in {w for _, w in finder.iter(t)} if by_word else ():
+                    for ord_, weight in by_word[w]:
+                        scores.setdefault(ord_, []).append(weight)
+                found += [(k, ord_, len(x), sum(sorted(x))) for ord_, x in scores.items()]
+            cols = list(zip(*found, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.int64(), pa.float64()), strict=True)], ["k", "ord", "hits", "score"])
+
+    kind = dict(df.dtypes)[key]
+    return texts.mapInArrow(run, "k string, ord int, hits long, score double").select(F.col("k").cast(kind).alias(key), "ord", "hits", "score")
+
+
+def hierarchy_scores(matches: DataFrame, key: str, levels: Sequence[str], unclassified: DataFrame | None = None) -> DataFrame:
+    """(key, a column per level): names of each level by summed score, best first, ties by the rules' order.
+
+    ``matches``: key, ord, score and the levels.  Keys of ``unclassified`` without a match come with empty lists.
     """
-    each = df.select(key, F.explode(F.array_distinct(words)).alias("keyword"))
-    return each.join(rules, "keyword").groupBy(key, "ord", "label").agg(F.count(F.lit(1)).alias("hits"), F.sum("weight").alias("score"))
-
-
-def hierarchy_scores(matches: DataFrame, key: str, levels: Sequence[str]) -> dict[str, DataFrame]:
-    """For each level of a rule hierarchy, (key, labels): labels by summed score, best first."""
-    out = {}
-    for k, level in enumerate(levels):
-        path = F.concat_ws("/", *levels[: k + 1])
-        scored = matches.groupBy(key, path.alias("label")).agg(F.sum("score").alias("score"))
-        ranked = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "label")))
-        out[level] = scored.groupBy(key).agg(F.transform(ranked, lambda x: x["label"]).alias("labels"))
+    out = None
+    for level in levels:
+        scored = matches.groupBy(key, level).agg(F.sum("score").alias("score"), F.min("ord").alias("ord"))
+        ranked = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "ord", F.col(level).alias("name"))))
+        part = scored.groupBy(key).agg(F.transform(ranked, lambda x: x["name"]).alias(level))
+        out = part if out is None else out.join(part, key)
+    if unclassified is not None:
+        none = F.array().cast("array<string>")
+        out = unclassified.select(key).join(out, key, "left").select(key, *[F.coalesce(F.col(x), none).alias(x) for x in levels])
     return out
 
 
