@@ -8,7 +8,8 @@ precision: neighbouring leaves form parts, so that a query goes once to a part w
 a leaf with much of the table is cut into blocks for many tasks.
 
 Nulls and repeats: rows with a null id, or a vector that is null, empty, zero, of another length than most, or holds null
-or non-finite components, take no part.  Equal rows count once.  Of equal vectors only the ``k + 1`` smallest ids can be
+or non-finite components, take no part.  An id counts once: of several vectors with one id the least, component by
+component, stands for it.  Of equal vectors only the ``k + 1`` smallest ids can be
 among a query's ``k`` nearest, so no more are kept as candidates; all are queries.  With fewer than ``k`` candidates all
 are returned.  An empty table gives no rows.  Other columns are ignored.
 """
@@ -141,7 +142,7 @@ def _usable(table: DataFrame) -> DataFrame:
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     table = table.filter((F.size(e) > 0) & ~F.exists(e, bad) & F.exists(e, lambda x: x != 0))
     width = table.groupBy(F.size(e).alias("w")).count().orderBy(F.desc("count"), F.desc("w")).first()
-    return table.filter(F.size(e) == (width.w if width else 0)).dropDuplicates(["vec_id", "embedding"])
+    return table.filter(F.size(e) == (width.w if width else 0)).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
 
 @shipped

@@ -165,3 +165,9 @@ def test_stars_connect_a_large_node(spark):
     big = spark.createDataFrame([(n, r, 500) for n in (-3, 8) for r in range(500 * (n == 8) - 250, 500 * (n == 8) + 250)], "node long, rid long, members long")
     got = dict(components(N._starred(big, 20)).collect())
     assert len(got) == 1000 and set(got.values()) == {-250, 250}
+
+
+def test_an_id_with_several_vectors_counts_once(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (0, [0.5, 9.0]), (1, [1.0, 1.0]), (1, [2.0, 0.0]), (2, [0.0, 3.0])], "vec_id long, embedding array<float>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in ann.nearest(df, F.col("vec_id") == 0).collect())
+    assert got == [(0, 1, 2, 27.0), (0, 2, 1, 9.5)]
