@@ -44,3 +44,13 @@ def test_query_without_sql_gives_rows(spark, name):
 def test_no_query_is_cut_by_id():
     for sql in ORACLES.values():
         assert not any(cut in sql for cut in ("c_custkey <=", "s_suppkey <=", "o_orderkey % 50", "l_quantity >= 40", "p_size <= 3", "WHERE lang = 'en')"))
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from fundscope.__main__ import main
+
+    assert main(["list"]) == 0 and "job_audit\tsql" in capsys.readouterr().out
+    assert main(["run", "group_count", "--tables", SF, "--out", str(tmp_path / "out")]) == 0
+    assert spark.read.parquet(str(tmp_path / "out")).count() > 0
+    with pytest.raises(SystemExit):
+        main(["run", "no_such_query", "--tables", SF])
