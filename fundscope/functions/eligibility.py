@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..operators.rules import decision
 from . import any_of
 
 # Terms in the order in which they are reported.
@@ -43,24 +45,42 @@ def nationality(text: Column) -> Column:
     return F.nullif(F.array_join(flags, ","), F.lit(""))
 
 
+# Rules of career stages in the order in which they apply.  A rule holds if the text has one of ``any``, one
+# of ``also`` and none of ``but``, or the position one of ``position``, or the least age is at most ``age``.
+STAGES: list[tuple[str, dict]] = [
+    ("undergraduate", {"any": ["学部生"]}),
+    ("phd_candidate", {"any": ["博士課程", "博士後期", "博士前期", "大学院生", "院生"]}),
+    ("phd_candidate", {"any": ["修士"], "also": ["学生"]}),
+    ("postdoc", {"any": ["ポスドク", "ポストドクター", "博士号取得後", "学位取得後"]}),
+    ("pi_early", {"age": 35}),
+    ("pi_mid", {"age": 45}),
+    ("senior", {"age": 55}),
+    ("pi_early", {"any": ["若手", "新進"]}),
+    ("pi_early", {"lower": ["early career"]}),
+    ("pi_mid", {"any": ["中堅"]}),
+    ("senior", {"any": ["名誉教授"]}),
+    ("senior", {"any": ["教授"], "but": ["准教授", "助教"]}),
+    ("pi_early", {"position": ["准教授", "講師", "助教"]}),
+    ("undergraduate", {"any": ["奨学", "スカラシップ"], "also": ["学部", "高校", "高等学校"]}),
+    ("phd_candidate", {"any": ["奨学", "スカラシップ"]}),
+    ("unrestricted", {"any": ["国籍不問", "年齢制限なし", "年齢を問わない", "あらゆる", "制限なし", "問いません"]}),
+    ("unrestricted", {"any": ["研究者"], "but": ["若手", "中堅"], "no_age": True}),
+]
+
+
 def career_stage(text: Column, age: Column, position: Column) -> Column:
-    """A decision list: students and postdocs by words, then the least age, then words of seniority."""
-    has = lambda *w: any_of(text, list(w))
+    """The stage of the first rule of ``STAGES`` that holds; NULL without any."""
     least = F.array_min(F.transform(F.regexp_extract_all(age, F.lit(r"(\d{2})"), F.lit(1)), lambda s: s.cast("int")))
-    student = F.when(has("学部", "高校", "高等学校"), "undergraduate").otherwise("phd_candidate")
-    return (
-        F.when(has("学部生"), "undergraduate")
-        .when(has("博士課程", "博士後期", "博士前期", "大学院生", "院生") | (has("修士") & has("学生")), "phd_candidate")
-        .when(has("ポスドク", "ポストドクター", "博士号取得後", "学位取得後"), "postdoc")
-        .when(least <= 35, "pi_early").when(least <= 45, "pi_mid").when(least <= 55, "senior")
-        .when(has("若手", "新進") | F.contains(F.lower(text), F.lit("early career")), "pi_early")
-        .when(has("中堅"), "pi_mid")
-        .when(has("名誉教授") | (has("教授") & ~has("准教授", "助教")), "senior")
-        .when(any_of(position, ["准教授", "講師", "助教"]), "pi_early")
-        .when(has("奨学", "スカラシップ"), student)
-        .when(has("国籍不問", "年齢制限なし", "年齢を問わない", "あらゆる", "制限なし", "問いません"), "unrestricted")
-        .when(has("研究者") & ~has("若手", "中堅") & age.isNull(), "unrestricted")
-    )
+    clauses = {
+        "any": lambda words: any_of(text, words),
+        "also": lambda words: any_of(text, words),
+        "but": lambda words: ~any_of(text, words),
+        "lower": lambda words: any_of(F.lower(text), words),
+        "position": lambda words: any_of(position, words),
+        "age": lambda most: least <= most,
+        "no_age": lambda _: age.isNull(),
+    }
+    return decision([(reduce(Column.__and__, [clauses[k](v) for k, v in rule.items()]), stage) for stage, rule in STAGES])
 
 
 def corporate_relation(claimed: Column, company: Column, title: Column, name: Column, executive: Sequence[str], advisory: Sequence[str], never: Sequence[str] = ()) -> Column:
