@@ -112,3 +112,80 @@ def test_mix_stage_is_shard_by_shard(spark):
         turns[r.doc_id] = turns.get(r.doc_id, 0) + 1
     assert turns == {i: sum(k[0] == i and p.words > 0 for k, p in pieces.items()) for i in turns}
     assert len(set().union(*shards)) >= 4
+
+
+def test_pipeline_against_a_direct_computation(spark, tmp_path):
+    """All five stages anew, with plain loops: scores, all pairs, all edit distances, the repeated streams, the library's ids."""
+    import hashlib
+    import re
+
+    import numpy as np
+    import pyarrow as pa
+    import xxhash
+    from test_files import water_fill
+    from test_search import brute
+
+    from fundscope.llm import decontam as D
+    from fundscope.llm import quality
+    from fundscope.llm import token_store as K
+    from fundscope.llm.words import Words
+
+    folder = "/root/testdata/sf0.001"
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    odd = docs.limit(6).collect()
+    more = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in odd[:2]] + [(None, odd[2].text, None, None, 1), (None, odd[3].text + " and a few more words", "en", "src0", 2), (99_991, None, "en", "src1", None), (99_992, "", "en", None, 0)]
+    docs.unionByName(spark.createDataFrame(more, docs.schema)).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    table = spark.read.parquet(f"{tmp_path}/documents.parquet")
+
+    model = quality.fit(table, spark.read.parquet(f"{tmp_path}/labels.parquet").filter(~quality.held_out(C.F.col("doc_id"))))
+    zs = model.compressors()
+
+    def score(text):
+        raw = (text or "").encode()
+        good, bad = (sum(len(z.compress(raw[k : k + quality.PIECE])) for k in range(0, len(raw), quality.PIECE)) for z in zs)
+        return 1 / (1 + np.exp(-(model.bias + model.slope * (bad - good) / (len(raw) + model.shrink) + model.filled * len(raw) / (len(raw) + model.shrink))))
+
+    rows = [(r.doc_id, r.text, r.source) for r in table.collect() if score(r.text) >= 0.7]
+
+    label = list(range(len(rows)))
+    near = brute([t for _, t, _ in rows])
+    for _ in rows:
+        label = [min([label[i], *(label[j] for j in near[i])]) for i in range(len(rows))]
+    classes = {}
+    for i, c in enumerate(label):
+        classes.setdefault(c, []).append(rows[i])
+    rows = [min(c, key=lambda r: (r[0] is None, r[0] or 0)) for c in classes.values()]
+
+    items = list(Words(pa.array([r.text for r in spark.read.parquet(f"{tmp_path}/benchmark.parquet").collect()])).rows())
+    leaked = lambda w: any(len(p) and D.edit_distance(p.tolist(), w.tolist())[0] <= D.allowed(len(p), 0.8) for p in items)
+    rows = [r for r, w in zip(rows, Words(pa.array([t for _, t, _ in rows], pa.string())).rows(), strict=True) if not leaked(w)]
+
+    word = re.compile(r"[^\x20\x09-\x0D]+")
+    size = lambda t: len(word.findall(t or ""))
+
+    def key(r):
+        content = "" if r[1] is None else str(np.uint64(xxhash.xxh64_intdigest(r[1].encode(), seed=42)).astype(np.int64))
+        return hashlib.md5(f"6:{'' if r[0] is None else r[0]}:{content}".encode()).hexdigest()
+
+    names = sorted({s for *_, s in rows}, key=lambda s: (s is None, s or ""))
+    target = water_fill([sum(size(t) for _, t, x in rows if x == s) for s in names], [k % 3 + 1 for k in range(len(names))])
+    taken = []
+    for s, wanted in zip(names, target, strict=True):
+        whole, at = int(wanted + 0.5), 0
+        for _ in range(3):
+            for r in sorted((r for r in rows if r[2] == s and size(r[1])), key=key):
+                if (n := min(size(r[1]), whole - at)) > 0:
+                    taken.append((r[0], r[1] if n == size(r[1]) else r[1][: [m.end() for m in word.finditer(r[1])][n - 1]]))
+                    at += n
+
+    whole = K.WordTokenizer(Q.tokenizer()).whole
+    want = []
+    for i, t in taken:
+        ids = [*whole.encode(t, add_special_tokens=False).ids, 2]
+        want.append((i, len(ids), K.crc_of(ids)))
+    got = C.run(spark, str(tmp_path)).orderBy("start").collect()
+    assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in got), key=repr) == sorted(want, key=repr)
+    assert [r.start for r in got] == np.concatenate([[0], np.cumsum([r.n_tokens for r in got])[:-1]]).tolist()
+    assert [r.doc_id or -1 for r in got] == sorted(r.doc_id or -1 for r in got) and 50 < len(rows) < 200
