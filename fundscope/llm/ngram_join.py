@@ -350,9 +350,10 @@ def near_duplicates(docs: DataFrame, *, similarity: float = 0.8, recall: float =
     checked = written(checked, shared_dir(spark, "links"))
 
     links = checked.filter("kind = 0").groupBy(F.col("a").alias("rid")).agg(F.sum("b").alias("links"))
-    classes = components(checked.filter("kind = 1").select(F.col("a").alias("u"), F.col("b").alias("v"))).join(slim.select("rid", "rep"), "rid")
-    names = classes.groupBy("root").agg(F.min("rep").alias("class_id"))
-    classes = classes.join(names, "root").select("rid", "class_id")
+    forests = checked.filter("kind = 1").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    classes = written(components(forests).join(slim.select("rid", "rep"), "rid"), shared_dir(spark, "classes"))
+    names = written(classes.groupBy("root").agg(F.min("rep").alias("class_id"), F.count(F.lit(1)).alias("many")), shared_dir(spark, "names"))
+    classes = spread_join(classes, names, "root", "many").select("rid", "class_id")
     known = slim.join(links, "rid", "left").join(classes, "rid", "left").select("rid", "copies", F.coalesce("class_id", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     known = written(known, shared_dir(spark, "known"))
     return _spread(sets.select("doc_id", "rid"), known)
