@@ -55,7 +55,7 @@ class WordTokenizer:
     file's normaliser or pre-tokenizer is another one than this way stands for.  At most ``keep`` parts are held.
     """
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 300_000):
         import regex
         from tokenizers import Tokenizer
 
@@ -186,8 +186,9 @@ def _compressor(tokenizer_path: str, dictionary: bytes, end_id: int, level: int)
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        from .words import batches
+        from .words import batches, release
 
+        release()
         tokenizer = WordTokenizer(tokenizer_path)
         zstd = zstandard.ZstdCompressor(level=level, dict_data=_dictionary(dictionary), write_dict_id=False)
         end = tokenizer.pack([end_id])

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -110,7 +111,12 @@ def batches(it: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> I
 
 
 def release() -> None:
-    """Give freed memory back at the end of a partition: workers live on for other tasks."""
+    """Give freed memory back at the end of a partition: workers live on for other tasks.
+
+    Caches and tokenizers of earlier tasks may be in reference cycles, which the collector would leave for long, as what
+    they hold are mostly strings.
+    """
+    gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL("libc.so.6").malloc_trim(0)
