@@ -7,7 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..shipping import ship
@@ -65,29 +65,48 @@ def written(df: DataFrame, path: str, compression: str | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Plan nodes that give at most one row for each row of the file that they read.
+_ONE_FOR_ONE = {"Project", "Filter", "SubqueryAlias", "View"}
+#: Files whose numbers are broadcast, 16 bytes each; more are joined in a shuffle.
+MOST_FILES = 1 << 21
+
+
+def _scans_files(df: DataFrame) -> bool:
+    """Whether ``df`` only selects from one set of files: then a row's place in its file is the row's own."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.getClass().getSimpleName() in _ONE_FOR_ONE and node.children().size() == 1:
+        node = node.children().head()
+    return node.getClass().getSimpleName() == "LogicalRelation" and "HadoopFsRelation" in node.relation().getClass().getSimpleName()
+
+
 def with_row_key(docs: DataFrame, key: str = "_row") -> DataFrame:
     """``docs`` with ``key``, a number of its own for each row and the same in every reading.
 
-    It is the row's place in its Parquet file and the file's place among all; other frames are written first.  Choose a
-    key that is ``unused`` in ``docs``.
+    It is the row's place in its Parquet file and the file's place among all.  A frame that does more than select rows and
+    columns of files (joins, unions, generators) is written first, as its rows may share such places.  The files' places
+    are a table that Spark makes and joins by a hash of the path; two paths of one hash are refused.  Choose a key that is
+    ``unused`` in ``docs``.
     """
     spark, columns = docs.sparkSession, docs.columns
     file, at, place = unused(docs, "_file"), unused(docs, "_at"), unused(docs, "_place")
-    placed = lambda df: df.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(at))
+    hidden = {c: unused(docs, f"own{c}") for c in columns if c.lower() == "_metadata"}
+    rows = docs
     try:
-        if "_metadata" in (c.lower() for c in columns):
-            raise AnalysisException("the column hides that of the files")
-        rows = placed(docs)
-        rows.schema  # noqa: B018
+        if hidden or not _scans_files(docs):
+            raise AnalysisException("not a plain scan")
+        rows.select("_metadata.row_index").schema  # noqa: B018
     except AnalysisException:
-        hidden = [c for c in columns if c.lower() == "_metadata"]
-        named = docs.withColumnsRenamed({c: unused(docs, f"own{c}") for c in hidden})
-        rows = placed(written(named, shared_dir(spark, "keyed")))
-        rows = rows.withColumnsRenamed({unused(docs, f"own{c}"): c for c in hidden})
-    files = sorted(r[0] for r in rows.select(file).distinct().collect())
-    places = spark.createDataFrame(list(enumerate(files)), f"`{place}` long, `{file}` string")
-    number = F.col(place) * (1 << 40) + F.col(at)
-    return rows.join(F.broadcast(places), file).select(*(F.col(f"`{c}`") for c in columns), number.alias(key))
+        rows = written(docs.withColumnsRenamed(hidden), shared_dir(spark, "keyed"))
+    path = F.col("_metadata.file_path")
+    files = rows.select(path.alias(place)).distinct().select(F.xxhash64(place).alias(file), F.row_number().over(Window.orderBy(place)).alias(place))
+    files = written(files, shared_dir(spark, "files"))
+    n, distinct = files.agg(F.count(F.lit(1)), F.count_distinct(file)).first()
+    if n != distinct:
+        raise ValueError("two files have one hash; write the table again")
+    numbers = F.broadcast(files) if n <= MOST_FILES else files.hint("merge")
+    placed = rows.select("*", F.xxhash64(path).alias(file), F.col("_metadata.row_index").alias(at)).withColumnsRenamed({v: k for k, v in hidden.items()})
+    number = (F.col(place) - 1).cast("long") * (1 << 40) + F.col(at)
+    return placed.join(numbers, file).select(*(F.col(f"`{c}`") for c in columns), number.alias(key))
 
 
 #: Rows of neighbouring keys that one file of a side table answers for, as a power of two.
@@ -97,7 +116,8 @@ CELL = 18
 def put_cells(table: DataFrame, by: list[str], within: list[str], folder: str) -> None:
     """Write ``table`` below ``folder`` in a file per value of the integers ``by``, its rows in the order of ``within``.
 
-    A repeated task replaces its files by equal ones.
+    Files get names of their own, so no attempt of a task touches another's; the list of them, written by Spark in one
+    commit, names only those of the attempts that counted.
     """
     fs, root = open_fs(folder)
     fs.create_dir(root, recursive=True)
@@ -107,24 +127,44 @@ def put_cells(table: DataFrame, by: list[str], within: list[str], folder: str) -
 
         fs, root = open_fs(folder)
         for cell, rows in groups(it, by):
-            part, path = f"{root}/{uuid.uuid4().hex}.part", f"{root}/{'_'.join(map(str, cell))}.arrow"
-            with fs.open_output_stream(part) as out, pa.ipc.new_file(out, rows.schema) as f:
+            name = f"{uuid.uuid4().hex}.arrow"
+            with fs.open_output_stream(f"{root}/{name}") as out, pa.ipc.new_file(out, rows.schema) as f:
                 f.write_table(rows)
-            try:
-                fs.move(part, path)
-            except OSError:
-                fs.delete_file(path)
-                fs.move(part, path)
-            yield pa.RecordBatch.from_arrays([pa.array([rows.num_rows], pa.int64())], ["n"])
+            yield pa.RecordBatch.from_arrays([pa.array(["_".join(map(str, cell))]), pa.array([name])], ["cell", "name"])
 
-    table.repartition(*by).sortWithinPartitions(*by, *within).mapInArrow(write, "n long").agg(F.sum("n")).first()
+    names = table.repartition(*by).sortWithinPartitions(*by, *within).mapInArrow(write, "cell string, name string")
+    names = written(names, f"{folder}/names")
+    lists = -(-names.count() // 100_000)
+    names.orderBy("cell").coalesce(max(1, lists)).write.parquet(f"{folder}/cells")
 
 
 class Cells:
-    """Reader of the files of ``put_cells``; holds the last ``most`` of them."""
+    """Reader of the files of ``put_cells``; holds the last ``most`` of them.
+
+    A cell that isn't listed has no rows; one that is listed and can't be read is an error, as is a missing list.
+    """
 
     def __init__(self, folder: str, most: int = 2):
-        self.folder, self.most, self.held = folder, most, {}
+        self.folder, self.most, self.held, self.lists, self.names = folder, most, {}, None, {}
+
+    def _name(self, cell: str) -> str | None:
+        """The cell's file.  A list of up to 100,000 names is held whole; of several, the rows asked for are read."""
+        import pyarrow.compute as pc
+        import pyarrow.dataset as ds
+        from pyarrow import fs
+
+        if self.lists is None:
+            store, root = open_fs(self.folder)
+            files = [f.path for f in store.get_file_info(fs.FileSelector(f"{root}/cells")) if f.path.endswith(".parquet")]
+            if not files:
+                raise FileNotFoundError(f"the list of {self.folder} is missing")
+            self.lists = ds.dataset(files, filesystem=store, format="parquet")
+            if len(files) == 1:
+                self.names = dict(zip(*(c.to_pylist() for c in self.lists.to_table(columns=["cell", "name"]).columns), strict=True))
+                self.lists = ()
+        if self.lists and cell not in self.names:
+            self.names[cell] = next(iter(self.lists.to_table(columns=["name"], filter=pc.field("cell") == cell).column("name").to_pylist()), None)
+        return self.names.get(cell)
 
     def __getitem__(self, cell: tuple[int, ...]):
         """The cell's rows as an Arrow table; none, if it has no rows."""
@@ -134,12 +174,13 @@ class Cells:
             return self.held[cell]
         while len(self.held) >= self.most:
             del self.held[next(iter(self.held))]
-        fs, root = open_fs(self.folder)
-        path, self.held[cell] = f"{root}/{'_'.join(map(str, cell))}.arrow", None
-        if fs.get_file_info(path).type.name != "NotFound":
-            with fs.open_input_stream(path) as f:
-                self.held[cell] = pa.ipc.open_file(pa.BufferReader(f.read())).read_all()
-        return self.held[cell]
+        name, table = self._name("_".join(map(str, cell))), None
+        if name is not None:
+            fs, root = open_fs(self.folder)
+            with fs.open_input_stream(f"{root}/{name}") as f:
+                table = pa.ipc.open_file(pa.BufferReader(f.read())).read_all()
+        self.held[cell] = table
+        return table
 
 
 class Places:

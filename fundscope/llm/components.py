@@ -77,10 +77,10 @@ def components(edges: DataFrame, alone: int = 1 << 19) -> DataFrame:
     """
     spark = edges.sparkSession
     edges = written(edges.select("u", "v").filter("u <> v").mapInArrow(_local, "u long, v long").distinct(), shared_dir(spark, "edges"))
-    before = None
+    stars = lambda e: e.select(F.col("v").alias("rid"), F.col("u").alias("root")).unionByName(e.select(F.col("u").alias("rid"), F.col("u").alias("root")).distinct())
     if edges.count() <= alone:
-        edges = written(edges.coalesce(1).mapInArrow(_local, "u long, v long"), shared_dir(spark, "edges"))
-        before = _state(edges)
+        return stars(written(edges.coalesce(1).mapInArrow(_local, "u long, v long"), shared_dir(spark, "edges")))
+    before = None
     while (now := _state(edges)) != before and now[0]:
         before = now
         # large star: larger neighbours go to the least one, the node itself included
@@ -91,6 +91,6 @@ def components(edges: DataFrame, alone: int = 1 << 19) -> DataFrame:
         down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
         joined = spread_join(down, least, "u", "n", total=now[0])
-        stars = joined.select(F.col("m").alias("u"), F.col("v")).unionByName(least.select(F.col("m").alias("u"), F.col("u").alias("v")))
-        edges = written(stars.filter("u <> v").distinct(), shared_dir(spark, "edges"))
-    return edges.select(F.col("v").alias("rid"), F.col("u").alias("root")).unionByName(edges.select(F.col("u").alias("rid"), F.col("u").alias("root")).distinct())
+        small = joined.select(F.col("m").alias("u"), F.col("v")).unionByName(least.select(F.col("m").alias("u"), F.col("u").alias("v")))
+        edges = written(small.filter("u <> v").distinct(), shared_dir(spark, "edges"))
+    return stars(edges)

@@ -244,7 +244,7 @@ def _cut_rows(batch: pa.RecordBatch, at: np.ndarray, piece: pa.Table, columns: l
             text[j] = text[j][:end]
         arrays = out.columns
         arrays[k] = pa.array(text, out.schema.field(k).type)
-        if length:
+        if length in columns:
             n, m = columns.index(length), out.column(columns.index(length)).to_pylist()
             for j in cut.tolist():
                 m[j] = len(text[j])

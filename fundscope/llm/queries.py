@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, edit_counts, mixing, ngram_join, preference, quality, token_store, toxicity, warc
+from . import ann, decontam, edit_counts, lexical, minhash, mixing, ngram_join, preference, quality, runs, token_store, toxicity, warc
 from .common import load, shared_dir, written
 
 
@@ -75,7 +75,27 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(load(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_preference_format, op3_token_counts, op4_quality_classifier, op5_nearest_neighbours, op6_source_mix, op7_token_files, op8_toxicity, op9_ngram_join, op10_warc)}
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.deduplicated(load(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the runs of every document; every tenth is first given a periodic tail."""
+    docs = load(spark, sf_dir, "documents")
+    return runs.digest(runs.periodic_runs(docs.withColumn("text", runs.repeated_tail(F.col("text"), F.col("doc_id")))))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_decontamination, op2_preference_format, op3_token_counts, op4_quality_classifier, op5_nearest_neighbours, op6_source_mix, op7_token_files, op8_toxicity, op9_ngram_join, op10_warc,
+        op11_minhash_dedup, op12_lexical_search, op13_periodic_runs,
+    )
+}
 
 ORACLES: dict[str, str] = {
     "op2_preference_format": r"""
@@ -119,4 +139,31 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM winner AND winner IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM winner THEN winner END AS refers_to
 FROM m""",
+    "op11_minhash_dedup": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+         ELSE list_transform(range(1, len(words) - 3), lambda k: array_to_string(words[k:k + 4], ' ')) END) AS shingle FROM w),
+z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN z x ON x.doc_id = a JOIN z y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+m AS (SELECT a AS doc_id, min(b) AS least FROM r GROUP BY a)
+SELECT w.doc_id, coalesce(z.n, 0) AS n_shingles, least(coalesce(m.least, w.doc_id), w.doc_id) AS component_id, coalesce(m.least, w.doc_id) >= w.doc_id AS kept
+FROM w LEFT JOIN z ON z.doc_id = w.doc_id LEFT JOIN m ON m.doc_id = w.doc_id""",
+    "op12_lexical_search": r"""
+WITH t AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+f AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+n AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM f GROUP BY doc_id),
+c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM n),
+m AS (SELECT doc_id, 75 + (25 * n * docs) // terms AS m FROM n, c),
+d AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, c GROUP BY term, docs),
+q AS (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+s AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM q JOIN d USING (term) JOIN f USING (term) JOIN m USING (doc_id) GROUP BY ALL),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20""",
 }

@@ -1,7 +1,7 @@
 """Vectorised words of Arrow text columns: 64-bit hashes without a Python object per word.
 
 A word is a maximal run of ASCII letters, digits and bytes of non-ASCII characters in the lower-cased text, so
-case, punctuation and white space don't count.  The hash is a polynomial over the word's bytes modulo 2**64,
+case, punctuation and white space don't count; other bytes can be given, and lower-casing of A to Z alone.  The hash is a polynomial over the word's bytes modulo 2**64,
 mixed at the end; it is computed from prefix sums, in blocks of about a megabyte cut between words.
 """
 
@@ -18,9 +18,21 @@ import pyarrow.compute as pc
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BLOCK = 1 << 19
-_WORD = np.zeros(256, bool)
-for _a, _b in ((48, 58), (97, 123), (128, 256)):
-    _WORD[_a:_b] = True
+
+
+def bytes_in(*ranges: tuple[int, int]) -> np.ndarray:
+    """A table that marks the bytes from a to below b of each range."""
+    table = np.zeros(256, bool)
+    for a, b in ranges:
+        table[a:b] = True
+    return table
+
+
+#: Bytes of words: letters, digits and non-ASCII characters; or all but ASCII blanks.
+_WORD = bytes_in((48, 58), (97, 123), (128, 256))
+UNSPACED = ~bytes_in((9, 14), (32, 33))
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -46,16 +58,22 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Words of a text column: ``hashes``, ``starts`` and ``ends`` in bytes of ``data``, ``offsets`` per row."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, inside: np.ndarray = _WORD, ascii_only: bool = False):
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
-        texts = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+        member = inside
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if not ascii_only:
+            texts = pc.utf8_lower(texts)
         limits = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[limits[0] : limits[-1]] if len(texts) else np.zeros(0, np.uint8)
         limits = limits - limits[0] if len(texts) else np.zeros(1, np.int64)
+        if ascii_only:
+            # Arrow's own ascii_lower goes wrong on slices
+            data = _LOWER[data]
         self.data, self.limits = data, limits
         inside = np.zeros(len(data) + 2, bool)
-        inside[1:-1] = _WORD[data]
+        inside[1:-1] = member[data]
         first = inside[1:-1] & ~inside[:-2]
         last = inside[1:-1] & ~inside[2:]
         cuts = limits[1:-1]
