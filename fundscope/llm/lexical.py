@@ -197,7 +197,7 @@ def _block(docs: DataFrame, asked: DataFrame, k: int, postings: int, few: int) -
     folder = shared_dir(spark, "vocabulary")
     put_cells(vocabulary.withColumn("cell", F.lit(0)), ["cell"], ["term"], folder)
     counted = written(docs.mapInArrow(_counts(folder), "row long, doc_id long, n long, terms array<int>, tfs array<long>"), shared_dir(spark, "index"))
-    total, length = counted.agg(F.count_if("n > 0"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    total, length = counted.agg(F.count_if(F.col("n") > 0), F.coalesce(F.sum("n"), F.lit(0))).first()
     # places of terms among the sorted ones, as the index has them
     df = counted.select(F.explode("terms").alias("place")).groupBy("place").agg(F.count(F.lit(1)).alias("df"))
     numbered = vocabulary.withColumn("place", F.row_number().over(Window.orderBy("term")) - 1)

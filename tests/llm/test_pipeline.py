@@ -31,7 +31,7 @@ def test_mix_stage_cuts_at_words(spark):
 @pytest.mark.parametrize("name", sorted(Q.ORACLES))
 def test_sql_gives_the_same_rows(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = Q.QUERIES[name](spark, SF)
     columns = sorted(df.columns)
