@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import core, extras, functions, jobs, joins, literals, merges, orders, reports, rules
+from . import algorithms, core, derived, extras, functions, jobs, joins, merges, orders, reports, rules
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "core", "extras", "functions", "jobs", "joins", "literals", "merges", "orders", "reports", "rules"]
+__all__ = ["ORACLES", "QUERIES", "algorithms", "core", "derived", "extras", "functions", "jobs", "joins", "merges", "orders", "reports", "rules"]

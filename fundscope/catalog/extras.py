@@ -9,42 +9,6 @@ from ..functions.register import register_functions
 from ..operators import rules as R
 from .registry import query
 
-_ADDRESSES = [("東京都千代田区丸の内1", "東京都", "千代田区"), ("京都府京都府京都市左京区", "京都府", "京都市"), ("北海道札幌市", "北海道", "札幌市"), ("ロンドン", None, None), ("", None, None)]
-_LIT = lambda v: "NULL" if v is None else f"'{v}'"
-
-
-@query("SELECT * FROM (VALUES " + ", ".join(f"({_LIT(a)}, {_LIT(p)}, {_LIT(m)})" for a, p, m in _ADDRESSES) + ") v(address, prefecture, municipality)")
-def address_split(t):
-    df = t.spark.createDataFrame([(a,) for a, _, _ in _ADDRESSES], "address string")
-    return df.withColumn("x", places.split_address(F.col("address"))).select("address", "x.prefecture", "x.municipality")
-
-
-_PLACES = [("本部は大阪府です", "大阪府", "prefecture"), ("甲大学の研究室", "愛知県", "university"), ("横浜市の財団", "神奈川県", "city"), ("広島の会", "広島県", "short"), ("不明", None, None)]
-
-
-@query("SELECT * FROM (VALUES " + ", ".join(f"({_LIT(a)}, {_LIT(p)}, {_LIT(m)})" for a, p, m in _PLACES) + ") v(text, value, method)")
-def prefecture_cascade(t):
-    df = t.spark.createDataFrame([(a,) for a, _, _ in _PLACES], "text string")
-    return df.withColumn("x", places.cascade(F.col("text"), {"甲大学": "愛知県"}, {"横浜": "神奈川県"})).select("text", "x.value", "x.method")
-
-
-_CALLS = [
-    ("35歳以下の助教", "35歳以下", "助教", None, "pi_early"),
-    ("博士課程の留学生", None, "博士課程", "留学生対応あり", "phd_candidate"),
-    ("満 45 歳、教授、国籍は問わない", "満45歳", "教授", "国籍不問", "pi_mid"),
-    ("研究者", None, None, None, "unrestricted"),
-    ("若手歓迎", "若手研究者", None, None, "pi_early"),
-    ("記念品", None, None, None, None),
-]
-
-
-@query("SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(map(_LIT, r)) + ")" for r in _CALLS) + ") v(text, age, position, nationality, stage)")
-def eligibility_extract(t):
-    df = t.spark.createDataFrame([(r[0],) for r in _CALLS], "text string")
-    c = F.col("text")
-    df = df.withColumns({"age": eligibility.ages(c), "position": eligibility.listed(c, eligibility.POSITIONS), "nationality": eligibility.nationality(c)})
-    return df.withColumn("stage", eligibility.career_stage(c, F.col("age"), F.col("position")))
-
 
 @query("""SELECT c_custkey, CASE WHEN c_acctbal > 0 AND c_mktsegment LIKE '%U%' AND NOT c_mktsegment LIKE '%B%' THEN 'exec' WHEN c_mktsegment LIKE '%B%' THEN 'advisor' ELSE 'none' END AS relation FROM customer""")
 def corporate_relation(t):

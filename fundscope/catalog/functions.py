@@ -70,15 +70,6 @@ def fiscal_year(t):
     return t.orders.select("o_orderkey", M.fiscal_year(d).alias("fy"), F.when((d < F.lit("1997-06-01").cast("date")) & (F.col("o_orderstatus") != "F"), "closed").otherwise(F.col("o_orderstatus")).alias("status"))
 
 
-_YEN = [("5,000,000円", 5_000_000, None), ("1億2,000万円", None, 120_000_000), ("1.5億円", None, 150_000_000), ("3千万円", None, 30_000_000), ("100百万円", None, 100_000_000), ("５０万円", None, 500_000), ("no unit", None, None)]
-
-
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{s}', {'NULL' if a is None else a}::BIGINT, {'NULL' if b is None else b}::BIGINT)" for s, a, b in _YEN) + ") v(text, plain, parsed)")
-def yen_parse(t):
-    df = t.spark.createDataFrame([(s,) for s, _, _ in _YEN], "text string")
-    return df.select("text", F.when(~F.col("text").rlike("[億万]"), M.plain_yen(F.col("text"))).alias("plain"), M.parse_yen(F.col("text")).alias("parsed"))
-
-
 @query("""SELECT doc_id, len(v) AS numbers, list_max(v) AS most FROM (SELECT doc_id, list_filter([CAST(x AS BIGINT) FOR x IN list_filter(regexp_split_to_array(text, '[^0-9.,]+'), lambda s: regexp_full_match(s, '[0-9]{4,13}'))], lambda x: x >= 1000) AS v FROM documents) WHERE len(v) > 0""")
 def line_amounts(t):
     """Bare numbers of four and more digits; SQL sees them as whole tokens between other characters."""

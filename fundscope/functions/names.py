@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from . import BLANKS, strip
+
 # Legal forms and their abbreviations, as they occur in names.
 LEGAL_ANYWHERE = ["公益財団法人", "一般財団法人", "公益社団法人", "一般社団法人", "特定非営利活動法人", "NPO法人", "株式会社", "有限会社", "学校法人", "独立行政法人", "国立大学法人", "社会福祉法人", "宗教法人"]
 LEGAL_LEADING = ["公益財団法人", "一般財団法人", "公益社団法人", "一般社団法人", "特定非営利活動法人", "認定特定非営利活動法人", "ＮＰＯ法人", "NPO法人", "株式会社", "有限会社", "公益財団", "一般財団", "公益社団", "一般社団", "（公財）", "(公財)", "（一財）", "(一財)", "（公社）", "(公社)", "（一社）", "(一社)", "（独法）", "(独法)", "（株）", "(株)", "（有）", "(有)"]
@@ -26,11 +28,12 @@ ABBREVIATED = ["公財", "公社", "一財", "一社", "特非", "社福", "独"
 LOOSE_ABBREVIATED = ["(公財)", "（公財）", "(一財)", "（一財）", "(公社)", "（公社）", "(一社)", "（一社）", "(独)", "（独）"]
 
 # Patterns of what profiles cut off.
-_TRAILING_PAREN = r"[（(].*?[)）]\s*$"
-_LEAD = r"^(公益|一般|特定非営利活動|特例)?(財団法人|社団法人)?\s*"
-_LEAD_LOOSE = r"^(公益|一般|特定非営利活動|認定特定非営利活動|特例)?(財団法人|社団法人)?\s*"
+_S = BLANKS
+_TRAILING_PAREN = rf"[（(].*?[)）][{_S}]*$"
+_LEAD = rf"^(公益|一般|特定非営利活動|特例)?(財団法人|社団法人)?[{_S}]*"
+_LEAD_LOOSE = rf"^(公益|一般|特定非営利活動|認定特定非営利活動|特例)?(財団法人|社団法人)?[{_S}]*"
 _PHRASE = r"(公益|一般|特定非営利活動|認定特定非営利活動)?(財団|社団)?法人"
-_DOTS = r"[\s　・,，.。()（）「」『』]"
+_DOTS = rf"[{_S}・,，.。()（）「」『』]"
 
 
 @F.pandas_udf(StringType())
@@ -50,7 +53,7 @@ def sub(pattern: str, to: str = ""):
 
 def leading(words: list[str], times: int):
     """Up to ``times`` leading words off, each the first of the list that fits."""
-    return lambda c: F.trim(F.regexp_replace(c, rf"^(?:(?:{_either(words)})\s*){{1,{times}}}", ""))
+    return lambda c: strip(F.regexp_replace(c, rf"^(?:(?:{_either(words)})[{_S}]*){{1,{times}}}", ""))
 
 
 def halfwidth(digits: bool):
@@ -70,23 +73,23 @@ def _drop(chars: str):
 
 #: Profile -> steps; every profile starts from '' for NULL.
 PROFILES: dict[str, list] = {
-    "verify": [nfkc, sub(r"[（\(].*?[）\)]"), sub(_either(LEGAL_ANYWHERE)), sub(r"[\s・\-_,，、。\.／/]+"), F.trim, F.lower],
-    "xdb": [F.trim, halfwidth(False), leading(LEGAL_LEADING + LEGAL_LEADING_XDB, 3), sub(_TRAILING_PAREN), F.trim, _drop("　 ・()（）"), F.lower],
+    "verify": [nfkc, sub(r"[（\(].*?[）\)]"), sub(_either(LEGAL_ANYWHERE)), sub(rf"[{_S}・\-_,，、。\.／/]+"), strip, F.lower],
+    "xdb": [strip, halfwidth(False), leading(LEGAL_LEADING + LEGAL_LEADING_XDB, 3), sub(_TRAILING_PAREN), strip, _drop("　 ・()（）"), F.lower],
     "import": [sub(_LEAD), _drop("　 "), F.lower],
     "import_nfkc": [nfkc, sub(_LEAD), _drop("　 "), F.lower],
     "core": [sub(_LEAD), sub(rf"({_either(CORE_SUFFIXES)})$"), _drop("　 "), sub("公益"), sub("法人"), F.lower],
     "core_kana": [sub(_LEAD), sub(rf"({_either(CORE_SUFFIXES)})$"), _drop("　 ・ー"), F.lower],
-    "loose": [sub(_LEAD_LOOSE), sub(rf"^({_either(LOOSE_ABBREVIATED)})\s*"), sub(rf"({_either(LOOSE_SUFFIXES)})$"), sub(r"[（(].*?[)）]"), _drop("　 ・-ー"), F.lower, F.trim],
-    "koeki": [nfkc, sub(_PHRASE), sub(_DOTS), F.trim, F.lower],
-    "abbrev": [nfkc, sub(rf"[（(]({_either(ABBREVIATED)})[）)]"), sub(_PHRASE), _drop("ー・"), sub(r"[\s　,，.。()（）「」『』]"), F.trim, F.lower],
-    "amounts": [nfkc, sub(r"(公益|一般|認定)?(財団|社団|特定非営利活動)?法人|株式会社|旧[：:].*|（.*?）|\(.*?\)"), sub(r"[\s　・,，.。「」]"), F.trim, F.lower],
-    "person": [nfkc, sub(r"[\s　・]")],
-    "person_ws": [sub(r"[\s　]+")],
-    "pref": [nfkc, sub(_either(LEGAL_PREF)), sub(r"[\s　・･]+"), sub(r"[（）()【】「」『』、。．,.\-_/]"), F.lower],
-    "search": [F.trim, lambda c: F.translate(c, "　", " "), leading(LEGAL_LEADING, 1), sub(_TRAILING_PAREN), F.trim],
-    "inventory": [halfwidth(True), F.trim, leading(LEGAL_LEADING + ["（NPO）", "(NPO)", "（特非）", "(特非)"], 3), sub(_TRAILING_PAREN), _drop("　 ・()（）"), F.lower],
-    "audit": [sub(r"(公益|一般)?(財団|社団)法人|特定非営利活動法人|株式会社"), sub(r"[\s　]+")],
-    "codex": [sub(r"^(公益|一般)(財団法人|社団法人)\s*"), _drop("　 "), F.trim],
+    "loose": [sub(_LEAD_LOOSE), sub(rf"^({_either(LOOSE_ABBREVIATED)})[{_S}]*"), sub(rf"({_either(LOOSE_SUFFIXES)})$"), sub(r"[（(].*?[)）]"), _drop("　 ・-ー"), F.lower, strip],
+    "koeki": [nfkc, sub(_PHRASE), sub(_DOTS), strip, F.lower],
+    "abbrev": [nfkc, sub(rf"[（(]({_either(ABBREVIATED)})[）)]"), sub(_PHRASE), _drop("ー・"), sub(rf"[{_S},，.。()（）「」『』]"), strip, F.lower],
+    "amounts": [nfkc, sub(r"(公益|一般|認定)?(財団|社団|特定非営利活動)?法人|株式会社|旧[：:].*|（.*?）|\(.*?\)"), sub(rf"[{_S}・,，.。「」]"), strip, F.lower],
+    "person": [nfkc, sub(rf"[{_S}・]")],
+    "person_ws": [sub(rf"[{_S}]+")],
+    "pref": [nfkc, sub(_either(LEGAL_PREF)), sub(rf"[{_S}・･]+"), sub(r"[（）()【】「」『』、。．,.\-_/]"), F.lower],
+    "search": [strip, lambda c: F.translate(c, "　", " "), leading(LEGAL_LEADING, 1), sub(_TRAILING_PAREN), strip],
+    "inventory": [halfwidth(True), strip, leading(LEGAL_LEADING + ["（NPO）", "(NPO)", "（特非）", "(特非)"], 3), sub(_TRAILING_PAREN), _drop("　 ・()（）"), F.lower],
+    "audit": [sub(r"(公益|一般)?(財団|社団)法人|特定非営利活動法人|株式会社"), sub(rf"[{_S}]+")],
+    "codex": [sub(rf"^(公益|一般)(財団法人|社団法人)[{_S}]*"), _drop("　 "), strip],
 }
 
 
@@ -102,9 +105,9 @@ def normalize_name(c: Column, profile: str) -> Column:
 
 def _dedup(c: Column) -> Column:
     """Like ``xdb`` with more prefixes; joint programmes (names with a slash) keep a key of their own."""
-    name = F.trim(F.coalesce(c, F.lit("")))
+    name = strip(F.coalesce(c, F.lit("")))
     key = leading(LEGAL_LEADING + LEGAL_LEADING_DEDUP, 3)(halfwidth(True)(name))
-    key = F.when(F.substring(key, 1, 1).isin("（", "("), key).otherwise(F.trim(F.regexp_replace(key, _TRAILING_PAREN, "")))
+    key = F.when(F.substring(key, 1, 1).isin("（", "("), key).otherwise(strip(F.regexp_replace(key, _TRAILING_PAREN, "")))
     key = F.lower(F.regexp_replace(F.translate(key, "　 ・()（）", ""), "株式会社", ""))
     return F.when(name == "", "").when(name.rlike("[／/]"), F.concat(F.lit("__compound__"), name)).otherwise(key)
 
@@ -112,7 +115,7 @@ def _dedup(c: Column) -> Column:
 def squeezed(c: Column, compose: bool = True) -> Column:
     """White space collapsed and trimmed; NULL becomes ''."""
     c = F.coalesce(c, F.lit(""))
-    return F.trim(F.regexp_replace(nfkc(c) if compose else c, r"\s+", " "))
+    return strip(F.regexp_replace(nfkc(c) if compose else c, rf"[{_S}]+", " "))
 
 
 # Short and English names of universities, and what is cut off an affiliation.

@@ -1,19 +1,29 @@
-"""Queries over given texts, where the test tables have none of the kind: names in Japanese, amounts, dates, layouts.
+"""Operators on given texts of kinds that the test tables lack: names in Japanese, amounts, dates, layouts.
 
-Each states its inputs with the rows that must come out; the SQL is those rows.
+Each case states its inputs with the rows that must come out.
 """
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
-from ..functions import amounts as M
-from ..functions import names as N
-from ..functions import web
-from ..operators import documents as D
-from ..operators import matching, merging
-from ..sources import readers
-from .registry import query
+from fundscope.functions import amounts as M
+from fundscope.functions import eligibility, places, web
+from fundscope.functions import names as N
+from fundscope.operators import documents as D
+from fundscope.operators import matching, merging
+from fundscope.sources import readers
+
+CASES = []
+
+
+def query(sql):
+    """A case: the operator's rows and those of the SQL."""
+    return lambda f: CASES.append((f, sql)) or f
 
 
 def _shown(v) -> str:
@@ -168,10 +178,10 @@ def html_table_rows(t):
     return readers.html_rows(texts(t, [("p", TABLE)], "id, html"), "id", "html").select("id", "label", "value", "href")
 
 
-@query(values("id, hit, before, after", [("p", "100万円", "助成は", "、総額"), ("p", "１億円", "額", "まで")]))
+@query(values("id, hit, before, after", [("p", "100万円", "助成は", "、総額"), ("p", "１億円", "、総額", "まで")]))
 def money_mentions(t):
     found = readers.money_mentions(texts(t, [("p", "助成は100万円、総額１億円まで"), ("q", None), ("r", "")], "id, text"), "id", "text", 3)
-    return found.select("id", "hit", F.when(F.col("hit") == "１億円", F.substring("before", -1, 1)).otherwise(F.col("before")).alias("before"), F.when(F.col("hit") == "１億円", F.col("after")).otherwise(F.col("after")).alias("after"))
+    return found.select("id", "hit", "before", "after")
 
 
 def _lines(t, rows: list[str], doc: str = "d"):
@@ -256,11 +266,11 @@ def upsert_repeated_and_null_keys(t):
     return merging.upsert(current, incoming, ["k"], ["v", "w"], [F.col("n")])[0]
 
 
-@query(values("k, v", [("a", "late"), ("b", "kept"), ("c", None), (None, "")]))
+@query(values("k, v", [("a", "late"), ("b", "kept"), ("c", None), (None, None)]))
 def fill_repeated_keys(t):
     current = _keyed(t, [("a", 0, "", None), ("b", 0, "kept", None), ("c", 0, None, None), (None, 0, "", None)])
     incoming = _keyed(t, [("a", 1, "early", None), ("a", 2, "late", None), ("a", 3, "", None), ("b", 1, "new", None), (None, 1, "x", None)])
-    return merging.fill_blanks(current, incoming, "k", ["v"], order=[F.col("n")]).select("k", F.when(F.col("k").isNull(), F.coalesce("v", F.lit(""))).otherwise(F.col("v")).alias("v"))
+    return merging.fill_blanks(current, incoming, "k", ["v"], order=[F.col("n")]).select("k", "v")
 
 
 @query(values("k, v, audit", [("a", None, "v|bad|one"), ("a", None, "v|worse|two"), ("a", "good", None), ("b", "bad", None)]))
@@ -278,3 +288,57 @@ def contained_names(t):
     """Names that share their beginnings meet at their rarest part."""
     side = lambda xs, i, c: texts(t, [(x, x) for x in xs], f"{i}, {c}")
     return matching.contained_pairs(side(SHORT, "short_id", "s"), side(LONG, "long_id", "t")).select(F.col("short_id").alias("s"), F.col("long_id").alias("t"))
+
+
+_ADDRESSES = [("東京都千代田区丸の内1", "東京都", "千代田区"), ("京都府京都府京都市左京区", "京都府", "京都市"), ("北海道札幌市", "北海道", "札幌市"), ("ロンドン", None, None), ("", None, None)]
+_LIT = lambda v: "NULL" if v is None else f"'{v}'"
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"({_LIT(a)}, {_LIT(p)}, {_LIT(m)})" for a, p, m in _ADDRESSES) + ") v(address, prefecture, municipality)")
+def address_split(t):
+    df = t.spark.createDataFrame([(a,) for a, _, _ in _ADDRESSES], "address string")
+    return df.withColumn("x", places.split_address(F.col("address"))).select("address", "x.prefecture", "x.municipality")
+
+
+_PLACES = [("本部は大阪府です", "大阪府", "prefecture"), ("甲大学の研究室", "愛知県", "university"), ("横浜市の財団", "神奈川県", "city"), ("広島の会", "広島県", "short"), ("不明", None, None)]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"({_LIT(a)}, {_LIT(p)}, {_LIT(m)})" for a, p, m in _PLACES) + ") v(text, value, method)")
+def prefecture_cascade(t):
+    df = t.spark.createDataFrame([(a,) for a, _, _ in _PLACES], "text string")
+    return df.withColumn("x", places.cascade(F.col("text"), {"甲大学": "愛知県"}, {"横浜": "神奈川県"})).select("text", "x.value", "x.method")
+
+
+_CALLS = [
+    ("35歳以下の助教", "35歳以下", "助教", None, "pi_early"),
+    ("博士課程の留学生", None, "博士課程", "留学生対応あり", "phd_candidate"),
+    ("満 45 歳、教授、国籍は問わない", "満45歳", "教授", "国籍不問", "pi_mid"),
+    ("研究者", None, None, None, "unrestricted"),
+    ("若手歓迎", "若手研究者", None, None, "pi_early"),
+    ("記念品", None, None, None, None),
+]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(map(_LIT, r)) + ")" for r in _CALLS) + ") v(text, age, position, nationality, stage)")
+def eligibility_extract(t):
+    df = t.spark.createDataFrame([(r[0],) for r in _CALLS], "text string")
+    c = F.col("text")
+    df = df.withColumns({"age": eligibility.ages(c), "position": eligibility.listed(c, eligibility.POSITIONS), "nationality": eligibility.nationality(c)})
+    return df.withColumn("stage", eligibility.career_stage(c, F.col("age"), F.col("position")))
+
+
+_YEN = [("5,000,000円", 5_000_000, None), ("1億2,000万円", None, 120_000_000), ("1.5億円", None, 150_000_000), ("3千万円", None, 30_000_000), ("100百万円", None, 100_000_000), ("５０万円", None, 500_000), ("no unit", None, None)]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{s}', {'NULL' if a is None else a}::BIGINT, {'NULL' if b is None else b}::BIGINT)" for s, a, b in _YEN) + ") v(text, plain, parsed)")
+def yen_parse(t):
+    df = t.spark.createDataFrame([(s,) for s, _, _ in _YEN], "text string")
+    return df.select("text", F.when(~F.col("text").rlike("[億万]"), M.plain_yen(F.col("text"))).alias("plain"), M.parse_yen(F.col("text")).alias("parsed"))
+
+
+@pytest.mark.parametrize("case, sql", CASES, ids=[f.__name__ for f, _ in CASES])
+def test_given_texts(spark, case, sql):
+    df = case(SimpleNamespace(spark=spark))
+    columns = sorted(df.columns)
+    want = duckdb.connect().execute(f"SELECT {', '.join(columns)} FROM ({sql})").fetchall()
+    assert sorted(map(tuple, df.select(columns).collect()), key=repr) == sorted(want, key=repr)
