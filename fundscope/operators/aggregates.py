@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..store import stored
+
 
 def every():
     """The whole input as one window; for small, aggregated inputs."""
@@ -124,3 +126,44 @@ def zero_filled_union(frames: dict[str, DataFrame], key: str) -> DataFrame:
         part = df.select(key, F.lit(name).alias("source"), F.col("n"))
         long = part if long is None else long.unionByName(part)
     return long.groupBy(key).agg(*[F.coalesce(F.sum(F.when(F.col("source") == s, F.col("n"))), F.lit(0)).alias(s) for s in frames])
+
+
+def order_statistics(df: DataFrame, by: str, value: str, share: float = 0.5, few: int = 100_000, cells: int = 1024) -> DataFrame:
+    """(by, n, lower, upper): the values next to ``share`` of each group's order, exactly, whatever a group's size.
+
+    Of n values (NULL and NaN don't count) these are those of the places floor(share * (n - 1)) and ceil(share * (n - 1)),
+    so the median is their mean and the upper median is ``upper``.  Groups of up to ``few`` rows are sorted as windows.
+    Larger ones, of which there are at most rows / ``few``, are never brought together: each pass counts a group's values in
+    ``cells`` equal parts of the range that still holds a place, with partial counts before the shuffle, and goes on in the
+    part that has it, until that has one value or few rows.
+    """
+    data = df.select(F.col(by).alias("g"), F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    known = stored(data.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")), "groups")
+    places = F.explode(F.array(F.struct(F.lit("lower").alias("which"), F.floor(share * (F.col("n") - 1)).alias("place")), F.struct(F.lit("upper").alias("which"), F.ceil(share * (F.col("n") - 1)).alias("place"))))
+    # rows from lo to hi: m of them, of which the place counts from 0
+    todo = known.select("g", "n", "lo", "hi", places.alias("p")).select("g", "n", "p.which", "p.place", "lo", "hi", F.col("n").alias("m"))
+    done = []
+    while True:
+        todo = stored(todo, "ranges")
+        done.append(todo.filter("lo = hi").select("g", "n", "which", F.col("lo").alias("v")))
+        todo = todo.filter("lo < hi")
+        small = todo.filter(F.col("m") <= few)
+        mine = data.withColumnRenamed("g", "_g").join(small, F.col("_g").eqNullSafe(F.col("g")) & F.col("v").between(F.col("lo"), F.col("hi")))
+        order = Window.partitionBy("g", "which").orderBy("v")
+        done.append(mine.withColumn("_k", F.row_number().over(order) - 1).filter("_k = place").select("g", "n", "which", "v"))
+        large = todo.filter(F.col("m") > few)
+        if large.isEmpty():
+            break
+        # at most two rows for each ``few`` rows of the table: a bound that the broadcast rests on
+        rows = data.withColumnRenamed("g", "_g").join(F.broadcast(large), F.col("_g").eqNullSafe(F.col("g")) & F.col("v").between(F.col("lo"), F.col("hi")))
+        half = F.col("hi") / 2 - F.col("lo") / 2
+        cell = F.least(F.floor((F.col("v") / 2 - F.col("lo") / 2) / half * cells), F.lit(cells - 1))
+        # the ends have parts of their own, so that every pass leaves some behind
+        cell = F.when(F.col("v") == F.col("lo"), -1).when(F.col("v") == F.col("hi"), cells).otherwise(cell)
+        counts = rows.groupBy("g", "n", "which", "place", cell.alias("cell")).agg(F.count(F.lit(1)).alias("m"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        upto = Window.partitionBy("g", "which").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        todo = counts.withColumn("_before", F.coalesce(F.sum("m").over(upto), F.lit(0))).filter("place >= _before and place < _before + m").select("g", "n", "which", (F.col("place") - F.col("_before")).alias("place"), "lo", "hi", "m")
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out.groupBy(F.col("g").alias(by), "n").agg(F.max(F.when(F.col("which") == "lower", F.col("v"))).alias("lower"), F.max(F.when(F.col("which") == "upper", F.col("v"))).alias("upper"))

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..store import stored
 from . import windows
 
 
@@ -42,11 +43,31 @@ def rank_zip(left: DataFrame, right: DataFrame, key: str, lid: str, rid: str) ->
     return ranked(left, lid).select(key, "_r", lid).join(ranked(right, rid).select(key, "_r", rid), [key, "_r"]).select(lid, rid)
 
 
+def greedy(edges: DataFrame, lid: str, rid: str) -> tuple[DataFrame, int]:
+    """(pairs, rounds): what a scan finds that gives each left row, in order, its first right row that is still free.
+
+    Each round every left row proposes to the first right row it has left.  Right rows hold the first of those that
+    propose and strike all later left rows, who can't have them any more; so nothing is struck that the scan would give.
+    Once no proposal is struck, the proposals are the pairs.  A round is two aggregations and two joins on the edges that
+    remain; there are as many rounds as the longest chain of rivals has links, and each strikes an edge at least.
+    """
+    edges = stored(edges.select(lid, rid).filter(F.col(lid).isNotNull() & F.col(rid).isNotNull()).distinct(), "edges")
+    rounds = 0
+    while True:
+        rounds += 1
+        proposed = edges.groupBy(lid).agg(F.min(rid).alias(rid))
+        holder = proposed.groupBy(rid).agg(F.min(lid).alias("_holder"))
+        refused = proposed.join(holder, rid).filter(F.col(lid) > F.col("_holder"))
+        if refused.isEmpty():
+            return proposed, rounds
+        edges = stored(edges.join(holder, rid, "left").filter(F.col("_holder").isNull() | (F.col(lid) <= F.col("_holder"))).select(lid, rid), "edges")
+
+
 def tiered(left: DataFrame, right: DataFrame, aggregators: Sequence[str] = ()) -> DataFrame:
     """One-to-one matches (lid, rid, method, confidence) of rows (lid, name, host) and (rid, name, host).
 
     By equal names, then hosts other than aggregators', then containment of names of 4 or more characters.  The last tier
-    gives each left row its first containing key and resolves rivals for a right row by the lower left id.
+    takes the left rows in order and gives each the first free right row that contains it or lies in it.
     """
     tier = lambda df, name, sure: df.select("lid", "rid", F.lit(name).alias("method"), F.lit(sure).alias("confidence"))
     one = tier(rank_zip(left, right, "name", "lid", "rid"), "name", 0.95)
@@ -57,8 +78,7 @@ def tiered(left: DataFrame, right: DataFrame, aggregators: Sequence[str] = ()) -
     l3, r3 = rest(one.unionByName(two))
     a = contained_pairs(l3.select(F.col("lid").alias("short_id"), F.col("name").alias("s")), r3.select(F.col("rid").alias("long_id"), F.col("name").alias("t"))).select(F.col("short_id").alias("lid"), F.col("long_id").alias("rid"))
     b = contained_pairs(r3.select(F.col("rid").alias("short_id"), F.col("name").alias("s")), l3.select(F.col("lid").alias("long_id"), F.col("name").alias("t"))).select(F.col("long_id").alias("lid"), F.col("short_id").alias("rid"))
-    first = windows.first_per_key(a.unionByName(b).distinct(), ["lid"], [F.col("rid")])
-    three = tier(windows.first_per_key(first, ["rid"], [F.col("lid")]), "contains", 0.70)
+    three = tier(greedy(a.unionByName(b), "lid", "rid")[0], "contains", 0.70)
     return one.unionByName(two).unionByName(three)
 
 
@@ -126,13 +146,15 @@ def fuzzy_first(external: DataFrame, table: DataFrame, prefix: int = 5) -> DataF
 
 
 def loose_fallback(source: DataFrame, target: DataFrame, gram: int = 4) -> DataFrame:
-    """(sid, tid, kind): exact keys first, the rest by containment; each source and target once."""
+    """(sid, tid, kind): exact keys first, the rest by containment; each source and target once.
+
+    Sources go in order, and one whose first target is taken gets the next one that is free.
+    """
     exact = rank_zip(source, target, "key", "sid", "tid").withColumn("kind", F.lit("exact"))
     s, t = source.join(exact, "sid", "left_anti"), target.join(exact, "tid", "left_anti")
     one = contained_pairs(s.select(F.col("sid").alias("short_id"), F.col("key").alias("s")), t.select(F.col("tid").alias("long_id"), F.col("key").alias("t")), gram).select(F.col("short_id").alias("sid"), F.col("long_id").alias("tid"))
     two = contained_pairs(t.select(F.col("tid").alias("short_id"), F.col("key").alias("s")), s.select(F.col("sid").alias("long_id"), F.col("key").alias("t")), gram).select(F.col("long_id").alias("sid"), F.col("short_id").alias("tid"))
-    first = windows.first_per_key(one.unionByName(two).distinct(), ["sid"], [F.col("tid")])
-    return exact.unionByName(windows.first_per_key(first, ["tid"], [F.col("sid")]).withColumn("kind", F.lit("contains")))
+    return exact.unionByName(greedy(one.unionByName(two), "sid", "tid")[0].select("sid", "tid", F.lit("contains").alias("kind")))
 
 
 def not_prefix_duplicates(new: DataFrame, old: DataFrame, name: str = "name", prefix: int = 6) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import blank_to_null
+from ..store import stored
 from . import windows
 
 
@@ -42,6 +43,59 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str], values:
     return table, plan
 
 
+def get_or_create(current: DataFrame, wanted: DataFrame, keys: Sequence[str], prefix: str, extra: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(table, ids): rows of ``current`` (id, keys, extra) and new ones for wanted keys it lacks; ids of all wanted keys.
+
+    New ids are hashes of the keys, so a second run finds what the first one made.  Of several rows with one key the least
+    id counts, and a new row takes the first extra values by their order.  NULL keys equal each other.
+    """
+    known = current.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.min("id").alias("_id"))
+    asked = wanted.groupBy(*keys).agg(*[F.min(F.struct(*extra))[e].alias(e) for e in extra], F.lit(True).alias("_asked"))
+    both = asked.join(known, _same(asked, known, keys), "left").select(*keys, *extra, "_id")
+    parts = F.concat_ws("\x1f", *[F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in keys])
+    made = F.coalesce("_id", F.concat(F.lit(f"{prefix}_"), F.substring(F.sha2(parts, 256), 1, 32)))
+    ids = stored(both.select(made.alias("id"), *keys, *extra, F.col("_id").isNull().alias("is_new")), "ids")
+    table = current.select("id", *keys, *extra).unionByName(ids.filter("is_new").select("id", *keys, *extra))
+    return table, ids.select("id", *keys, "is_new")
+
+
+def upsert_star(tables: dict[str, DataFrame], records: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
+    """(tables, plan) after records have entered a star of organisations, programmes, calls and results in one run.
+
+    ``tables``: organisations (id, name), programs (id, organization_id, name), calls (id, program_id, fiscal_year),
+    results (id, call_id, awardee, title, amount, source_url).  ``records``: seq, organization, program, fiscal_year,
+    awardee, title, amount, source_url.  Each level is found by its natural key or made, and its id flows to the next.
+    Records without a year make nothing; those without awardee or title make no result, but their call.  A result that
+    exists takes the values that aren't NULL, record by record in the order of ``seq``; the plan counts, for each table,
+    rows that were inserted, found and left alone.
+    """
+    from ..functions import strip
+
+    r = records.filter("fiscal_year is not null").withColumns({c: F.coalesce(strip(F.col(c)), F.lit("")) for c in ("awardee", "title")})
+    r = stored(r.withColumn("program", F.coalesce("program", F.lit("general"))), "records")
+    orgs, ids = get_or_create(tables["organisations"], r.select(F.col("organization").alias("name")), ["name"], "org")
+    new = {"organisations": ids}
+    r = r.join(ids.select(F.col("id").alias("organization_id"), F.col("name").alias("_name")), F.col("organization").eqNullSafe(F.col("_name"))).drop("_name", "organization")
+    programs, ids = get_or_create(tables["programs"], r.select("organization_id", F.col("program").alias("name")), ["organization_id", "name"], "prog")
+    new["programs"] = ids
+    r = r.withColumnRenamed("program", "name").join(ids.select(F.col("id").alias("program_id"), "organization_id", "name"), ["organization_id", "name"]).drop("organization_id", "name")
+    calls, ids = get_or_create(tables["calls"], r, ["program_id", "fiscal_year"], "call")
+    new["calls"] = ids
+    r = r.join(ids.select(F.col("id").alias("call_id"), "program_id", "fiscal_year"), ["program_id", "fiscal_year"])
+    r = r.filter("awardee <> '' and title <> ''").select("seq", "call_id", "awardee", "title", "amount", "source_url")
+    keys, values = ["call_id", "awardee", "title"], ["amount", "source_url"]
+    _, ids = get_or_create(tables["results"].select("id", *keys), r, keys, "res")
+    new["results"] = ids
+    incoming = r.join(ids.select("id", *keys), keys).select("id", *keys, *values, "seq")
+    results, _ = upsert(tables["results"].select("id", *keys, *values), incoming, ["id"], [*keys, *values], [F.col("seq")])
+    plan = None
+    for name, ids in new.items():
+        counts = ids.agg(F.count_if(F.col("is_new")).alias("inserted"), F.count_if(~F.col("is_new")).alias("found"))
+        row = counts.crossJoin(tables[name].agg(F.count(F.lit(1)).alias("before"))).select(F.lit(name).alias("name"), "inserted", "found", (F.col("before") - F.col("found")).alias("untouched"))
+        plan = row if plan is None else plan.unionByName(row)
+    return {"organisations": orgs, "programs": programs, "calls": calls, "results": results}, plan
+
+
 def fill_blanks(current: DataFrame, incoming: DataFrame, key: str, columns: Sequence[str], zero_too: bool = False, order: Sequence[Column] = ()) -> DataFrame:
     """Current values where they aren't blank (nor 0, if ``zero_too``), else incoming ones.
 
@@ -81,8 +135,34 @@ def absorb_duplicates(df: DataFrame, group: Column, order: Sequence[Column], key
     return primaries, ranked.filter("_rn > 1").select(F.col(key).alias("old_id"), F.col("_primary").alias("new_id"))
 
 
+def resolved(id_map: DataFrame, old: str = "old_id", new: str = "new_id") -> DataFrame:
+    """``id_map`` with each old id pointing to the end of its chain: the one that was not merged itself.
+
+    Pointers jump: every round an id takes what its target points to, so chains of length n need log2(n) rounds.  An id
+    that comes to point to itself, or chains that don't end, are a cycle and refused; so is an old id with two new ones.
+    Rows that map an id to itself, or have a null, say nothing and go.
+    """
+    links = stored(id_map.select(F.col(old).alias("a"), F.col(new).alias("b")).filter("a <> b").distinct(), "links")
+    n, distinct = links.agg(F.count(F.lit(1)), F.count_distinct("a")).first()
+    if n != distinct:
+        raise ValueError("an id was merged into two others")
+    for _ in range(n.bit_length() + 1):
+        far = links.select(F.col("a").alias("b"), F.col("b").alias("c"))
+        jumped = stored(links.join(far, "b", "left").select("a", F.coalesce("c", "b").alias("b"), F.col("c").isNotNull().alias("moved")), "links")
+        if not jumped.filter("a = b").isEmpty():
+            break
+        links = jumped.select("a", "b")
+        if jumped.filter("moved").isEmpty():
+            return links.select(F.col("a").alias(old), F.col("b").alias(new))
+    raise ValueError("the map of merged ids has a cycle")
+
+
 def repoint(children: DataFrame, id_map: DataFrame, column: str, unique: Sequence[str] | None = None, order: Sequence[Column] = ()) -> DataFrame:
-    """Children of merged parents point to the primary; of rows that now share ``unique`` the first stays."""
+    """Children of merged parents point to the primary; of rows that now share ``unique`` the first stays.
+
+    The map is followed to its end where a primary was merged itself.
+    """
+    id_map = resolved(id_map)
     out = children.join(id_map, children[column] == id_map["old_id"], "left")
     out = out.withColumn(column, F.coalesce("new_id", column)).select(children.columns)
     return windows.first_per_key(out, list(unique), list(order) or [F.col(c) for c in children.columns]) if unique else out
