@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import amounts as M
+from ..functions import eligibility, places
 from ..functions import names as N
 from .registry import query
 
@@ -110,3 +111,52 @@ def date_texts(t):
     c = F.col("text")
     a = t.orders.select(F.col("o_orderkey").alias("id"), F.expr(_DATES).alias("text"), F.expr(_URLS).alias("url")).withColumn("x", M.year_and_estimate(c))
     return a.select("id", M.western_year(c).cast("long").alias("year"), M.iso_date(c).cast("string").alias("day"), F.col("x.year").cast("long").alias("first_year"), F.col("x.estimate").alias("estimate"), M.year_from_url(F.col("url"), 2018, 2025).cast("long").alias("in_url"))
+
+
+_PREFIX, _BODY, _PART = ["国立大学法人", "学校法人　", "", "　"], ["東京大学", "京大", "北里大学", "阪大", "理化学研究所", "甲株式会社", ""], ["", "医学部", "大学院 理学系", "　工学部", "病院"]
+_POSITIONS = ["", " 准教授", "　教授", "助教", "教授（兼）"]
+_TEXT = "concat(" + ", ".join([_pick(_PREFIX, "id"), _pick(_BODY, "id"), f"CASE WHEN id % 7 < 4 THEN {_pick(_PART, 'CAST(floor(id / 7) AS BIGINT)')} ELSE '' END"]) + ")"
+_OTHER = _pick(["東京大学", "北里大学病院", "独立理化学研究所", "", "東京大学医学部"], "CAST(floor(id / 3) AS BIGINT)")
+_POST = f"concat({_TEXT}, {_pick(_POSITIONS, 'CAST(floor(id / 2) AS BIGINT)')})"
+_TOKEN = r"([\p{Han}\p{Katakana}ー]+?(?:大学|研究所|機構|センター|病院|高専))"
+_FORM = "公益財団法人 一般財団法人 公益社団法人 一般社団法人 特定非営利活動法人 学校法人 社会福祉法人 独立行政法人 国立研究開発法人 株式会社".split()
+
+
+@query(f"""WITH a AS (SELECT id, {_TEXT} AS text, {_OTHER} AS other, {_POST} AS post FROM (SELECT c_custkey AS id FROM customer)),
+b AS (SELECT *, CASE id % 7 WHEN 0 THEN '東京大学' WHEN 1 THEN '京都大学' WHEN 2 THEN '北里大学' WHEN 3 THEN '大阪大学' WHEN 4 THEN '理化学研究所' WHEN 5 THEN '甲株式会社' ELSE '' END AS institution,
+  regexp_replace(text, '^(国立大学法人|公立大学法人|学校法人)', '') AS bare FROM a),
+c AS (SELECT *, coalesce(nullif(regexp_extract(bare, '^(.+?大学)', 1), ''), nullif(regexp_extract(bare, '^(.+?(研究所|機構|センター|大学校|高専|工業高等専門学校))', 1), '')) AS core,
+  nullif(regexp_extract(post, '[ 　]*((准教授|教授|助教))$', 1), '') AS position, regexp_extract_all(text, '{_TOKEN}', 1) AS mine, regexp_extract_all(other, '{_TOKEN}', 1) AS theirs FROM b)
+SELECT id, institution, core, CASE WHEN institution = '東京大学' THEN 'elite' WHEN institution LIKE '%大学' THEN 'university' WHEN institution <> '' THEN 'institute' END AS tier, position,
+  CASE WHEN position IS NULL THEN post ELSE regexp_extract(post, '^(.*?)[ 　]*(准教授|教授|助教)$', 1) END AS affiliation,
+  CASE WHEN trim(post, ' 　') <> '' THEN regexp_matches(post, '助教|准教授') END AS early, substr(regexp_replace(post, '[（(].*$', ''), 1, 5) AS short,
+  CASE WHEN text <> '' AND other <> '' THEN list_has_any(mine, theirs) OR (least(length(text), length(other)) >= 4 AND CASE WHEN length(text) <= length(other) THEN contains(other, text) ELSE contains(text, other) END) END AS agrees,
+  coalesce(nullif(regexp_extract(concat(text, '基金'), '{"|".join(_FORM)}'), ''), '公益財団法人') AS form, regexp_extract(text, '{"|".join(_FORM)}') = '' AS inferred FROM c""")
+def affiliation_texts(t):
+    """Institutions, cores, tiers, positions, agreement and legal forms of affiliations made for every customer."""
+    a = t.customer.select(F.col("c_custkey").alias("id")).select("id", F.expr(_TEXT).alias("text"), F.expr(_OTHER).alias("other"), F.expr(_POST).alias("post"))
+    text, post, words = F.col("text"), F.col("post"), ["教授", "准教授", "助教"]
+    a = a.withColumns({"institution": N.affiliation(text), "p": N.position_split(post, words), "f": N.legal_form_inferred(F.concat(text, F.lit("基金")))})
+    return a.select(
+        "id", "institution", N.institution_core(text, drop_prefix=True).alias("core"), N.institution_tier(F.col("institution"), ["東京大学"]).alias("tier"), F.col("p.position").alias("position"), F.col("p.affiliation").alias("affiliation"),
+        N.early_career(post, ["助教", "准教授"]).alias("early"), N.position_short(post, 5).alias("short"), N.affiliation_agrees(text, F.col("other")).alias("agrees"), F.col("f.form").alias("form"), F.col("f.inferred").alias("inferred"),
+    )
+
+
+_PREF, _TOWN = ["東京都", "大阪府", "北海道", "京都府", ""], ["千代田区", "堺市北区", "札幌市中央区", "丸の内", "軽井沢町"]
+_ADDRESS = "concat(" + ", ".join([_pick(_PREF, "id"), f"CASE WHEN id % 3 = 0 THEN {_pick(_PREF, 'id')} ELSE '' END", _pick(_TOWN, "CAST(floor(id / 5) AS BIGINT)"), "CAST(id AS STRING)"]) + ")"
+_CALL = "concat(" + ", ".join(["CAST(20 + id % 40 AS STRING)", _pick(["歳以下の", " 歳未満、", "歳の", "件の"], "id"), _pick(["助教", "博士課程の学生", "准教授", "研究者", "記念品"], "CAST(floor(id / 4) AS BIGINT)")]) + ")"
+
+
+@query(f"""WITH a AS (SELECT id, {_pick(_PREF, 'id')} AS pref, {_pick(_TOWN, 'CAST(floor(id / 5) AS BIGINT)')} AS town, id % 4 AS limit_, CAST(floor(id / 4) AS BIGINT) % 5 AS who, 20 + id % 40 AS age FROM (SELECT s_suppkey AS id FROM supplier UNION ALL SELECT c_custkey + 1000000 FROM customer))
+SELECT id, nullif(pref, '') AS prefecture, CASE WHEN pref <> '' THEN CASE town WHEN '千代田区' THEN town WHEN '堺市北区' THEN '堺市' WHEN '札幌市中央区' THEN '札幌市' WHEN '軽井沢町' THEN town END END AS municipality,
+  CASE WHEN pref <> '' THEN pref WHEN town LIKE '堺%' THEN '大阪府' WHEN town LIKE '札幌%' THEN '北海道' END AS found, CASE WHEN pref <> '' THEN 'prefecture' WHEN town LIKE '堺%' OR town LIKE '札幌%' THEN 'city' END AS method,
+  CASE limit_ WHEN 0 THEN age || '歳以下' WHEN 1 THEN age || '歳未満' END AS ages,
+  CASE WHEN who = 1 THEN 'phd_candidate' WHEN limit_ < 2 AND age <= 35 THEN 'pi_early' WHEN limit_ < 2 AND age <= 45 THEN 'pi_mid' WHEN limit_ < 2 AND age <= 55 THEN 'senior' WHEN who IN (0, 2) THEN 'pi_early' WHEN who = 3 AND limit_ >= 2 THEN 'unrestricted' END AS stage FROM a""")
+def place_and_call_texts(t):
+    """Prefectures and towns of addresses, and age limits and career stages of calls, made for every supplier and customer."""
+    ids = t.supplier.select(F.col("s_suppkey").alias("id")).unionByName(t.customer.select((F.col("c_custkey") + 1_000_000).alias("id")))
+    a = ids.select("id", F.expr(_ADDRESS).alias("address"), F.expr(_CALL).alias("call"))
+    call, address = F.col("call"), F.col("address")
+    a = a.withColumns({"s": places.split_address(address), "c": places.cascade(address, {"甲大学": "愛知県"}, {"堺": "大阪府", "札幌": "北海道"}), "ages": eligibility.ages(call), "position": eligibility.listed(call, eligibility.POSITIONS)})
+    return a.select("id", F.col("s.prefecture").alias("prefecture"), F.col("s.municipality").alias("municipality"), F.col("c.value").alias("found"), F.col("c.method").alias("method"), "ages", eligibility.career_stage(call, F.col("ages"), F.col("position")).alias("stage"))

@@ -136,9 +136,9 @@ def affiliation(c: Column, parity: bool = False) -> Column:
     Aliases match as substrings, longest first.  京大 lies within 東京大学, so full names are looked for first;
     ``parity`` leaves that out, and then counts Tokyo as Kyoto.
     """
-    s = F.trim(F.coalesce(c, F.lit("")))
+    s = strip(F.coalesce(c, F.lit("")))
     for p in AFFILIATION_PREFIXES:
-        s = F.trim(F.regexp_replace(s, rf"^{p}\s*", ""))
+        s = strip(F.regexp_replace(s, rf"^{p}[{_S}]*", ""))
     out = F.when(s == "", F.lit(""))
     if not parity:
         for name in sorted(set(UNIVERSITY_ALIASES.values()), key=lambda n: (-len(n), n)):
@@ -149,7 +149,7 @@ def affiliation(c: Column, parity: bool = False) -> Column:
     out = out.when(~s.rlike("大学院?$") & (base != ""), base)
     cut = s
     for suffix in AFFILIATION_SUFFIXES:
-        cut = F.trim(F.regexp_replace(cut, rf"{suffix}.*$", ""))
+        cut = strip(F.regexp_replace(cut, rf"{suffix}.*$", ""))
     return out.otherwise(cut)
 
 
@@ -176,7 +176,7 @@ def early_career(position: Column, words: list[str], but: list[str] = ()) -> Col
     hit = position.rlike(_either(list(words)))
     if but:
         hit = hit & ~position.rlike(_either(list(but)))
-    return F.when(F.trim(F.coalesce(position, F.lit(""))) != "", hit)
+    return F.when(strip(F.coalesce(position, F.lit(""))) != "", hit)
 
 
 def institution_tokens(c: Column) -> Column:
