@@ -215,20 +215,22 @@ class Places:
             yield np.repeat(mine, n), table.take(at)
 
 
-def spread_join(rows: DataFrame, known: DataFrame, key: str, copies: str, most_hot: int = 50_000, least: int = 256, total: int | None = None) -> DataFrame:
+def spread_join(rows: DataFrame, known: DataFrame, key: str, copies: str, most_hot: int = 50_000, least: int = 256, total: int | None = None, merge: bool = False) -> DataFrame:
     """Inner join of ``rows`` with ``known``, which has each key once and, as ``copies``, the rows that have it.
 
     Keys with at least 1 / ``most_hot`` of all rows are at most ``most_hot``: that part is broadcast, as a shuffle would
-    bring all rows of one key to one task.  The others meet in a shuffled join.
+    bring all rows of one key to one task.  The others meet in a shuffled join; ``merge`` holds Spark to that where ``known``
+    grows with the data, even while it would still fit in a broadcast.
     """
+    held = (lambda df: df.hint("merge")) if merge else (lambda df: df)
     if total is None:
         total, most = known.agg(F.coalesce(F.sum(copies), F.lit(0)), F.coalesce(F.max(copies), F.lit(0))).first()
         if most < max(least, -(-total // most_hot)):
-            return rows.join(known, key)
+            return rows.join(held(known), key)
     hot = F.col(copies) >= max(least, -(-total // most_hot))
     many = known.filter(hot)
     few = rows.join(F.broadcast(many.select(key)), key, "left_anti")
-    return rows.join(F.broadcast(many), key).unionByName(few.join(known.filter(~hot), key))
+    return rows.join(F.broadcast(many), key).unionByName(few.join(held(known.filter(~hot)), key))
 
 
 def rows_at(keyed: DataFrame, chosen: DataFrame, key: str, like: DataFrame) -> DataFrame:

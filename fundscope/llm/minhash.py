@@ -10,8 +10,9 @@ Pairs within a bucket are not candidates.  A member weighs the other members of
 star: edges from its heaviest member to the rest.  The heaviest is the text that the others were copied from, or the
 one nearest to it, and it is the same in most of a group's buckets; so edges grow with the members.  Edges are confirmed on the
 full sets, in parts of ``part`` edges of one centre.  What the stars may have missed lies between members of one bucket
-that are still in different components: signatures of those buckets are compared, the large ones in blocks, and pairs
-that agree in nearly enough bins are confirmed as well.  A pair of just the wanted 0.85 shares no bucket with a
+that are still in different components: buckets with such members are brought together with their sets, in blocks where
+they are many, and compared there, signatures first.  That part is quadratic in the members of a cluster that the stars left
+in several components, though its pairs never become rows.  A pair of just the wanted 0.85 shares no bucket with a
 probability of 3e-6.
 
 Nulls and repeats: null texts and texts without words have no shingles, form components of their own and link with
@@ -99,13 +100,21 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, BINS)
 
 
-def _buckets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in it:
-        for k in range(0, batch.num_rows, 4096):
-            part = batch.slice(k, 4096)
-            at = bands(_matrix(part.column("sig"))).astype(np.int64)
-            rid = np.repeat(part.column("rid").to_numpy(), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(at.reshape(-1)), pa.array(rid)], ["bucket", "rid"])
+def _buckets(folder: str):
+    """(bucket, rid) of the rows that the side table names as members."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        side = Places(folder)
+        for batch in it:
+            if not batch.num_rows:
+                continue
+            for at, member in side.matches(batch.column("row").to_numpy(), "row"):
+                for k in range(0, len(at), 4096):
+                    found = bands(_matrix(batch.column("sig").take(pa.array(at[k : k + 4096])))).astype(np.int64)
+                    rid = np.repeat(member.column("rid").to_numpy()[k : k + 4096], BANDS)
+                    yield pa.RecordBatch.from_arrays([pa.array(found.reshape(-1)), pa.array(rid)], ["bucket", "rid"])
+
+    return run
 
 
 def _sets_of(folder: str):
@@ -122,22 +131,23 @@ def _sets_of(folder: str):
     return run
 
 
+def _linked(own: np.ndarray, others: list[np.ndarray], share: tuple[int, int]) -> np.ndarray:
+    """Which of the other sets have an intersection with ``own`` of at least ``share`` of the union."""
+    flat, sizes = np.concatenate(others), np.array([len(s) for s in others], np.int64)
+    at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+    both = np.add.reduceat((own[at] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+    return share[1] * both >= share[0] * (sizes + len(own) - both)
+
+
 def _confirm(share: tuple[int, int]):
     """Links among the edges of one part of a centre; the row without ``v`` has the centre's own set."""
-    over, under = share
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (u, _), table in groups(it, ["u", "part"]):
             v = table.column("v").to_pylist()
             sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
-            own = sets[v.index(None)]
             others = [k for k, x in enumerate(v) if x is not None]
-            flat = np.concatenate([sets[k] for k in others])
-            at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
-            sizes = np.array([len(sets[k]) for k in others], np.int64)
-            both = np.add.reduceat((own[at] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
-            linked = under * both >= over * (sizes + len(own) - both)
-            mine = [v[others[k]] for k in np.flatnonzero(linked)]
+            mine = [v[others[k]] for k in np.flatnonzero(_linked(sets[v.index(None)], [sets[k] for k in others], share))]
             yield pa.RecordBatch.from_arrays([pa.array([u] * len(mine), pa.int64()), pa.array(mine, pa.int64())], ["u", "v"])
 
     return run
@@ -168,61 +178,96 @@ def star_edges(met: DataFrame) -> DataFrame:
     return spread_join(met.select("bucket", "rid"), centres, "bucket", "n").filter("u <> rid").select("u", F.col("rid").alias("v")).distinct()
 
 
-def _alike(a: pa.Table, b: pa.Table, least: float, same: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs of members of two tables, or of one, in different components with signatures that agree."""
-    (x, cx, sx), (y, cy, sy) = ((t.column("rid").to_numpy(), t.column("root").to_numpy(), _matrix(t.column("sig"))) for t in (a, b))
-    for k in range(len(x)):
-        others = np.flatnonzero(cy != cx[k])
-        if same:
+class _Block:
+    """Members of a cluster with their sets."""
+
+    def __init__(self, table: pa.Table):
+        self.rid, self.root = table.column("rid").to_numpy(), table.column("root").to_numpy().copy()
+        self.sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+        self.sig = signatures(self.sets)
+        self.bands = bands(self.sig)
+
+
+def _missed(a: _Block, b: _Block, least: float, share: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """Links between members of two blocks, or of one, that are in different components so far.
+
+    Those that share a bucket and whose signatures agree are compared on their sets; a link joins the components, so what
+    comes out is never more than the components there were.
+    """
+    u, v = [], []
+    for k in range(len(a.rid)):
+        others = np.flatnonzero(b.root != a.root[k])
+        if a is b:
             others = others[others > k]
         if len(others):
-            others = others[(sy[others] == sx[k]).mean(axis=1) >= least]
+            others = others[(b.sig[others] == a.sig[k]).mean(axis=1) >= least]
         if len(others):
-            u, v = np.minimum(y[others], x[k]), np.maximum(y[others], x[k])
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+            others = others[(b.bands[others] == a.bands[k]).any(axis=1)]
+        if len(others):
+            for j in others[_linked(a.sets[k], [b.sets[x] for x in others], share)].tolist():
+                old, new = b.root[j], a.root[k]
+                if old != new:
+                    u.append(int(a.rid[k]))
+                    v.append(int(b.rid[j]))
+                    for block in (a, b):
+                        block.root[block.root == old] = new
+    yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
-def _within(least: float):
+def _within(least: float, share: tuple[int, int]):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, table in groups(it, ["bucket"]):
-            yield from _alike(table, table, least, True)
+        for _, table in groups(it, ["cluster"]):
+            block = _Block(table)
+            yield from _missed(block, block, least, share)
 
     return run
 
 
-def _between(least: float, folder: str):
+def _between(least: float, share: tuple[int, int], folder: str):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = Cells(folder)
+        cells = Cells(folder, 1)
         for batch in it:
-            for bucket, left, right in zip(*(batch.column(c).to_pylist() for c in ("bucket", "left", "right")), strict=True):
-                a, b = cells[bucket, left], cells[bucket, right]
-                if a is not None and b is not None:
-                    yield from _alike(a, b, least, left == right)
+            for cluster, left, right in zip(*(batch.column(c).to_pylist() for c in ("cluster", "left", "right")), strict=True):
+                tables = [cells[cluster, k] for k in dict.fromkeys((left, right))]
+                if all(t is not None for t in tables):
+                    blocks = [_Block(t) for t in tables]
+                    yield from _missed(blocks[0], blocks[-1], least, share)
 
     return run
 
 
-def left_over(met: DataFrame, members: DataFrame, links: DataFrame, least: float, block: int = 1024) -> DataFrame:
-    """(u, v): pairs of one bucket in different components whose signatures agree in ``least`` of the bins or more.
+def left_over(met: DataFrame, members: DataFrame, docs: DataFrame, links: DataFrame, least: float, share: tuple[int, int], block: int = 1024, block_shingles: int = 1 << 20) -> DataFrame:
+    """(u, v): links of one bucket between different components of ``links``.
 
-    Buckets of more than ``block`` members are compared in pairs of blocks, which tasks read from the shared store.
+    Only buckets that hold members of several components are looked at.  Those that share members form a cluster; its
+    members' sets come together once, in blocks that tasks read in pairs from the shared store where they are many, and are
+    compared there.  Pairs never become rows.
     """
     spark = met.sparkSession
     roots = written(components(links), shared_dir(spark, "roots"))
     labelled = met.join(roots, "rid", "left").select("bucket", "rid", F.coalesce("root", "rid").alias("root"))
-    split = labelled.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("n")).filter("a <> b").select("bucket", "n")
+    split = labelled.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.min("rid").alias("first"), F.count(F.lit(1)).alias("n")).filter("a <> b").select("bucket", "first", "n")
     split = written(split, shared_dir(spark, "unsettled"))
-    rows = spread_join(labelled, split, "bucket", "n").join(members.select("rid", "sig"), "rid").select("bucket", "n", "rid", "root", "sig")
-    small = rows.filter(F.col("n") <= block).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_within(least), _EDGES)
-    large = split.filter(F.col("n") > block)
+    rows = written(spread_join(labelled, split, "bucket", "n", merge=True).select("first", "rid", "root"), shared_dir(spark, "split"))
+    clusters = components(rows.select(F.col("first").alias("u"), F.col("rid").alias("v")).distinct()).withColumnRenamed("root", "cluster")
+    known = rows.select("rid", "root").distinct().join(clusters, "rid").join(members.select("rid", "row", "n"), "rid")
+    known = written(known, shared_dir(spark, "clustered"))
+    size = known.groupBy("cluster").agg(F.count(F.lit(1)).alias("many"), F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / block_shingles)).alias("blocks"))
+    size = written(size, shared_dir(spark, "cluster-sizes"))
+    placed = spread_join(known, size, "cluster", "many").withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")))
+    folder = Places.put(placed.select("row", "rid"), "row", "compared")
+    content = written(docs.select("row", "text").mapInArrow(_sets_of(folder), "rid long, shingles binary"), shared_dir(spark, "shingles"), compression="zstd")
+    content = placed.select("cluster", "blocks", "block", "rid", "root").join(content, "rid")
+    found = content.filter("blocks = 1").repartition("cluster").sortWithinPartitions("cluster").mapInArrow(_within(least, share), _EDGES)
+    large = size.filter("blocks > 1")
     if not large.isEmpty():
-        folder, blocks = shared_dir(spark, "blocks"), F.ceil(F.col("n") / block)
-        put_cells(rows.filter(F.col("n") > block).select("bucket", F.pmod(F.xxhash64("rid"), blocks).alias("block"), "rid", "root", "sig"), ["bucket", "block"], ["rid"], folder)
+        folder = shared_dir(spark, "blocks")
+        put_cells(content.filter("blocks > 1").select("cluster", "block", "rid", "root", "shingles"), ["cluster", "block"], ["rid"], folder)
         upto = lambda a, c: F.explode(F.sequence(a, c - 1))
-        pairs = large.select("bucket", blocks.alias("blocks")).select("bucket", "blocks", upto(F.lit(0).cast("long"), F.col("blocks")).alias("left")).select("bucket", "left", upto(F.col("left"), F.col("blocks")).alias("right"))
+        pairs = large.select("cluster", "blocks", upto(F.lit(0).cast("long"), F.col("blocks")).alias("left")).select("cluster", "left", upto(F.col("left"), F.col("blocks")).alias("right"))
         tasks = max(1, -(-pairs.count() // 4))
-        small = small.unionByName(pairs.repartitionByRange(tasks, "bucket", "left", "right").sortWithinPartitions("bucket", "left", "right").mapInArrow(_between(least, folder), _EDGES))
-    return small.distinct()
+        found = found.unionByName(pairs.repartitionByRange(tasks, "cluster", "left", "right").sortWithinPartitions("cluster", "left", "right").mapInArrow(_between(least, share, folder), _EDGES))
+    return written(found, shared_dir(spark, "links"))
 
 
 @shipped
@@ -237,15 +282,15 @@ def deduplicated(docs: DataFrame, *, share: tuple[int, int] = (85, 100), deviati
     docs, row = (docs, row) if row else (with_row_key(docs.select("doc_id", "text")), "_row")
     docs = docs.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = written(docs.mapInArrow(_signed, "row long, doc_id long, rid long, n long, sig binary"), shared_dir(spark, "sets"))
-    members = sets.filter("rid is not null").groupBy("rid").agg(F.min("row").alias("row"), F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("sig").alias("sig"))
+    members = sets.filter("rid is not null").groupBy("rid").agg(F.min("row").alias("row"), F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"))
     members = written(members, shared_dir(spark, "members"))
-    buckets = written(members.select("rid", "sig").mapInArrow(_buckets, "bucket long, rid long"), shared_dir(spark, "buckets"))
+    folder = Places.put(members.select("row", "rid"), "row", "first-rows")
+    buckets = written(sets.select("row", "sig").mapInArrow(_buckets(folder), "bucket long, rid long"), shared_dir(spark, "buckets"))
     counts = written(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), shared_dir(spark, "counts"))
-    met = written(spread_join(buckets, counts, "bucket", "n"), shared_dir(spark, "met"))
+    met = written(spread_join(buckets, counts, "bucket", "n", merge=True), shared_dir(spark, "met"))
     links = confirmed(star_edges(met), members, docs, share)
     least = similarity - deviations * DEVIATION
-    rest = left_over(met, members, links, least).join(links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), ["u", "v"], "left_anti")
-    links = links.unionByName(confirmed(rest, members, docs, share))
+    links = links.unionByName(left_over(met, members, docs, links, least, share))
 
     slim = members.select("rid", "rep", "copies")
     classes = written(components(links).join(slim.select("rid", "rep"), "rid"), shared_dir(spark, "classes"))

@@ -64,7 +64,7 @@ def test_components_of_near_copies_equal_brute_force(spark):
 
 
 def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(M.left_over, "__defaults__", (8,))
+    monkeypatch.setattr(M.left_over, "__defaults__", (8, 1 << 20))
     rows = near_copies(2, 2, 60, 120, 5)
     assert run(spark, rows) == brute(rows)[0]
 
@@ -122,3 +122,12 @@ def test_edges_of_the_input(spark):
     clash = spark.createDataFrame([(1, text, 5, 6), (2, text, 7, 8)], "doc_id long, text string, rid int, n int")
     assert {r.component_id for r in M.deduplicated(clash).collect()} == {1}
     assert M.deduplicated(clash.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block", [1024, 16])
+def test_what_stars_miss_is_found(spark, monkeypatch, block):
+    """Without any star, the comparison of what is left gives all components alone, in one block and in several."""
+    monkeypatch.setattr(M, "star_edges", lambda met: met.select(met.rid.alias("u"), met.rid.alias("v")).limit(0))
+    monkeypatch.setattr(M.left_over, "__defaults__", (block, 1 << 20))
+    rows = near_copies(5, 3, 25, 250, 4)
+    assert run(spark, rows) == brute(rows)[0]
