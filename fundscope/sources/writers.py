@@ -29,20 +29,28 @@ def bars(df: DataFrame, n: str, width: int = 40) -> DataFrame:
     return df.withColumn("bar", F.repeat(F.lit("#"), F.coalesce(F.round(width * F.col(n) / F.nullif(most, F.lit(0))), F.lit(0)).cast("int")))
 
 
+def _few(df: DataFrame, most: int) -> list:
+    """All rows; more than ``most`` are refused, as a page would leave some out unseen."""
+    rows = list(df.limit(most + 1).toLocalIterator())
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows; a page holds no more, write them as a table")
+    return rows
+
+
 def markdown(df: DataFrame, title: str, most: int = 1000) -> str:
-    """A small table as Markdown; ``most`` bounds what the driver sees."""
+    """A small table as Markdown; ``most`` bounds what the driver sees, and larger tables are refused."""
     lines = [f"## {title}", "", "| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
-    for row in df.limit(most).toLocalIterator():
+    for row in _few(df, most):
         lines.append("| " + " | ".join("" if v is None else str(v).replace("|", "\\|") for v in row) + " |")
     return "\n".join(lines) + "\n"
 
 
 def html(df: DataFrame, title: str, most: int = 1000) -> str:
-    """A small table as HTML, escaped."""
+    """A small table as HTML, escaped; larger ones than ``most`` rows are refused."""
     from html import escape
 
     head = "".join(f"<th>{escape(c)}</th>" for c in df.columns)
-    body = "".join("<tr>" + "".join(f"<td>{'' if v is None else escape(str(v))}</td>" for v in r) + "</tr>" for r in df.limit(most).toLocalIterator())
+    body = "".join("<tr>" + "".join(f"<td>{'' if v is None else escape(str(v))}</td>" for v in r) + "</tr>" for r in _few(df, most))
     return f"<h2>{escape(title)}</h2><table><tr>{head}</tr>{body}</table>"
 
 

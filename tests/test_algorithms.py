@@ -90,3 +90,12 @@ def test_names_with_any_blank(spark, blank):
         assert got == want, p
     search = {r.name: r.key for r in df.withColumn("key", N.normalize_name(F.col("name"), "search")).collect()}
     assert list(search.values()) == ["山田", "株式会社山田", "山田", "山田"]
+
+
+def test_pages_refuse_what_they_would_leave_out(spark):
+    from fundscope.sources import writers
+
+    assert writers.markdown(spark.range(5), "T", most=5).count("\n") == 9
+    for write in (writers.markdown, writers.html):
+        with pytest.raises(ValueError):
+            write(spark.range(6), "T", most=5)
