@@ -128,21 +128,50 @@ def disambiguated(entities: DataFrame, registry: DataFrame, tests: Sequence[tupl
     return entities.select("eid").distinct().join(best, "eid", "left").join(some, "eid", "left").select("eid", "rid", F.coalesce("rule", F.when(F.col("some"), "unresolved").otherwise("none")).alias("rule"))
 
 
+def places(short: DataFrame, long: DataFrame, gram: int = 4) -> DataFrame:
+    """Rows of ``long`` (t, ...) with each of their substrings ``s`` that can be a text of ``short`` (s), to be joined by equality.
+
+    A short text waits at the rarest of its grams, as in ``contained_pairs``; what it leaves there is only where the gram
+    lies in it and its length.  A long text cuts such a piece at each place of the gram, so it never meets the short texts
+    one by one: its rows are its places times the shapes that wait there, however many texts wait or hold the gram.
+    """
+    at = F.sequence(F.lit(1), F.length("t") - gram + 1)
+    b = long.filter(F.length("t") >= gram).withColumn("at", F.explode(at)).withColumn("g", F.substring("t", F.col("at"), F.lit(gram)))
+    often = b.select("t", "g").groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    own = short.select("s").filter(F.length("s") >= gram).distinct()
+    own = own.withColumn("off", F.explode(F.sequence(F.lit(1), F.length("s") - gram + 1))).withColumn("g", F.substring("s", F.col("off"), F.lit(gram)))
+    best = own.join(often, "g", "left").groupBy("s").agg(F.bool_and(F.col("n").isNotNull()).alias("known"), F.min(F.struct("n", "g", "off")).alias("best"))
+    shapes = best.filter("known").select(F.col("best.g").alias("g"), F.col("best.off").alias("off"), F.length("s").alias("len")).distinct()
+    cut = b.join(shapes.groupBy("g").agg(F.collect_list(F.struct("off", "len")).alias("shapes")), "g").withColumn("shape", F.explode("shapes"))
+    start, size = F.col("at") - F.col("shape.off") + 1, F.col("shape.len")
+    inside = cut.filter((start >= 1) & (start + size - 1 <= F.length("t")))
+    return inside.withColumn("s", F.substring("t", start, size)).drop("at", "g", "shapes", "shape")
+
+
 def fuzzy_first(external: DataFrame, table: DataFrame, prefix: int = 5) -> DataFrame:
     """(xid, tid, kind): the first table row, by tid, with an equal name, containment, or a shared prefix contained.
 
-    ``external``: xid, name; ``table``: tid, name.  The kind tells the strongest rule that the row meets.
+    ``external``: xid, name; ``table``: tid, name.  The kind tells the strongest rule that the row meets.  Each rule finds
+    its own first row for each distinct name; the first of these is the row, and the strongest rule that found it the kind.
     """
+    first = F.min("tid").alias("tid")
     x = external.select("xid", F.col("name").alias("a"))
-    t = table.select("tid", F.col("name").alias("b"))
-    s, l_ = lambda df, i, n: df.select(F.col(i).alias("short_id"), F.col(n).alias("s")), lambda df, i, n: df.select(F.col(i).alias("long_id"), F.col(n).alias("t"))
-    equal = x.join(t, F.col("a") == F.col("b")).select("xid", "tid", F.lit(1).alias("k"))
-    inside = contained_pairs(s(x, "xid", "a"), l_(t, "tid", "b")).select(F.col("short_id").alias("xid"), F.col("long_id").alias("tid"), F.lit(2).alias("k"))
-    around = contained_pairs(s(t, "tid", "b"), l_(x, "xid", "a")).select(F.col("long_id").alias("xid"), F.col("short_id").alias("tid"), F.lit(2).alias("k"))
-    start = x.filter(F.length("a") >= prefix).withColumn("a", F.substring("a", 1, prefix))
-    pre = contained_pairs(s(start, "xid", "a"), l_(t, "tid", "b")).select(F.col("short_id").alias("xid"), F.col("long_id").alias("tid"), F.lit(3).alias("k"))
-    c = equal.unionByName(inside).unionByName(around).unionByName(pre).groupBy("xid", "tid").agg(F.min("k").alias("k"))
-    return windows.first_per_key(c, ["xid"], [F.col("tid")]).select("xid", "tid", F.element_at(F.array(F.lit("equal"), F.lit("contains"), F.lit("prefix")), F.col("k")).alias("kind"))
+    t = table.select(F.struct(F.col("tid").isNull().alias("none"), "tid").alias("tid"), F.col("name").alias("t")).groupBy("t").agg(first)
+    a = x.select("a").distinct()
+    start = F.substring("a", 1, prefix)
+    names, starts = a.filter(F.length("a") >= 4).select(F.col("a").alias("s")), a.filter(F.length("a") >= prefix).select(start.alias("s"))
+    holders = places(names.unionByName(starts), t, min(4, prefix)).groupBy("s").agg(first)
+    held = places(t.filter(F.length("t") >= 4).select(F.col("t").alias("s")), a.select(F.col("a").alias("t"))).distinct()
+    by = lambda df, key, k: df.select(F.col(key).alias("key"), F.col("tid").alias(k))
+    c = a.join(by(t, "t", "equal"), F.col("a") == F.col("key"), "left").drop("key")
+    c = c.join(by(holders, "s", "inside"), (F.col("a") == F.col("key")) & (F.length("a") >= 4), "left").drop("key")
+    c = c.join(by(held.join(t.withColumnRenamed("t", "s"), "s").groupBy("t").agg(first), "t", "around"), F.col("a") == F.col("key"), "left").drop("key")
+    c = c.join(by(holders, "s", "start"), (start == F.col("key")) & (F.length("a") >= prefix), "left").drop("key")
+    c = c.withColumn("first", F.least("equal", "inside", "around", "start")).filter("first is not null")
+    met = lambda k: F.coalesce(F.col(k) == F.col("first"), F.lit(False))
+    kind = F.when(met("equal"), 1).when(met("inside") | met("around"), 2).otherwise(3)
+    best = x.join(c.select("a", "first", kind.alias("k")), "a").groupBy("xid").agg(F.min(F.struct("first", "k")).alias("best"))
+    return best.select("xid", F.col("best.first.tid").alias("tid"), F.element_at(F.array(F.lit("equal"), F.lit("contains"), F.lit("prefix")), F.col("best.k")).alias("kind"))
 
 
 def loose_fallback(source: DataFrame, target: DataFrame, gram: int = 4) -> DataFrame:
