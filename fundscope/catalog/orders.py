@@ -60,7 +60,11 @@ def frame_ctx(t):
 @query("""WITH y AS (SELECT o_custkey, year(o_orderdate) AS y, CAST(round(sum(o_totalprice)) AS BIGINT) AS v FROM orders GROUP BY 1, 2)
 SELECT o_custkey, string_agg(y || ':' || v, ',' ORDER BY y DESC) AS history, max_by(v, y) AS current FROM y GROUP BY 1""")
 def history_arr(t):
-    y = t.orders.groupBy("o_custkey", F.year("o_orderdate").alias("y")).agg(F.round(F.sum("o_totalprice")).cast("long").alias("v"))
+    # sums of doubles at a half depend on the order of addition: rows are added by their key, as they are stored
+    by = Window.partitionBy("o_custkey", "y").orderBy("o_orderkey")
+    o = t.orders.select("o_custkey", F.year("o_orderdate").alias("y"), "o_orderkey", "o_totalprice")
+    o = o.withColumns({"sum": F.sum("o_totalprice").over(by.rowsBetween(Window.unboundedPreceding, 0)), "k": F.row_number().over(by)})
+    y = o.groupBy("o_custkey", "y").agg(F.round(F.max_by("sum", "k")).cast("long").alias("v"))
     h = W.history(y, "o_custkey", "y", "v")
     return h.select("o_custkey", F.array_join(F.transform("history", lambda x: F.concat(x["year"].cast("string"), F.lit(":"), x["value"].cast("string"))), ",").alias("history"), "current")
 
