@@ -82,21 +82,42 @@ def tiered(left: DataFrame, right: DataFrame, aggregators: Sequence[str] = ()) -
     return one.unionByName(two).unionByName(three)
 
 
+def candidates(people: DataFrame, index: DataFrame, key: str, pid: str, xid: str, tests: Sequence[Column]) -> DataFrame:
+    """(pid, n0, x0, n1, x1, ...): how many index rows share a row's ``key``, and how many of these meet each test.
+
+    ``x0``, ``x1``, ... are the ids of those rows where there is one.  The tests may ask for all other columns of both
+    frames, whose names must differ.  Rows that agree in key and these columns are compared once and counted, so the pairs
+    within a key are of distinct values, however many rows share them.  Rows without candidates are left out.
+    """
+    mine, theirs = ([c for c in df.columns if c not in (key, i)] for df, i in ((people, pid), (index, xid)))
+    x = index.groupBy(key, *theirs).agg(F.count(F.lit(1)).alias("_rows"), F.min(xid).alias("_x"))
+    kept = [F.lit(True), *tests]
+    counts = [F.sum(F.when(ok, F.col("_rows")).otherwise(0)).alias(f"n{k}") for k, ok in enumerate(kept)]
+    ids = [F.min(F.when(ok, F.col("_x"))).alias(f"x{k}") for k, ok in enumerate(kept)]
+    votes = people.select(key, *mine).distinct().join(x, key).groupBy(key, *mine).agg(*counts, *ids)
+    votes = votes.withColumnsRenamed({c: f"_{c}" for c in (key, *mine)})
+    same = F.col(key) == F.col(f"_{key}")
+    for c in mine:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    # several rows of one id have their candidates together
+    all_ = [F.sum(f"n{k}").alias(f"n{k}") for k in range(len(kept))]
+    one = [F.max(F.when(F.col(f"n{k}") == 1, F.col(f"x{k}"))).alias(f"x{k}") for k in range(len(kept))]
+    return people.join(votes, same).groupBy(pid).agg(*all_, *one)
+
+
 def homonyms(people: DataFrame, index: DataFrame, prefix: int = 6, parity: bool = False) -> DataFrame:
     """(pid, xid, method): people (pid, name, inst) against an index (xid, name, inst).
 
     One candidate by name is taken; of several, those whose institution agrees (one contains the other's first ``prefix``
     characters), if exactly one does.  Blank institutions agree with nothing, unless ``parity`` holds.
     """
+    p = people.select("pid", "name", F.coalesce("inst", F.lit("")).alias("inst"))
     i = index.select("xid", "name", F.coalesce("inst", F.lit("")).alias("xinst"))
-    c = people.withColumn("inst", F.coalesce("inst", F.lit(""))).join(i, "name")
-    by = Window.partitionBy("pid")
-    c = c.withColumn("n", F.count(F.lit(1)).over(by))
     agree = F.contains("inst", F.substring("xinst", 1, prefix)) | F.contains("xinst", F.substring("inst", 1, prefix))
     if not parity:
         agree = agree & (F.col("inst") != "") & (F.col("xinst") != "")
-    c = c.withColumn("ok", agree).withColumn("agreeing", F.count_if("ok").over(by))
-    return c.filter("n = 1 or (ok and agreeing = 1)").select("pid", "xid", F.when(F.col("n") == 1, "unique").otherwise("institution").alias("method"))
+    c = candidates(p, i, "name", "pid", "xid", [agree]).filter("n0 = 1 or n1 = 1")
+    return c.select("pid", F.when(F.col("n0") == 1, F.col("x0")).otherwise(F.col("x1")).alias("xid"), F.when(F.col("n0") == 1, "unique").otherwise("institution").alias("method"))
 
 
 def conservative(people: DataFrame, index: DataFrame) -> DataFrame:

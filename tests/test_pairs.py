@@ -53,3 +53,38 @@ def test_fuzzy_against_all_pairs_of_random_names(spark, rows):
     kinds = {1: "equal", 2: "contains", 3: "prefix"}
     got = rows(matching.fuzzy_first(spark.createDataFrame(x, "xid long, name string"), spark.createDataFrame(t, "tid long, name string")))
     assert got == sorted(((xid, None if none else tid, kinds[k]) for xid, (none, tid, k) in want.items()), key=repr)
+
+
+def large_groups(spark, folder):
+    """40,000 customers and 2,000 suppliers: 60 to 97 names, 25 nations."""
+    suppliers(spark, folder, 2000)
+    spark.range(40_000).selectExpr("id AS c_custkey", "CAST(id DIV 7 % 25 AS INT) AS c_nationkey").write.parquet(f"{folder}/customer.parquet")
+    return str(folder)
+
+
+def of_one(found):
+    """The only element, or None."""
+    return found[0] if len(found) == 1 else None
+
+
+def test_linkage_bias_makes_no_pairs_of_rows_that_share_a_name(spark, tmp_path):
+    assert most_joined(QUERIES["job_linkage_bias"](spark, large_groups(spark, tmp_path))) < 100_000  # 824,828 pairs before
+
+
+def test_homonyms_against_all_pairs(spark, rows):
+    dice = random.Random(7)
+    insts = [None, "", "univ a", "the univ a", "univ b", "lab", "a lab of univ b", "ab"]
+    people = [(k % 150, dice.choice("abcdefghijkl") if k % 9 else None, dice.choice(insts)) for k in range(170)]
+    index = [(k, dice.choice("abcdefghijkm" * 4 + "kl"), dice.choice(insts)) for k in range(30)] + [(3, "a", "lab"), (50, "l", None), (51, None, "lab")]
+    for parity in (False, True):
+        want = []
+        for pid in range(150):
+            near = [(x, i or "", j or "") for p, n, i in people if p == pid for x, m, j in index if n is not None and n == m]
+            ok = [x for x, i, j in near if (i[:4] in j or j[:4] in i) and (parity or (i and j))]
+            if len(near) == 1:
+                want.append((pid, near[0][0], "unique"))
+            elif of_one(ok) is not None:
+                want.append((pid, ok[0], "institution"))
+        assert len(want) > 20
+        got = matching.homonyms(spark.createDataFrame(people, "pid long, name string, inst string"), spark.createDataFrame(index, "xid long, name string, inst string"), prefix=4, parity=parity)
+        assert rows(got) == sorted(want, key=repr)
