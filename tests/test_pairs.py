@@ -88,3 +88,7 @@ def test_homonyms_against_all_pairs(spark, rows):
         assert len(want) > 20
         got = matching.homonyms(spark.createDataFrame(people, "pid long, name string, inst string"), spark.createDataFrame(index, "xid long, name string, inst string"), prefix=4, parity=parity)
         assert rows(got) == sorted(want, key=repr)
+
+
+def test_homonyms_make_no_pairs_of_rows_that_share_a_name(spark, tmp_path):
+    assert most_joined(QUERIES["match_homonym"](spark, large_groups(spark, tmp_path))) < 100_000  # 824,828 pairs before
