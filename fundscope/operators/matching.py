@@ -125,11 +125,10 @@ def conservative(people: DataFrame, index: DataFrame) -> DataFrame:
 
     ``people``: pid, name, tokens; ``index``: xid, name, tokens, homonyms.
     """
-    c = people.join(index.select("xid", "name", F.col("tokens").alias("xtokens"), "homonyms"), "name")
-    c = c.withColumn("overlap", F.coalesce(F.arrays_overlap("tokens", "xtokens"), F.lit(False)))
-    by = Window.partitionBy("pid")
-    c = c.withColumns({"n": F.count(F.lit(1)).over(by), "o": F.count_if("overlap").over(by)})
-    return c.filter("(n = 1 and homonyms = 1) or (overlap and o = 1 and not (n = 1 and homonyms = 1))").select("pid", "xid", F.when((F.col("n") == 1) & (F.col("homonyms") == 1), "unique_name").otherwise("institution_token").alias("method"))
+    i = index.select("xid", "name", F.col("tokens").alias("xtokens"), "homonyms")
+    c = candidates(people.select("pid", "name", "tokens"), i, "name", "pid", "xid", [F.arrays_overlap("tokens", "xtokens"), F.col("homonyms") == 1])
+    once = (F.col("n0") == 1) & (F.col("n2") == 1)
+    return c.filter(once | (F.col("n1") == 1)).select("pid", F.when(once, F.col("x0")).otherwise(F.col("x1")).alias("xid"), F.when(once, "unique_name").otherwise("institution_token").alias("method"))
 
 
 def disambiguated(entities: DataFrame, registry: DataFrame, tests: Sequence[tuple[str, Column]]) -> DataFrame:

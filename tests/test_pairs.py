@@ -92,3 +92,25 @@ def test_homonyms_against_all_pairs(spark, rows):
 
 def test_homonyms_make_no_pairs_of_rows_that_share_a_name(spark, tmp_path):
     assert most_joined(QUERIES["match_homonym"](spark, large_groups(spark, tmp_path))) < 100_000  # 824,828 pairs before
+
+
+def test_conservative_makes_no_pairs_of_rows_that_share_a_name(spark, tmp_path):
+    assert most_joined(QUERIES["match_conservative"](spark, large_groups(spark, tmp_path))) < 100_000  # 1,000,000 pairs before
+
+
+def test_conservative_against_all_pairs(spark, rows):
+    dice = random.Random(8)
+    tokens = lambda: dice.choice([None, [], *[[dice.choice("pqrst") for _ in range(dice.randint(1, 2))] for _ in range(4)]])
+    people = [(k % 150, dice.choice("abcdefghijkl"), tokens()) for k in range(170)]
+    index = [(k, dice.choice("abcdefghijkm" * 4 + "kl"), tokens(), dice.choice([1, 1, 2, None])) for k in range(30)] + [(50, "l", None, 1), (3, "b", ["p"], 1)]
+    want = []
+    for pid in range(150):
+        near = [(x, set(a or ()) & set(b or ()), h) for p, n, a in people if p == pid for x, m, b, h in index if n == m]
+        shared = [x for x, both, _ in near if both]
+        if len(near) == 1 and near[0][2] == 1:
+            want.append((pid, near[0][0], "unique_name"))
+        elif of_one(shared) is not None:
+            want.append((pid, shared[0], "institution_token"))
+    assert len(want) > 20
+    got = matching.conservative(spark.createDataFrame(people, "pid long, name string, tokens array<string>"), spark.createDataFrame(index, "xid long, name string, tokens array<string>, homonyms long"))
+    assert rows(got) == sorted(want, key=repr)
