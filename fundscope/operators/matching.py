@@ -134,18 +134,15 @@ def conservative(people: DataFrame, index: DataFrame) -> DataFrame:
 def disambiguated(entities: DataFrame, registry: DataFrame, tests: Sequence[tuple[str, Column]]) -> DataFrame:
     """(eid, rid, rule): candidates by ``key``; a single one is taken, else the first test that leaves exactly one.
 
-    Entities without a decision come with a null rid and rule 'unresolved' or 'none'.
+    Entities without a decision come with a null rid and rule 'unresolved' or 'none'.  The frames should hold no columns
+    but their id, the key and what the tests ask for.
     """
-    c = entities.join(registry, "key")
-    by = Window.partitionBy("eid")
-    c = c.withColumn("_n", F.count(F.lit(1)).over(by))
-    winner = F.when(F.col("_n") == 1, F.struct(F.lit(0).alias("o"), F.lit("single").alias("rule")))
-    for k, (name, test) in enumerate(tests, 1):
-        ok = F.coalesce(test, F.lit(False))
-        winner = F.coalesce(winner, F.when(ok & (F.count_if(ok).over(by) == 1), F.struct(F.lit(k).alias("o"), F.lit(name).alias("rule"))))
-    best = windows.first_per_key(c.withColumn("w", winner).filter("w is not null"), ["eid"], [F.col("w.o"), F.col("rid")]).select("eid", "rid", F.col("w.rule").alias("rule"))
-    some = c.select("eid").distinct().withColumn("some", F.lit(True))
-    return entities.select("eid").distinct().join(best, "eid", "left").join(some, "eid", "left").select("eid", "rid", F.coalesce("rule", F.when(F.col("some"), "unresolved").otherwise("none")).alias("rule"))
+    c = candidates(entities, registry, "key", "eid", "rid", [test for _, test in tests])
+    rid, rule = F.lit(None), F.lit("unresolved")
+    for k, name in reversed(list(enumerate(["single", *(name for name, _ in tests)]))):
+        rid, rule = F.when(F.col(f"n{k}") == 1, F.col(f"x{k}")).otherwise(rid), F.when(F.col(f"n{k}") == 1, name).otherwise(rule)
+    best = c.select("eid", rid.alias("rid"), rule.alias("rule"))
+    return entities.select("eid").distinct().join(best, "eid", "left").select("eid", "rid", F.coalesce("rule", F.lit("none")).alias("rule"))
 
 
 def places(short: DataFrame, long: DataFrame, gram: int = 4) -> DataFrame:

@@ -114,3 +114,26 @@ def test_conservative_against_all_pairs(spark, rows):
     assert len(want) > 20
     got = matching.conservative(spark.createDataFrame(people, "pid long, name string, tokens array<string>"), spark.createDataFrame(index, "xid long, name string, tokens array<string>, homonyms long"))
     assert rows(got) == sorted(want, key=repr)
+
+
+def test_disambiguated_makes_no_pairs_of_rows_that_share_a_key(spark, tmp_path):
+    assert most_joined(QUERIES["match_disambiguated"](spark, large_groups(spark, tmp_path))) < 100_000  # 1,142,870 pairs before
+
+
+def test_disambiguated_against_all_pairs(spark, rows):
+    from pyspark.sql import functions as F
+
+    dice = random.Random(9)
+    entities = [(k % 150 if k else None, dice.choice("abcdefghijklz"), dice.choice([None, *range(12)])) for k in range(170)]
+    registry = [(k, dice.choice("abcdefghijkm" * 4 + "kl"), dice.choice([None, *range(12)])) for k in range(30)] + [(50, "l", None), (3, "b", 2)]
+    want = []
+    for eid in {e for e, _, _ in entities}:
+        near = [(r, a, b) for e, n, a in entities if e == eid and eid is not None for r, m, b in registry if n == m]
+        exact = [r for r, a, b in near if None not in (a, b) and a == b]
+        loose = [r for r, a, b in near if None not in (a, b) and a % 5 == b % 5]
+        found = [(f[0], rule) for f, rule in (([r for r, _, _ in near], "single"), (exact, "exact"), (loose, "loose")) if len(f) == 1]
+        want.append((eid, *(found or [(None, "unresolved" if near else "none")])[0]))
+    assert len({rule for _, _, rule in want}) == 5
+    tests = [("exact", F.col("a") == F.col("b")), ("loose", F.col("a") % 5 == F.col("b") % 5)]
+    got = matching.disambiguated(spark.createDataFrame(entities, "eid long, key string, a long"), spark.createDataFrame(registry, "rid long, key string, b long"), tests)
+    assert rows(got) == sorted(want, key=repr)
