@@ -201,9 +201,9 @@ def composite_key_tiebreak(t):
 
 @query("""SELECT a.c_custkey FROM customer a JOIN supplier s ON nullif(a.c_nationkey, 3) IS NOT DISTINCT FROM nullif(s.s_nationkey, 3)""")
 def null_safe_join(t):
-    suppliers = t.supplier
-    s = suppliers.select(F.nullif("s_nationkey", F.lit(3)).alias("k"))
-    return t.customer.join(s, F.nullif("c_nationkey", F.lit(3)).eqNullSafe(F.col("k"))).select("c_custkey")
+    s = t.supplier.select(F.nullif("s_nationkey", F.lit(3)).alias("k"))
+    c = t.customer.select("c_custkey", F.nullif("c_nationkey", F.lit(3)).alias("k"))
+    return M.repeated_per_match(c, s, "k").select("c_custkey")
 
 
 @query("""WITH c AS (SELECT c_nationkey AS k, count(*) AS n FROM customer GROUP BY 1), s AS (SELECT s_nationkey AS k, count(*) AS n FROM supplier GROUP BY 1) SELECT n_name, c.n AS customers, s.n AS suppliers FROM nation JOIN c ON n_nationkey = c.k JOIN s ON n_nationkey = s.k WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_name <> 'ASIA')""")

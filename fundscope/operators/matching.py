@@ -21,6 +21,20 @@ def keyed(probe: DataFrame, build: DataFrame, key: str, order: Sequence[Column],
     return probe.join(windows.first_per_key(build, [key], order), key, how)
 
 
+def repeated_per_match(left: DataFrame, right: DataFrame, key: str, piece: int = 1024) -> DataFrame:
+    """Rows of ``left``, each as often as rows of ``right`` have its key (NULL is a key of its own): an inner join for its left columns.
+
+    The matches are counted, not met, and the rows are dealt evenly before they are repeated, in pieces of ``piece``: a
+    task's memory and its share of the work depend on no key's size.
+    """
+    n = right.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    j = left.join(n, F.col(key).eqNullSafe(F.col("_k"))).select(*left.columns, "_n")
+    tasks = 4 * left.sparkSession.sparkContext.defaultParallelism
+    pieces = j.repartition(tasks).withColumn("_p", F.explode(F.sequence(F.lit(0), F.expr(f"(_n - 1) DIV {piece}"))))
+    rest = F.least(F.col("_n") - F.col("_p") * piece, F.lit(piece)).cast("int")
+    return pieces.select(*left.columns, F.explode(F.array_repeat(F.lit(True), rest)).alias("_one")).select(*left.columns)
+
+
 def contained_pairs(short: DataFrame, long: DataFrame, gram: int = 4) -> DataFrame:
     """(short_id, long_id): texts of ``short`` (short_id, s) that lie within texts of ``long`` (long_id, t).
 

@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from fundscope.catalog import QUERIES
 from fundscope.operators import matching
 
@@ -121,8 +123,6 @@ def test_disambiguated_makes_no_pairs_of_rows_that_share_a_key(spark, tmp_path):
 
 
 def test_disambiguated_against_all_pairs(spark, rows):
-    from pyspark.sql import functions as F
-
     dice = random.Random(9)
     entities = [(k % 150 if k else None, dice.choice("abcdefghijklz"), dice.choice([None, *range(12)])) for k in range(170)]
     registry = [(k, dice.choice("abcdefghijkm" * 4 + "kl"), dice.choice([None, *range(12)])) for k in range(30)] + [(50, "l", None), (3, "b", 2)]
@@ -137,3 +137,18 @@ def test_disambiguated_against_all_pairs(spark, rows):
     tests = [("exact", F.col("a") == F.col("b")), ("loose", F.col("a") % 5 == F.col("b") % 5)]
     got = matching.disambiguated(spark.createDataFrame(entities, "eid long, key string, a long"), spark.createDataFrame(registry, "rid long, key string, b long"), tests)
     assert rows(got) == sorted(want, key=repr)
+
+
+def test_null_safe_join_counts_matches(spark, tmp_path):
+    df = QUERIES["null_safe_join"](spark, large_groups(spark, tmp_path))
+    assert most_joined(df.agg({"c_custkey": "count"})) <= 40_000  # 3,200,000 rows before
+    assert df.count() == 40_000 * 2000 // 25
+
+
+def test_rows_repeated_per_match(spark, rows):
+    left = spark.createDataFrame([(1, "a"), (2, None), (3, "b"), (None, "a"), (1, "a"), (4, "c")], "id long, key string")
+    right = spark.createDataFrame([("a",)] * 5 + [(None,)] * 3 + [("c",), ("d",)], "key string")
+    want = rows(left.join(right.toDF("k"), F.col("key").eqNullSafe(F.col("k"))).select("id", "key"))
+    assert len(want) == 19
+    for piece in (1, 2, 5, 1024):
+        assert rows(matching.repeated_per_match(left, right, "key", piece)) == want
