@@ -96,27 +96,38 @@ def tiered(left: DataFrame, right: DataFrame, aggregators: Sequence[str] = ()) -
     return one.unionByName(two).unionByName(three)
 
 
-def candidates(people: DataFrame, index: DataFrame, key: str, pid: str, xid: str, tests: Sequence[Column]) -> DataFrame:
+def candidates(people: DataFrame, index: DataFrame, key: str, pid: str, xid: str, tests: Sequence[Column], need: str | None = None, few: int = 20_000) -> DataFrame:
     """(pid, n0, x0, n1, x1, ...): how many index rows share a row's ``key``, and how many of these meet each test.
 
     ``x0``, ``x1``, ... are the ids of those rows where there is one.  The tests may ask for all other columns of both
     frames, whose names must differ.  Rows that agree in key and these columns are compared once and counted, so the pairs
     within a key are of distinct values, however many rows share them.  Rows without candidates are left out.
+
+    ``need`` is a condition on the counts of one row; ids of which no row meets it may be left out as well.  The counts are
+    stored first: files have a known size, so where they are small Spark sends them to the rows, and the rows aren't
+    shuffled to meet them.  They also tell how many rows meet ``need``; where these are at most ``few``, the others of
+    their ids are found by a broadcast of the ids, and nothing else is shuffled.
     """
     mine, theirs = ([c for c in df.columns if c not in (key, i)] for df, i in ((people, pid), (index, xid)))
     x = index.groupBy(key, *theirs).agg(F.count(F.lit(1)).alias("_rows"), F.min(xid).alias("_x"))
     kept = [F.lit(True), *tests]
     counts = [F.sum(F.when(ok, F.col("_rows")).otherwise(0)).alias(f"n{k}") for k, ok in enumerate(kept)]
     ids = [F.min(F.when(ok, F.col("_x"))).alias(f"x{k}") for k, ok in enumerate(kept)]
-    votes = people.select(key, *mine).distinct().join(x, key).groupBy(key, *mine).agg(*counts, *ids)
+    values = people.groupBy(key, *mine).agg(F.count(F.lit(1)).alias("_people"))
+    votes = values.join(x, key).groupBy(key, *mine).agg(*counts, *ids, F.max("_people").alias("_people"))
     votes = votes.withColumnsRenamed({c: f"_{c}" for c in (key, *mine)})
     same = F.col(key) == F.col(f"_{key}")
     for c in mine:
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    votes = votes if need is None else stored(votes, "votes")
+    met = people.join(votes, same)
+    if need is not None and (votes.filter(need).agg(F.sum("_people")).first()[0] or 0) <= few:
+        those = met.filter(need).select(F.col(pid).alias("_id"))
+        met = met.join(F.broadcast(those), F.col(pid).eqNullSafe(F.col("_id")), "left_semi")
     # several rows of one id have their candidates together
     all_ = [F.sum(f"n{k}").alias(f"n{k}") for k in range(len(kept))]
     one = [F.max(F.when(F.col(f"n{k}") == 1, F.col(f"x{k}"))).alias(f"x{k}") for k in range(len(kept))]
-    return people.join(votes, same).groupBy(pid).agg(*all_, *one)
+    return met.groupBy(pid).agg(*all_, *one)
 
 
 def homonyms(people: DataFrame, index: DataFrame, prefix: int = 6, parity: bool = False) -> DataFrame:
@@ -130,7 +141,8 @@ def homonyms(people: DataFrame, index: DataFrame, prefix: int = 6, parity: bool
     agree = F.contains("inst", F.substring("xinst", 1, prefix)) | F.contains("xinst", F.substring("inst", 1, prefix))
     if not parity:
         agree = agree & (F.col("inst") != "") & (F.col("xinst") != "")
-    c = candidates(p, i, "name", "pid", "xid", [agree]).filter("n0 = 1 or n1 = 1")
+    one = "n0 = 1 or n1 = 1"
+    c = candidates(p, i, "name", "pid", "xid", [agree], one).filter(one)
     return c.select("pid", F.when(F.col("n0") == 1, F.col("x0")).otherwise(F.col("x1")).alias("xid"), F.when(F.col("n0") == 1, "unique").otherwise("institution").alias("method"))
 
 

@@ -32,6 +32,19 @@ def suppliers(spark, folder, n):
     spark.range(n).selectExpr("id AS s_suppkey", "concat('Supplier#', lpad(id, 9, '0')) AS s_name", "CAST(id % 25 AS INT) AS s_nationkey", "1.0D AS s_acctbal").write.parquet(f"{folder}/supplier.parquet")
 
 
+def shuffled(spark, job):
+    """Rows that the stages of a job wrote for shuffles, and its result."""
+    sc, jvm = spark.sparkContext._jsc.sc(), spark.sparkContext._jvm
+
+    def written():
+        sc.listenerBus().waitUntilEmpty(30_000)
+        stages = sc.statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+        return {(s.stageId(), s.attemptId()): s.shuffleWriteRecords() for s in (stages.apply(k) for k in range(stages.size()))}
+
+    before, result = written(), job()
+    return sum(n for stage, n in written().items() if stage not in before), result
+
+
 def test_fuzzy_makes_no_pairs_of_names_that_share_a_beginning(spark, tmp_path):
     suppliers(spark, tmp_path, 600)
     df = QUERIES["match_fuzzy"](spark, str(tmp_path))
@@ -96,6 +109,27 @@ def test_homonyms_make_no_pairs_of_rows_that_share_a_name(spark, tmp_path):
     assert most_joined(QUERIES["match_homonym"](spark, large_groups(spark, tmp_path))) < 100_000  # 824,828 pairs before
 
 
+def test_homonyms_shuffle_no_row_that_cannot_matter(spark, rows, tmp_path):
+    suppliers(spark, tmp_path, 20_000)
+    spark.range(40_000).selectExpr("id AS c_custkey", "CAST(id DIV 7 % 25 AS INT) AS c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    n, got = shuffled(spark, lambda: rows(QUERIES["match_homonym"](spark, str(tmp_path))))
+    assert got == []
+    assert n < 20_000  # 55,304 before
+
+
+def test_homonyms_of_ids_with_several_rows(spark, rows):
+    index = spark.createDataFrame([(1, "a", "univ x"), (2, "b", "univ x"), (3, "b", "univ y"), (4, "b", None)], "xid long, name string, inst string")
+    people = [(1, "a", None), (1, "b", None), (2, "b", "univ y"), (2, "b", None), (3, "b", "univ y"), (3, "b", "univ x"), (None, "a", None), (4, "a", None), (4, "z", None), (5, "b", None), (6, None, "univ x")]
+    one = spark.createDataFrame(people, "pid long, name string, inst string")
+    want = [(2, 3, "institution"), (4, 1, "unique"), (None, 1, "unique")]
+    assert rows(matching.homonyms(one, index)) == sorted(want, key=repr)
+    two = one.unionByName(spark.createDataFrame([(None, "b", None), (4, "b", None)], one.schema))  # no row alone says that these are unique no more
+    assert rows(matching.homonyms(two, index)) == want[:1]
+    for few in (0, 5, 6, 20_000):  # 6 rows meet the condition: from there on their ids are sent to all rows
+        c = matching.candidates(two, index.withColumnRenamed("inst", "xinst"), "name", "pid", "xid", [F.col("inst") == F.col("xinst")], "n0 = 1 or n1 = 1", few)
+        assert rows(c.filter("n0 = 1 or n1 = 1"), "pid", "x1") == [(2, 3)]
+
+
 def test_conservative_makes_no_pairs_of_rows_that_share_a_name(spark, tmp_path):
     assert most_joined(QUERIES["match_conservative"](spark, large_groups(spark, tmp_path))) < 100_000  # 1,000,000 pairs before
 
