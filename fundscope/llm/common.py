@@ -246,6 +246,7 @@ def rows_at(keyed: DataFrame, chosen: DataFrame, key: str, like: DataFrame) -> D
         for batch in it:
             for at, _ in side.matches(batch.column(key).to_numpy(), key) if batch.num_rows else ():
                 yield batch.select(columns).take(pa.array(at))
+        side = batch = at = _ = None
         release()
 
     return keyed.mapInArrow(run, like.schema)

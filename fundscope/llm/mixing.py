@@ -224,6 +224,7 @@ def mixed(docs: DataFrame, *, length: str | None = None, **options) -> DataFrame
             for at, piece in side.matches(rows, key):
                 for k in range(0, len(at), 4096):
                     yield _cut_rows(batch, at[k : k + 4096], piece.slice(k, 4096), columns, length, shard, place)
+        side = batch = rows = at = piece = None
         release()
 
     out = keyed.mapInArrow(put, StructType([*kinds.fields, StructField(shard, IntegerType()), StructField(place, LongType())]))

@@ -41,6 +41,8 @@ from .common import discard, open_fs, shared_dir, written
 
 MAGIC, TAIL = b"FSTOK002", b"FSTOKEND"
 _ENTRY = np.dtype([("offset", "<u8"), ("length", "<u4"), ("n_tokens", "<u8"), ("doc_id", "<i8"), ("has_id", "u1")])
+#: Distinct words that are looked up, and words of texts whose ids are put in a row, at one time.
+_AT_ONCE = 1 << 15
 #: The normaliser that the words' own way through the tokenizer stands for.
 _NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 
@@ -60,10 +62,12 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        spec = json.loads(self.whole.to_str())
-        self.by_word = self._known(spec)
-        self.special = [t["content"] for t in spec["added_tokens"]]
         self.model = self.whole.model
+        # as the library pickles these steps; its text of the whole would bring the vocabulary along
+        spec = {k: step and json.loads(step.__getstate__()) for k, step in (("normalizer", self.whole.normalizer), ("pre_tokenizer", self.whole.pre_tokenizer))}
+        spec["model"] = {"type": type(self.model).__name__, "dropout": getattr(self.model, "dropout", None)}
+        self.by_word = self._known(spec)
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.width = 2 if self.whole.get_vocab_size() <= 1 << 16 else 4
         self.kind, self.code = f"<u{self.width}", "H" if self.width == 2 else "I"
         if self.by_word:
@@ -133,15 +137,23 @@ class WordTokenizer:
             return out
         # white space here is that of str.split
         lists = pc.utf8_split_whitespace(texts)
-        coded = lists.flatten().dictionary_encode()
-        ids, length = self._words(coded.dictionary)
-        first, code = np.cumsum(length) - length, coded.indices.to_numpy()
-        many = length[code]
-        ends = np.concatenate([[0], np.cumsum(many)])
-        flat = ids[np.repeat(first[code] - ends[:-1], many) + np.arange(ends[-1])]
         words = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-        cuts = ends[words].tolist()
-        return [flat[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        coded = lists.flatten().dictionary_encode()
+        del lists, texts
+        known = [self._words(coded.dictionary.slice(k, _AT_ONCE)) for k in range(0, max(len(coded.dictionary), 1), _AT_ONCE)]
+        ids, length = (np.concatenate(x) for x in zip(*known, strict=True))
+        first, codes = np.cumsum(length) - length, coded.indices.to_numpy()
+        out, k = [], 0
+        while k < len(words) - 1:
+            stop = max(k + 1, int(np.searchsorted(words, words[k] + _AT_ONCE, "right")) - 1)
+            code = codes[words[k] : words[stop]]
+            many = length[code]
+            ends = np.concatenate([[0], np.cumsum(many)])
+            flat = ids[np.repeat(first[code] - ends[:-1], many) + np.arange(ends[-1])]
+            cuts = ends[words[k : stop + 1] - words[k]].tolist()
+            out += [flat[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            k = stop
+        return out
 
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words in a row, and how many each has."""
@@ -198,6 +210,9 @@ def _compressor(tokenizer_path: str, dictionary: bytes, end_id: int, level: int)
                 [batch.column("doc_id"), pa.array([len(x) // tokenizer.width for x in ids], pa.int64()), pa.array([zstd.compress(x) for x in ids], pa.binary())],
                 ["doc_id", "n_tokens", "frame"],
             )
+        # the worker lives on, and the parts refer to their tokenizer and it to them
+        batch = ids = zstd = tokenizer = None
+        release()
 
     return run
 
@@ -210,18 +225,19 @@ def _shard_writer(folder: str, width: int, end_id: int, sha: str, most: int):
         index = np.zeros(len(frames), _ENTRY)
         index["length"], index["n_tokens"] = [len(x) for x in frames], tokens
         index["doc_id"], index["has_id"] = [i or 0 for i in ids], [i is not None for i in ids]
-        start = len(MAGIC) + 4 + len(head)
+        start, size = len(MAGIC) + 4 + len(head), int(index["length"].sum(dtype=np.int64))
         index["offset"] = start + np.concatenate([[0], np.cumsum(index["length"][:-1], dtype=np.uint64)])
-        body = b"".join(frames)
-        with fs.open_output_stream(path + ".part") as out:
-            for x in (MAGIC, struct.pack("<I", len(head)), head, body, index.tobytes(), struct.pack("<Q", start + len(body)), TAIL):
+        with fs.open_output_stream(path + ".part", buffer_size=1 << 20) as out:
+            for x in (MAGIC, struct.pack("<I", len(head)), head, *frames, index.tobytes(), struct.pack("<Q", start + size), TAIL):
                 out.write(x)
         fs.move(path + ".part", path)
-        return start + len(body) + index.nbytes + 16
+        return start + size + index.nbytes + 16
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        from .words import batches, release
+
         fs, root = open_fs(folder)
         part, seq = TaskContext.get().partitionId(), 0
         frames: list[bytes] = []
@@ -239,7 +255,7 @@ def _shard_writer(folder: str, width: int, end_id: int, sha: str, most: int):
             return pa.RecordBatch.from_pylist([row], _MANIFEST)
 
         held = 0
-        for batch in it:
+        for batch in batches(it, "frame", 1 << 20):
             for i, n, x in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "frame")), strict=True):
                 frames.append(x)
                 tokens.append(n)
@@ -250,6 +266,8 @@ def _shard_writer(folder: str, width: int, end_id: int, sha: str, most: int):
                     held = 0
         if frames:
             yield flush()
+        batch = x = None
+        release()
 
     return run
 
@@ -367,6 +385,8 @@ def read_tokens(spark, folder: str, dictionary_sha: str | None = None, *, task_b
     todo = heads.select("file", F.coalesce(before, F.lit(0)).alias("start")).repartition(tasks)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from .words import release
+
         fs, root = open_fs(folder)
         for batch in it:
             for row in batch.to_pylist():
@@ -377,6 +397,8 @@ def read_tokens(spark, folder: str, dictionary_sha: str | None = None, *, task_b
                     firsts = start + np.concatenate([[0], np.cumsum(n[:-1])])
                     start += int(n.sum())
                     yield pa.RecordBatch.from_arrays([shard.doc_ids(k, k + 256), pa.array(firsts, pa.int64()), pa.array(n, pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
+        shard = ids = n = firsts = None
+        release()
 
     return todo.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 

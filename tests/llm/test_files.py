@@ -1,3 +1,4 @@
+import gc
 import hashlib
 import re
 
@@ -32,6 +33,33 @@ def test_random_texts_equal_the_library():
     assert t.encode_all(pa.array(texts)) == [t.pack(t.whole.encode(s, add_special_tokens=False).ids) for s in texts]
 
 
+def test_encoding_holds_little_more_than_its_ids():
+    """Distinct words and the ids of texts are worked on in parts: what is held beside parts and results is bounded."""
+    import tracemalloc
+
+    tokenizer = K.WordTokenizer(PATH)
+    texts = pa.array([" ".join(f"w{(i * 977 + k * k) % 120_011}" for k in range(300)) for i in range(2_000)])
+    want = tokenizer.encode_all(texts)
+    tracemalloc.start()
+    try:
+        assert tokenizer.encode_all(texts) == want
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < sum(map(len, want)) + (24 << 20)
+
+
+def test_a_worker_keeps_no_tokenizer_when_its_task_ends():
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["some words", None])], ["doc_id", "text"])
+    gc.collect()
+    gc.disable()
+    try:
+        assert sum(b.num_rows for b in K._compressor(PATH, b"", 2, 3)(iter([batch]))) == 2
+        assert not [x for x in gc.get_objects() if isinstance(x, K.WordTokenizer)]
+    finally:
+        gc.enable()
+
+
 def test_files_round_trip_in_order(spark):
     rows = [(5, "five words are in here", "a"), (1, None, "b"), (3, "", "c"), (2, "repeat me", "d"), (2, "repeat me", "d"), (None, "no id", "e"), (9, "long " * 50_000, "f")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string").repartition(3)
